@@ -1,0 +1,23 @@
+"""Registered queries: a Spark plan and, where SQL can say it, the same result as SQL."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def add(fn: Query) -> Query:
+        if name in QUERIES:
+            raise ValueError(f"duplicate query {name}")
+        QUERIES[name] = fn
+        if sql:
+            ORACLES[name] = sql
+        return fn
+
+    return add
