@@ -79,11 +79,11 @@ def transition_matrix(
 
 
 def long_cells(df: DataFrame, keep: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """One row per cell (keep..., column, value) from a single scan."""
+    """One row per cell (keep..., field, value) from a single scan."""
     cells = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
+        *[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in columns]
     )
-    return df.select(*keep, F.explode(cells).alias("_c")).select(*keep, "_c.column", "_c.value")
+    return df.select(*keep, F.explode(cells).alias("_c")).select(*keep, "_c.field", "_c.value")
 
 
 def column_profile(df: DataFrame, split: str, columns: Sequence[str], dated: Sequence[str]):
@@ -94,13 +94,13 @@ def column_profile(df: DataFrame, split: str, columns: Sequence[str], dated: Seq
     at most DOMAIN_LIMIT values.
     """
     cells = long_cells(df, [split], columns)
-    counts = cells.groupBy(split, "column", "value").agg(F.count(F.lit(1)).alias("n"))
+    counts = cells.groupBy(split, "field", "value").agg(F.count(F.lit(1)).alias("n"))
     v, n = F.col("value"), F.col("n")
     number = lenient_number(v)
     year_ok = v.rlike(r"^(19|20)\d{2}($|[-/ T])")
-    is_dated = F.col("column").isin(*dated)
+    is_dated = F.col("field").isin(*dated)
     year = F.when(is_dated & year_ok, F.substring(v, 1, 4).try_cast("int"))
-    stats = counts.groupBy(split, "column").agg(
+    stats = counts.groupBy(split, "field").agg(
         F.count(v).alias("n_values"),
         F.sum(F.when(number.isNotNull(), n).otherwise(0)).alias("numeric_count"),
         F.min(number).alias("numeric_min"),
@@ -109,13 +109,13 @@ def column_profile(df: DataFrame, split: str, columns: Sequence[str], dated: Seq
         F.max(year).cast("bigint").alias("last_year"),
         F.sum(F.when(is_dated & ~year_ok & ~v.isin(*MISSING), n).otherwise(0)).alias("year_unparsed"),
     )
-    short = stats.where(F.col("n_values") <= DOMAIN_LIMIT).select(split, "column")
+    short = stats.where(F.col("n_values") <= DOMAIN_LIMIT).select(split, "field")
     domains = (
-        counts.join(short, [split, "column"], "left_semi")
-        .groupBy(split, "column")
+        counts.join(short, [split, "field"], "left_semi")
+        .groupBy(split, "field")
         .agg(F.array_join(F.array_sort(F.collect_list(v)), "|").alias("domain"))
     )
-    return stats.join(domains, [split, "column"], "left").withColumn(
+    return stats.join(domains, [split, "field"], "left").withColumn(
         "truncated", F.col("n_values") > DOMAIN_LIMIT
     )
 

@@ -11,7 +11,8 @@ from priorframe.plans.base import DAILY, LABELLED, MONTHLY, ORDERS, cents
 from priorframe.plans.registry import query
 from priorframe.sources.tables import table
 
-N = F.count(F.lit(1))
+def n_all():
+    return F.count(F.lit(1))
 
 
 def n_if(cond):
@@ -55,9 +56,9 @@ WITH {DAILY}, x AS (SELECT d // 7 AS week, d, user_id FROM p WHERE peak > 20000)
 SELECT week, count(*) AS entity_days, count(DISTINCT d) AS days, CAST(count(*) AS DOUBLE) / count(DISTINCT d) AS per_day
 FROM x GROUP BY ALL""")
 def clustered_capacity(spark, sf):
-    x = base.daily(spark, sf).where("peak > 20000").groupBy("d").agg(N.alias("k"))
+    x = base.daily(spark, sf).where("peak > 20000").groupBy("d").agg(n_all().alias("k"))
     return x.groupBy(F.floor(F.col("d") / 7).alias("week")).agg(
-        F.sum("k").alias("entity_days"), N.alias("days"), F.try_divide(F.sum("k"), N).alias("per_day")
+        F.sum("k").alias("entity_days"), n_all().alias("days"), F.try_divide(F.sum("k"), n_all()).alias("per_day")
     )
 
 
@@ -104,17 +105,17 @@ SELECT event_type, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n,
   sum(CAST(round(value * 100) AS BIGINT)) / CAST(count(*) AS DOUBLE) AS mean_cents FROM events GROUP BY ALL""")
 def daily_mean(spark, sf):
     return table(spark, sf, "events").groupBy("event_type", base.text("ts").alias("day")).agg(
-        N.alias("n"), F.try_divide(F.sum(cents("value")), N).alias("mean_cents")
+        n_all().alias("n"), F.try_divide(F.sum(cents("value")), n_all()).alias("mean_cents")
     )
 
 
 @query("d10_modal_value_weekly", """
-WITH c AS (SELECT l_partkey, strftime(date_trunc('month', l_shipdate), '%Y-%m-%d') AS period, l_discount, count(*) AS n FROM lineitem GROUP BY ALL)
+WITH c AS (SELECT l_partkey, strftime(date_trunc('week', l_shipdate), '%Y-%m-%d') AS period, l_discount, count(*) AS n FROM lineitem GROUP BY ALL)
 SELECT l_partkey, period, arg_max(l_discount, (n, l_discount)) AS l_discount, max(n) AS votes, CAST(sum(n) AS BIGINT) AS total
 FROM c GROUP BY ALL""")
 def modal_weekly(spark, sf):
     l = table(spark, sf, "lineitem").select(
-        "l_partkey", base.text(F.date_trunc("month", "l_shipdate")).alias("period"), "l_discount"
+        "l_partkey", base.text(F.date_trunc("week", "l_shipdate")).alias("period"), "l_discount"
     )
     return ops.modal_value(l, ["l_partkey", "period"], "l_discount")
 
@@ -163,11 +164,11 @@ def reporting_quality(spark, sf):
         F.weekofyear("ts").alias("week"), "event_type",
     )
     w = e.groupBy("user_id", "iso_year", "week").agg(
-        N.alias("n"), n_if(F.col("event_type") == "error").alias("errors")
+        n_all().alias("n"), n_if(F.col("event_type") == "error").alias("errors")
     )
     usable, bad = n_if(F.col("n") >= 8), n_if(F.col("errors") > 0)
     return w.groupBy("user_id", "iso_year").agg(
-        usable.alias("usable"), bad.alias("with_errors"), ((usable >= 4) & (2 * bad >= N)).alias("kept")
+        usable.alias("usable"), bad.alias("with_errors"), ((usable >= 4) & (2 * bad >= n_all())).alias("kept")
     )
 
 
@@ -217,10 +218,10 @@ def prevalence_floor(spark, sf):
         .join(o, F.col("l_orderkey") == F.col("o_orderkey"))
         .select("o_orderkey", "split", "day", "p_brand").distinct()
     )
-    per_day = x.groupBy("p_brand", "split", "day").agg(N.alias("k"))
+    per_day = x.groupBy("p_brand", "split", "day").agg(n_all().alias("k"))
     n_in = lambda s: F.coalesce(F.sum(F.when(F.col("split") == s, F.col("k"))), F.lit(0))
     d_in = lambda s: n_if(F.col("split") == s)
-    train_rows = o.where("split = 'train'").agg(N).scalar()
+    train_rows = o.where("split = 'train'").agg(n_all()).scalar()
     out = per_day.groupBy("p_brand").agg(
         *[n_in(s).alias(f"{s}_n") for s in ("train", "eval", "holdout")],
         *[d_in(s).alias(f"{s}_days") for s in ("eval", "holdout")],
@@ -231,14 +232,14 @@ def prevalence_floor(spark, sf):
 
 
 @query("d18_column_profile", f"""
-WITH {ORDERS}, c AS (SELECT split, unnest(['o_orderstatus', 'o_orderpriority', 'cents', 'day']) AS column,
+WITH {ORDERS}, c AS (SELECT split, unnest(['o_orderstatus', 'o_orderpriority', 'cents', 'day']) AS field,
    unnest([o_orderstatus, o_orderpriority, CAST(cents AS VARCHAR), strftime(day, '%Y-%m-%d')]) AS value FROM o),
-s AS (SELECT split, column, count(DISTINCT value) AS n_values, count(*) FILTER (TRY_CAST(value AS DOUBLE) IS NOT NULL) AS numeric_count,
+s AS (SELECT split, field, count(DISTINCT value) AS n_values, count(*) FILTER (TRY_CAST(value AS DOUBLE) IS NOT NULL) AS numeric_count,
   min(TRY_CAST(value AS DOUBLE)) AS numeric_min, max(TRY_CAST(value AS DOUBLE)) AS numeric_max,
-  min(CAST(substr(value, 1, 4) AS BIGINT)) FILTER (column = 'day') AS first_year,
-  max(CAST(substr(value, 1, 4) AS BIGINT)) FILTER (column = 'day') AS last_year, CAST(0 AS BIGINT) AS year_unparsed,
+  min(CAST(substr(value, 1, 4) AS BIGINT)) FILTER (field = 'day') AS first_year,
+  max(CAST(substr(value, 1, 4) AS BIGINT)) FILTER (field = 'day') AS last_year, CAST(0 AS BIGINT) AS year_unparsed,
   array_to_string(list_sort(list(DISTINCT value)), '|') AS domain FROM (
-    SELECT split, column, CASE WHEN column = 'day' THEN value ELSE value END AS value FROM c) GROUP BY ALL)
+    SELECT split, field, CASE WHEN field = 'day' THEN value ELSE value END AS value FROM c) GROUP BY ALL)
 SELECT * REPLACE (CASE WHEN n_values <= 128 THEN domain END AS domain), n_values > 128 AS truncated FROM s""")
 def column_profile(spark, sf):
     cols = ["o_orderstatus", "o_orderpriority", "cents", "day"]
@@ -278,9 +279,9 @@ def ledger(spark, sf):
     o = base.orders(spark, sf).withColumn("reason", exclusion_reason(rules))
     at = lambda r: n_if(F.col("reason") == r)
     return o.groupBy("split").agg(
-        N.alias("input_rows"), at("kept").alias("shipped"), at("too_small").alias("too_small"),
+        n_all().alias("input_rows"), at("kept").alias("shipped"), at("too_small").alias("too_small"),
         at("pending").alias("pending"),
-        (at("kept") + at("too_small") + at("pending") == N).alias("reconciled"),
+        (at("kept") + at("too_small") + at("pending") == n_all()).alias("reconciled"),
     )
 
 
@@ -330,8 +331,8 @@ def usage(spark, sf):
     kind = F.when(t.isin("purchase", "signup"), "paid").when(t == "error", "failed").otherwise("free")
     cost = F.when(t != "error", cents("value"))
     return e.groupBy(kind.alias("class")).agg(
-        N.alias("calls"), F.sum(F.get_json_object("props", "$.k").cast("bigint")).alias("tokens"),
-        F.when(F.count(cost) == N, F.sum(cost)).alias("cost_cents"),
+        n_all().alias("calls"), F.sum(F.get_json_object("props", "$.k").cast("bigint")).alias("tokens"),
+        F.when(F.count(cost) == n_all(), F.sum(cost)).alias("cost_cents"),
     )
 
 
@@ -344,7 +345,7 @@ def coverage(spark, sf):
     c = table(spark, sf, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     known = F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD")
     return c.groupBy("r_name", "n_name").agg(
-        N.alias("customers"), F.avg((F.col("c_acctbal") > 0).cast("double")).alias("live_share"),
+        n_all().alias("customers"), F.avg((F.col("c_acctbal") > 0).cast("double")).alias("live_share"),
         n_if(~known).alias("unknown_segment"),
     )
 
@@ -360,7 +361,7 @@ def panel_coverage(spark, sf):
 WITH {ORDERS} SELECT split, year, count(*) FILTER (o_orderstatus = 'F') AS "F", count(*) FILTER (o_orderstatus = 'O') AS "O",
   count(*) FILTER (o_orderstatus = 'P') AS "P" FROM o GROUP BY ALL""")
 def label_mix(spark, sf):
-    return base.orders(spark, sf).groupBy("split", "year").pivot("o_orderstatus", ["F", "O", "P"]).agg(N).na.fill(0)
+    return base.orders(spark, sf).groupBy("split", "year").pivot("o_orderstatus", ["F", "O", "P"]).agg(n_all()).na.fill(0)
 
 
 @query("d30_blank_and_token_counts", """
@@ -408,13 +409,13 @@ def lag_histogram(spark, sf):
     g = F.when(k != 7, F.datediff("l_shipdate", "o_orderdate") - k * 2)
     band = ops.lag_band(g, [(7, "0-7"), (30, "8-30"), (60, "31-60")], "61+")
     j = l.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-    return j.groupBy(band.alias("band")).agg(N.alias("n"))
+    return j.groupBy(band.alias("band")).agg(n_all().alias("n"))
 
 
 @query("d33_top_values_crosstab", """
 SELECT p_brand, p_type, count(*) AS n FROM part GROUP BY ALL ORDER BY n DESC, p_brand, p_type LIMIT 10""")
 def crosstab(spark, sf):
-    counts = table(spark, sf, "part").groupBy("p_brand", "p_type").agg(N.alias("n"))
+    counts = table(spark, sf, "part").groupBy("p_brand", "p_type").agg(n_all().alias("n"))
     return counts.orderBy(F.desc("n"), "p_brand", "p_type").limit(10)
 
 
