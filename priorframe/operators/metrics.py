@@ -32,6 +32,11 @@ def rank_auc(
         F.sum((w * y).cast("double")).alias("_pos"),
         F.sum((w * (1 - y)).cast("double")).alias("_neg"),
     )
+    return auc_of_levels(levels, by, score, out)
+
+
+def auc_of_levels(levels: DataFrame, by: Sequence[str], score: str, out: str = "auc") -> DataFrame:
+    """AUC from one row per (group, score) with class weights ``_pos`` and ``_neg``."""
     ranked = running_totals(levels, by, score, {"_below": "_neg"})
     wins = F.sum(F.col("_pos") * (F.col("_below") * 2 + F.col("_neg"))) / 2
     pos, neg = F.sum("_pos"), F.sum("_neg")

@@ -236,8 +236,8 @@ WITH {ORDERS}, c AS (SELECT split, unnest(['o_orderstatus', 'o_orderpriority', '
    unnest([o_orderstatus, o_orderpriority, CAST(cents AS VARCHAR), strftime(day, '%Y-%m-%d')]) AS value FROM o),
 s AS (SELECT split, field, count(DISTINCT value) AS n_values, count(*) FILTER (TRY_CAST(value AS DOUBLE) IS NOT NULL) AS numeric_count,
   min(TRY_CAST(value AS DOUBLE)) AS numeric_min, max(TRY_CAST(value AS DOUBLE)) AS numeric_max,
-  min(CAST(substr(value, 1, 4) AS BIGINT)) FILTER (field = 'day') AS first_year,
-  max(CAST(substr(value, 1, 4) AS BIGINT)) FILTER (field = 'day') AS last_year, CAST(0 AS BIGINT) AS year_unparsed,
+  min(TRY_CAST(substr(value, 1, 4) AS BIGINT)) FILTER (field = 'day') AS first_year,
+  max(TRY_CAST(substr(value, 1, 4) AS BIGINT)) FILTER (field = 'day') AS last_year, CAST(0 AS BIGINT) AS year_unparsed,
   array_to_string(list_sort(list(DISTINCT value)), '|') AS domain FROM (
     SELECT split, field, CASE WHEN field = 'day' THEN value ELSE value END AS value FROM c) GROUP BY ALL)
 SELECT * REPLACE (CASE WHEN n_values <= 128 THEN domain END AS domain), n_values > 128 AS truncated FROM s""")

@@ -1 +1,419 @@
+"""H: quality gate."""
 
+from pyspark.sql import functions as F
+
+from priorframe.operators import gate as ops
+from priorframe.operators.aggregates import class_counts
+from priorframe.operators.history import at_offset
+from priorframe.operators.metrics import rank_auc
+from priorframe.operators.splits import isolation
+from priorframe.plans import base
+from priorframe.plans.base import LABELLED, ORDERS, auc_sql, cents
+from priorframe.plans.registry import query
+from priorframe.sources.tables import table
+
+
+def n_all():
+    return F.count(F.lit(1))
+
+
+def n_if(cond):
+    return F.count(F.when(cond, 1))
+
+
+@query("h3_single_column_leak", f"""
+WITH {LABELLED}, c AS (SELECT split, y, unnest(['lang', 'source', 'n_chars', 'echo', 'doc_key']) AS field,
+   unnest([lang, source, CAST(n_chars AS VARCHAR), CASE WHEN y = 1 THEN 'good' ELSE 'bad' END, 'd' || doc_id]) AS value FROM ld),
+lv AS (SELECT split, field, value, sum(y) AS pos, sum(1 - y) AS neg FROM c GROUP BY ALL),
+k AS (SELECT split, field, count(*) AS levels, CASE WHEN bool_and(TRY_CAST(value AS DOUBLE) IS NOT NULL) THEN 'numeric'
+   WHEN count(*) > greatest(1, floor(sum(pos + neg) / 5)) THEN 'high_cardinality' ELSE 'categorical' END AS kind FROM lv GROUP BY ALL),
+s AS (SELECT c.split, c.field, c.y, CASE WHEN kind = 'numeric' THEN TRY_CAST(value AS DOUBLE) ELSE CAST(pos AS DOUBLE) / (pos + neg) END AS score
+   FROM c JOIN lv USING (split, field, value) JOIN k USING (split, field) WHERE kind <> 'high_cardinality'),
+a AS ({auc_sql("s", "split, field")})
+SELECT split, field, levels, kind, auc, coalesce(auc IN (0.0, 1.0), false) AS determines_label FROM k LEFT JOIN a USING (split, field)""")
+def column_leak(spark, sf):
+    d = base.labelled_documents(spark, sf).select(
+        "split", "y", "lang", "source", "n_chars", F.when(F.col("y") == 1, "good").otherwise("bad").alias("echo"),
+        F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("doc_key"),
+    )
+    return ops.column_leak(d, "split", "y", ["lang", "source", "n_chars", "echo", "doc_key"])
+
+
+@query("h4_high_cardinality", """
+WITH c AS (SELECT unnest(['o_orderkey', 'o_custkey', 'o_orderstatus', 'cents']) AS field,
+  unnest([CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), o_orderstatus, CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR)]) AS value FROM orders)
+SELECT field, count(DISTINCT value) AS levels, count(*) AS n_rows, count(DISTINCT value) > count(*) // 5 AS high,
+  count(DISTINCT value) <= count(*) // 5 OR field IN ('o_orderkey') AS ok FROM c GROUP BY ALL""")
+def high_cardinality(spark, sf):
+    o = base.orders(spark, sf)
+    return ops.level_counts(o, ["o_orderkey", "o_custkey", "o_orderstatus", "cents"], ["o_orderkey"])
+
+
+EVENT_SPLITS = """ev AS (SELECT *, CAST(ts AS DATE) AS day, CASE WHEN ts < DATE '2024-01-12' THEN 'train' WHEN ts < DATE '2024-01-21' THEN 'eval' ELSE 'holdout' END AS split,
+  CAST(value > 100 AS BIGINT) AS y FROM events)"""
+
+
+def event_rows(spark, sf):
+    from priorframe.operators.splits import half_open
+
+    day = F.col("ts").cast("date")
+    windows = [("train", None, "2024-01-12"), ("eval", "2024-01-12", "2024-01-21"), ("holdout", "2024-01-21", None)]
+    return table(spark, sf, "events").select(
+        "event_id", "user_id", "event_type", "value", "ts", day.alias("day"), half_open(day, windows).alias("split"),
+        (F.col("value") > 100).cast("bigint").alias("y"),
+    )
+
+
+def positive_events(e):
+    per_day = e.where("y = 1").groupBy("split", "day").agg(n_all().alias("k"))
+    return per_day.groupBy("split").agg(F.sum("k").alias("positives"), n_all().alias("event_days"))
+
+
+DECLARED = [("train", 800, 11), ("eval", 700, 9), ("holdout", 769, 10)]
+
+
+@query("h5_declared_vs_counted_events", f"""
+WITH {EVENT_SPLITS}, d(split, positives, event_days) AS (VALUES ('train', 800, 11), ('eval', 700, 9), ('holdout', 769, 10)),
+f AS (SELECT split, count(*) AS positives, count(DISTINCT day) AS event_days FROM ev WHERE y = 1 GROUP BY ALL)
+SELECT d.split, d.positives AS declared_positives, f.positives AS counted_positives, d.event_days AS declared_days, f.event_days AS counted_days,
+  coalesce(d.positives = f.positives AND d.event_days = f.event_days, false) AS ok FROM d LEFT JOIN f USING (split)""")
+def declared_events(spark, sf):
+    d = spark.createDataFrame(DECLARED, "split string, declared_positives bigint, declared_days bigint")
+    f = positive_events(event_rows(spark, sf)).select(
+        "split", F.col("positives").alias("counted_positives"), F.col("event_days").alias("counted_days")
+    )
+    same = (F.col("declared_positives") == F.col("counted_positives")) & (F.col("declared_days") == F.col("counted_days"))
+    return d.join(f, "split", "left").withColumn("ok", F.coalesce(same, F.lit(False)))
+
+
+@query("h6_enough_positives", f"""
+WITH {EVENT_SPLITS} SELECT split, count(*) AS positives, count(DISTINCT day) AS event_days, count(*) >= 30 AND count(DISTINCT day) >= 10 AS ok
+FROM ev WHERE y = 1 AND split <> 'train' GROUP BY ALL""")
+def enough_positives(spark, sf):
+    f = positive_events(event_rows(spark, sf).where("split <> 'train'"))
+    return f.withColumn("ok", (F.col("positives") >= 30) & (F.col("event_days") >= 10))
+
+
+@query("h7_both_classes_nonuniform", f"""
+WITH {LABELLED} SELECT split, CAST(sum(y) AS BIGINT) AS positives, CAST(sum(1 - y) AS BIGINT) AS negatives, sum(y) > 0 AND sum(1 - y) > 0 AS ok FROM ld GROUP BY ALL""")
+def both_classes(spark, sf):
+    c = class_counts(base.labelled_documents(spark, sf), ["split"], "y")
+    return c.select("split", "positives", "negatives", ((F.col("positives") > 0) & (F.col("negatives") > 0)).alias("ok"))
+
+
+@query("h8_ranges_disjoint", f"""
+WITH {ORDERS}, r AS (SELECT split, min(day) AS lo, max(CASE WHEN o_orderkey % 1000 = 7 THEN day + 30 ELSE day END) AS hi FROM o GROUP BY ALL)
+SELECT split, strftime(lo, '%Y-%m-%d') AS lo, strftime(hi, '%Y-%m-%d') AS hi,
+  NOT EXISTS (SELECT 1 FROM r b WHERE b.split <> a.split AND b.lo <= a.lo AND b.hi >= a.lo) AS disjoint FROM r a""")
+def ranges_disjoint(spark, sf):
+    late = F.when(F.pmod("o_orderkey", F.lit(1000)) == 7, F.date_add("day", 30)).otherwise(F.col("day"))
+    o = base.orders(spark, sf).select("split", F.explode(F.array("day", late)).alias("day"))
+    return ops.ranges(o, "split", "day").select(
+        "split", base.text("lo").alias("lo"), base.text("hi").alias("hi"), "disjoint"
+    )
+
+
+@query("h9_rows_in_windows", f"""
+WITH {ORDERS}, w(split, s, e) AS (VALUES ('train', DATE '1995-01-01', DATE '1998-12-31'), ('eval', DATE '1999-01-01', DATE '2000-01-01'), ('holdout', DATE '2000-01-01', DATE '2001-07-01'))
+SELECT o.split, count(*) AS n, count(*) FILTER (day < s OR day >= e) AS violations FROM o JOIN w ON w.split = o.split GROUP BY ALL""")
+def rows_in_windows(spark, sf):
+    w = spark.createDataFrame(
+        [("train", "1995-01-01", "1998-12-31"), ("eval", "1999-01-01", "2000-01-01"), ("holdout", "2000-01-01", "2001-07-01")],
+        "split string, s string, e string",
+    ).select("split", F.col("s").cast("date").alias("s"), F.col("e").cast("date").alias("e"))
+    o = base.orders(spark, sf).select("split", "day").groupBy("split", "day").agg(n_all().alias("k"))
+    bad = (F.col("day") < F.col("s")) | (F.col("day") >= F.col("e"))
+    return o.join(w, "split").groupBy("split").agg(
+        F.sum("k").alias("n"), F.sum(F.when(bad, F.col("k")).otherwise(0)).alias("violations")
+    )
+
+
+@query("h10_cross_split_ids", f"""
+WITH {ORDERS} SELECT pair, count(*) AS shared_ids FROM (SELECT o_custkey, string_agg(DISTINCT split, '+' ORDER BY split) AS pair FROM o GROUP BY ALL) WHERE contains(pair, '+') GROUP BY ALL""")
+def cross_split_ids(spark, sf):
+    per = base.orders(spark, sf).groupBy("o_custkey").agg(
+        F.array_join(F.array_sort(F.collect_set("split")), "+").alias("pair")
+    )
+    return per.where(F.contains("pair", F.lit("+"))).groupBy("pair").agg(n_all().alias("shared_ids"))
+
+
+@query("h11_duplicate_ids_in_split", """
+WITH x AS (SELECT l_returnflag, l_orderkey, count(*) AS n FROM lineitem GROUP BY ALL)
+SELECT l_returnflag, count(*) AS distinct_ids, CAST(sum(n - 1) AS BIGINT) AS repeats, sum(n - 1) <= 15000 AS ok FROM x GROUP BY ALL""")
+def duplicate_ids(spark, sf):
+    l = table(spark, sf, "lineitem").select("l_returnflag", "l_orderkey")
+    return ops.repeated_ids(l, ["l_returnflag"], ["l_orderkey"]).withColumn("ok", F.col("repeats") <= 15000)
+
+
+@query("h12_contradictory_labels", """
+WITH x AS (SELECT l_returnflag, l_orderkey, count(*) AS n, min(l_linestatus) <> max(l_linestatus) AS bad FROM lineitem GROUP BY ALL)
+SELECT l_returnflag, count(*) FILTER (n > 1) AS repeated_ids, count(*) FILTER (bad) AS contradictory FROM x GROUP BY ALL""")
+def contradictory(spark, sf):
+    l = table(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", "l_linestatus")
+    return ops.contradictions(l, ["l_returnflag"], ["l_orderkey"], "l_linestatus")
+
+
+@query("h13_meta_counts_match", f"""
+WITH {ORDERS}, d(split, n_rows, rate) AS (VALUES ('train', 9134, 0.330414), ('eval', 2294, 0.31997), ('holdout', 3572, 0.3)),
+f AS (SELECT split, count(*) AS n_rows, CAST(sum(label) AS DOUBLE) / count(*) AS rate FROM o GROUP BY ALL)
+SELECT split, d.n_rows AS declared_rows, f.n_rows AS counted_rows, d.n_rows = f.n_rows AS rows_ok, abs(CAST(d.rate AS DOUBLE) - f.rate) <= 0.000001 AS rate_ok FROM d LEFT JOIN f USING (split)""")
+def meta_counts(spark, sf):
+    d = spark.createDataFrame(
+        [("train", 9134, 0.330414), ("eval", 2294, 0.31997), ("holdout", 3572, 0.3)],
+        "split string, declared_rows bigint, declared_rate double",
+    )
+    f = class_counts(base.orders(spark, sf), ["split"], "label")
+    return d.join(f, "split", "left").select(
+        "split", "declared_rows", F.col("n_rows").alias("counted_rows"),
+        (F.col("declared_rows") == F.col("n_rows")).alias("rows_ok"),
+        (F.abs(F.col("declared_rate") - F.col("rate")) <= 1e-6).alias("rate_ok"),
+    )
+
+
+@query("h14_publication_lag", """
+SELECT l_returnflag, max(date_diff('day', o_orderdate, l_shipdate)) AS measured_lag, max(date_diff('day', o_orderdate, l_shipdate)) <= 90 AS feature_lag_ok, 90 <= 95 AS instant_ok
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL""")
+def publication_lag(spark, sf):
+    l = table(spark, sf, "lineitem").select("l_orderkey", "l_shipdate", "l_returnflag")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    lag = F.max(F.datediff("l_shipdate", "o_orderdate")).cast("bigint")
+    feature_lag, instant_lag = 90, 95
+    return l.join(o, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("l_returnflag").agg(
+        lag.alias("measured_lag"), (lag <= feature_lag).alias("feature_lag_ok"),
+        F.lit(feature_lag <= instant_lag).alias("instant_ok"),
+    )
+
+
+@query("h15_availability_ledger", f"""
+WITH {ORDERS}, g AS (SELECT o_orderkey, split, day AS p, CASE WHEN o_orderkey % 400 = 3 THEN day + 1 ELSE day - 1 END AS f, (SELECT max(l_shipdate) FROM lineitem WHERE l_orderkey = o_orderkey) AS l
+   FROM o WHERE o_orderkey % 500 <> 9),
+g2 AS (SELECT * FROM g UNION ALL SELECT * FROM g WHERE o_orderkey % 700 = 5),
+k AS (SELECT o.split, o.o_orderkey, x.n, x.late, x.p, x.l FROM o LEFT JOIN (SELECT o_orderkey, count(*) AS n, count(*) FILTER (f > p) AS late, min(p) AS p, max(l) AS l FROM g2 GROUP BY ALL) x USING (o_orderkey)),
+s AS (SELECT split, count(*) FILTER (n IS NULL) AS uncovered, CAST(0 AS BIGINT) AS unknown, count(*) FILTER (n > 1) AS duplicated, CAST(sum(coalesce(late, 0)) AS BIGINT) AS features_late,
+  min(p) AS first, max(l) AS label FROM k GROUP BY ALL)
+SELECT split, uncovered, unknown, duplicated, features_late, coalesce(label <= (SELECT min(first) FROM s b WHERE b.first > a.first), true) AS labels_in_time FROM s a""")
+def availability(spark, sf):
+    o = base.orders(spark, sf).select("o_orderkey", "split", "day")
+    ship = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.max("l_shipdate").cast("date").alias("label_at")
+    )
+    k = lambda m: F.pmod("o_orderkey", F.lit(m))
+    g = o.where(k(500) != 9).join(ship, "o_orderkey", "left").select(
+        "o_orderkey", "split", F.col("day").alias("prediction_time"),
+        F.when(k(400) == 3, F.date_add("day", 1)).otherwise(F.date_sub("day", 1)).alias("features_at"), "label_at",
+    )
+    g = g.withColumn("_copy", F.explode(F.when(k(700) == 5, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))).drop("_copy")
+    return ops.availability(o, g, ["o_orderkey"], "split", {"train": 0, "eval": 1, "holdout": 2})
+
+
+CLAIMS = [("train", "n_rows", "9134"), ("eval", "n_rows", "2300"), ("holdout", "rate", "0.33"), ("train", "rate", "0.3304"), ("eval", "rate", "0.9")]
+CLAIMS_SQL = "claims(split, field, literal) AS (VALUES " + ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in CLAIMS) + ")"
+
+
+def order_facts(spark, sf):
+    f = class_counts(base.orders(spark, sf), ["split"], "label")
+    return f.select("split", F.col("n_rows").cast("double").alias("n_rows"), F.col("positives").cast("double").alias("positives"), "rate")
+
+
+@query("h17_population_claims", f"""
+WITH {ORDERS}, {CLAIMS_SQL}, f AS (SELECT split, CAST(count(*) AS DOUBLE) AS n_rows, CAST(sum(label) AS DOUBLE) / count(*) AS rate FROM o GROUP BY ALL)
+SELECT split, field, literal, CASE field WHEN 'rate' THEN rate ELSE n_rows END AS observed,
+  abs(CAST(literal AS DOUBLE) - CASE field WHEN 'rate' THEN rate ELSE n_rows END) <= CASE WHEN contains(literal, '.') THEN 0.5 * pow(10.0, -length(split_part(literal, '.', 2))) ELSE 0 END + 1e-12 AS ok
+FROM claims LEFT JOIN f USING (split)""")
+def population_claims(spark, sf):
+    claims = spark.createDataFrame(CLAIMS, "split string, field string, literal string")
+    return ops.population_claims(claims, order_facts(spark, sf))
+
+
+@query("h18_prose_claims", f"""
+WITH {LABELLED}, f AS (SELECT split, 100.0 * CAST(sum(y) AS DOUBLE) / count(*) AS observed FROM ld GROUP BY ALL),
+t AS (SELECT doc_id, text || ' Positive rate: train ' || CAST(80 + doc_id % 20 AS VARCHAR) || '% and eval ' || CAST(80 + doc_id % 20 AS VARCHAR) || '.5%.' AS text FROM documents),
+c AS (SELECT doc_id, regexp_extract_all(text, '((?:train|eval|holdout) (?:[0-9]+(?:\\.[0-9]+)?)%)', 1) AS a FROM t),
+u AS (SELECT doc_id, unnest(range(len(a))) AS pos, unnest(a) AS claim FROM c),
+v AS (SELECT doc_id, pos, split_part(claim, ' ', 1) AS split, regexp_extract(claim, '([0-9.]+)%', 1) AS literal FROM u)
+SELECT doc_id, pos, split, literal, round(observed, 6) AS observed, abs(CAST(literal AS DOUBLE) - observed) <= CASE WHEN contains(literal, '.') THEN 0.5 * pow(10.0, -length(split_part(literal, '.', 2))) ELSE 0.5 END + 1e-12 AS ok
+FROM v LEFT JOIN f USING (split)""")
+def prose_claims(spark, sf):
+    ld = base.labelled_documents(spark, sf).select("split", "y")
+    facts = class_counts(ld, ["split"], "y").select("split", (F.lit(100.0) * F.col("rate")).alias("observed"))
+    p = (80 + F.pmod("doc_id", F.lit(20))).cast("string")
+    said = F.concat("text", F.lit(" Positive rate: train "), p, F.lit("% and eval "), p, F.lit(".5%."))
+    d = table(spark, sf, "documents").select("doc_id", said.alias("text"))
+    return ops.prose_claims(d, "doc_id", "text", facts).withColumn("observed", F.round("observed", 6))
+
+
+@query("h19_claim_render", f"""
+WITH {ORDERS} SELECT 'population' AS kind, split, split || ': ' || format('{{:,}}', count(*)) || ' rows; ' || format('{{:,}}', CAST(sum(label) AS BIGINT)) || ' positives; positive rate ' || printf('%.4f', 100.0 * CAST(sum(label) AS DOUBLE) / count(*)) || '%.' AS claim FROM o GROUP BY split
+UNION ALL SELECT 'domain', split, split || ' `o_orderstatus` observed domain: ' || string_agg(DISTINCT '`' || o_orderstatus || '`', ', ' ORDER BY '`' || o_orderstatus || '`') || '.' FROM o GROUP BY split
+UNION ALL SELECT 'years', split, split || ' `day` observed years: ' || string_agg(DISTINCT CAST(year AS VARCHAR), ', ' ORDER BY CAST(year AS VARCHAR)) || '.' FROM o GROUP BY split
+UNION ALL SELECT 'grain', split, split || ' grain (o_custkey): ' || format('{{:,}}', count(DISTINCT o_custkey)) || ' distinct keys; ' || format('{{:,}}', count(*) - count(DISTINCT o_custkey)) || ' repeated rows.' FROM o GROUP BY split""")
+def claim_render(spark, sf):
+    o = base.orders(spark, sf)
+    comma = lambda c: F.format_number(c, 0)
+    listed = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ", ")
+    facts = o.groupBy("split").agg(
+        n_all().alias("n"), F.sum("label").alias("p"),
+        listed(F.concat(F.lit("`"), "o_orderstatus", F.lit("`"))).alias("domain"),
+        listed(F.col("year").cast("string")).alias("years"), F.countDistinct("o_custkey").alias("k"),
+    )
+    s = F.col("split")
+    pct = F.format_string("%.4f", F.lit(100.0) * F.try_divide("p", "n"))
+    lines = {
+        "population": F.concat(s, F.lit(": "), comma("n"), F.lit(" rows; "), comma("p"), F.lit(" positives; positive rate "), pct, F.lit("%.")),
+        "domain": F.concat(s, F.lit(" `o_orderstatus` observed domain: "), "domain", F.lit(".")),
+        "years": F.concat(s, F.lit(" `day` observed years: "), "years", F.lit(".")),
+        "grain": F.concat(s, F.lit(" grain (o_custkey): "), comma("k"), F.lit(" distinct keys; "), comma(F.col("n") - F.col("k")), F.lit(" repeated rows.")),
+    }
+    rows = F.array(*[F.struct(F.lit(k).alias("kind"), c.alias("claim")) for k, c in lines.items()])
+    return facts.select("split", F.explode(rows).alias("r")).select("r.kind", "split", "r.claim")
+
+
+@query("h20_duplicate_features_across_splits", """
+WITH d AS (SELECT CASE doc_id % 3 WHEN 0 THEN 'eval' WHEN 1 THEN 'holdout' ELSE 'train' END AS split, text, lang FROM documents),
+b AS (SELECT text, lang FROM d GROUP BY ALL HAVING count(DISTINCT split) > 1)
+SELECT split, count(DISTINCT (text, lang)) AS shared_tuples, count(*) AS n_rows FROM d JOIN b USING (text, lang) GROUP BY ALL""")
+def duplicate_features(spark, sf):
+    k = F.pmod("doc_id", F.lit(3))
+    split = F.when(k == 0, "eval").when(k == 1, "holdout").otherwise("train")
+    d = table(spark, sf, "documents").select(split.alias("split"), "text", "lang")
+    return ops.shared_features(d, "split", ["text", "lang"])
+
+
+@query("h21_gate_report", f"""
+WITH {ORDERS}, s AS (SELECT split, count(*) AS n, sum(label) AS p FROM o GROUP BY ALL),
+x AS (SELECT count(*) FILTER (k > 1) AS shared FROM (SELECT o_custkey, count(DISTINCT split) AS k FROM o GROUP BY ALL)),
+h AS (SELECT count(DISTINCT cents) > count(*) // 5 AS high FROM o),
+r AS (SELECT 'splits.both_classes' AS "check", bool_and(p > 0 AND p < n) AS ok FROM s
+  UNION ALL SELECT 'splits.ranges_disjoint', true
+  UNION ALL SELECT 'splits.no_shared_ids', shared = 0 FROM x
+  UNION ALL SELECT 'leakage.high_cardinality_declared', NOT high FROM h)
+SELECT * FROM r UNION ALL SELECT 'overall', bool_and(ok) FROM r""")
+def gate_report(spark, sf):
+    o = base.orders(spark, sf)
+    classes = class_counts(o, ["split"], "label").select("split", "positives", "negatives")
+    spans = ops.ranges(o, "split", "day").select("split", base.text("lo").alias("lo"), base.text("hi").alias("hi"), "disjoint")
+    shared = isolation(o.select("split", "o_custkey"), ["o_custkey"])
+    levels = ops.level_counts(o, ["o_orderkey", "cents"], ["o_orderkey"])
+    rows = ops.report([
+        ops.check(classes, "splits.both_classes", (F.col("positives") > 0) & (F.col("negatives") > 0), F.col("split")),
+        ops.check(spans, "splits.ranges_disjoint", F.col("disjoint"), F.col("split")),
+        ops.check(shared, "splits.no_shared_ids", F.col("n_shared") == 0, F.concat_ws(" ", "key", F.col("n_shared").cast("string"))),
+        ops.check(levels, "leakage.high_cardinality_declared", F.col("ok"), F.col("field")),
+    ])
+    return rows.select("check", "ok")
+
+
+SPARSE = """y AS (SELECT c_nationkey AS host, o_custkey AS origin, year(o_orderdate) AS year, count(*) AS c
+  FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 490000 GROUP BY ALL)"""
+
+
+@query("h22_exposure_measure", f"""
+WITH {SPARSE}, b AS (SELECT host, origin, min(year) AS t0 FROM y GROUP BY ALL), a AS (SELECT b.*, c AS c0 FROM b JOIN y ON y.host = b.host AND y.origin = b.origin AND y.year = t0),
+t AS (SELECT host, year, CAST(sum(c) AS BIGINT) AS total FROM y GROUP BY ALL), k AS (SELECT DISTINCT host, t0 FROM b),
+z AS (SELECT a.*, t.year AS oy, coalesce(y.c, 0) AS v, t.total FROM a JOIN t ON t.host = a.host AND t.year IN (t0 + 1, t0 + 2)
+  LEFT JOIN y ON y.host = a.host AND y.origin = a.origin AND y.year = t.year)
+SELECT t0 AS year, count(*) AS exposed, count(*) FILTER (v >= 2 * c0) AS label_determining FROM z
+WHERE v = total AND EXISTS (SELECT 1 FROM k WHERE k.host = z.host AND k.t0 IN (oy, oy + 1)) GROUP BY ALL""")
+def exposure(spark, sf):
+    o = table(spark, sf, "orders").where("o_totalprice > 490000").select(
+        "o_custkey", F.year("o_orderdate").cast("bigint").alias("year")
+    )
+    c = table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("host"))
+    y = o.join(c, F.col("o_custkey") == F.col("c_custkey")).groupBy("host", F.col("o_custkey").alias("origin"), "year").agg(n_all().alias("c"))
+    built = y.groupBy("host", "origin").agg(F.min("year").alias("t0"), F.min_by("c", "year").alias("c0"))
+    donors = built.select("host", F.explode(F.array(F.col("t0"), F.col("t0") - 1)).alias("oy")).distinct()
+    totals = y.groupBy("host", F.col("year").alias("oy")).agg(F.sum("c").alias("total"))
+    operands = built.select("host", "origin", "t0", "c0", F.explode(F.array(F.col("t0") + 1, F.col("t0") + 2)).alias("oy"))
+    z = (
+        operands.join(totals, ["host", "oy"])
+        .join(y.withColumnRenamed("year", "oy"), ["host", "origin", "oy"], "left")
+        .join(donors, ["host", "oy"], "left_semi")
+    )
+    v = F.coalesce("c", F.lit(0))
+    return z.where(v == F.col("total")).groupBy(F.col("t0").alias("year")).agg(
+        n_all().alias("exposed"), n_if(v >= 2 * F.col("c0")).alias("label_determining")
+    )
+
+
+BOUNDS = [("ECONOMY", 1, 45), ("SMALL", 5, 50), ("LARGE", 1, 50), ("MEDIUM", 1, 30)]
+BOUNDS_SQL = "b(p_type, lo, hi) AS (VALUES " + ", ".join(f"('{a}', {lo}, {hi})" for a, lo, hi in BOUNDS) + ")"
+
+
+@query("h23_interval_consistency", f"""
+WITH {BOUNDS_SQL} SELECT p_type, count(*) AS n, count(*) FILTER (lo IS NULL) AS unknown_class, count(*) FILTER (p_size < lo OR p_size > hi) AS outside FROM part LEFT JOIN b USING (p_type) GROUP BY ALL""")
+def interval_consistency(spark, sf):
+    b = spark.createDataFrame(BOUNDS, "p_type string, lo int, hi int")
+    return table(spark, sf, "part").join(b, "p_type", "left").groupBy("p_type").agg(
+        n_all().alias("n"), n_if(F.col("lo").isNull()).alias("unknown_class"),
+        n_if((F.col("p_size") < F.col("lo")) | (F.col("p_size") > F.col("hi"))).alias("outside"),
+    )
+
+
+ANCHORS = [(1995, 2285), (1996, 2260), (1997, 2290), (2005, 1)]
+ANCHORS_SQL = "a(year, anchor) AS (VALUES " + ", ".join(f"({y}, {n})" for y, n in ANCHORS) + ")"
+
+
+@query("h24_anchor_counts", f"""
+WITH {ORDERS}, {ANCHORS_SQL} SELECT a.year, a.anchor, coalesce(n, 0) AS counted, coalesce(n, 0) = a.anchor AS ok FROM a LEFT JOIN (SELECT year, count(*) AS n FROM o GROUP BY ALL) f USING (year)""")
+def anchors(spark, sf):
+    a = spark.createDataFrame(ANCHORS, "year bigint, anchor bigint")
+    f = base.orders(spark, sf).groupBy("year").agg(n_all().alias("n"))
+    counted = F.coalesce("n", F.lit(0))
+    return a.join(f, "year", "left").select("year", "anchor", counted.alias("counted"), (counted == F.col("anchor")).alias("ok"))
+
+
+@query("h25_export_cap_check", f"""
+WITH {ORDERS}, x AS (SELECT unnest(range(1994, 2003)) AS year) SELECT x.year, count(o.year) AS n, count(o.year) > 0 AND count(o.year) < 2280 AS ok FROM x LEFT JOIN o USING (year) GROUP BY ALL""")
+def export_cap(spark, sf):
+    years = spark.range(1994, 2003).select(F.col("id").alias("year"))
+    f = base.orders(spark, sf).groupBy("year").agg(n_all().alias("n"))
+    n = F.coalesce("n", F.lit(0))
+    return years.join(f, "year", "left").select("year", n.alias("n"), ((n > 0) & (n < 2280)).alias("ok"))
+
+
+@query("h26_partition_check", f"""
+WITH {ORDERS} SELECT split, count(*) AS n, strftime(min(day), '%Y-%m-%d') AS lo, strftime(max(day), '%Y-%m-%d') AS hi, count(*) = count(DISTINCT o_orderkey) AS unique_rows,
+ CASE split WHEN 'train' THEN max(day) < DATE '1999-01-01' WHEN 'eval' THEN min(day) >= DATE '1999-01-01' AND max(day) < DATE '2000-01-01' ELSE min(day) >= DATE '2000-01-01' END AS inside FROM o GROUP BY ALL""")
+def partition_check(spark, sf):
+    lo, hi, s = F.min("day"), F.max("day"), F.col("split")
+    d = lambda x: F.lit(x).cast("date")
+    return base.orders(spark, sf).groupBy("split").agg(
+        n_all().alias("n"), base.text(lo).alias("lo"), base.text(hi).alias("hi"),
+        (n_all() == F.countDistinct("o_orderkey")).alias("unique_rows"),
+        F.when(s == "train", hi < d("1999-01-01"))
+        .when(s == "eval", (lo >= d("1999-01-01")) & (hi < d("2000-01-01")))
+        .otherwise(lo >= d("2000-01-01")).alias("inside"),
+    )
+
+
+@query("h27_threshold_agreement", """
+WITH x AS (SELECT user_id, CAST(ts AS DATE) AS d, max(value) AS fine, max(value) FILTER (minute(ts) < 30) AS coarse FROM events GROUP BY ALL)
+SELECT user_id, count(*) FILTER (fine > 100 AND coarse > 100) AS both_over, count(*) FILTER (fine > 100 AND coarse <= 100) AS only_fine,
+  count(*) FILTER (fine <= 100 AND coarse <= 100) AS both_under, count(*) FILTER (coarse IS NULL) AS coarse_missing FROM x GROUP BY ALL""")
+def threshold_agreement(spark, sf):
+    x = table(spark, sf, "events").groupBy("user_id", F.col("ts").cast("date").alias("d")).agg(
+        F.max("value").alias("fine"), F.max(F.when(F.minute("ts") < 30, F.col("value"))).alias("coarse")
+    )
+    f, c = F.col("fine") > 100, F.col("coarse") > 100
+    return x.groupBy("user_id").agg(
+        n_if(f & c).alias("both_over"), n_if(f & ~c).alias("only_fine"), n_if(~f & ~c).alias("both_under"),
+        n_if(F.col("coarse").isNull()).alias("coarse_missing"),
+    )
+
+
+@query("h28_screen_and_headroom_verdict", f"""
+WITH {LABELLED}, t AS (SELECT lang AS task, count(*) AS n FROM ld GROUP BY ALL),
+r AS (SELECT lang, source, CAST(sum(y) AS DOUBLE) / count(*) AS rate FROM ld GROUP BY ALL),
+s1 AS (SELECT lang AS task, n_chars AS score, y FROM ld), s2 AS (SELECT ld.lang AS task, rate AS score, y FROM ld JOIN r USING (lang, source)),
+a1 AS ({auc_sql("s1", "task")}), a2 AS ({auc_sql("s2", "task")})
+SELECT task, n, a1.auc AS baseline, a2.auc AS best, CASE WHEN n < 40 THEN 'screened_out' WHEN greatest(a1.auc, a2.auc) > 0.95 THEN 'reject_leak' WHEN a1.auc IS NULL THEN 'not_runnable'
+  WHEN a1.auc < 0.60 THEN 'reject_noise' WHEN a1.auc > 0.85 THEN 'reject_saturated' WHEN a2.auc - a1.auc >= 0.03 THEN 'qualify' ELSE 'insufficient_headroom' END AS verdict
+FROM t JOIN a1 USING (task) JOIN a2 USING (task)""")
+def headroom_verdict(spark, sf):
+    d = base.labelled_documents(spark, sf).select(F.col("lang").alias("task"), "source", "n_chars", "y")
+    rate = d.groupBy("task", "source").agg(F.try_divide(F.sum("y"), n_all()).alias("rate"))
+    a1 = rank_auc(d, ["task"], "n_chars", "y", out="baseline")
+    a2 = rank_auc(d.join(rate, ["task", "source"]), ["task"], "rate", "y", out="best")
+    t = d.groupBy("task").agg(n_all().alias("n")).join(a1, "task").join(a2, "task")
+    leak = F.greatest("baseline", "best")
+    return t.withColumn("verdict", ops.verdict(F.col("n"), F.lit(3), leak, F.col("baseline"), F.col("best"), 40))

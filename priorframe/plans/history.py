@@ -127,7 +127,7 @@ def trailing_percentile(spark, sf):
 WITH {ORDERS}, g AS (SELECT a.o_custkey, a.day, count(b.o_orderkey) FILTER (b.day >= a.day - 365) AS prior_365, count(b.o_orderkey) FILTER (b.day >= a.day - 1095) AS prior_1095,
   coalesce(date_diff('day', min(b.day), a.day), -1) AS since_first, coalesce(date_diff('day', max(b.day), a.day), -1) AS since_last,
   CAST(sum(b.cents) AS BIGINT) / CAST(count(b.cents) AS DOUBLE) AS mean_prior
-FROM (SELECT DISTINCT o_custkey, day FROM o) a LEFT JOIN o b ON b.o_custkey = a.o_custkey AND b.day < a.day GROUP BY ALL)
+FROM (SELECT DISTINCT o_custkey, day FROM o) a LEFT JOIN o b ON b.o_custkey = a.o_custkey AND b.day < a.day GROUP BY a.o_custkey, a.day)
 SELECT o_orderkey, g.* EXCLUDE (o_custkey, day) FROM o JOIN g USING (o_custkey, day)""")
 def lookback(spark, sf):
     o = base.orders(spark, sf).withColumn("dn", ops.day_number("day"))
@@ -174,7 +174,8 @@ def multi_lag(spark, sf):
 WITH {MONTHLY} SELECT a.nation, a.m, a.c AS level_0, l3.c AS level_3, l12.c AS level_12, a.c - l1.c AS diff_month, a.c - l3.c AS diff_quarter, a.c - l6.c AS diff_half, a.c - l12.c AS diff_year
 FROM mo a JOIN mo l1 ON l1.nation = a.nation AND l1.m = a.m - 1 JOIN mo l3 ON l3.nation = a.nation AND l3.m = a.m - 3
 JOIN mo l6 ON l6.nation = a.nation AND l6.m = a.m - 6 JOIN mo l12 ON l12.nation = a.nation AND l12.m = a.m - 12
-WHERE (SELECT count(*) FROM mo x WHERE x.nation = a.nation AND x.m BETWEEN a.m - 12 AND a.m) = 13""")
+JOIN (SELECT nation, m, count(*) OVER (PARTITION BY nation ORDER BY m RANGE BETWEEN 12 PRECEDING AND CURRENT ROW) AS have FROM mo) h
+  ON h.nation = a.nation AND h.m = a.m WHERE have = 13""")
 def yoy(spark, sf):
     k = ["nation"]
     lv = lambda i: ops.at_offset("c", k, "m", -i)
