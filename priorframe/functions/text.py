@@ -48,14 +48,26 @@ def words(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(f"({WORD})"), F.lit(1))
 
 
+def bound(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once per row.
+
+    A lambda re-evaluates whatever it closes over for every element; as the variable
+    of an outer one-element transform the value is computed before the inner loop.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def word_tokens(c: Column) -> Column:
     """Distinct lower-case words and adjacent word pairs."""
-    w = words(c)
-    pairs = F.transform(
-        F.slice(w, F.lit(2), F.greatest(F.size(w) - 1, F.lit(0))),
-        lambda x, i: F.concat_ws(" ", F.get(w, i), x),
-    )
-    return F.array_distinct(F.concat(w, pairs))
+
+    def tokens(w: Column) -> Column:
+        n = F.greatest(F.size(w) - 1, F.lit(0))
+        pairs = F.zip_with(
+            F.slice(w, F.lit(1), n), F.slice(w, F.lit(2), n), lambda a, b: F.concat_ws(" ", a, b)
+        )
+        return F.array_distinct(F.concat(w, pairs))
+
+    return bound(words(c), tokens)
 
 
 def excerpt_text(c: Column) -> Column:
@@ -69,16 +81,20 @@ def excerpt_match(text: Column, excerpt: Column) -> Column:
     Each span between ellipses is searched after the end of the one before; the
     position is folded through the spans and stays 0 once a span is missing.
     """
-    t, e = excerpt_text(text), excerpt_text(excerpt)
-    spans = F.filter(
-        F.transform(F.split(e, r"\.{3}|…"), lambda s: F.trim(s)), lambda s: F.length(s) > 0
-    )
-
-    def advance(at: Column, span: Column) -> Column:
-        hit = F.call_function("locate", span, t, at)
-        return F.when((at > 0) & (hit > 0), hit + F.length(span)).otherwise(F.lit(0)).cast("int")
-
-    end = F.aggregate(spans, F.lit(1).cast("int"), advance)
-    return F.when((F.length(e) > 0) & F.contains(t, e), F.lit("contiguous")).when(
-        (F.size(spans) >= 2) & (end > 0), F.lit("ordered-spans")
-    )
+    e = excerpt_text(excerpt)
+
+    def match(t: Column) -> Column:
+        spans = F.filter(
+            F.transform(F.split(e, r"\.{3}|…"), lambda s: F.trim(s)), lambda s: F.length(s) > 0
+        )
+
+        def advance(at: Column, span: Column) -> Column:
+            hit = F.call_function("locate", span, t, at)
+            return F.when((at > 0) & (hit > 0), hit + F.length(span)).otherwise(F.lit(0)).cast("int")
+
+        end = F.aggregate(spans, F.lit(1).cast("int"), advance)
+        return F.when((F.length(e) > 0) & F.contains(t, e), F.lit("contiguous")).when(
+            (F.size(spans) >= 2) & (end > 0), F.lit("ordered-spans")
+        )
+
+    return bound(excerpt_text(text), match)

@@ -125,7 +125,8 @@ class Evaluator:
         self._made = 0
 
     def add(self, name: str, expression: dict) -> Evaluator:
-        self._frame = self._frame.withColumn(name, self._run(expression).col)
+        term = self._run(expression)  # may add joined columns to the frame first
+        self._frame = self._frame.withColumn(name, term.col)
         self._features.append(name)
         return self
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from priorframe.functions.numbers import lenient_number, rounded_count
-from priorframe.functions.text import word_tokens
+from priorframe.functions.text import bound, word_tokens
 from priorframe.operators.aggregates import MISSING, long_cells
 from priorframe.operators.history import at_offset, trailing
 from priorframe.operators.metrics import auc_of_levels
@@ -42,9 +42,9 @@ def cell_probes(panel: DataFrame, keep: Sequence[str], columns: Sequence[str]) -
     number = lenient_number(v)
     probes = F.array(
         F.struct(F.lit("numeric").alias("probe"), number.alias("score")),
-        F.struct(F.lit("absolute"), F.abs(number)),
-        F.struct(F.lit("length"), F.length(v).cast("double")),
-        F.struct(F.lit("missing"), v.isin(*MISSING).cast("double")),
+        F.struct(F.lit("absolute").alias("probe"), F.abs(number).alias("score")),
+        F.struct(F.lit("length").alias("probe"), F.length(v).cast("double").alias("score")),
+        F.struct(F.lit("missing").alias("probe"), v.isin(*MISSING).cast("double").alias("score")),
     )
     return cells.select(*keep, "field", F.explode(probes).alias("_p")).select(
         *keep, F.concat_ws(":", "_p.probe", "field").alias("probe"), "_p.score"
@@ -466,15 +466,17 @@ def dated_outcomes(docs: DataFrame, key: str, text: str, windows: Sequence[tuple
     The context of a line (two before to three after) is sliced inside the text's own
     array, so no line is shuffled.
     """
-    lines = F.split(text, "\n")
-    framed = F.transform(
-        lines,
-        lambda x, i: F.struct(
-            (i + 1).alias("line"),
-            x.alias("text"),
-            F.array_join(
-                F.slice(lines, F.greatest(i - 1, F.lit(1)), F.least(i, F.lit(2)) + 4), " "
-            ).alias("context"),
+    framed = bound(
+        F.split(text, "\n"),
+        lambda lines: F.transform(
+            lines,
+            lambda x, i: F.struct(
+                (i + 1).alias("line"),
+                x.alias("text"),
+                F.array_join(
+                    F.slice(lines, F.greatest(i - 1, F.lit(1)), F.least(i, F.lit(2)) + 4), " "
+                ).alias("context"),
+            ),
         ),
     )
     hits = F.filter(framed, lambda s: s["context"].rlike(OUTCOME))

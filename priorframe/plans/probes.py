@@ -194,9 +194,9 @@ def _recipes_sql():
         out[f"future_{k}_{c}"] = f"CASE WHEN {fr(c, k)} >= 0 THEN CAST({fr(c, k)} > {LIMIT} AS DOUBLE) END"
     for k in (1, 2, 3, 7):
         v = fr("days_since", k)
-        out[f"reverse_last_{k}"] = f"CASE WHEN {v} = {k - 1} THEN 1.0 WHEN {v} > {k - 1} OR {v} = -1 THEN 0.0 END"
+        out[f"reverse_last_{k}"] = f"CASE WHEN {v} = {k - 1} THEN 1e0 WHEN {v} > {k - 1} OR {v} = -1 THEN 0e0 END"
     dl = f"({fr('count_30', 1)} - count_30)"
-    out["count_delta"] = f"CASE {dl} WHEN 1 THEN 1.0 WHEN -1 THEN 0.0 END"
+    out["count_delta"] = f"CASE {dl} WHEN 1 THEN 1e0 WHEN -1 THEN 0e0 END"
     og = fr("value", -29)
     an = f"({dl} + CASE WHEN {og} > {LIMIT} THEN 1 ELSE 0 END)"
     out["count_delta_outgoing"] = f"CASE WHEN {og} >= 0 AND {an} IN (0, 1) THEN CAST({an} AS DOUBLE) END"
@@ -204,7 +204,7 @@ def _recipes_sql():
         nm, nn, gone = fr(f"mean_{w}", 1), fr(f"valid_{w}", 1), fr("value", 1 - w)
         en = f"({nm} * {nn} - mean_{w} * valid_{w} + {gone})"
         er = f"(({nn} + valid_{w} + 1) * 0.000051::DOUBLE)"
-        out[f"mean_rebuild_{w}"] = f"CASE WHEN {nm} >= 0 AND {gone} >= 0 AND {en} - {er} > {LIMIT} THEN 1.0 WHEN {nm} >= 0 AND {gone} >= 0 AND {en} + {er} <= {LIMIT} THEN 0.0 END"
+        out[f"mean_rebuild_{w}"] = f"CASE WHEN {nm} >= 0 AND {gone} >= 0 AND {en} - {er} > {LIMIT} THEN 1e0 WHEN {nm} >= 0 AND {gone} >= 0 AND {en} + {er} <= {LIMIT} THEN 0e0 END"
     return out
 
 
@@ -237,7 +237,7 @@ mean_rebuild = station_query("i14_rolling_mean_reconstruct", ["mean_rebuild_7",
 WITH {CORRIDOR}, s AS (SELECT a.host, a.origin, a.year, a.c AS apps, b.c AS apps_d1, CAST(a.c >= 2 * b.c AS BIGINT) AS surged FROM y a LEFT JOIN y b ON b.host = a.host AND b.origin = a.origin AND b.year = a.year - 1)
 SELECT a.host, a.origin, a.year, CAST(n.surged AS DOUBLE) AS successor_flag,
   CAST(coalesce(n.apps, m.apps_d1) >= 2 * a.apps AS DOUBLE) AS successor_count,
-  CASE WHEN n.year IS NULL AND a.year < (SELECT max(year) FROM s) THEN 0.0 ELSE CAST(n.surged AS DOUBLE) END AS successor_missing_zero
+  CASE WHEN n.year IS NULL AND a.year < (SELECT max(year) FROM s) THEN 0e0 ELSE CAST(n.surged AS DOUBLE) END AS successor_missing_zero
 FROM s a LEFT JOIN s n ON n.host = a.host AND n.origin = a.origin AND n.year = a.year + 1 LEFT JOIN s m ON m.host = a.host AND m.origin = a.origin AND m.year = a.year + 2""")
 def corridor_recipe(spark, sf):
     prev = history.at_offset("c", ["host", "origin"], "year", -1)
@@ -333,7 +333,7 @@ def union(spark, sf):
 @query("i20_declared_probe", f"""
 WITH {ORDERS}, g AS (SELECT o_custkey, day, count(*) AS k, max(o_orderkey) AS o_orderkey, arg_max(label, o_orderkey) AS last FROM o GROUP BY ALL),
 l AS (SELECT *, day - lag(day) OVER v AS gap, lag(last) OVER v AS last_prior FROM g WINDOW v AS (PARTITION BY o_custkey ORDER BY day))
-SELECT a.o_orderkey, CAST(b.last_prior AS DOUBLE) AS score FROM l a JOIN l b ON b.o_custkey = a.o_custkey AND b.day - b.gap = a.day WHERE a.k = 1""")
+SELECT a.o_orderkey, CAST(b.last_prior AS DOUBLE) AS score FROM l a JOIN l b ON b.o_custkey = a.o_custkey AND b.day - CAST(b.gap AS INTEGER) = a.day WHERE a.k = 1""")
 def declared(spark, sf):
     o = base.orders(spark, sf).select("o_custkey", "day", "o_orderkey", "label")
     p = history.strict_prior(
@@ -371,8 +371,8 @@ PROGRAMS = {
 @query("i21_attack_expression", f"""
 WITH {DAILY}, x AS (SELECT *, DATE '1970-01-01' + CAST(d AS INTEGER) AS dd FROM p), u AS (SELECT d, CASE WHEN min(n) = max(n) THEN max(n) END AS un FROM p GROUP BY ALL)
 SELECT x.user_id, strftime(dd, '%Y-%m-%d') AS day, CAST({fr("c", 1)} > {LIMIT} AS DOUBLE) AS next_over, CAST(sum(c) OVER (PARTITION BY user_id) AS DOUBLE) AS user_sum,
-  CAST(un AS DOUBLE) AS only_n, 1.0 AS first_half, CAST((((c - 10000) % 7) + 7) % 7 AS DOUBLE) AS remainder,
-  CASE WHEN ceil(n * 0.495) = floor(n * 0.505) THEN CAST(ceil(n * 0.495) AS DOUBLE) END AS recovered, 0.0 AS mixed_types,
+  CAST(un AS DOUBLE) AS only_n, 1e0 AS first_half, CAST((((c - 10000) % 7) + 7) % 7 AS DOUBLE) AS remainder,
+  CASE WHEN ceil(n * 0.495) = floor(n * 0.505) THEN CAST(ceil(n * 0.495) AS DOUBLE) END AS recovered, 0e0 AS mixed_types,
   CAST(contains(strftime(dd, '%Y-%m-%d'), '-0') AND n <= 2 AS DOUBLE) AS guarded
 FROM x JOIN u ON u.d = x.d""".replace("ORDER BY d RANGE", "ORDER BY x.d RANGE"))
 def attack(spark, sf):
