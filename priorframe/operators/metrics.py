@@ -124,3 +124,43 @@ def paired_interval(
         F.when(F.col("low") > 0, "positive").when(F.col("high") < 0, "negative")
         .otherwise("inconclusive").alias("direction"),
     )
+
+
+def linear_percentile(df: DataFrame, by: Sequence[str], value: str, q: float, out: str) -> DataFrame:
+    """Percentile with linear interpolation between the two neighbouring order statistics."""
+    from priorframe.operators.ordering import value_at_index
+
+    position = (F.col("total") - 1) * F.lit(q)
+    ends = value_at_index(
+        df.where(F.col(value).isNotNull()), by, value, {"_lo": F.floor(position), "_hi": F.ceil(position)}
+    )
+    part = position - F.floor(position)
+    return ends.select(*by, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * part).alias(out))
+
+
+def one_sample_interval(df: DataFrame, cluster: str, score: str, label: str, resamples: int) -> DataFrame:
+    """Observed AUC with its 95% bootstrap interval, one row."""
+    draws = bootstrap_auc(df, cluster, {"a": score}, label, resamples).where("auc IS NOT NULL")
+    observed = rank_auc(df, [], score, label).scalar()
+    return draws.agg(
+        F.percentile("auc", F.lit(0.025)).alias("low"),
+        F.percentile("auc", F.lit(0.975)).alias("high"),
+        F.count(F.lit(1)).alias("resamples"),
+    ).withColumn("observed", observed)
+
+
+def permuted_within(df: DataFrame, split: str, row_id: str, columns: Sequence[str], seed: int) -> DataFrame:
+    """Each listed column moved to other rows of the same split, whole and once.
+
+    A column's k-th value in seeded hash order goes to the k-th row in id order.
+    """
+    from priorframe.operators.ordering import row_positions
+
+    out = row_positions(df, [split], row_id, "_at")
+    for i, c in enumerate(columns):
+        shuffled = df.select(
+            split, c, F.struct(F.xxhash64(F.lit(seed + i), row_id).alias("h"), F.col(row_id).alias("i")).alias("_order")
+        )
+        moved = row_positions(shuffled, [split], "_order", "_at").select(split, "_at", F.col(c).alias(f"_{c}"))
+        out = out.join(moved, [split, "_at"]).withColumn(c, F.col(f"_{c}")).drop(f"_{c}")
+    return out.select(*df.columns)
