@@ -1 +1,169 @@
+"""A: scans, sources and sinks."""
 
+from pyspark.sql import functions as F
+
+from priorframe.operators.aggregates import class_counts
+from priorframe.plans import base
+from priorframe.plans.base import ORDERS, cents
+from priorframe.plans.registry import query
+from priorframe.session import scratch_dir
+from priorframe.sources import readers, sinks
+from priorframe.sources.tables import table
+
+
+def n_all():
+    return F.count(F.lit(1))
+
+
+@query("a1_split_scan", f"""
+WITH {ORDERS} SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority, CAST(cents AS VARCHAR) AS cents, strftime(day, '%Y-%m-%d') AS day, split FROM o""")
+def split_scan(spark, sf):
+    root = scratch_dir(spark, "split-scan")
+    o = base.orders(spark, sf).select(
+        "o_orderkey", "o_orderpriority", "cents", base.text("day").alias("day"), "label", "split"
+    )
+    paths = {}
+    for split in ("train", "eval", "holdout"):
+        paths[split] = f"{root}/{split}"
+        o.where(F.col("split") == split).drop("split").write.option("header", True).csv(paths[split])
+    return readers.read_splits(spark, paths, "label")
+
+
+@query("a2_string_columns_scan", """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE c_mktsegment END AS c_mktsegment FROM customer""")
+def string_columns(spark, sf):
+    path = scratch_dir(spark, "string-columns")
+    segment = F.when(F.pmod("c_custkey", F.lit(5)) != 0, F.col("c_mktsegment")).alias("c_mktsegment")
+    table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", segment).write.option("header", True).csv(path)
+    return readers.read_string_columns(spark, path)
+
+
+ALIASES = {
+    "order": ["o_orderkey", "Order Key", "order_id"], "priority": ["o_orderpriority", "Priority"],
+    "total": ["cents", "Total (cents)"], "clerk": ["Clerk"],
+}
+
+
+@query("a3_aliased_header_scan", """
+SELECT o_orderkey AS "order", o_orderpriority AS priority, CASE WHEN o_orderdate >= DATE '1998-01-01' OR o_orderdate < DATE '1996-01-01' THEN CAST(round(o_totalprice * 100) AS BIGINT) END AS total,
+  CASE WHEN o_orderdate >= DATE '1998-01-01' THEN o_orderstatus END AS clerk FROM orders""")
+def aliased(spark, sf):
+    o = table(spark, sf, "orders").withColumn("cents", cents("o_totalprice"))
+    d = F.col("o_orderdate").cast("date")
+    first = o.where(d < "1996-01-01").select("o_orderkey", "o_orderpriority", "cents")
+    second = o.where((d >= "1996-01-01") & (d < "1998-01-01")).select(
+        F.col("o_orderkey").alias(" order key"), F.col("o_orderpriority").alias("PRIORITY")
+    )
+    third = o.where(d >= "1998-01-01").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_orderpriority").alias("Priority"),
+        F.col("cents").alias("total (cents)"), F.col("o_orderstatus").alias("clerk"),
+    )
+    return readers.union_aliased([first, second, third], ALIASES)
+
+
+RECORD = (
+    "struct<id: bigint, releases: array<struct<date: string, tag: string, items: array<struct<class: string, quantity: bigint>>>>, "
+    "parties: array<struct<role: string, id: bigint>>, awards: array<struct<status: string, value: bigint>>>"
+)
+
+
+@query("a5_nested_json_flatten", """
+WITH l AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_returnflag, l_shipdate, l_partkey, CAST(l_quantity AS BIGINT) AS q, CAST(round(l_extendedprice * 100) AS BIGINT) AS c FROM lineitem),
+m AS (SELECT l_orderkey, max(l_shipdate) AS last FROM l GROUP BY ALL)
+SELECT l.l_orderkey AS id, count(DISTINCT l_shipdate) AS n_releases, strftime(any_value(last), '%Y-%m-%d') AS last_date, CASE WHEN bool_or(l_returnflag = 'R') FILTER (l_shipdate = last) THEN 'award' ELSE 'tender' END AS last_tag,
+  count(*) FILTER (l_shipdate = last) AS n_items, CAST(sum(q) FILTER (l_shipdate = last) AS BIGINT) AS quantity, count(DISTINCT CAST(l_partkey % 10 AS VARCHAR)) FILTER (l_shipdate = last) AS classes,
+  count(DISTINCT l_suppkey) AS suppliers, CAST(coalesce(sum(c) FILTER (l_returnflag = 'R'), 0) AS BIGINT) AS award_total FROM l JOIN m USING (l_orderkey) GROUP BY l.l_orderkey""")
+def nested_json(spark, sf):
+    l = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_suppkey", "l_returnflag", base.text("l_shipdate").alias("date"),
+        F.pmod("l_partkey", F.lit(10)).cast("string").alias("class"), F.col("l_quantity").cast("bigint").alias("quantity"),
+        cents("l_extendedprice").alias("value"),
+    )
+    # An order holds a bounded handful of items, so its record fits one row.
+    release = l.groupBy("l_orderkey", "date").agg(
+        F.struct(
+            "date", F.when(F.max((F.col("l_returnflag") == "R").cast("int")) == 1, "award").otherwise("tender").alias("tag"),
+            F.collect_list(F.struct("class", "quantity")).alias("items"),
+        ).alias("r")
+    )
+    releases = release.groupBy("l_orderkey").agg(F.collect_list("r").alias("releases"))
+    rest = l.groupBy("l_orderkey").agg(
+        F.transform(F.collect_set("l_suppkey"), lambda s: F.struct(F.lit("supplier").alias("role"), s.alias("id"))).alias("parties"),
+        F.collect_list(F.struct(F.when(F.col("l_returnflag") == "R", "active").otherwise("pending").alias("status"), "value")).alias("awards"),
+    )
+    raw = releases.join(rest, "l_orderkey").select(
+        F.to_json(F.struct(F.col("l_orderkey").alias("id"), "releases", "parties", "awards")).alias("raw")
+    )
+    parsed = raw.select(F.from_json("raw", RECORD).alias("rec"))
+    return parsed.select(F.col("rec.id").alias("id"), *[c.alias(n) for n, c in readers.flatten_releases(parsed, "rec").items()])
+
+
+@query("a6_xml_activity_scan", """
+SELECT o_custkey AS id, count(*) AS n_orders, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS total, strftime(min(o_orderdate), '%Y-%m-%d') AS first_day FROM orders GROUP BY ALL""")
+def xml_scan(spark, sf):
+    path = scratch_dir(spark, "xml-activities")
+    rows = base.orders(spark, sf).groupBy("o_custkey").agg(
+        F.collect_list(F.struct(base.text("day").alias("day"), "cents")).alias("transaction")
+    )
+    rows.select(F.col("o_custkey").alias("id"), "transaction").write.option("rowTag", "activity").option("rootTag", "activities").xml(path)
+    x = readers.read_xml(spark, path, "activity", "id bigint, transaction array<struct<day: string, cents: bigint>>")
+    t = F.col("transaction")
+    return x.select(
+        "id", F.size(t).cast("bigint").alias("n_orders"),
+        F.aggregate(t, F.lit(0).cast("bigint"), lambda a, i: a + i["cents"]).alias("total"),
+        F.array_min(F.transform(t, lambda i: i["day"])).alias("first_day"),
+    )
+
+
+@query("a7_weekly_parquet_scan", """
+SELECT strftime(date_trunc('week', l_shipdate), '%Y-%m-%d') AS week, l_returnflag, count(*) AS n, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity FROM lineitem GROUP BY ALL""")
+def weekly_parquet(spark, sf):
+    path = scratch_dir(spark, "weekly-parquet")
+    l = table(spark, sf, "lineitem").select(
+        F.date_format("l_shipdate", "yyyy-MM").alias("month"), base.text(F.date_trunc("week", "l_shipdate")).alias("week"),
+        "l_returnflag", F.col("l_quantity").cast("bigint").alias("q"),
+    )
+    monthly = l.groupBy("month", "week", "l_returnflag").agg(n_all().alias("n"), F.sum("q").alias("q"))
+    monthly.repartition("month").write.partitionBy("month").parquet(path)
+    return spark.read.parquet(path).groupBy("week", "l_returnflag").agg(F.sum("n").alias("n"), F.sum("q").alias("quantity"))
+
+
+@query("a8_file_inventory")
+def inventory(spark, sf):
+    files = readers.file_inventory(spark, sf, "*.parquet")
+    total = readers.tree_digest(files)
+    return files.unionByName(total.select(F.lit("(tree)").alias("name"), "bytes", F.col("digest").alias("sha256")))
+
+
+@query("a9_split_sink", f"""
+WITH {ORDERS} SELECT split, count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS positives, CAST(sum(1 - label) AS BIGINT) AS negatives, CAST(sum(label) AS DOUBLE) / count(*) AS rate FROM o GROUP BY ALL""")
+def split_sink(spark, sf):
+    o = base.orders(spark, sf).select("o_orderkey", "day", "cents", "label", "split")
+    paths = sinks.write_splits(o, scratch_dir(spark, "split-sink"))
+    back = None
+    for split, path in paths.items():
+        part = spark.read.parquet(path).withColumn("split", F.lit(split))
+        back = part if back is None else back.unionByName(part)
+    return class_counts(back, ["split"], "label")
+
+
+def order_flags(spark, sf):
+    o = base.orders(spark, sf).select("o_orderkey", "split")
+    flags = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.array_sort(F.collect_set("l_returnflag")).alias("codes")
+    )
+    return o.join(flags, "o_orderkey")
+
+
+@query("a10_multi_target_sink", f"""
+WITH {ORDERS}, f AS (SELECT o_orderkey, split, list(DISTINCT l_returnflag) AS codes FROM o JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL), c AS (SELECT unnest(['A', 'N', 'R']) AS config)
+SELECT config, split, count(*) AS n, count(*) FILTER (list_contains(codes, config)) AS positives, count(*) FILTER (list_contains(codes, 'A') AND list_contains(codes, 'N') AND list_contains(codes, 'R')) AS all_targets FROM f, c GROUP BY ALL""")
+def multi_target(spark, sf):
+    rows, vocabulary = order_flags(spark, sf), ["A", "N", "R"]
+    root = sinks.write_target_configs(rows, "codes", vocabulary, scratch_dir(spark, "multi-target"))
+    per_config = spark.read.parquet(root).groupBy("config", "split").agg(n_all().alias("n"), F.sum("label").alias("positives"))
+    matrix = sinks.label_matrix(rows, "codes", vocabulary)
+    joint = matrix.groupBy("split").agg(
+        F.sum(F.col("target_A") * F.col("target_N") * F.col("target_R")).alias("all_targets")
+    )
+    return per_config.join(joint, "split")
