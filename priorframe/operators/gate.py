@@ -96,14 +96,20 @@ def level_counts(df: DataFrame, columns: Sequence[str], declared: Sequence[str])
 
 def ranges(df: DataFrame, split: str, time: str) -> DataFrame:
     """Time range per split, and whether it starts after every range that starts earlier."""
-    r = df.groupBy(split).agg(F.min(time).alias("lo"), F.max(time).alias("hi"))
-    # One row per split.
+    return disjoint(df.groupBy(split).agg(F.min(time).alias("lo"), F.max(time).alias("hi")))
+
+
+def disjoint(spans: DataFrame) -> DataFrame:
+    """Mark each (lo, hi) span that starts after the end of all spans before it.
+
+    One row per split: the ordered frame is over splits, not data.
+    """
     earlier = (
         Window.partitionBy(F.lit(0))
         .orderBy("lo", "hi")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    return r.withColumn(
+    return spans.withColumn(
         "disjoint", F.coalesce(F.col("lo") > F.max("hi").over(earlier), F.lit(True))
     )
 

@@ -80,8 +80,9 @@ def bootstrap_auc(
 ) -> DataFrame:
     """AUC of every side in every resample; clusters get one weight per resample.
 
-    Rows shrink to (cluster, side, score) counts before they are repeated over the
-    resamples, and the repeats shrink to (resample, side, score) on the map side.
+    Resample 0 is the data itself, every weight 1. Rows shrink to (cluster, side, score)
+    counts before they are repeated over the resamples, and the repeats shrink to
+    (resample, side, score) on the map side.
     """
     scores = F.array(
         *[F.struct(F.lit(n).alias("side"), F.col(c).cast("double").alias("score")) for n, c in sides.items()]
@@ -91,41 +92,43 @@ def bootstrap_auc(
         .groupBy("_cluster", label, "_s.side", "_s.score")
         .agg(F.count(F.lit(1)).alias("_k"))
     )
-    drawn = cells.withColumn("resample", F.explode(F.sequence(F.lit(1), F.lit(resamples)))).withColumn(
-        "_w", F.col("_k") * poisson_weight(F.col("_cluster"), F.col("resample").cast("bigint"))
+    r = F.col("resample")
+    weight = F.when(r == 0, 1).otherwise(poisson_weight(F.col("_cluster"), r.cast("bigint")))
+    drawn = cells.withColumn("resample", F.explode(F.sequence(F.lit(0), F.lit(resamples)))).withColumn(
+        "_w", F.col("_k") * weight
     )
     return rank_auc(drawn.where("_w > 0"), ["resample", "side"], "score", label, "_w")
 
 
+def _interval(draws: DataFrame, value: str) -> DataFrame:
+    """Resample 0 as observed, and the 95% bounds of the other resamples, one row."""
+    again = F.when(F.col("resample") > 0, F.col(value))
+    return draws.agg(
+        F.max(F.when(F.col("resample") == 0, F.col(value))).alias("observed"),
+        F.percentile(again, F.lit(0.025)).alias("low"),
+        F.percentile(again, F.lit(0.975)).alias("high"),
+        F.count(again).alias("resamples"),
+    )
+
+
 def paired_interval(
     df: DataFrame, cluster: str, left: str, right: str, label: str, resamples: int
 ) -> DataFrame:
     """Observed AUC(left) - AUC(right), its 95% interval and direction, one row."""
     draws = bootstrap_auc(df, cluster, {"a": left, "b": right}, label, resamples)
     side = lambda s: F.max(F.when(F.col("side") == s, F.col("auc")))
-    diffs = draws.groupBy("resample").agg((side("a") - side("b")).alias("d")).where("d IS NOT NULL")
-    bounds = diffs.agg(
-        F.percentile("d", F.lit(0.025)).alias("low"),
-        F.percentile("d", F.lit(0.975)).alias("high"),
-        F.count(F.lit(1)).alias("resamples"),
-    )
-    long = df.select(
-        label,
-        F.explode(
-            F.array(
-                F.struct(F.lit("a").alias("side"), F.col(left).cast("double").alias("score")),
-                F.struct(F.lit("b").alias("side"), F.col(right).cast("double").alias("score")),
-            )
-        ).alias("_s"),
-    ).select(label, "_s.side", "_s.score")
-    observed = rank_auc(long, ["side"], "score", label).agg((side("a") - side("b")).alias("d")).scalar()
-    return bounds.select(
-        observed.alias("observed"), "low", "high", "resamples",
-        F.when(F.col("low") > 0, "positive").when(F.col("high") < 0, "negative")
-        .otherwise("inconclusive").alias("direction"),
+    diffs = draws.groupBy("resample").agg((side("a") - side("b")).alias("d"))
+    return _interval(diffs, "d").withColumn(
+        "direction",
+        F.when(F.col("low") > 0, "positive").when(F.col("high") < 0, "negative").otherwise("inconclusive"),
     )
 
 
+def one_sample_interval(df: DataFrame, cluster: str, score: str, label: str, resamples: int) -> DataFrame:
+    """Observed AUC with its 95% bootstrap interval, one row."""
+    return _interval(bootstrap_auc(df, cluster, {"a": score}, label, resamples), "auc")
+
+
 def linear_percentile(df: DataFrame, by: Sequence[str], value: str, q: float, out: str) -> DataFrame:
     """Percentile with linear interpolation between the two neighbouring order statistics."""
     from priorframe.operators.ordering import value_at_index
@@ -138,17 +141,6 @@ def linear_percentile(df: DataFrame, by: Sequence[str], value: str, q: float, ou
     return ends.select(*by, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * part).alias(out))
 
 
-def one_sample_interval(df: DataFrame, cluster: str, score: str, label: str, resamples: int) -> DataFrame:
-    """Observed AUC with its 95% bootstrap interval, one row."""
-    draws = bootstrap_auc(df, cluster, {"a": score}, label, resamples).where("auc IS NOT NULL")
-    observed = rank_auc(df, [], score, label).scalar()
-    return draws.agg(
-        F.percentile("auc", F.lit(0.025)).alias("low"),
-        F.percentile("auc", F.lit(0.975)).alias("high"),
-        F.count(F.lit(1)).alias("resamples"),
-    ).withColumn("observed", observed)
-
-
 def permuted_within(df: DataFrame, split: str, row_id: str, columns: Sequence[str], seed: int) -> DataFrame:
     """Each listed column moved to other rows of the same split, whole and once.
 

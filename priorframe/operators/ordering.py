@@ -17,21 +17,22 @@ RANGES = 1024
 _STEP = 32
 
 
-def _cut_points(df: DataFrame, part: Sequence[str], order: str) -> DataFrame:
-    """At most RANGES sorted sample values per part, one row per part."""
+def _cut_points(df: DataFrame, part: Sequence[str], order: str, carried: Sequence[str]) -> DataFrame:
+    """At most RANGES sorted sample values per part, one row per part.
+
+    The carried columns only break hash ties. Reading them, and skipping NULLs inside the
+    aggregate, keeps this branch's input identical to the main branch's, so that both
+    read one shuffle of the input instead of computing it twice.
+    """
     value = F.col(order)
-    sample = (
-        df.where(value.isNotNull())
-        .groupBy(*part, F.pmod(F.xxhash64(value), F.lit(RANGES)).alias("_slot"))
-        .agg(F.min_by(value, F.xxhash64(value, F.lit(7))).alias("_cut"))
+    rank = F.struct(F.xxhash64(value, F.lit(7)).alias("h"), *carried)
+    sample = df.groupBy(*part, F.pmod(F.xxhash64(value), F.lit(RANGES)).alias("_slot")).agg(
+        F.min_by(value, F.when(value.isNotNull(), rank)).alias("_cut")
     )
     return (
         sample.groupBy(*part)
         .agg(F.array_sort(F.collect_list("_cut")).alias("_cuts"))
-        .withColumn(
-            "_coarse",
-            F.expr(f"filter(_cuts, (c, i) -> i % {_STEP} = 0)"),
-        )
+        .withColumn("_coarse", F.expr(f"filter(_cuts, (c, i) -> i % {_STEP} = 0)"))
     )
 
 
@@ -43,10 +44,12 @@ def _range_of(value: Column, cuts: Column, coarse: Column) -> Column:
     return F.coalesce(F.when(value.isNull(), F.lit(-1)).otherwise(start + inside), F.lit(0))
 
 
-def with_ranges(df: DataFrame, part: Sequence[str], order: str) -> DataFrame:
+def with_ranges(df: DataFrame, part: Sequence[str], order: str, carried: Sequence[str]) -> DataFrame:
     """Add ``_range``: a monotone range number of ``order`` inside each part."""
-    cuts = _cut_points(df, part, order)
+    cuts = _cut_points(df, part, order, carried)
     if part:
+        # No hint: at most RANGES values per part, which adaptive execution broadcasts
+        # once it has measured them.
         joined = df.join(cuts, list(part), "left")
         return joined.withColumn(
             "_range", _range_of(F.col(order), F.col("_cuts"), F.col("_coarse"))
@@ -60,32 +63,28 @@ def with_ranges(df: DataFrame, part: Sequence[str], order: str) -> DataFrame:
 
 
 def running_totals(
-    df: DataFrame, part: Sequence[str], order: str, sums: dict[str, str]
+    df: DataFrame, part: Sequence[str], order: str, sums: dict[str, str], totals: dict[str, str] | None = None
 ) -> DataFrame:
     """Exclusive running sum of each column over strictly smaller ``order`` values.
 
     ``df`` must hold one row per (part, order); ``sums`` maps a new column name to
-    the column it totals. NULL parts are not expected.
+    the column it totals, and ``totals`` a new name to a column whose whole-part sum is
+    wanted as well. NULL parts are not expected.
     """
-    part = list(part)
-    tagged = with_ranges(df, part, order)
+    part, totals = list(part), totals or {}
+    carried = sorted({*sums.values(), *totals.values()})
+    tagged = with_ranges(df, part, order, carried)
     per_range = tagged.groupBy(*part, "_range").agg(
-        *[F.sum(c).alias(f"_t_{name}") for name, c in sums.items()]
+        *[F.sum(c).alias(f"_t_{c}") for c in carried]
     )
-    before = Window.partitionBy(*part).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    if not part:
-        before = (
-            Window.partitionBy(F.lit(0))
-            .orderBy("_range")
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
+    # At most RANGES + 1 rows per part.
+    whole = Window.partitionBy(*part) if part else Window.partitionBy(F.lit(0))
+    before = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_range.select(
         *part,
         "_range",
-        *[
-            F.coalesce(F.sum(f"_t_{name}").over(before), F.lit(0)).alias(f"_o_{name}")
-            for name in sums
-        ],
+        *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{n}") for n, c in sums.items()],
+        *[F.sum(f"_t_{c}").over(whole).alias(n) for n, c in totals.items()],
     )
     inside = (
         Window.partitionBy(*part, "_range")
@@ -112,14 +111,16 @@ def row_positions(df: DataFrame, part: Sequence[str], order: str, out: str) -> D
 
 
 def value_ranks(df: DataFrame, part: Sequence[str], value: str) -> DataFrame:
-    """Per distinct value: row count, rows below, dense rank, from 1, and group size."""
+    """Per distinct value: rows ``n``, rows below, dense rank from 1, rows ``total`` of the part."""
     part = list(part)
     counted = (
         df.groupBy(*part, value)
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("_one", F.lit(1).cast("bigint"))
     )
-    ranked = running_totals(counted, part, value, {"n_below": "n", "values_below": "_one"})
+    ranked = running_totals(
+        counted, part, value, {"n_below": "n", "values_below": "_one"}, {"total": "n"}
+    )
     return ranked.withColumn("dense_rank", F.col("values_below") + 1).drop("_one", "values_below")
 
 
@@ -133,16 +134,9 @@ def value_at_index(
 
     ``indexes`` maps an output name to an expression over ``total`` (rows in the part).
     """
-    part = list(part)
     ranked = value_ranks(df, part, value)
-    if part:
-        totals = ranked.groupBy(*part).agg(F.sum("n").alias("total"))
-        sized = ranked.join(totals, part)
-    else:
-        total = df.agg(F.count(F.lit(1))).scalar()
-        sized = ranked.withColumn("total", total)
     picks = []
     for name, index in indexes.items():
         hit = (F.col("n_below") <= index) & (index < F.col("n_below") + F.col("n"))
         picks.append(F.max(F.when(hit, F.col(value))).alias(name))
-    return sized.groupBy(*part).agg(*picks, F.max("total").alias("total"))
+    return ranked.groupBy(*part).agg(*picks, F.max("total").alias("total"))

@@ -427,29 +427,33 @@ def score_probes(scores: DataFrame, labels: DataFrame, by: Sequence[str], row_id
     variants. An exact probe that covers rows without error blocks the dataset.
     """
     by = list(by)
-    joined = scores.join(labels.select(row_id, label), row_id)
     s, y = F.col("score"), F.col(label)
-    totals = joined.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count(s).alias("covered"),
-        F.when(F.count(s) == F.count(F.when(s.isin(0, 1), 1)), F.count(F.when(s != y, 1))).alias("errors"),
-    ).withColumn("errors", F.when(F.col("covered") > 0, F.col("errors")))
-    variants = joined.select(
+    variants = scores.join(labels.select(row_id, label), row_id).select(
         *by,
         label,
         F.explode(
             F.array(
-                F.struct(F.lit("c").alias("v"), s.alias("score")),
-                F.struct(F.lit("f").alias("v"), F.coalesce(s, F.lit(0.5)).alias("score")),
+                F.struct(F.lit("covered").alias("v"), s.alias("score")),
+                F.struct(F.lit("full").alias("v"), F.coalesce(s, F.lit(0.5)).alias("score")),
             )
         ).alias("_v"),
     ).select(*by, label, "_v.v", "_v.score").where("score IS NOT NULL")
     levels = variants.groupBy(*by, "v", "score").agg(
         F.sum(y.cast("double")).alias("_pos"), F.sum((1 - y).cast("double")).alias("_neg")
     )
+    rows = F.col("_pos") + F.col("_neg")
+    covered = F.col("v") == "covered"
+    wrong = F.when(s == 1, F.col("_neg")).otherwise(F.col("_pos"))
+    totals = levels.groupBy(*by).agg(
+        F.sum(F.when(~covered, rows)).cast("bigint").alias("n_rows"),
+        F.coalesce(F.sum(F.when(covered, rows)), F.lit(0)).cast("bigint").alias("covered"),
+        F.when(
+            F.bool_and(F.when(covered, s.isin(0, 1))), F.sum(F.when(covered, wrong))
+        ).cast("bigint").alias("errors"),
+    )
     auc = auc_of_levels(levels, [*by, "v"], "score")
     pick = lambda v: F.max(F.when(F.col("v") == v, F.col("auc")))
-    aucs = auc.groupBy(*by).agg(pick("c").alias("auc_covered"), pick("f").alias("auc_full"))
+    aucs = auc.groupBy(*by).agg(pick("covered").alias("auc_covered"), pick("full").alias("auc_full"))
     return totals.join(aucs, by, "left")
 
 

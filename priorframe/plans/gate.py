@@ -3,10 +3,9 @@
 from pyspark.sql import functions as F
 
 from priorframe.operators import gate as ops
-from priorframe.operators.aggregates import class_counts
-from priorframe.operators.history import at_offset
+from priorframe.operators.aggregates import class_counts, column_profile
 from priorframe.operators.metrics import rank_auc
-from priorframe.operators.splits import isolation
+from priorframe.operators.qualify import Descriptor, qualify
 from priorframe.plans import base
 from priorframe.plans.base import LABELLED, ORDERS, auc_sql, cents
 from priorframe.plans.registry import query
@@ -250,19 +249,21 @@ UNION ALL SELECT 'grain', split, split || ' grain (o_custkey): ' || format('{{:,
 def claim_render(spark, sf):
     o = base.orders(spark, sf)
     comma = lambda c: F.format_number(c, 0)
-    listed = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ", ")
-    facts = o.groupBy("split").agg(
-        n_all().alias("n"), F.sum("label").alias("p"),
-        listed(F.concat(F.lit("`"), "o_orderstatus", F.lit("`"))).alias("domain"),
-        listed(F.col("year").cast("string")).alias("years"), F.countDistinct("o_custkey").alias("k"),
+    s, n = F.col("split"), F.col("n")
+    facts = o.groupBy("split").agg(n_all().alias("n"), F.sum("label").alias("p"), F.countDistinct("o_custkey").alias("k"))
+    # Domains are listed by the profile only while they are bounded.
+    profile = column_profile(o.select("split", "o_orderstatus", "year"), "split", ["o_orderstatus", "year"], [])
+    domain = lambda c: F.max(F.when(F.col("field") == c, F.col("domain")))
+    facts = facts.join(
+        profile.groupBy("split").agg(domain("o_orderstatus").alias("domain"), domain("year").alias("years")), "split"
     )
-    s = F.col("split")
     pct = F.format_string("%.4f", F.lit(100.0) * F.try_divide("p", "n"))
+    ticked = F.concat(F.lit("`"), F.replace("domain", F.lit("|"), F.lit("`, `")), F.lit("`"))
     lines = {
         "population": F.concat(s, F.lit(": "), comma("n"), F.lit(" rows; "), comma("p"), F.lit(" positives; positive rate "), pct, F.lit("%.")),
-        "domain": F.concat(s, F.lit(" `o_orderstatus` observed domain: "), "domain", F.lit(".")),
-        "years": F.concat(s, F.lit(" `day` observed years: "), "years", F.lit(".")),
-        "grain": F.concat(s, F.lit(" grain (o_custkey): "), comma("k"), F.lit(" distinct keys; "), comma(F.col("n") - F.col("k")), F.lit(" repeated rows.")),
+        "domain": F.concat(s, F.lit(" `o_orderstatus` observed domain: "), ticked, F.lit(".")),
+        "years": F.concat(s, F.lit(" `day` observed years: "), F.replace("years", F.lit("|"), F.lit(", ")), F.lit(".")),
+        "grain": F.concat(s, F.lit(" grain (o_custkey): "), comma("k"), F.lit(" distinct keys; "), comma(n - F.col("k")), F.lit(" repeated rows.")),
     }
     rows = F.array(*[F.struct(F.lit(k).alias("kind"), c.alias("claim")) for k, c in lines.items()])
     return facts.select("split", F.explode(rows).alias("r")).select("r.kind", "split", "r.claim")
@@ -279,28 +280,45 @@ def duplicate_features(spark, sf):
     return ops.shared_features(d, "split", ["text", "lang"])
 
 
+QUALITY = Descriptor(
+    target="label", positive_label="1", id_columns=["o_orderkey"], time_column="day", event_key_column="day",
+    split_windows={
+        "train": {"start": None, "end": "1999-01-01"}, "eval": {"start": "1999-01-01", "end": "2000-01-01"},
+        "holdout": {"start": "2000-01-01", "end": "2001-07-01"},
+    },
+    positive_events={"eval": {"positives": 735, "distinct_events": 318}, "holdout": {"positives": 1, "distinct_events": 1}},
+    features=["o_orderpriority", "cents"], high_cardinality_columns=["day"], label_source_columns=["o_orderstatus"],
+    post_hoc_columns=["l_shipdate"], expected_duplicate_ids=0, id_columns_are_entity_keys=True,
+    splits={"train": "public/train", "eval": "public/eval", "holdout": "public/holdout"},
+)
+
+
 @query("h21_gate_report", f"""
-WITH {ORDERS}, s AS (SELECT split, count(*) AS n, sum(label) AS p FROM o GROUP BY ALL),
-x AS (SELECT count(*) FILTER (k > 1) AS shared FROM (SELECT o_custkey, count(DISTINCT split) AS k FROM o GROUP BY ALL)),
-h AS (SELECT count(DISTINCT cents) > count(*) // 5 AS high FROM o),
-r AS (SELECT 'splits.both_classes' AS "check", bool_and(p > 0 AND p < n) AS ok FROM s
-  UNION ALL SELECT 'splits.ranges_disjoint', true
-  UNION ALL SELECT 'splits.no_shared_ids', shared = 0 FROM x
-  UNION ALL SELECT 'leakage.high_cardinality_declared', NOT high FROM h)
+WITH {ORDERS}, s AS (SELECT split, count(*) AS n, sum(label) AS p, min(day) AS lo, max(day) AS hi, count(DISTINCT day) FILTER (label = 1) AS e FROM o GROUP BY ALL),
+i AS (SELECT count(*) FILTER (k > 1) AS shared, sum(n - k) AS repeats, count(*) FILTER (bad) AS bad FROM (SELECT o_orderkey, count(DISTINCT split) AS k, count(*) AS n, min(label) <> max(label) AS bad FROM o GROUP BY ALL)),
+cells AS (SELECT split, label AS y, unnest(['o_orderkey', 'o_custkey', 'o_orderpriority', 'cents', 'day']) AS field,
+  unnest([CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), o_orderpriority, CAST(cents AS VARCHAR), strftime(day, '%Y-%m-%d')]) AS value FROM o),
+lv AS (SELECT split, field, value, sum(y) AS pos, sum(1 - y) AS neg FROM cells GROUP BY ALL),
+k AS (SELECT split, field, CASE WHEN bool_and(TRY_CAST(value AS DOUBLE) IS NOT NULL) THEN 'numeric' WHEN count(*) > greatest(1, floor(sum(pos + neg) / 5)) THEN 'high' ELSE 'level' END AS kind FROM lv GROUP BY ALL),
+sc AS (SELECT c.split, c.field, c.y, CASE WHEN kind = 'numeric' THEN TRY_CAST(value AS DOUBLE) ELSE CAST(pos AS DOUBLE) / (pos + neg) END AS score FROM cells c JOIN lv USING (split, field, value) JOIN k USING (split, field) WHERE kind <> 'high'),
+a AS ({auc_sql("sc", "split, field")}),
+r AS (SELECT 'leakage.answer_source_absent' AS "check", true AS ok UNION ALL SELECT 'timing.no_post_hoc_feature', true UNION ALL SELECT 'runner.layout', false
+  UNION ALL SELECT 'leakage.no_single_column_determines_the_target', count(*) FILTER (auc IN (0, 1)) = 0 FROM a
+  UNION ALL SELECT 'leakage.high_cardinality_declared', count(*) FILTER (kind = 'high' AND field NOT IN ('o_orderkey', 'day')) = 0 FROM k
+  UNION ALL SELECT 'splits.non_empty', count(*) = 3 FROM s
+  UNION ALL SELECT 'splits.eval_and_holdout_have_both_classes', bool_and(p > 0 AND p < n) FROM s WHERE split <> 'train'
+  UNION ALL SELECT 'splits.positive_events_match_rows', bool_and(p = CASE split WHEN 'eval' THEN 735 ELSE 1 END) FROM s WHERE split <> 'train'
+  UNION ALL SELECT 'splits.distinct_events_match_rows', bool_and(e = CASE split WHEN 'eval' THEN 318 ELSE 1 END) FROM s WHERE split <> 'train'
+  UNION ALL SELECT 'splits.enough_clustered_positives', bool_and(e >= 20 AND CASE split WHEN 'eval' THEN 735 ELSE 1 END >= 30) FROM s WHERE split <> 'train'
+  UNION ALL SELECT 'splits.rates_not_uniform', count(*) FILTER (p > 0 AND p < n) > 0 FROM s
+  UNION ALL SELECT 'splits.actual_ranges_disjoint', count(*) = 0 FROM s x JOIN s z ON x.split <> z.split AND x.lo <= z.hi AND z.lo <= x.hi
+  UNION ALL SELECT 'splits.rows_within_declared_windows', bool_and(CASE split WHEN 'train' THEN hi < DATE '1999-01-01' WHEN 'eval' THEN lo >= DATE '1999-01-01' AND hi < DATE '2000-01-01' ELSE lo >= DATE '2000-01-01' AND hi < DATE '2001-07-01' END) FROM s
+  UNION ALL SELECT 'splits.no_cross_split_entities', shared = 0 FROM i UNION ALL SELECT 'splits.duplicate_entities_within_splits', repeats = 0 FROM i
+  UNION ALL SELECT 'splits.repeated_identifiers_carry_one_label', bad = 0 FROM i)
 SELECT * FROM r UNION ALL SELECT 'overall', bool_and(ok) FROM r""")
 def gate_report(spark, sf):
-    o = base.orders(spark, sf)
-    classes = class_counts(o, ["split"], "label").select("split", "positives", "negatives")
-    spans = ops.ranges(o, "split", "day").select("split", base.text("lo").alias("lo"), base.text("hi").alias("hi"), "disjoint")
-    shared = isolation(o.select("split", "o_custkey"), ["o_custkey"])
-    levels = ops.level_counts(o, ["o_orderkey", "cents"], ["o_orderkey"])
-    rows = ops.report([
-        ops.check(classes, "splits.both_classes", (F.col("positives") > 0) & (F.col("negatives") > 0), F.col("split")),
-        ops.check(spans, "splits.ranges_disjoint", F.col("disjoint"), F.col("split")),
-        ops.check(shared, "splits.no_shared_ids", F.col("n_shared") == 0, F.concat_ws(" ", "key", F.col("n_shared").cast("string"))),
-        ops.check(levels, "leakage.high_cardinality_declared", F.col("ok"), F.col("field")),
-    ])
-    return rows.select("check", "ok")
+    o = base.orders(spark, sf).select("o_orderkey", "o_custkey", "o_orderpriority", "cents", "day", "label", "split")
+    return qualify(o, QUALITY).select("check", "ok")
 
 
 SPARSE = """y AS (SELECT c_nationkey AS host, o_custkey AS origin, year(o_orderdate) AS year, count(*) AS c

@@ -242,10 +242,9 @@ def entity_age(spark, sf):
 SELECT p_partkey, CAST(rank() OVER (ORDER BY p_retailprice) AS DOUBLE) / count(*) OVER () AS position FROM part""")
 def empirical_rank(spark, sf):
     p = table(spark, sf, "part").select("p_partkey", "p_retailprice")
-    total = p.agg(F.count(F.lit(1))).scalar()
-    r = value_ranks(p, [], "p_retailprice").select("p_retailprice", "n_below")
+    r = value_ranks(p, [], "p_retailprice").select("p_retailprice", "n_below", "total")
     return p.join(r, "p_retailprice").select(
-        "p_partkey", F.try_divide(F.col("n_below") + 1, total).alias("position")
+        "p_partkey", F.try_divide(F.col("n_below") + 1, "total").alias("position")
     )
 
 

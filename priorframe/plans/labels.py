@@ -12,6 +12,7 @@ from priorframe.plans.base import DAILY, MONTHLY, ORDERS, cents
 from priorframe.plans.history import TRAILING_P95, trailing_p95
 from priorframe.plans.joins import ITEM_TOTALS, order_and_items
 from priorframe.plans.registry import query
+from priorframe.sources.sinks import written_once
 from priorframe.sources.tables import table
 
 USER = ["user_id"]
@@ -166,7 +167,7 @@ def reorder_panel(spark, sf):
 
 def flagship(spark, sf):
     """AUC of each shipped column, and of a train-only prior, for the reorder label."""
-    panel = reorder_panel(spark, sf)
+    panel = written_once(reorder_panel(spark, sf), "reorder-panel")
     prior = rate_table(panel.where("split = 'train'"), ["o_orderpriority"], "again")
     scored = panel.where("NOT censored").join(
         prior.select("o_orderpriority", F.col("rate").alias("prior")), "o_orderpriority", "left"

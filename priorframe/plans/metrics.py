@@ -142,7 +142,8 @@ def gap(spark, sf):
     d = rated(spark, sf)
     auc = ops.rank_auc(d, ["split"], "n_chars", "y")
     at = lambda s: F.max(F.when(F.col("split") == s, F.col("auc")))
-    sd = ops.bootstrap_auc(d, "doc_id", {"a": "n_chars"}, "y", 5).agg(F.round(F.stddev_samp("auc"), 9)).scalar()
+    draws = ops.bootstrap_auc(d, "doc_id", {"a": "n_chars"}, "y", 5).where("resample > 0")
+    sd = draws.agg(F.round(F.stddev_samp("auc"), 9)).scalar()
     return auc.agg(
         at("eval").alias("eval_auc"), at("holdout").alias("holdout_auc"), F.round(at("eval") - at("holdout"), 9).alias("gap")
     ).withColumn("seed_sd", sd)

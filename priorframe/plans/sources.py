@@ -62,56 +62,70 @@ def aliased(spark, sf):
 
 
 RECORD = (
-    "struct<id: bigint, releases: array<struct<date: string, tag: string, items: array<struct<class: string, quantity: bigint>>>>, "
+    "struct<id: bigint, part: bigint, releases: array<struct<date: string, tag: string, items: array<struct<class: string, quantity: bigint>>>>, "
     "parties: array<struct<role: string, id: bigint>>, awards: array<struct<status: string, value: bigint>>>"
 )
 
 
 @query("a5_nested_json_flatten", """
-WITH l AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_returnflag, l_shipdate, l_partkey, CAST(l_quantity AS BIGINT) AS q, CAST(round(l_extendedprice * 100) AS BIGINT) AS c FROM lineitem),
-m AS (SELECT l_orderkey, max(l_shipdate) AS last FROM l GROUP BY ALL)
-SELECT l.l_orderkey AS id, count(DISTINCT l_shipdate) AS n_releases, strftime(any_value(last), '%Y-%m-%d') AS last_date, CASE WHEN bool_or(l_returnflag = 'R') FILTER (l_shipdate = last) THEN 'award' ELSE 'tender' END AS last_tag,
-  count(*) FILTER (l_shipdate = last) AS n_items, CAST(sum(q) FILTER (l_shipdate = last) AS BIGINT) AS quantity, count(DISTINCT CAST(l_partkey % 10 AS VARCHAR)) FILTER (l_shipdate = last) AS classes,
-  count(DISTINCT l_suppkey) AS suppliers, CAST(coalesce(sum(c) FILTER (l_returnflag = 'R'), 0) AS BIGINT) AS award_total FROM l JOIN m USING (l_orderkey) GROUP BY l.l_orderkey""")
+WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_returnflag, CAST(l_quantity AS BIGINT) AS q, CAST(round(l_extendedprice * 100) AS BIGINT) AS c, l_linenumber AS k FROM lineitem)
+SELECT l_orderkey AS id, l_partkey AS part, k AS n_releases, strftime(l_shipdate + to_days(k), '%Y-%m-%d') AS last_date, CASE WHEN l_returnflag = 'R' THEN 'award' ELSE 'tender' END AS last_tag,
+  k AS n_items, CAST(k * q + k * (k + 1) // 2 AS BIGINT) AS quantity, least(k, 3) AS classes, CAST(k + 1 AS BIGINT) AS suppliers, CASE WHEN l_returnflag = 'R' THEN c * k ELSE 0 END AS award_total FROM l""")
 def nested_json(spark, sf):
-    l = table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_suppkey", "l_returnflag", base.text("l_shipdate").alias("date"),
-        F.pmod("l_partkey", F.lit(10)).cast("string").alias("class"), F.col("l_quantity").cast("bigint").alias("quantity"),
-        cents("l_extendedprice").alias("value"),
+    k = F.col("l_linenumber")
+    # Each line becomes one record whose nested arrays have as many entries as its line number.
+    steps = F.sequence(F.lit(1), k)
+    item = lambda i: F.struct(
+        F.pmod(F.col("l_partkey") + i, F.lit(3)).cast("string").alias("class"),
+        (F.col("l_quantity").cast("bigint") + i).alias("quantity"),
     )
-    # An order holds a bounded handful of items, so its record fits one row.
-    release = l.groupBy("l_orderkey", "date").agg(
-        F.struct(
-            "date", F.when(F.max((F.col("l_returnflag") == "R").cast("int")) == 1, "award").otherwise("tender").alias("tag"),
-            F.collect_list(F.struct("class", "quantity")).alias("items"),
-        ).alias("r")
+    releases = F.transform(
+        F.reverse(steps),
+        lambda i: F.struct(
+            F.date_format(F.date_add(F.col("l_shipdate").cast("date"), i), "yyyy-MM-dd").alias("date"),
+            F.when((F.col("l_returnflag") == "R") & (i == k), "award").otherwise("tender").alias("tag"),
+            F.transform(F.sequence(F.lit(1), i), item).alias("items"),
+        ),
     )
-    releases = release.groupBy("l_orderkey").agg(F.collect_list("r").alias("releases"))
-    rest = l.groupBy("l_orderkey").agg(
-        F.transform(F.collect_set("l_suppkey"), lambda s: F.struct(F.lit("supplier").alias("role"), s.alias("id"))).alias("parties"),
-        F.collect_list(F.struct(F.when(F.col("l_returnflag") == "R", "active").otherwise("pending").alias("status"), "value")).alias("awards"),
+    parties = F.transform(
+        F.sequence(F.lit(0), k + 1),
+        lambda i: F.struct(F.when(i == 0, "buyer").otherwise("supplier").alias("role"), (F.col("l_suppkey") + i).alias("id")),
     )
-    raw = releases.join(rest, "l_orderkey").select(
-        F.to_json(F.struct(F.col("l_orderkey").alias("id"), "releases", "parties", "awards")).alias("raw")
+    status = F.when(F.col("l_returnflag") == "R", "active").otherwise("pending")
+    awards = F.transform(steps, lambda i: F.struct(status.alias("status"), cents("l_extendedprice").alias("value")))
+    raw = table(spark, sf, "lineitem").select(
+        F.to_json(F.struct(
+            F.col("l_orderkey").alias("id"), F.col("l_partkey").alias("part"), releases.alias("releases"),
+            parties.alias("parties"), awards.alias("awards"),
+        )).alias("raw")
     )
     parsed = raw.select(F.from_json("raw", RECORD).alias("rec"))
-    return parsed.select(F.col("rec.id").alias("id"), *[c.alias(n) for n, c in readers.flatten_releases(parsed, "rec").items()])
+    return parsed.select(
+        F.col("rec.id").alias("id"), F.col("rec.part").alias("part"),
+        *[c.alias(n) for n, c in readers.flatten_releases(parsed, "rec").items()],
+    )
 
 
 @query("a6_xml_activity_scan", """
-SELECT o_custkey AS id, count(*) AS n_orders, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS total, strftime(min(o_orderdate), '%Y-%m-%d') AS first_day FROM orders GROUP BY ALL""")
+SELECT l_orderkey AS id, l_partkey AS part, CAST(3 AS BIGINT) AS n_transactions, CAST(round(l_extendedprice * 100) AS BIGINT) + CAST(round(l_tax * 100) AS BIGINT) + CAST(round(l_discount * 100) AS BIGINT) AS total,
+  'price' AS first_kind, strftime(l_shipdate, '%Y-%m-%d') AS last_day FROM lineitem""")
 def xml_scan(spark, sf):
     path = scratch_dir(spark, "xml-activities")
-    rows = base.orders(spark, sf).groupBy("o_custkey").agg(
-        F.collect_list(F.struct(base.text("day").alias("day"), "cents")).alias("transaction")
+    day = F.col("l_shipdate").cast("date")
+    one = lambda kind, c, back: F.struct(
+        F.lit(kind).alias("kind"), F.date_format(F.date_sub(day, back), "yyyy-MM-dd").alias("day"), cents(c).alias("cents")
+    )
+    rows = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("id"), F.col("l_partkey").alias("part"),
+        F.array(one("price", "l_extendedprice", 2), one("tax", "l_tax", 1), one("discount", "l_discount", 0)).alias("transaction"),
     )
-    rows.select(F.col("o_custkey").alias("id"), "transaction").write.option("rowTag", "activity").option("rootTag", "activities").xml(path)
-    x = readers.read_xml(spark, path, "activity", "id bigint, transaction array<struct<day: string, cents: bigint>>")
+    rows.write.option("rowTag", "activity").option("rootTag", "activities").xml(path)
+    x = readers.read_xml(spark, path, "activity", "id bigint, part bigint, transaction array<struct<kind: string, day: string, cents: bigint>>")
     t = F.col("transaction")
     return x.select(
-        "id", F.size(t).cast("bigint").alias("n_orders"),
+        "id", "part", F.size(t).cast("bigint").alias("n_transactions"),
         F.aggregate(t, F.lit(0).cast("bigint"), lambda a, i: a + i["cents"]).alias("total"),
-        F.array_min(F.transform(t, lambda i: i["day"])).alias("first_day"),
+        F.get(t, F.lit(0))["kind"].alias("first_kind"), F.array_max(F.transform(t, lambda i: i["day"])).alias("last_day"),
     )
 
 

@@ -12,14 +12,11 @@ MAX_COLUMNS = 128
 
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of a CSV folder; reads one line of one file."""
-    first = spark.read.text(path).where("value <> ''").head(1)
-    if not first:
+    """Column names of a CSV file or folder, as written; reads one line of one file."""
+    first = spark.read.option("header", False).csv(path).first()
+    if first is None:
         raise ValueError(f"no header in {path}")
-    parsed = spark.range(1).select(
-        F.split(F.lit(first[0][0]), ",").alias("h")
-    ).first()["h"]
-    return [h.strip().strip('"') for h in parsed]
+    return list(first)
 
 
 def read_splits(spark: SparkSession, paths: dict[str, str], target: str) -> DataFrame:

@@ -77,3 +77,12 @@ def sealed_scores(spark: SparkSession, path: str, by: Sequence[str], seal: DataF
     on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in by]
     intact = now.alias("a").join(seal.alias("b"), on, "full_outer")
     return frozen, intact.select(*[F.col(f"b.{c}").alias(c) for c in by], same.alias("sealed"))
+
+
+def written_once(df: DataFrame, purpose: str) -> DataFrame:
+    """A costly frame that several plans read, written to the shared folder and read back."""
+    from priorframe.session import scratch_dir
+
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
