@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from priorframe.functions.text import bound
+
 
 def finite(c: Column) -> Column:
-    """NaN and infinities to NULL."""
-    return F.when(~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))), c)
+    """NaN and infinities to NULL; NaN sorts above every number, infinity included."""
+    return F.when(F.abs(c) < F.lit(float("inf")), c)
 
 
 def lenient_number(c: Column, blank: float | None = None) -> Column:
@@ -20,15 +22,18 @@ def lenient_number(c: Column, blank: float | None = None) -> Column:
 
 def decimal_comma_number(c: Column) -> Column:
     """``1.234,56`` to a struct (value, missing, failed)."""
-    text = F.trim(c)
-    missing = c.isNull() | (text == "")
-    plain = F.regexp_replace(F.regexp_replace(text, r"\.", ""), ",", ".")
-    value = F.when(~missing, finite(plain.try_cast("double")))
-    return F.struct(
-        value.alias("value"),
-        missing.alias("missing"),
-        (~missing & value.isNull()).alias("failed"),
-    )
+
+    def parsed(t: Column) -> Column:
+        missing = t.isNull() | (t == "")
+        plain = F.translate(t, ",.", ".")  # comma to point, points dropped
+        return bound(
+            finite(plain.try_cast("double")),
+            lambda v: F.struct(
+                v.alias("value"), missing.alias("missing"), (~missing & v.isNull()).alias("failed")
+            ),
+        )
+
+    return bound(F.trim(c), parsed)
 
 
 def guarded_decode(raw: Column, divisors: list[float], low: float, high: float) -> Column:

@@ -8,7 +8,9 @@ No function here but ``score_probes`` and ``train_lookup`` takes a label, and
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 from itertools import combinations
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -458,6 +460,7 @@ def score_probes(scores: DataFrame, labels: DataFrame, by: Sequence[str], row_id
 
 
 # Text patterns of the scans.
+OUTCOME_WORDS = ["label", "target", "outcome", "expected_verdict", "->", "→"]
 OUTCOME = r"(?i)\b(label|target|outcome|expected_verdict)\s*[=:]?\s*[`\"']?[01]\b|(->|→)\s*[01]\b"
 DATE = r"\b((?:19|20)\d{2}-\d{2}-\d{2})\b"
 PLACEHOLDER = r"(@@[A-Za-z][A-Za-z0-9_]*@@)"
@@ -468,8 +471,11 @@ def dated_outcomes(docs: DataFrame, key: str, text: str, windows: Sequence[tuple
     """Lines near an explicit outcome, with the ids they name and whether a date is scored.
 
     The context of a line (two before to three after) is sliced inside the text's own
-    array, so no line is shuffled.
+    array, so no line is shuffled. A text without any outcome word or arrow has
+    no outcome line, and is dropped by plain searches before the pattern runs.
     """
+    low = F.lower(text)
+    docs = docs.where(reduce(or_, [F.contains(low, F.lit(w)) for w in OUTCOME_WORDS]))
     framed = bound(
         F.split(text, "\n"),
         lambda lines: F.transform(

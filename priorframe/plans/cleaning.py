@@ -42,7 +42,13 @@ SELECT year(l_shipdate) AS year,
   count(*) FILTER (raw = '') AS missing, count(*) FILTER (raw = 'sem valor') AS failed
 FROM t GROUP BY ALL""")
 def decimal_comma_number(spark, sf):
-    swapped = F.translate(F.format_number("l_extendedprice", 2), ",.", ".,")
+    c = cents("l_extendedprice")
+    whole = F.floor(c / 100)
+    padded = lambda x, n: F.lpad(x.cast("string"), n, "0")
+    grouped = F.when(
+        whole >= 1000, F.concat(F.floor(whole / 1000).cast("string"), F.lit("."), padded(F.pmod(whole, F.lit(1000)), 3))
+    ).otherwise(whole.cast("string"))
+    swapped = F.concat(grouped, F.lit(","), padded(F.pmod(c, F.lit(100)), 2))
     raw = F.when(F.col("l_quantity") == 1, "").when(F.col("l_quantity") == 2, "sem valor").otherwise(swapped)
     t = table(spark, sf, "lineitem").select(
         F.year("l_shipdate").cast("bigint").alias("year"),

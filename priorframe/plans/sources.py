@@ -62,8 +62,8 @@ def aliased(spark, sf):
 
 
 RECORD = (
-    "struct<id: bigint, part: bigint, releases: array<struct<date: string, tag: string, items: array<struct<class: string, quantity: bigint>>>>, "
-    "parties: array<struct<role: string, id: bigint>>, awards: array<struct<status: string, value: bigint>>>"
+    "id bigint, part bigint, releases array<struct<date: string, tag: string, items: array<struct<class: string, quantity: bigint>>>>, "
+    "parties array<struct<role: string, id: bigint>>, awards array<struct<status: string, value: bigint>>"
 )
 
 
@@ -93,17 +93,12 @@ def nested_json(spark, sf):
     )
     status = F.when(F.col("l_returnflag") == "R", "active").otherwise("pending")
     awards = F.transform(steps, lambda i: F.struct(status.alias("status"), cents("l_extendedprice").alias("value")))
-    raw = table(spark, sf, "lineitem").select(
-        F.to_json(F.struct(
-            F.col("l_orderkey").alias("id"), F.col("l_partkey").alias("part"), releases.alias("releases"),
-            parties.alias("parties"), awards.alias("awards"),
-        )).alias("raw")
-    )
-    parsed = raw.select(F.from_json("raw", RECORD).alias("rec"))
-    return parsed.select(
-        F.col("rec.id").alias("id"), F.col("rec.part").alias("part"),
-        *[c.alias(n) for n, c in readers.flatten_releases(parsed, "rec").items()],
-    )
+    path = scratch_dir(spark, "nested-records")
+    table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("id"), F.col("l_partkey").alias("part"), releases.alias("releases"),
+        parties.alias("parties"), awards.alias("awards"),
+    ).write.json(path)
+    return readers.flatten_releases(readers.read_json(spark, path, RECORD))
 
 
 @query("a6_xml_activity_scan", """

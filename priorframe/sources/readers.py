@@ -78,29 +78,41 @@ def union_aliased(frames: Sequence[DataFrame], aliases: dict[str, Sequence[str]]
     )
 
 
-def flatten_releases(df: DataFrame, record: str) -> dict[str, Column]:
-    """One open-contracting record to scalar columns: last release, items, parties, awards."""
-    r = F.col(record)
-    releases = F.array_sort(
-        r["releases"],
-        lambda a, b: F.when(a["date"] < b["date"], -1).when(a["date"] > b["date"], 1).otherwise(0),
+def flatten_releases(records: DataFrame) -> DataFrame:
+    """Open-contracting records to one flat row each.
+
+    ``records`` has id, releases (date, tag, items), parties and awards. The last release
+    is picked once per row; counts and sums stay inside the row's own arrays.
+    """
+    last = F.array_max(
+        F.transform(
+            "releases", lambda r: F.struct(r["date"].alias("date"), r["tag"].alias("tag"), r["items"].alias("items"))
+        )
+    )
+    zero = F.lit(0).cast("bigint")
+    flat = records.select(
+        *[c for c in records.columns if c not in ("releases", "parties", "awards")],
+        F.size("releases").cast("bigint").alias("n_releases"),
+        last.alias("_last"),
+        F.size(F.filter("parties", lambda p: p["role"] == "supplier")).cast("bigint").alias("suppliers"),
+        F.aggregate(
+            F.filter("awards", lambda a: a["status"] == "active"), zero, lambda t, a: t + a["value"]
+        ).alias("award_total"),
     )
-    last = F.try_element_at(releases, F.lit(-1))
-    items = F.coalesce(last["items"], F.array().cast(df.select(last["items"]).schema[0].dataType))
-    return {
-        "n_releases": F.size(r["releases"]).cast("bigint"),
-        "last_date": last["date"],
-        "last_tag": last["tag"],
-        "n_items": F.size(items).cast("bigint"),
-        "quantity": F.aggregate(items, F.lit(0).cast("bigint"), lambda t, i: t + i["quantity"]),
-        "classes": F.size(F.array_distinct(F.transform(items, lambda i: i["class"]))).cast("bigint"),
-        "suppliers": F.size(F.filter(r["parties"], lambda p: p["role"] == "supplier")).cast("bigint"),
-        "award_total": F.aggregate(
-            F.filter(r["awards"], lambda a: a["status"] == "active"),
-            F.lit(0).cast("bigint"),
-            lambda t, a: t + a["value"],
-        ),
-    }
+    items = F.col("_last.items")
+    return flat.select(
+        *[c for c in flat.columns if c != "_last"],
+        F.col("_last.date").alias("last_date"),
+        F.col("_last.tag").alias("last_tag"),
+        F.size(items).cast("bigint").alias("n_items"),
+        F.aggregate(items, zero, lambda t, i: t + i["quantity"]).alias("quantity"),
+        F.size(F.array_distinct(F.transform(items, lambda i: i["class"]))).cast("bigint").alias("classes"),
+    )
+
+
+def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """One row per JSON record with a declared schema; nothing is inferred."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
 def read_xml(spark: SparkSession, path: str, row_tag: str, schema: StructType | str) -> DataFrame:
