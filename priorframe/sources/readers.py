@@ -42,6 +42,7 @@ def read_splits(spark: SparkSession, paths: dict[str, str], target: str) -> Data
             .option("header", True)
             .option("enforceSchema", False)
             .option("mode", "FAILFAST")
+            .option("columnPruning", False)  # a pruned parse would not see ragged rows
             .csv(path)
             .select(*features)
             .fillna("")

@@ -49,6 +49,10 @@ def compare(spark, name: str, fn, sql: str | None, sf_dir: str, con=None) -> dic
            if f.dataType.simpleString() not in ("bigint", "int", "double", "string", "boolean")]
     if odd:
         out["odd"] = odd
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    bad = [n for n in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython") if n in plan]
+    if bad:
+        out["bad_nodes"] = bad
     if not sql:
         return out
     start = time.time()
