@@ -212,6 +212,62 @@ def prose_claims(docs: DataFrame, key: str, text: str, facts: DataFrame) -> Data
     )
 
 
+YEAR_CLAIM = r"(?i)\b(?:train(?:ing)?|eval|holdout)\s+(?:rows\s+cover\s+|years?\s+|period\s+)?(?:19|20)\d{2}\s*[-–]\s*(?:19|20)\d{2}"
+BIN_CLAIM = r"\b\d+\s*[-–]\s*\d+|\b\d+\+"
+
+
+def year_range_claims(docs: DataFrame, key: str, text: str, facts: DataFrame) -> DataFrame:
+    """Claims such as ``train years 1995-1998`` beside the years of the split's rows.
+
+    ``facts`` is (split, first_year, last_year).
+    """
+    found = docs.select(
+        key, F.posexplode(F.regexp_extract_all(text, F.lit(f"({YEAR_CLAIM})"), F.lit(1))).alias("pos", "claim")
+    )
+    split = F.lower(F.regexp_extract("claim", r"(?i)^(train|eval|holdout)", 1))
+    years = F.regexp_extract_all("claim", F.lit(r"((?:19|20)\d{2})"), F.lit(1))
+    parts = found.select(
+        key,
+        F.col("pos").cast("bigint").alias("pos"),
+        split.alias("split"),
+        F.get(years, F.lit(0)).cast("bigint").alias("first_claimed"),
+        F.get(years, F.lit(1)).cast("bigint").alias("last_claimed"),
+    )
+    same = (F.col("first_claimed") == F.col("first_year")) & (F.col("last_claimed") == F.col("last_year"))
+    return parts.join(facts, "split", "left").withColumn("ok", F.coalesce(same, F.lit(False)))
+
+
+def dictionary_bins(docs: DataFrame, key: str, text: str, profile: DataFrame) -> DataFrame:
+    """Dictionary rows ``| `column` | bins ... |`` whose bins miss one that the rows hold.
+
+    ``profile`` is a ``column_profile``: its domains are listed only while bounded. A
+    declared bin need not occur in every split; an observed one must be declared.
+    """
+    bins = F.filter(F.split("domain", r"\|"), lambda v: v.rlike(r"^(\d+-\d+|\d+\+)$"))
+    observed = profile.where("domain IS NOT NULL").select(
+        F.col("field").alias("column_name"), "split", bins.alias("observed")
+    )
+    line = F.explode(F.split(text, "\n"))
+    rows = docs.select(key, line.alias("_l")).where(F.col("_l").rlike(r"^\s*\|\s*`[^`]+`\s*\|"))
+    declared = rows.select(
+        key,
+        F.regexp_extract("_l", r"^\s*\|\s*`([^`]+)`", 1).alias("column_name"),
+        F.transform(
+            F.regexp_extract_all(
+                F.regexp_extract("_l", r"^\s*\|\s*`[^`]+`\s*\|(.+)", 1), F.lit(f"({BIN_CLAIM})"), F.lit(1)
+            ),
+            lambda b: F.regexp_replace(F.regexp_replace(b, r"\s", ""), "–", "-"),
+        ).alias("bins"),
+    ).where(F.size("bins") > 0)
+    return declared.join(observed, "column_name").select(
+        key,
+        "column_name",
+        "split",
+        F.size("observed").cast("bigint").alias("observed_bins"),
+        F.size(F.array_except("observed", "bins")).cast("bigint").alias("undeclared_bins"),
+    )
+
+
 def shared_features(df: DataFrame, split: str, features: Sequence[str]) -> DataFrame:
     """Feature tuples that occur in more than one split, by digest: tuples and rows per split."""
     digest = F.sha2(F.to_json(F.struct(*features), {"ignoreNullFields": "false"}), 256)

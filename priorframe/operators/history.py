@@ -193,6 +193,27 @@ def ever_before_set(
     )
 
 
+def measured_start(df: DataFrame, year: str, sign: Column, limit: float, least_rows: int) -> DataFrame:
+    """First year from which the share of ``sign`` stays below the limit in every later year.
+
+    A year with fewer than ``least_rows`` rows cannot be the start. The ordered frame is
+    over one row per year.
+    """
+    yearly = df.groupBy(year).agg(
+        F.count(F.lit(1)).alias("_n"), F.avg(sign.cast("double")).alias("_share")
+    )
+    later = (
+        Window.partitionBy(F.lit(0))
+        .orderBy(F.desc(year))
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    return (
+        yearly.withColumn("_worst", F.max("_share").over(later))
+        .where((F.col("_worst") < limit) & (F.col("_n") >= least_rows))
+        .agg(F.min(year).alias("panel_start"))
+    )
+
+
 def smoothed_rate(count: Column, positives: Column, default: Column) -> Column:
     """No closed row: the default; under three: pulled to one half; else the plain rate."""
     n = F.coalesce(count, F.lit(0))

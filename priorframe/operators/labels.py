@@ -110,10 +110,12 @@ def vocabulary_label(c: Column, patterns: Sequence[tuple[str, str]], other: str)
 
 
 def rate_threshold(df: DataFrame, value: str, target: float, snap: int) -> DataFrame:
-    """One row: a threshold whose exceedance share on these rows is at most the target.
+    """One row: the largest multiple of ``snap`` that at least ``target`` of these rows exceed.
 
-    The order statistic comes from value counts and is rounded up to a multiple of ``snap``.
+    With n rows, the ceil(target * n)-th largest value must lie above the threshold, so the
+    search is one order statistic instead of repeated counts. Zero when no multiple does.
     """
-    index = F.floor(F.col("total") * F.lit(1 - target))
-    cut = value_at_index(df, [], value, {"at": F.least(index, F.col("total") - 1)})
-    return cut.select((F.ceil(F.col("at") / snap) * snap).cast("bigint").alias("threshold"))
+    index = F.col("total") - F.ceil(F.col("total") * F.lit(target))
+    cut = value_at_index(df, [], value, {"at": F.greatest(index, F.lit(0))})
+    below = (F.ceil(F.col("at") / snap) - 1) * snap
+    return cut.select(F.greatest(below, F.lit(0)).cast("bigint").alias("threshold"))

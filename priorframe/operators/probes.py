@@ -7,6 +7,7 @@ No function here but ``score_probes`` and ``train_lookup`` takes a label, and
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from functools import reduce
 from itertools import combinations
@@ -97,6 +98,68 @@ def token_probe(panel: DataFrame, keep: Sequence[str], text: str) -> DataFrame:
     )
 
 
+# Names that make a column an entity key or an operand of a successor probe.
+KEY_NAMES = r"id|island|country|origin|asylum|station|site|authority|beds|rating|sector"
+OPERAND_NAMES = r"lag|prior|last|mean|rate|count|since"
+MAX_KEYS = 8
+TEXT_LENGTH = 15
+
+
+def successor_candidates(panel: DataFrame, time: str) -> tuple[list[list[str]], list[str]]:
+    """(key sets, operands) of the exploratory successor probe, chosen without labels.
+
+    A key is named like one and repeats: it has more than one value and fewer than half
+    as many as there are rows. Keys are tried alone and in pairs. The plan needs the
+    names, so one aggregate runs here and returns one row.
+    """
+    named = [c for c in sorted(panel.columns) if c != time and re.search(KEY_NAMES, c)]
+    operands = [c for c in sorted(panel.columns) if re.search(OPERAND_NAMES, c)][:MAX_KEYS]
+    if not named:
+        return [], operands
+    row = panel.agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.countDistinct(c).alias(c) for c in named]
+    ).first()
+    keys = [c for c in named if 1 < row[c] < max(2, row["_rows"] // 2)][:MAX_KEYS]
+    return [[c] for c in keys] + [list(p) for p in combinations(keys, 2)], operands
+
+
+def text_columns(panel: DataFrame, columns: Sequence[str]) -> list[str]:
+    """Columns whose longest value is long enough to hold words; one aggregate, one row."""
+    row = panel.agg(*[F.max(F.length(F.col(c).cast("string"))).alias(c) for c in columns]).first()
+    return [c for c in columns if (row[c] or 0) > TEXT_LENGTH]
+
+
+def informative(scores: DataFrame, by: Sequence[str], kind: str = "kind") -> DataFrame:
+    """Drop vectors that cover no row, and constant ones unless the kind is exact."""
+    by = list(by)
+    varied = (F.min("score") != F.max("score")) | F.first(kind).isin("exact")
+    kept = scores.groupBy(*by).agg((F.count("score") > 0).alias("_any"), varied.alias("_varied"))
+    return scores.join(kept.where("_any AND _varied").select(*by), by, "left_semi")
+
+
+FLAG_LIMIT = 40
+
+
+def findings(results: DataFrame, kind: str = "kind") -> DataFrame:
+    """Failures (an exact probe that covers rows without one error) and the strongest flags.
+
+    All failures are kept. Flags, probes with a covered AUC beyond 0.95 either way, are
+    a report of the FLAG_LIMIT strongest.
+    """
+    exact = F.col(kind) == "exact"
+    strength = F.greatest("auc_covered", 1 - F.col("auc_covered"))
+    failures = results.where(exact & (F.col("covered") >= 1) & (F.col("errors") == 0)).withColumn(
+        "finding", F.lit("failure")
+    )
+    flags = (
+        results.where(~exact & (strength > 0.95))
+        .orderBy(F.desc(strength), "probe", "split")
+        .limit(FLAG_LIMIT)
+        .withColumn("finding", F.lit("flag"))
+    )
+    return failures.unionByName(flags)
+
+
 def scoped_rows(panel: DataFrame, split: str) -> DataFrame:
     """Eval and holdout rows, once per scope, with the donor pool each may read."""
     scope = F.explode(

@@ -140,6 +140,7 @@ def qualify(panel: DataFrame, d: Descriptor) -> DataFrame:
     ]
     name = F.concat_ws("@", "field", "split")
     s = F.col("split")
+    # The check names of a report.
     checks = [
         _declared(panel, "leakage.answer_source_absent", [c for c in d.label_source_columns if c in shipped]),
         _declared(panel, "timing.no_post_hoc_feature", [c for c in d.post_hoc_columns if c in d.features]),

@@ -83,8 +83,8 @@ def multi_format_date(spark, sf):
 SELECT CASE WHEN o_orderkey % 4 > 0 THEN CAST(year(o_orderdate) * 12 + month(o_orderdate) - 1 AS BIGINT) END AS month_index,
        count(*) AS n FROM orders GROUP BY ALL""")
 def month_token_date(spark, sf):
-    token = F.upper(F.date_format("o_orderdate", "'MSitAE'-MMMM-yyyy"))
-    raw = F.when(F.pmod("o_orderkey", F.lit(4)) > 0, token).otherwise("MSitAE-TOTAL")
+    token = F.upper(F.date_format("o_orderdate", "'PREFIX'-MMMM-yyyy"))
+    raw = F.when(F.pmod("o_orderkey", F.lit(4)) > 0, token).otherwise("PREFIX-TOTAL")
     t = table(spark, sf, "orders").select(dates.month_token(raw, r"-([A-Z]+)-(\d{4})$").alias("month_index"))
     return t.groupBy("month_index").agg(F.count(F.lit(1)).alias("n"))
 

@@ -241,6 +241,38 @@ def prose_claims(spark, sf):
     return ops.prose_claims(d, "doc_id", "text", facts).withColumn("observed", F.round("observed", 6))
 
 
+@query("h18_year_range_claims", f"""
+WITH {ORDERS}, f AS (SELECT split, min(year) AS first_year, max(year) AS last_year FROM o GROUP BY ALL),
+t AS (SELECT doc_id, text || ' The training rows cover ' || (1995 + doc_id % 2) || ' - 1998; Eval years 1999–' || (1999 + doc_id % 3) || '.' AS text FROM documents),
+u AS (SELECT doc_id, unnest(range(2)) AS pos, unnest(['train', 'eval']) AS split, unnest([1995 + doc_id % 2, 1999]) AS first_claimed, unnest([1998, 1999 + doc_id % 3]) AS last_claimed FROM t)
+SELECT u.*, first_year, last_year, first_claimed = first_year AND last_claimed = last_year AS ok FROM u JOIN f USING (split)""")
+def year_range_claims(spark, sf):
+    facts = base.orders(spark, sf).groupBy("split").agg(F.min("year").alias("first_year"), F.max("year").alias("last_year"))
+    k = F.col("doc_id")
+    said = F.concat(
+        "text", F.lit(" The training rows cover "), (1995 + F.pmod(k, F.lit(2))).cast("string"), F.lit(" - 1998; Eval years 1999–"),
+        (1999 + F.pmod(k, F.lit(3))).cast("string"), F.lit("."),
+    )
+    d = table(spark, sf, "documents").select("doc_id", said.alias("text"))
+    return ops.year_range_claims(d, "doc_id", "text", facts)
+
+
+@query("h18_dictionary_bins", f"""
+WITH {ORDERS}, ob AS (SELECT DISTINCT split, CASE WHEN cents < 10000000 THEN '0-9' WHEN cents < 20000000 THEN '10-19' ELSE '20+' END AS bin FROM o)
+SELECT doc_id, 'total_band' AS column_name, split, count(*) AS observed_bins, count(*) FILTER (NOT list_contains(CASE doc_id % 3 WHEN 0 THEN ['0-9', '10-19', '20+'] WHEN 1 THEN ['0-9', '20+'] ELSE ['5-9'] END, bin)) AS undeclared_bins
+FROM documents, ob GROUP BY ALL""")
+def dictionary_bins(spark, sf):
+    c = F.col("cents")
+    band = F.when(c < 10000000, "0-9").when(c < 20000000, "10-19").otherwise("20+")
+    o = base.orders(spark, sf).select("split", band.alias("total_band"), "o_orderpriority")
+    profile = column_profile(o, "split", ["total_band", "o_orderpriority"], [])
+    k = F.pmod("doc_id", F.lit(3))
+    said = F.when(k == 0, "0 - 9, 10–19 or 20+").when(k == 1, "0-9 and 20+").otherwise("only 5-9")
+    text = F.concat("text", F.lit("\n| `total_band` | bands "), said, F.lit(" |\n| `other` | free text |"))
+    d = table(spark, sf, "documents").select("doc_id", text.alias("text"))
+    return ops.dictionary_bins(d, "doc_id", "text", profile)
+
+
 @query("h19_claim_render", f"""
 WITH {ORDERS} SELECT 'population' AS kind, split, split || ': ' || format('{{:,}}', count(*)) || ' rows; ' || format('{{:,}}', CAST(sum(label) AS BIGINT)) || ' positives; positive rate ' || printf('%.4f', 100.0 * CAST(sum(label) AS DOUBLE) / count(*)) || '%.' AS claim FROM o GROUP BY split
 UNION ALL SELECT 'domain', split, split || ' `o_orderstatus` observed domain: ' || string_agg(DISTINCT '`' || o_orderstatus || '`', ', ' ORDER BY '`' || o_orderstatus || '`') || '.' FROM o GROUP BY split

@@ -295,17 +295,11 @@ def pre_instant(spark, sf):
 
 
 @query("e19_measured_panel_start", f"""
-WITH {ORDERS}, y AS (SELECT year, count(*) FILTER (o_orderstatus = 'P') / CAST(count(*) AS DOUBLE) AS share FROM o GROUP BY ALL)
-SELECT min(year) AS panel_start FROM y a WHERE NOT EXISTS (SELECT 1 FROM y b WHERE b.year >= a.year AND b.share >= 0.345)""")
+WITH {ORDERS}, y AS (SELECT year, count(*) AS n, count(*) FILTER (o_orderstatus = 'P') / CAST(count(*) AS DOUBLE) AS share FROM o GROUP BY ALL)
+SELECT min(year) AS panel_start FROM y a WHERE n >= 100 AND NOT EXISTS (SELECT 1 FROM y b WHERE b.year >= a.year AND b.share >= 0.345)""")
 def panel_start(spark, sf):
-    y = base.orders(spark, sf).groupBy("year").agg(
-        F.avg((F.col("o_orderstatus") == "P").cast("double")).alias("share")
-    )
-    # One row per year: the ordered frame is over the calendar, not the data.
-    later = Window.partitionBy(F.lit(0)).orderBy(F.desc("year")).rowsBetween(Window.unboundedPreceding, 0)
-    return y.withColumn("worst", F.max("share").over(later)).where("worst < 0.345").agg(
-        F.min("year").alias("panel_start")
-    )
+    o = base.orders(spark, sf).withColumn("early", F.col("o_orderstatus") == "P")
+    return ops.measured_start(o, "year", F.col("early"), 0.345, 100)
 
 
 @query("e20_representative_event_as_of", f"""

@@ -8,7 +8,7 @@ from priorframe.operators import labels as ops
 from priorframe.operators.aggregates import rate_table
 from priorframe.operators.metrics import rank_auc
 from priorframe.plans import base
-from priorframe.plans.base import DAILY, MONTHLY, ORDERS, cents
+from priorframe.plans.base import DAILY, MONTHLY, ORDERS, auc_sql, cents
 from priorframe.plans.history import TRAILING_P95, trailing_p95
 from priorframe.plans.joins import ITEM_TOTALS, order_and_items
 from priorframe.plans.registry import query
@@ -143,7 +143,7 @@ def child_exists(spark, sf):
 
 @query("f12_rate_targeted_threshold", f"""
 WITH {ORDERS}, r AS (SELECT cents, row_number() OVER (ORDER BY cents) - 1 AS i, count(*) OVER () AS total FROM o WHERE split = 'train'),
-t AS (SELECT CAST(ceil(max(cents) FILTER (i = floor(total * 0.8)) / 6000.0) AS BIGINT) * 6000 AS threshold FROM r)
+t AS (SELECT (CAST(ceil(max(cents) FILTER (i = total - ceil(total * 0.2::DOUBLE)) / 6000e0) AS BIGINT) - 1) * 6000 AS threshold FROM r)
 SELECT split, any_value(threshold) AS threshold, count(*) AS n, count(*) FILTER (cents > threshold) AS positives FROM o, t GROUP BY ALL""")
 def rate_targeted(spark, sf):
     o = base.orders(spark, sf)
@@ -188,4 +188,12 @@ def flagship(spark, sf):
     return auc.withColumn("blocked", F.coalesce(worst > 0.95, F.lit(False)))
 
 
-query("entry_reorder_leak_check")(flagship)
+query("entry_reorder_leak_check", f"""
+WITH {ORDERS}, {REORDER}, g AS (SELECT o_custkey, day, count(*) AS n, CAST(sum(label) AS BIGINT) AS f FROM o GROUP BY ALL),
+h AS (SELECT o_custkey, day, coalesce(sum(n) OVER w, 0) AS n_prior, sum(f) OVER w AS f_prior, coalesce(day - lag(day) OVER (PARTITION BY o_custkey ORDER BY day), -1) AS days_since
+  FROM g WINDOW w AS (PARTITION BY o_custkey ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+pr AS (SELECT o_orderpriority, CAST(sum(again) AS DOUBLE) / count(again) AS prior FROM lab WHERE split = 'train' GROUP BY ALL),
+x AS (SELECT split, again, unnest(['n_prior', 'days_since', 'prior_fail_rate', 'cents', 'priority_prior']) AS "column",
+  unnest([CAST(n_prior AS DOUBLE), CAST(days_since AS DOUBLE), CASE WHEN n_prior > 0 THEN CAST(f_prior AS DOUBLE) / n_prior ELSE -1e0 END, CAST(cents AS DOUBLE), prior]) AS score
+  FROM lab JOIN h USING (o_custkey, day) LEFT JOIN pr USING (o_orderpriority) WHERE NOT censored),
+a AS ({auc_sql("x", 'split, "column"', "score", "again")}) SELECT *, coalesce(greatest(auc, 1 - auc) > 0.95, false) AS blocked FROM a""")(flagship)

@@ -403,6 +403,30 @@ def probe_scoring(spark, sf):
     return out.withColumn("flagged", F.greatest("auc_covered", 1 - F.col("auc_covered")) > 0.95)
 
 
+EXACT = list(RECIPES_SQL)
+EXACT_SCORES = f"""rc AS (SELECT user_id, d, {TRUTH} AS truth, {", ".join(f"{q} AS {r}" for r, q in RECIPES_SQL.items())} FROM st),
+lg AS (SELECT d, CASE WHEN d < 19733 THEN 'train' WHEN d < 19742 THEN 'eval' ELSE 'holdout' END AS split, truth, unnest({EXACT}) AS probe, unnest([{", ".join(EXACT)}]) AS score FROM rc WHERE truth IS NOT NULL)"""
+
+
+@query("i22_exact_recipe_findings", f"""
+WITH {DAILY}, {STATION}, {EXACT_SCORES}
+SELECT probe, split, count(*) AS n_rows, count(score) AS covered, 'failure' AS finding FROM lg WHERE split <> 'train' GROUP BY ALL HAVING count(score) > 0 AND count(*) FILTER (score <> truth) = 0""")
+def exact_findings(spark, sf):
+    panel = station(spark, sf)
+    truth = (history.at_offset("value", USER, "d", 1) > LIMIT).cast("bigint")
+    split = F.when(F.col("d") < 19733, "train").when(F.col("d") < 19742, "eval").otherwise("holdout")
+    rows = panel.select(
+        F.struct("user_id", "d").alias("row_id"), split.alias("split"), truth.alias("y"),
+        F.explode(F.array(*[F.struct(F.lit(r).alias("probe"), F.col(r).alias("score")) for r in EXACT])).alias("s"),
+    )
+    known = rows.where("split <> 'train' AND y IS NOT NULL")
+    scores = known.select("row_id", "split", "s.probe", "s.score").withColumn("kind", F.lit("exact"))
+    kept = ops.informative(scores, ["probe", "split"])
+    labels = panel.select(F.struct("user_id", "d").alias("row_id"), truth.alias("y")).where("y IS NOT NULL")
+    results = ops.score_probes(kept, labels, ["probe", "split", "kind"], "row_id", "y")
+    return ops.findings(results).select("probe", "split", "n_rows", "covered", "finding")
+
+
 @query("i23_freeze_then_score", f"""
 WITH {LABELLED}, {CELLS}, {SCORES} SELECT nt.probe, nt.split, covered, ac.auc AS auc_covered, true AS sealed FROM nt LEFT JOIN ac USING (probe, split)""")
 def freeze_then_score(spark, sf):

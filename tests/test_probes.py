@@ -135,3 +135,30 @@ def test_dated_outcome_context(spark):
     assert values(got, "line", "scored_id", "scored_date") == [
         (1, False, False), (2, True, True), (3, False, False), (4, False, False), (5, False, False), (6, False, False),
     ]
+
+
+def test_candidates_are_chosen_without_labels(spark):
+    rows = [(f"s{i % 4}", i, f"c{i % 3}", float(i), "short", "a longer text value") for i in range(40)]
+    df = spark.createDataFrame(rows, "site string, row_id bigint, country string, prior_rate double, note string, story string")
+    keys, operands = probes.successor_candidates(df, "day")
+    assert keys == [["country"], ["site"], ["country", "site"]] and operands == ["country", "prior_rate"]
+    assert probes.text_columns(df, ["note", "story"]) == ["story"]
+
+
+def test_uninformative_vectors_are_dropped_and_findings_split(spark):
+    rows = [("flat", "statistical", 1, 0.5), ("flat", "statistical", 2, 0.5), ("none", "exact", 1, None), ("one", "exact", 1, 1.0), ("vary", "statistical", 1, 0.1), ("vary", "statistical", 2, 0.9)]
+    df = spark.createDataFrame(rows, "probe string, kind string, id int, score double").withColumn("split", F.lit("eval"))
+    assert values(probes.informative(df, ["probe", "split"]).select("probe").distinct(), "probe") == [("one",), ("vary",)]
+    y = spark.createDataFrame([(1, 1), (2, 0)], "id int, y int")
+    found = probes.findings(probes.score_probes(df, y, ["probe", "kind", "split"], "id", "y"))
+    assert values(found, "probe", "finding") == [("one", "failure"), ("vary", "flag")]
+
+
+def test_rate_threshold_is_the_largest_multiple_still_exceeded(spark):
+    from priorframe.operators.labels import rate_threshold
+
+    data = [7, 61, 120, 121, 180, 181, 300, 300, 305, 999]
+    df = spark.createDataFrame([(v,) for v in data], "v bigint")
+    for target in (0.1, 0.25, 0.5, 0.9):
+        best = max(t for t in range(0, 1200, 60) if sum(v > t for v in data) >= target * len(data))
+        assert rate_threshold(df, "v", target, 60).first()["threshold"] == best
