@@ -106,7 +106,7 @@ def token_count_features(
 
 def seeded_sample(df: DataFrame, key: str, seed: int, n: int) -> DataFrame:
     """n rows in the order of a seeded hash of the key; top-n per task, then merged."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
+    return df.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string"))), key).limit(n)
 
 
 def stride_sample(df: DataFrame, order: str, k: int) -> DataFrame:

@@ -169,7 +169,8 @@ def ever_before_set(
     """Per (entity, day): distinct items of the previous day and distinct items ever before.
 
     The all-time count is a running sum of first occurrences, so no set grows with
-    history. The previous day's items stay a count and a sorted list of one day.
+    history. The previous day's items stay a count and a sorted list of distinct codes,
+    which the code vocabulary bounds.
     """
     keys = list(keys)
     daily_items = rows.select(*keys, day_number(time).alias("_day"), item).distinct()

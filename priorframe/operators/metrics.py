@@ -124,6 +124,17 @@ def paired_interval(
     )
 
 
+def interval_claim(interval: DataFrame, left: str, right: str) -> DataFrame:
+    """A paired interval as one sentence, rendered from the measured numbers."""
+    return interval.select(
+        F.lit("interval").alias("kind"),
+        F.format_string(
+            f"AUC difference ({left} minus {right}): %+.6f; 95%% interval [%+.6f, %+.6f] (%d resamples). Direction: %s.",
+            "observed", "low", "high", "resamples", "direction",
+        ).alias("claim"),
+    )
+
+
 def one_sample_interval(df: DataFrame, cluster: str, score: str, label: str, resamples: int) -> DataFrame:
     """Observed AUC with its 95% bootstrap interval, one row."""
     return _interval(bootstrap_auc(df, cluster, {"a": score}, label, resamples), "auc")

@@ -310,7 +310,8 @@ def hash_sample(spark, sf):
     )
 
 
-@query("b25_seeded_row_sample")
+@query("b25_seeded_row_sample", """
+SELECT o_orderkey, o_custkey FROM orders ORDER BY md5('17|' || o_orderkey), o_orderkey LIMIT 500""")
 def seeded_row_sample(spark, sf):
     return ops.seeded_sample(table(spark, sf, "orders"), "o_orderkey", 17, 500).select("o_orderkey", "o_custkey")
 

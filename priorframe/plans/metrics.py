@@ -114,6 +114,15 @@ def cluster_bootstrap(spark, sf):
     return rounded(ops.paired_interval(d, "cluster", "n_chars", "score", "y", 200), "observed", "low", "high")
 
 
+@query("h19_interval_claim", f"""
+SELECT 'interval' AS kind, printf('AUC difference (n_chars minus score): %+.6f; 95%% interval [%+.6f, %+.6f] (%d resamples). Direction: %s.', observed, low, high, resamples, direction) AS claim
+FROM ({paired_sql("doc_id % 40", 100)})""")
+def interval_claim(spark, sf):
+    d = rated(spark, sf).withColumn("cluster", F.pmod("doc_id", F.lit(40)))
+    interval = rounded(ops.paired_interval(d, "cluster", "n_chars", "score", "y", 100), "observed", "low", "high")
+    return ops.interval_claim(interval, "n_chars", "score")
+
+
 @query("j8_paired_row_bootstrap", paired_sql("doc_id", 100))
 def row_bootstrap(spark, sf):
     return rounded(ops.paired_interval(rated(spark, sf), "doc_id", "n_chars", "score", "y", 100), "observed", "low", "high")
