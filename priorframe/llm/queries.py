@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from priorframe.llm import mixing, sharding
-from priorframe.llm.common import documents
+from priorframe.llm import byte_bpe, line_crf, mixing, records, sharding
+from priorframe.llm.common import documents, table
 from priorframe.llm.registry import ORACLES, QUERIES, query
 
 
@@ -17,4 +17,24 @@ def capped_mix(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir))
 
 
+@query("op7_line_quality")
+def line_quality(spark, sf_dir):
+    return line_crf.quality(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+@query("op8_byte_bpe")
+def byte_bpe_round_trip(spark, sf_dir):
+    import public_tokenizers
+
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.round_trip(documents(spark, sf_dir), vocabulary, public_tokenizers.PATTERN)
+
+
+@query("op9_token_records")
+def token_records(spark, sf_dir):
+    import public_tokenizers
+
+    return records.token_records(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 __all__ = ["ORACLES", "QUERIES"]
