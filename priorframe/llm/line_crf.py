@@ -31,8 +31,9 @@ ROUNDS = 150
 
 FEATURES = (
     "always", "same as an earlier line", "under 4 words", "symbols over 1 in 50 characters", "symbols over 1 in 10 characters", "bars", "capitals over half of the letters", "letters under 3 in 4 characters",
-    "digits over 1 in 4 characters", "ends a sentence", "ends with two marks or more",
+    "digits over 1 in 4 characters", "ends with two marks or more",
     "exclamation marks over 1 in 5 words", "starts with a capital", "mean word over 12 characters",
+    "no symbol, few capitals",
 )
 
 
@@ -92,8 +93,9 @@ def features(line: str) -> int:
     letters = spaced - symbols - marks - digits
     tests = (
         True, False, words < 4, symbols * 50 > n, symbols * 10 > n, "|" in body, 2 * capitals > spaced,
-        4 * letters < 3 * spaced, 4 * digits > spaced, body[-1] in ".!?", len(body) > 1 and not (body[-1].isalnum() or body[-2].isalnum()),
+        4 * letters < 3 * spaced, 4 * digits > spaced, len(body) > 1 and not (body[-1].isalnum() or body[-2].isalnum()),
         5 * body.count("!") > words, body[0] != lower[0], spaced > 12 * words,
+        not symbols and 4 * capitals <= spaced,
     )
     return sum(1 << i for i, t in enumerate(tests) if t)
 
