@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from priorframe.llm import byte_bpe, line_crf, mixing, records, sharding
+from priorframe.llm import byte_bpe, line_crf, mixing, records, sharding, toxicity
 from priorframe.llm.common import documents, table
 from priorframe.llm.registry import ORACLES, QUERIES, query
 
@@ -17,6 +17,11 @@ def capped_mix(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir))
 
 
+@query("op5_toxic_sentences")
+def toxic_sentences(spark, sf_dir):
+    return toxicity.score(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 @query("op7_line_quality")
 def line_quality(spark, sf_dir):
     return line_crf.quality(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
