@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from priorframe.llm import byte_bpe, line_crf, mixing, records, sharding, toxicity
+from priorframe.llm import byte_bpe, line_crf, mixing, records, setjoin, sharding, toxicity
 from priorframe.llm.common import documents, table
 from priorframe.llm.registry import ORACLES, QUERIES, query
 
@@ -42,4 +42,9 @@ def token_records(spark, sf_dir):
     return records.token_records(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op10_set_relation_join")
+def set_relation_join(spark, sf_dir):
+    return setjoin.near_duplicates(documents(spark, sf_dir))
+
+
 __all__ = ["ORACLES", "QUERIES"]
