@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from priorframe.llm import byte_bpe, line_crf, mixing, records, setjoin, sharding, toxicity
+from priorframe.llm import byte_bpe, collisions, line_crf, mixing, records, setjoin, sharding, suffix_index, toxicity
 from priorframe.llm.common import documents, table
 from priorframe.llm.registry import ORACLES, QUERIES, query
 
 
+@query("op2_suffix_levels")
+def suffix_levels(spark, sf_dir):
+    return suffix_index.repeated_text(documents(spark, sf_dir))
+
+
 @query("op3_minimax_shards")
 def minimax_shards(spark, sf_dir):
     return sharding.shard(documents(spark, sf_dir), shards=40)
@@ -22,6 +27,11 @@ def toxic_sentences(spark, sf_dir):
     return toxicity.score(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+@query("op6_projection_collisions")
+def projection_collisions(spark, sf_dir):
+    return collisions.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query("op7_line_quality")
 def line_quality(spark, sf_dir):
     return line_crf.quality(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
