@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from priorframe.llm import byte_bpe, collisions, line_crf, mixing, records, setjoin, sharding, suffix_index, toxicity
+from priorframe.llm import byte_bpe, collisions, katz, line_crf, mixing, records, setjoin, sharding, suffix_index, toxicity
 from priorframe.llm.common import documents, table
 from priorframe.llm.registry import ORACLES, QUERIES, query
 
 
+@query("op1_katz_backoff")
+def katz_backoff(spark, sf_dir):
+    return katz.score(documents(spark, sf_dir))
+
+
 @query("op2_suffix_levels")
 def suffix_levels(spark, sf_dir):
     return suffix_index.repeated_text(documents(spark, sf_dir))
