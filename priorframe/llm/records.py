@@ -34,8 +34,10 @@ FRAME = struct.Struct("<QI")
 HEAD = struct.Struct("<Bq")
 ENTRY = np.dtype([("offset", "<u8"), ("before", "<u8")])
 ROLL_BYTES = 64 << 20  # a file is closed once it is this large
+READ_IDS = 8_000_000  # ids read by one task, about
 READ_RECORDS = 1024  # records of one reading task row
-CACHED_WORDS = 400_000  # words whose ids a worker keeps
+CACHED_WORDS = 1_000_000  # words whose ids a worker keeps
+TAIL = b".,;:!?*&%$#"  # marks that the splitter always cuts off a letter or digit before them
 
 END_ID = 2
 MANIFEST = "part int, roll int, path string, records bigint, n_ids bigint"
@@ -77,19 +79,44 @@ class WordEncoder:
 
         self.tokenizer, self.dtype, self.cached = Tokenizer.from_file(vocabulary), np.dtype(dtype), cached
         self.known: dict[bytes, bytes] = {}
+        vocabulary_ids = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary_ids.values()) + 1, bool)
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends[[i for t, i in vocabulary_ids.items() if suffix and t.endswith(suffix)]] = True
+        self.joins = bool(suffix)
 
     def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > self.cached:
-            self.known, new = {}, list(words)
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        self.known.update(zip(new, (np.array(e.ids, self.dtype).tobytes() for e in found), strict=True))
+        if len(self.known) + len(words) > self.cached:
+            self.known = {}
+        cut = {}
+        for w in words:
+            core = w.rstrip(TAIL)
+            # Only behind an ASCII letter or digit is the cut certain.
+            cut[w] = (core, w[len(core) :]) if core and len(core) < len(w) and core[-1:].isalnum() else (w, b"")
+        known = self.known
+        new = {p for pair in cut.values() for p in pair if p and p not in known}
+        plain = [w for w in new if w.isalpha() or w.decode().isalpha()] if self.joins else []
+        if plain:
+            # A word of letters alone is one token sequence that ends in the end-of-word mark.
+            ids = np.array(self.tokenizer.encode(b" ".join(plain).decode(), add_special_tokens=False).ids, self.dtype)
+            last = np.flatnonzero(self.ends[ids]) + 1
+            if len(last) == len(plain):
+                data, width, start = ids.tobytes(), self.dtype.itemsize, 0
+                for w, end in zip(plain, (last * width).tolist(), strict=True):
+                    known[w] = data[start:end]
+                    start = end
+                new.difference_update(plain)
+        rest = list(new)
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)
+        known.update(zip(rest, (np.array(e.ids, self.dtype).tobytes() for e in found), strict=True))
+        known.update((w, known[core] + known[tail]) for w, (core, tail) in cut.items() if tail)
 
     def encode(self, text: str) -> bytes:
         words = text.encode().split()
-        missing = set(words).difference(self.known)
+        distinct = set(words)
+        missing = distinct.difference(self.known)
         if missing:
-            self.learn(set(words) if len(self.known) + len(missing) > self.cached else missing)
+            self.learn(distinct if len(self.known) + len(missing) > self.cached else missing)
         known = self.known
         return b"".join([known[w] for w in words])
 
@@ -200,7 +227,10 @@ def read_records(manifest: DataFrame, records: int = READ_RECORDS) -> DataFrame:
     files = running_totals(manifest.select("*", order), [], "file", {"base": "n_ids"})
     blocks = files.select(
         "path", "base", "records", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("records") - 1, F.lit(records).cast("bigint"))).alias("first")
-    ).repartition("path", "first")
+    )
+    # Blocks are small rows over large files: spread them by what they stand for, not by their bytes.
+    n_ids = manifest.agg(F.coalesce(F.sum("n_ids"), F.lit(0))).first()[0]
+    blocks = blocks.repartition(max(1, n_ids // READ_IDS), "path", "first")
 
     def read(batches):
         for batch in batches:
