@@ -1,17 +1,65 @@
-"""The corpus pipeline: five stages from documents to token statistics."""
+"""The corpus pipeline: five stages from documents to token statistics.
+
+Every stage works on all rows that the stage before kept. The first four return the columns of
+``documents``; the last returns one row of token figures for every row it gets.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from priorframe.llm import byte_bpe, line_crf, mixing, setjoin, suffix_index
+from priorframe.llm.common import documents, table, written_once
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules and the line field keep."""
+    return line_crf.keep_content(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of every group of linked documents. Documents without an id stay
+    if no document of their group has one."""
+    groups = setjoin.near_duplicates(docs)
+    later = written_once(groups.where("not (doc_id <=> component_id)").select("doc_id").distinct(), "pipeline-later")
+    return docs.join(later, docs.doc_id.eqNullSafe(later.doc_id), "left_anti")
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without passages that a document with a smaller id has."""
+    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    cut = suffix_index.repeated_text(docs, keep_text=True, carry=others).withColumnRenamed("kept", "text")
+    if "n_chars" in others:
+        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return cut.select(*docs.columns)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated or left out so that sources meet their target weights."""
+    return mixing.mixed_rows(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token figures of every row, and the digest of the text decoded from its tokens."""
+    import public_tokenizers
+
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.round_trip(docs, vocabulary, public_tokenizers.PATTERN)
 
-from priorframe.llm.common import documents, written_once
 
-STAGES: list = []
-ORACLE_SQL = None
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("source_mix", source_mix),
+    ("tokens", tokens),
+]
+ORACLE_SQL = None  # trained models, a transducer and set joins are beyond SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    for name, stage in STAGES:
-        docs = written_once(stage(spark, docs, sf_dir), name)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = written_once(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

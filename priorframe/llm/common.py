@@ -44,7 +44,18 @@ def crc_bucket(doc_id: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts
 
 
+def labelled_sample(labels: DataFrame, mark: str, per_class: int, seed: int) -> DataFrame:
+    """(doc_id, mark): at most ``per_class`` labelled ids of class 0 and of class 1.
+
+    The ids with the smallest hashes, so the sample is seeded and bounded: it may be broadcast.
+    """
+    ids = labels.select("doc_id", F.col(mark).cast("int").alias(mark)).where(f"doc_id is not null and {mark} in (0, 1)")
+    ids = ids.groupBy("doc_id").agg(F.max(mark).alias(mark)).withColumn("draw", F.xxhash64("doc_id", F.lit(seed)))
+    parts = [ids.where(F.col(mark) == c).orderBy("draw", "doc_id").limit(per_class) for c in (0, 1)]
+    return parts[0].unionAll(parts[1]).select("doc_id", mark)
+
+
 __all__ = [
-    "BATCH_ROWS", "WORD", "WORD_SPACE", "columns_of", "crc_bucket", "documents", "short_batches",
+    "BATCH_ROWS", "WORD", "WORD_SPACE", "columns_of", "crc_bucket", "documents", "labelled_sample", "short_batches",
     "table", "words_in", "written_once",
 ]

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from priorframe.llm.common import columns_of, short_batches
+from priorframe.llm.common import columns_of, labelled_sample, short_batches
 
 # The symbols that the rules count.
 SYMBOLS = "#*$%&|<>"
@@ -190,16 +190,21 @@ class Decoder:
         return out[::-1]
 
 
+def judge(text: str, decoder: Decoder, min_share: float) -> tuple[list[int], bool, bool, float, list[bool]]:
+    """Rule figures, whether they fail, the verdict, the share of words in content lines, the line labels."""
+    *figures, lines = base_rules(text)
+    content = decoder.labels(chain(lines))
+    share = sum(len(line.encode().split()) for line, c in zip(lines, content, strict=True) if c) / max(1, figures[0])
+    failed = figures[0] < MIN_WORDS or 100 * figures[4] > MAX_REPEAT_PERCENT * figures[0]
+    return figures, failed, not failed and share >= min_share, share, content
+
+
 def training_chains(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple[list[list[int]], list[int]]:
     """Feature bits of a bounded sample: the ``train_docs`` labelled documents of each class with the
     smallest hashed id. Only bits reach the driver."""
     spark = docs.sparkSession
-    marked = labels.select("doc_id", "quality").where("doc_id is not null and quality in (0, 1)")
-    total = dict(marked.groupBy("quality").count().collect())
-    # A hash threshold keeps a little more than wanted, so that no sort of all labels is needed.
-    chance = F.create_map(*[F.lit(v) for q in (0, 1) for v in (q, min(1.0, 1.2 * train_docs / max(1, total.get(q, 0))))])
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) / float(1 << 30)
-    some = marked.where(draw < chance[F.col("quality")]).dropDuplicates(["doc_id"])
+    # Bounded by twice ``train_docs`` ids, hence broadcast: texts are not shuffled.
+    some = F.broadcast(labelled_sample(labels, "quality", train_docs, 5))
     texts = columns_of(docs, ["doc_id", "text"]).join(some, "doc_id").select("doc_id", "quality", "text")
     short_batches(spark)
 
@@ -232,14 +237,26 @@ def quality(docs: DataFrame, labels: DataFrame, min_share: float = MIN_CONTENT_S
         for batch in batches:
             out = []
             for text in batch.column(1).to_pylist():
-                *figures, lines = base_rules(text or "")
-                content = decoder.labels(chain(lines))
-                share = sum(len(line.encode().split()) for line, c in zip(lines, content, strict=True) if c) / max(1, figures[0])
-                failed = figures[0] < MIN_WORDS or 100 * figures[4] > MAX_REPEAT_PERCENT * figures[0]
-                out.append([*figures, failed, not failed and share >= min_share, share] + [content] * keep_lines)
+                figures, failed, kept, share, content = judge(text or "", decoder, min_share)
+                out.append([*figures, failed, kept, share] + [content] * keep_lines)
             columns = list(zip(*out, strict=True)) or [[]] * (8 + keep_lines)
             kinds = [pa.int64()] * 5 + [pa.bool_(), pa.bool_(), pa.float64()] + [pa.list_(pa.bool_())] * keep_lines
             arrays = [batch.column(0).cast(pa.int64()), *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", *names, "base_failed", "kept", "content_share"] + ["line_is_content"] * keep_lines)
 
     return columns_of(docs, ["doc_id", "text"]).mapInArrow(run, schema)
+
+
+def keep_content(docs: DataFrame, labels: DataFrame, min_share: float = MIN_CONTENT_SHARE) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``quality`` keeps; texts are filtered where they are read."""
+    weights, moves = fit(*training_chains(docs, labels))
+    model = ([float(w) for w in weights], [[float(v) for v in row] for row in moves])
+    short_batches(docs.sparkSession)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        decoder = Decoder(*model)
+        for batch in batches:
+            yield batch.filter(pa.array([judge(t or "", decoder, min_share)[2] for t in batch.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

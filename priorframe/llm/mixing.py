@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from priorframe.llm.common import columns_of, words_in, written_once
+from priorframe.llm.common import WORD, columns_of, words_in, written_once
 from priorframe.operators.ordering import row_positions
 
 SEED = 17
@@ -91,6 +91,7 @@ def mix(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Words of every document that the mixture takes.
 
@@ -98,21 +99,24 @@ def mix(
     fractional repetition). NULL text has no words and is taken 0 times; NULL is a source of its own,
     last in order. Rows with equal draws (repeated rows) on the boundary share what is left evenly, so a
     source may miss its target by less than one word for each of them. The draw is a hash of seed, id and
-    text: reruns agree. An empty table gives an empty result; other columns are ignored.
+    text: reruns agree. An empty table gives an empty result; other columns are ignored
+    but for those that ``carry`` names, which are passed on.
     """
+    passed = [f"_carried_{i}" for i in range(len(carry))]
     key = F.concat(F.when(F.col("source").isNull(), "1").otherwise("0"), F.coalesce(F.col("source"), F.lit("")))
-    items = written_once(
-        columns_of(docs, [id_col, text_col, source_col])
-        .toDF("doc_id", "text", "source")
+    drawn = (
+        columns_of(docs, [id_col, text_col, source_col, *carry])
+        .toDF("doc_id", "text", "source", *passed)
         .select(
             "doc_id",
             "source",
             key.alias("source_key"),
             words_in(F.col("text")).alias("size"),
             F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text"), 4).alias("u"),
-        ),
-        "mix-items",
+            *passed,
+        )
     )
+    items = written_once(drawn.drop(*passed), "mix-items")
     sizes = items.groupBy("source_key").agg(F.sum("size").alias("source_size"))
     weight = F.element_at(F.array(*map(F.lit, weights)), ((F.col("place") - 1) % len(weights) + 1).cast("int"))
     sources = written_once(
@@ -137,7 +141,7 @@ def mix(
         .cast("bigint")
     )
     return (
-        items.join(plan.drop("extra").join(ends, "source_key", "left"), "source_key")
+        (drawn if carry else items).join(plan.drop("extra").join(ends, "source_key", "left"), "source_key")
         .withColumn("extra", part)
         .select(
             "doc_id",
@@ -148,5 +152,20 @@ def mix(
             "source",
             "repeats",
             "extra",
+            *[F.col(p).alias(c) for p, c in zip(passed, carry, strict=True)],
         )
     )
+
+
+def mixed_rows(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` as the mixture takes them: each whole repetition is a row, and a fractional one
+    is a row with as many of the leading words as are taken (the whole text, if all are)."""
+    others = tuple(c for c in docs.columns if c not in ("doc_id", "source"))
+    taken = mix(docs, carry=tuple(others), **options)
+    words = F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col("extra").cast("int"))
+    part = F.when(F.col("_extra"), F.when(F.col("extra") == F.col("size"), F.col("text")).otherwise(F.array_join(words, " "))).otherwise(F.col("text"))
+    copies = F.concat(F.array_repeat(F.lit(False), F.col("repeats").cast("int")), F.when(F.col("extra") > 0, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>")))
+    rows = taken.where("size > 0").withColumn("_extra", F.explode(copies)).withColumn("text", part)
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return rows.select(*docs.columns)

@@ -45,7 +45,7 @@ KEYS_DDL = "bucket int, block int, keys binary, many binary"
 FOUND_DDL = "block int, keys binary, tier binary"
 SEGMENTS = pa.schema([(c, pa.int32() if c in ("bucket", "block") else pa.binary()) for c in ("bucket", "block", "keys", "orders", "lengths", "body")])
 ANSWERS = pa.schema([(c, pa.int32() if c == "block" else pa.binary()) for c in ("block", "ids", "orders", "lengths", "flags")])
-RESULT = pa.schema([("h", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
+RESULT = pa.schema([("h", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())])
 
 
 def _ddl(schema: pa.Schema) -> str:
@@ -265,7 +265,7 @@ def settle(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, ANSWERS, strict=True)], schema=ANSWERS)
 
 
-def cut(left: pa.Table, right: pa.Table, keep_bytes: bool) -> pa.Table:
+def cut(left: pa.Table, right: pa.Table, keep_text: bool) -> pa.Table:
     """What every text of a block keeps."""
     hs, bodies = unique_rows(left)
     (found, tiers), orders = _found(right), _orders(right)
@@ -313,22 +313,24 @@ def cut(left: pa.Table, right: pa.Table, keep_bytes: bool) -> pa.Table:
             r = removed[x:y]
             body = w.data[x:y][~r].tobytes()
             spans = int(np.count_nonzero(r[1:] & ~r[:-1])) + int(len(r) > 0 and r[0])
-            rows.append((hs[a + j], int(y - x), int(r.sum()), spans, hashlib.sha256(body).hexdigest(), body if keep_bytes else None))
+            rows.append((hs[a + j], int(y - x), int(r.sum()), spans, hashlib.sha256(body).hexdigest(), body.decode(errors="ignore") if keep_text else None))
     columns = list(zip(*rows, strict=True)) or [[]] * len(RESULT)
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, RESULT, strict=True)], schema=RESULT)
 
 
-def repeated_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_bytes: bool = False) -> DataFrame:
+def repeated_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept]) of every row.
 
     NULL text is empty and keeps nothing of nothing. A NULL id is larger than every id; rows with one id
     do not remove from each other. Texts of fewer than ``LENGTH`` bytes lose nothing. An empty table gives an
     empty result; other columns of ``docs`` are ignored. Segments are told apart by 64-bit hashes.
-    ``keep_bytes`` adds the remaining bytes.
+    ``keep_text`` adds the text of the remaining bytes, without characters of which a part went; ``carry``
+    names columns of ``docs`` that are passed on.
     """
-    rows = columns_of(docs, [id_col, text_col]).toDF("doc_id", "text")
+    passed = [f"_carried_{i}" for i in range(len(carry))]
+    rows = columns_of(docs, [id_col, text_col, *carry]).toDF("doc_id", "text", *passed)
     order = F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1))
-    member = rows.select("doc_id", order.alias("order"), F.xxhash64("text").alias("h"), F.octet_length("text").cast("bigint").alias("n"))
+    member = rows.select("doc_id", order.alias("order"), F.xxhash64("text").alias("h"), F.octet_length("text").cast("bigint").alias("n"), *passed)
     first = member.where("n is not null").groupBy("h").agg(F.min("order").alias("first"))
     texts, blocks, buckets = blocked(rows)
     parts = max(1, -(-blocks * BLOCK_BYTES // BUCKET_BYTES))
@@ -353,7 +355,7 @@ def repeated_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     answers = segments.groupBy("bucket").applyInArrow(settle, _ddl(ANSWERS))
     told = known.unionByName(answers, allowMissingColumns=True)
     judged = texts.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
-        lambda left, right: cut(left, right, keep_bytes) if left.num_rows else RESULT.empty_table(), _ddl(RESULT)
+        lambda left, right: cut(left, right, keep_text) if left.num_rows else RESULT.empty_table(), _ddl(RESULT)
     )
     # Documents after the first one of an equal text repeat it whole.
     judged = judged.join(first, "h")
@@ -367,5 +369,6 @@ def repeated_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         pick((F.col("n"), zero), "n_removed").alias("n_removed"),
         pick((F.lit(1).cast("bigint"), zero), "n_spans").alias("n_spans"),
         pick((nothing, nothing), "kept_sha256").alias("kept_sha256"),
-        *[pick((F.lit(b""), F.lit(b"")), "kept").alias("kept")] * keep_bytes,
+        *[pick((F.lit(""), F.lit("")), "kept").alias("kept")] * keep_text,
+        *[F.col(p).alias(c) for p, c in zip(passed, carry, strict=True)],
     )

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from priorframe.llm.common import columns_of, crc_bucket, short_batches
+from priorframe.llm.common import columns_of, crc_bucket, labelled_sample, short_batches
 
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD_OF_SENTENCE = re.compile(r"\w+")
@@ -98,18 +98,16 @@ def fit(docs: list[np.ndarray], labels: list[int], words: int, rounds: int = ROU
 
 
 def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, min_docs: int = MIN_DOCS) -> tuple[dict[str, float], float]:
-    """Fit on at most about ``train_docs`` labelled documents of each class, outside the held-out third.
+    """Fit on at most ``train_docs`` labelled documents of each class, outside the held-out third.
 
-    The sample is the documents with the smallest hashed ids. The driver gets the sample's words that
+    The sample is the labelled documents with the smallest hashed ids. The driver gets the sample's words that
     are in ``min_docs`` of its documents and the documents as word numbers: both bounded by the sample.
     """
     spark = docs.sparkSession
-    marked = labels.select("doc_id", "toxic").where("doc_id is not null and toxic in (0, 1)")
-    marked = marked.where(crc_bucket(F.col("doc_id"), HELD_OUT_PARTS) != HELD_OUT).dropDuplicates(["doc_id"])
-    total = dict(marked.groupBy("toxic").count().collect())
-    chance = F.create_map(*[F.lit(v) for c in (0, 1) for v in (c, min(1.0, train_docs / max(1, total.get(c, 0))))])
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
-    sample = columns_of(docs, ["doc_id", "text"]).join(marked.where(draw < chance[F.col("toxic")]), "doc_id")
+    allowed = labels.where(crc_bucket(F.col("doc_id"), HELD_OUT_PARTS) != HELD_OUT)
+    # Bounded by twice ``train_docs`` ids, hence broadcast: texts are not shuffled.
+    marked = F.broadcast(labelled_sample(allowed, "toxic", train_docs, 11))
+    sample = columns_of(docs, ["doc_id", "text"]).join(marked, "doc_id")
     short_batches(spark)
 
     def distinct(batches):
