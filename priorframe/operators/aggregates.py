@@ -11,7 +11,6 @@ from priorframe.functions.numbers import lenient_number
 
 # Cell texts that count as missing.
 MISSING = ["", "-1", "NA", "N/A", "nan"]
-DOMAIN_LIMIT = 128
 
 
 def class_counts(df: DataFrame, by: Sequence[str], label: str) -> DataFrame:
@@ -86,21 +85,24 @@ def long_cells(df: DataFrame, keep: Sequence[str], columns: Sequence[str]) -> Da
     return df.select(*keep, F.explode(cells).alias("_c")).select(*keep, "_c.field", "_c.value")
 
 
+def column_domain(df: DataFrame, split: str, columns: Sequence[str]) -> DataFrame:
+    """(split, field, value, n): every distinct value of every column, however many, with its rows."""
+    return long_cells(df, [split], columns).groupBy(split, "field", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def column_profile(df: DataFrame, split: str, columns: Sequence[str], dated: Sequence[str]):
-    """Per split and column: numeric range, bounded domain, years, unparsed years.
+    """Per split and column: number of values, numeric range, years, unparsed years.
 
     Cells are counted per distinct value first, so a constant column costs one row
-    per task in the shuffle. A domain is listed only for the columns found to have
-    at most DOMAIN_LIMIT values.
+    per task in the shuffle. ``column_domain`` lists the values.
     """
-    cells = long_cells(df, [split], columns)
-    counts = cells.groupBy(split, "field", "value").agg(F.count(F.lit(1)).alias("n"))
+    counts = column_domain(df, split, columns)
     v, n = F.col("value"), F.col("n")
     number = lenient_number(v)
     year_ok = v.rlike(r"^(19|20)\d{2}($|[-/ T])")
     is_dated = F.col("field").isin(*dated)
     year = F.when(is_dated & year_ok, F.substring(v, 1, 4).try_cast("int"))
-    stats = counts.groupBy(split, "field").agg(
+    return counts.groupBy(split, "field").agg(
         F.count(v).alias("n_values"),
         F.sum(F.when(number.isNotNull(), n).otherwise(0)).alias("numeric_count"),
         F.min(number).alias("numeric_min"),
@@ -109,15 +111,6 @@ def column_profile(df: DataFrame, split: str, columns: Sequence[str], dated: Seq
         F.max(year).cast("bigint").alias("last_year"),
         F.sum(F.when(is_dated & ~year_ok & ~v.isin(*MISSING), n).otherwise(0)).alias("year_unparsed"),
     )
-    short = stats.where(F.col("n_values") <= DOMAIN_LIMIT).select(split, "field")
-    domains = (
-        counts.join(short, [split, "field"], "left_semi")
-        .groupBy(split, "field")
-        .agg(F.array_join(F.array_sort(F.collect_list(v)), "|").alias("domain"))
-    )
-    return stats.join(domains, [split, "field"], "left").withColumn(
-        "truncated", F.col("n_values") > DOMAIN_LIMIT
-    )
 
 
 def grain(df: DataFrame, key_lists: Sequence[Sequence[str]]) -> DataFrame:
@@ -141,16 +134,20 @@ def grain(df: DataFrame, key_lists: Sequence[Sequence[str]]) -> DataFrame:
     )
 
 
+# Words of a name that mark the lower and the upper of two columns.
+LOWER_UPPER = {"min": "max", "minimum": "maximum"}
+
+
 def min_max_pairs(columns: Sequence[str]) -> list[tuple[str, str]]:
-    """Column pairs whose names differ only by a min/max marker."""
-    markers = (("_min", "_max"), ("min_", "max_"), ("minimum", "maximum"))
-    found = {
-        (c, c.replace(low, high))
-        for c in columns
-        for low, high in markers
-        if low in c and c.replace(low, high) in columns
-    }
-    return sorted(found)
+    """Column pairs whose names, read as words, are the same but for one lower and upper mark."""
+    named = {tuple(c.split("_")): c for c in columns}
+    pairs = []
+    for words, low in named.items():
+        for at, word in enumerate(words):
+            high = named.get((*words[:at], LOWER_UPPER.get(word), *words[at + 1 :]))
+            if high:
+                pairs.append((low, high))
+    return sorted(pairs)
 
 
 def min_max_violations(df: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -212,8 +212,11 @@ def prose_claims(docs: DataFrame, key: str, text: str, facts: DataFrame) -> Data
     )
 
 
+# Forms of a year range and of a bin in a text, and the dictionary row that lists bins.
 YEAR_CLAIM = r"(?i)\b(?:train(?:ing)?|eval|holdout)\s+(?:rows\s+cover\s+|years?\s+|period\s+)?(?:19|20)\d{2}\s*[-–]\s*(?:19|20)\d{2}"
 BIN_CLAIM = r"\b\d+\s*[-–]\s*\d+|\b\d+\+"
+BIN = r"^(\d+-\d+|\d+\+)$"
+DICTIONARY_ROW = r"^\s*\|\s*`([^`]+)`\s*\|(.+)"
 
 
 def year_range_claims(docs: DataFrame, key: str, text: str, facts: DataFrame) -> DataFrame:
@@ -237,34 +240,23 @@ def year_range_claims(docs: DataFrame, key: str, text: str, facts: DataFrame) ->
     return parts.join(facts, "split", "left").withColumn("ok", F.coalesce(same, F.lit(False)))
 
 
-def dictionary_bins(docs: DataFrame, key: str, text: str, profile: DataFrame) -> DataFrame:
-    """Dictionary rows ``| `column` | bins ... |`` whose bins miss one that the rows hold.
+def dictionary_bins(docs: DataFrame, key: str, text: str, domain: DataFrame) -> DataFrame:
+    """Dictionary rows ``| `column` | bins ... |`` beside the bins that the data holds, per split.
 
-    ``profile`` is a ``column_profile``: its domains are listed only while bounded. A
-    declared bin need not occur in every split; an observed one must be declared.
+    ``domain`` is a ``column_domain``. Declared and observed bins are rows that meet in one join, so a
+    column may have any number of bins; ``undeclared_bins`` counts observed ones that no text of the row
+    names. A row that names no bin, or a column without bins, makes no claim.
     """
-    bins = F.filter(F.split("domain", r"\|"), lambda v: v.rlike(r"^(\d+-\d+|\d+\+)$"))
-    observed = profile.where("domain IS NOT NULL").select(
-        F.col("field").alias("column_name"), "split", bins.alias("observed")
-    )
-    line = F.explode(F.split(text, "\n"))
-    rows = docs.select(key, line.alias("_l")).where(F.col("_l").rlike(r"^\s*\|\s*`[^`]+`\s*\|"))
-    declared = rows.select(
-        key,
-        F.regexp_extract("_l", r"^\s*\|\s*`([^`]+)`", 1).alias("column_name"),
-        F.transform(
-            F.regexp_extract_all(
-                F.regexp_extract("_l", r"^\s*\|\s*`[^`]+`\s*\|(.+)", 1), F.lit(f"({BIN_CLAIM})"), F.lit(1)
-            ),
-            lambda b: F.regexp_replace(F.regexp_replace(b, r"\s", ""), "–", "-"),
-        ).alias("bins"),
-    ).where(F.size("bins") > 0)
-    return declared.join(observed, "column_name").select(
-        key,
-        "column_name",
-        "split",
-        F.size("observed").cast("bigint").alias("observed_bins"),
-        F.size(F.array_except("observed", "bins")).cast("bigint").alias("undeclared_bins"),
+    observed = domain.where(F.col("value").rlike(BIN)).select(F.col("field").alias("column_name"), "split", F.col("value").alias("bin"))
+    size = observed.groupBy("column_name", "split").agg(F.count(F.lit(1)).alias("observed_bins"))
+    lines = docs.select(key, F.posexplode(F.split(text, "\n")).alias("_at", "_line")).where(F.col("_line").rlike(DICTIONARY_ROW))
+    said = F.regexp_extract_all(F.regexp_extract("_line", DICTIONARY_ROW, 2), F.lit(f"({BIN_CLAIM})"), F.lit(1))
+    claims = lines.select(key, "_at", F.regexp_extract("_line", DICTIONARY_ROW, 1).alias("column_name"), F.explode(said).alias("bin"))
+    declared = claims.withColumn("bin", F.translate(F.regexp_replace("bin", r"\s", ""), "–", "-")).distinct()
+    rows = declared.select(key, "_at", "column_name").distinct().join(size, "column_name")
+    met = declared.join(observed, ["column_name", "bin"]).groupBy(key, "_at", "column_name", "split").agg(F.count(F.lit(1)).alias("_met"))
+    return rows.join(met, [key, "_at", "column_name", "split"], "left").select(
+        key, "column_name", "split", "observed_bins", (F.col("observed_bins") - F.coalesce("_met", F.lit(0))).alias("undeclared_bins")
     )
 
 

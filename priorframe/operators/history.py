@@ -7,6 +7,8 @@ window stays bounded by the calendar and same-day rows share one prior state.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -146,17 +148,19 @@ def next_event(rows: DataFrame, keys: Sequence[str], time: str, order: str, take
     """Each row beside the entity's next row by (day, ``order``), columns prefixed ``next_``.
 
     Inside a day the next row comes from a (keys, day) window; the last row of a day
-    takes the first row of the entity's next day, found on the day grain.
+    takes the first row of the entity's next day, found on the day grain. A row without
+    a key or a day stays, without a next row.
     """
     keys = list(keys)
     packed = F.struct(*[F.col(c) for c in take])
     base = rows.withColumn("_day", day_number(time)).withColumn("_self", packed)
     firsts = base.groupBy(*keys, "_day").agg(F.min_by("_self", F.col(order)).alias("_first"))
     by_day = Window.partitionBy(*keys).orderBy("_day")
-    firsts = firsts.select(*keys, "_day", F.lead("_first").over(by_day).alias("_next_day"))
+    known = reduce(and_, [F.col(c).isNotNull() for c in [*keys, "_day"]])
+    firsts = firsts.where(known).select(*keys, "_day", F.lead("_first").over(by_day).alias("_next_day"))
     in_day = Window.partitionBy(*keys, "_day").orderBy(order)
-    out = base.join(firsts, [*keys, "_day"]).withColumn(
-        "_next", F.coalesce(F.lead("_self").over(in_day), F.col("_next_day"))
+    out = base.join(firsts, [*keys, "_day"], "left").withColumn(
+        "_next", F.when(known, F.coalesce(F.lead("_self").over(in_day), F.col("_next_day")))
     )
     for c in take:
         out = out.withColumn(f"next_{c}", F.col(f"_next.{c}"))

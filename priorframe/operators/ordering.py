@@ -69,9 +69,21 @@ def running_totals(
 
     ``df`` must hold one row per (part, order); ``sums`` maps a new column name to
     the column it totals, and ``totals`` a new name to a column whose whole-part sum is
-    wanted as well. NULL parts are not expected.
+    wanted as well. A NULL part is a part of its own.
     """
-    part, totals = list(part), totals or {}
+    if part:
+        # As one struct, so that joins meet NULL parts as well.
+        rest = [c for c in df.columns if c not in part]
+        packed = df.select(F.struct(*part).alias("_part"), *rest)
+        out = _running_totals(packed, ["_part"], order, sums, totals)
+        return out.select("_part.*", *[c for c in out.columns if c != "_part"])
+    return _running_totals(df, [], order, sums, totals)
+
+
+def _running_totals(
+    df: DataFrame, part: list[str], order: str, sums: dict[str, str], totals: dict[str, str] | None
+) -> DataFrame:
+    totals = totals or {}
     carried = sorted({*sums.values(), *totals.values()})
     tagged = with_ranges(df, part, order, carried)
     per_range = tagged.groupBy(*part, "_range").agg(

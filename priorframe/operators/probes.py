@@ -23,18 +23,14 @@ from priorframe.operators.history import at_offset, trailing
 from priorframe.operators.metrics import auc_of_levels
 from priorframe.operators.ordering import row_positions, value_ranks
 
-# Selection limits of the token and successor probes.
-TOKEN_LIMIT = 80
+# Support that a token needs, and the offsets of the successor probe.
 TOKEN_ROWS = 10
-MAX_COLUMNS = 128
 OFFSETS = (1, 2, 7, 30, 365, 366)
 
 
 def require_label_free(panel: DataFrame, target: str) -> DataFrame:
     if target in panel.columns:
         raise ValueError(f"target column {target!r} entered a feature-only panel")
-    if len(panel.columns) > MAX_COLUMNS:
-        raise ValueError(f"more than {MAX_COLUMNS} feature columns")
     return panel
 
 
@@ -72,61 +68,55 @@ def row_order_probe(panel: DataFrame, split: str, row_id: str) -> DataFrame:
     )
 
 
-def frequent_tokens(panel: DataFrame, text: str) -> DataFrame:
-    """The TOKEN_LIMIT most frequent words and word pairs, at TOKEN_ROWS rows or more."""
-    counts = (
-        panel.select(F.explode(word_tokens(F.col(text))).alias("token"))
-        .groupBy("token")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return counts.where(F.col("n") >= TOKEN_ROWS).orderBy(F.desc("n"), "token").limit(TOKEN_LIMIT)
-
-
-def token_probe(panel: DataFrame, keep: Sequence[str], text: str) -> DataFrame:
-    """0/1 score per row and frequent token.
+def token_hits(panel: DataFrame, split: str, text: str, min_rows: int = TOKEN_ROWS) -> DataFrame:
+    """(probe, split, n_rows, hits): the 0/1 probe of every word and word pair in ``min_rows`` rows or more.
 
-    The selected tokens are one bounded array, so a row is tested in place and the
-    texts are never shuffled.
+    A 0/1 score is told in full by its counts, so tokens shrink to one row per (token, split) on the
+    map side and no row is repeated per token. Splits without a hit are listed with 0; there is one
+    map entry a split, not a token.
     """
-    chosen = frequent_tokens(panel, text).agg(F.array_sort(F.collect_list("token"))).scalar()
-    own = word_tokens(F.col(text))
-    tested = panel.select(*keep, F.array_intersect(chosen, own).alias("_hit"), chosen.alias("_all"))
-    return tested.select(*keep, "_hit", F.explode("_all").alias("token")).select(
-        *keep,
-        F.concat(F.lit("token:"), "token").alias("probe"),
-        F.array_contains("_hit", F.col("token")).cast("double").alias("score"),
+    found = panel.select(split, F.explode(word_tokens(F.col(text))).alias("token"))
+    per_split = found.groupBy("token", split).agg(F.count(F.lit(1)).alias("n"))
+    per_token = per_split.groupBy("token").agg(
+        F.sum("n").alias("_all"), F.map_from_entries(F.collect_list(F.struct(split, "n"))).alias("_hits")
+    )
+    sizes = panel.groupBy(split).agg(F.count(F.lit(1)).alias("n")).agg(F.collect_list(F.struct(split, "n"))).scalar()
+    return (
+        per_token.where(F.col("_all") >= min_rows)
+        .select("token", "_hits", F.explode(sizes).alias("_s"))
+        .select(
+            F.concat(F.lit("token:"), "token").alias("probe"),
+            F.col(f"_s.{split}").alias(split),
+            F.col("_s.n").alias("n_rows"),
+            F.coalesce(F.try_element_at("_hits", F.col(f"_s.{split}")), F.lit(0)).cast("bigint").alias("hits"),
+        )
     )
 
 
 # Names that make a column an entity key or an operand of a successor probe.
 KEY_NAMES = r"id|island|country|origin|asylum|station|site|authority|beds|rating|sector"
 OPERAND_NAMES = r"lag|prior|last|mean|rate|count|since"
-MAX_KEYS = 8
-TEXT_LENGTH = 15
 
 
 def successor_candidates(panel: DataFrame, time: str) -> tuple[list[list[str]], list[str]]:
     """(key sets, operands) of the exploratory successor probe, chosen without labels.
 
-    A key is named like one and repeats: it has more than one value and fewer than half
-    as many as there are rows. Keys are tried alone and in pairs. The plan needs the
-    names, so one aggregate runs here and returns one row.
+    A key is named like one and has more than one value. All keys are tried, alone and in pairs,
+    with all operands. The plan needs the names, so one aggregate runs here and returns one row.
     """
     named = [c for c in sorted(panel.columns) if c != time and re.search(KEY_NAMES, c)]
-    operands = [c for c in sorted(panel.columns) if re.search(OPERAND_NAMES, c)][:MAX_KEYS]
+    operands = [c for c in sorted(panel.columns) if re.search(OPERAND_NAMES, c)]
     if not named:
         return [], operands
-    row = panel.agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.countDistinct(c).alias(c) for c in named]
-    ).first()
-    keys = [c for c in named if 1 < row[c] < max(2, row["_rows"] // 2)][:MAX_KEYS]
+    row = panel.agg(*[(F.min(c) < F.max(c)).alias(c) for c in named]).first()
+    keys = [c for c in named if row[c]]
     return [[c] for c in keys] + [list(p) for p in combinations(keys, 2)], operands
 
 
 def text_columns(panel: DataFrame, columns: Sequence[str]) -> list[str]:
-    """Columns whose longest value is long enough to hold words; one aggregate, one row."""
-    row = panel.agg(*[F.max(F.length(F.col(c).cast("string"))).alias(c) for c in columns]).first()
-    return [c for c in columns if (row[c] or 0) > TEXT_LENGTH]
+    """Columns of text: those of string type, whatever the length of their values."""
+    kinds = dict(panel.dtypes)
+    return [c for c in columns if kinds[c] == "string"]
 
 
 def informative(scores: DataFrame, by: Sequence[str], kind: str = "kind") -> DataFrame:
@@ -137,26 +127,17 @@ def informative(scores: DataFrame, by: Sequence[str], kind: str = "kind") -> Dat
     return scores.join(kept.where("_any AND _varied").select(*by), by, "left_semi")
 
 
-FLAG_LIMIT = 40
-
-
 def findings(results: DataFrame, kind: str = "kind") -> DataFrame:
     """Failures (an exact probe that covers rows without one error) and the strongest flags.
 
-    All failures are kept. Flags, probes with a covered AUC beyond 0.95 either way, are
-    a report of the FLAG_LIMIT strongest.
+    All failures and all flags, probes with a covered AUC beyond 0.95 either way, are kept.
     """
     exact = F.col(kind) == "exact"
     strength = F.greatest("auc_covered", 1 - F.col("auc_covered"))
     failures = results.where(exact & (F.col("covered") >= 1) & (F.col("errors") == 0)).withColumn(
         "finding", F.lit("failure")
     )
-    flags = (
-        results.where(~exact & (strength > 0.95))
-        .orderBy(F.desc(strength), "probe", "split")
-        .limit(FLAG_LIMIT)
-        .withColumn("finding", F.lit("flag"))
-    )
+    flags = results.where(~exact & (strength > 0.95)).withColumn("finding", F.lit("flag"))
     return failures.unionByName(flags)
 
 
@@ -217,7 +198,9 @@ def exploratory_successors(
                 *[
                     F.struct(
                         F.lit("+".join(k)).alias("key_set"),
-                        F.concat_ws("|", *[F.col(c).cast("string") for c in k]).alias("key"),
+                        F.to_json(
+                            F.struct(*[F.col(c).cast("string").alias(c) for c in k]), {"ignoreNullFields": "false"}
+                        ).alias("key"),
                     )
                     for k in key_sets
                 ]
@@ -527,7 +510,7 @@ OUTCOME_WORDS = ["label", "target", "outcome", "expected_verdict", "->", "→"]
 OUTCOME = r"(?i)\b(label|target|outcome|expected_verdict)\s*[=:]?\s*[`\"']?[01]\b|(->|→)\s*[01]\b"
 DATE = r"\b((?:19|20)\d{2}-\d{2}-\d{2})\b"
 PLACEHOLDER = r"(@@[A-Za-z][A-Za-z0-9_]*@@)"
-TOKEN = r"([A-Za-z0-9_:./#-]+)"
+TOKEN = r"([\p{L}\p{N}_:./-]+)"  # word characters of any script, colon, dot, slash, hyphen
 
 
 def dated_outcomes(docs: DataFrame, key: str, text: str, windows: Sequence[tuple[str, str]]):

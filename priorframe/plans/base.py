@@ -85,16 +85,27 @@ MONTHLY = """mo AS (
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL)"""
 
 
-def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with a quality label; thirds by id are train, eval and holdout."""
-    d = table(spark, sf_dir, "documents")
-    y = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("bigint").alias("y"))
-    split = (
+def _document_split():
+    return (
         F.when(F.pmod("doc_id", F.lit(3)) == 0, "eval")
         .when(F.pmod("doc_id", F.lit(3)) == 1, "holdout")
         .otherwise("train")
     )
-    return d.join(y, "doc_id").withColumn("split", split)
+
+
+def split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents; thirds by id are train, eval and holdout."""
+    return table(spark, sf_dir, "documents").withColumn("split", _document_split())
+
+
+SPLIT_DOCUMENTS = """sd AS (
+  SELECT *, CASE doc_id % 3 WHEN 0 THEN 'eval' WHEN 1 THEN 'holdout' ELSE 'train' END AS split FROM documents)"""
+
+
+def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a quality label; thirds by id are train, eval and holdout."""
+    y = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("bigint").alias("y"))
+    return split_documents(spark, sf_dir).join(y, "doc_id")
 
 
 LABELLED = """ld AS (

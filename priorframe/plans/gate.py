@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from priorframe.operators import gate as ops
-from priorframe.operators.aggregates import class_counts, column_profile
+from priorframe.operators.aggregates import class_counts, column_domain
 from priorframe.operators.metrics import rank_auc
 from priorframe.operators.qualify import Descriptor, qualify
 from priorframe.plans import base
@@ -265,12 +265,12 @@ def dictionary_bins(spark, sf):
     c = F.col("cents")
     band = F.when(c < 10000000, "0-9").when(c < 20000000, "10-19").otherwise("20+")
     o = base.orders(spark, sf).select("split", band.alias("total_band"), "o_orderpriority")
-    profile = column_profile(o, "split", ["total_band", "o_orderpriority"], [])
+    domain = column_domain(o, "split", ["total_band", "o_orderpriority"])
     k = F.pmod("doc_id", F.lit(3))
     said = F.when(k == 0, "0 - 9, 10–19 or 20+").when(k == 1, "0-9 and 20+").otherwise("only 5-9")
     text = F.concat("text", F.lit("\n| `total_band` | bands "), said, F.lit(" |\n| `other` | free text |"))
     d = table(spark, sf, "documents").select("doc_id", text.alias("text"))
-    return ops.dictionary_bins(d, "doc_id", "text", profile)
+    return ops.dictionary_bins(d, "doc_id", "text", domain)
 
 
 @query("h19_claim_render", f"""
@@ -283,12 +283,10 @@ def claim_render(spark, sf):
     comma = lambda c: F.format_number(c, 0)
     s, n = F.col("split"), F.col("n")
     facts = o.groupBy("split").agg(n_all().alias("n"), F.sum("label").alias("p"), F.countDistinct("o_custkey").alias("k"))
-    # Domains are listed by the profile only while they are bounded.
-    profile = column_profile(o.select("split", "o_orderstatus", "year"), "split", ["o_orderstatus", "year"], [])
-    domain = lambda c: F.max(F.when(F.col("field") == c, F.col("domain")))
-    facts = facts.join(
-        profile.groupBy("split").agg(domain("o_orderstatus").alias("domain"), domain("year").alias("years")), "split"
-    )
+    # A claim is one line of text, so the domain that it names is one list.
+    listed = lambda c: F.array_join(F.array_sort(F.collect_list(F.when(F.col("field") == c, F.col("value")))), "|")
+    values = column_domain(o, "split", ["o_orderstatus", "year"])
+    facts = facts.join(values.groupBy("split").agg(listed("o_orderstatus").alias("domain"), listed("year").alias("years")), "split")
     pct = F.format_string("%.4f", F.lit(100.0) * F.try_divide("p", "n"))
     ticked = F.concat(F.lit("`"), F.replace("domain", F.lit("|"), F.lit("`, `")), F.lit("`"))
     lines = {
@@ -353,8 +351,8 @@ def gate_report(spark, sf):
     return qualify(o, QUALITY).select("check", "ok")
 
 
-SPARSE = """y AS (SELECT c_nationkey AS host, o_custkey AS origin, year(o_orderdate) AS year, count(*) AS c
-  FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 490000 GROUP BY ALL)"""
+SPARSE = """y AS (SELECT c_nationkey * 100 + day(o_orderdate) AS host, o_custkey AS origin, year(o_orderdate) AS year, count(*) AS c
+  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL)"""
 
 
 @query("h22_exposure_measure", f"""
@@ -365,11 +363,13 @@ z AS (SELECT a.*, t.year AS oy, coalesce(y.c, 0) AS v, t.total FROM a JOIN t ON
 SELECT t0 AS year, count(*) AS exposed, count(*) FILTER (v >= 2 * c0) AS label_determining FROM z
 WHERE v = total AND EXISTS (SELECT 1 FROM k WHERE k.host = z.host AND k.t0 IN (oy, oy + 1)) GROUP BY ALL""")
 def exposure(spark, sf):
-    o = table(spark, sf, "orders").where("o_totalprice > 490000").select(
-        "o_custkey", F.year("o_orderdate").cast("bigint").alias("year")
+    # A host is a nation on one day of the month, so that a host-year has few origins.
+    o = table(spark, sf, "orders").select(
+        "o_custkey", F.dayofmonth("o_orderdate").alias("day"), F.year("o_orderdate").cast("bigint").alias("year")
     )
-    c = table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("host"))
-    y = o.join(c, F.col("o_custkey") == F.col("c_custkey")).groupBy("host", F.col("o_custkey").alias("origin"), "year").agg(n_all().alias("c"))
+    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    host = (F.col("c_nationkey") * 100 + F.col("day")).alias("host")
+    y = o.join(c, F.col("o_custkey") == F.col("c_custkey")).groupBy(host, F.col("o_custkey").alias("origin"), "year").agg(n_all().alias("c"))
     built = y.groupBy("host", "origin").agg(F.min("year").alias("t0"), F.min_by("c", "year").alias("c0"))
     donors = built.select("host", F.explode(F.array(F.col("t0"), F.col("t0") - 1)).alias("oy")).distinct()
     totals = y.groupBy("host", F.col("year").alias("oy")).agg(F.sum("c").alias("total"))

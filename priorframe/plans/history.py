@@ -243,7 +243,7 @@ SELECT p_partkey, CAST(rank() OVER (ORDER BY p_retailprice) AS DOUBLE) / count(*
 def empirical_rank(spark, sf):
     p = table(spark, sf, "part").select("p_partkey", "p_retailprice")
     r = value_ranks(p, [], "p_retailprice").select("p_retailprice", "n_below", "total")
-    return p.join(r, "p_retailprice").select(
+    return p.join(r, "p_retailprice", "left").select(
         "p_partkey", F.try_divide(F.col("n_below") + 1, "total").alias("position")
     )
 

@@ -12,12 +12,14 @@ from priorframe.sources.tables import table
 @query("c1_child_parent_equi_join", """
 SELECT year(l_shipdate) AS year, CASE WHEN o_orderkey IS NULL THEN 'no_order' WHEN c_custkey IS NULL THEN 'no_customer'
          ELSE 'matched' END AS reason, count(*) AS n
-FROM lineitem LEFT JOIN (SELECT * FROM orders WHERE o_orderdate >= DATE '1996-01-01') ON l_orderkey = o_orderkey
-LEFT JOIN (SELECT * FROM customer WHERE c_nationkey < 20) ON o_custkey = c_custkey GROUP BY ALL""")
+FROM lineitem LEFT JOIN orders ON CASE WHEN l_linenumber % 7 = 0 THEN -l_orderkey ELSE l_orderkey END = o_orderkey
+LEFT JOIN customer ON CASE WHEN o_orderkey % 11 = 0 THEN -o_custkey ELSE o_custkey END = c_custkey GROUP BY ALL""")
 def child_parent(spark, sf):
-    l = table(spark, sf, "lineitem").select("l_orderkey", F.year("l_shipdate").cast("bigint").alias("year"))
-    o = table(spark, sf, "orders").where("o_orderdate >= timestamp_ntz'1996-01-01'").select("o_orderkey", "o_custkey")
-    c = table(spark, sf, "customer").where("c_nationkey < 20").select("c_custkey")
+    # Some child keys are negated, so that they match no parent; both parents are read whole.
+    missing = lambda key, cond: F.when(cond, -F.col(key)).otherwise(F.col(key)).alias(key)
+    l = table(spark, sf, "lineitem").select(missing("l_orderkey", F.col("l_linenumber") % 7 == 0), F.year("l_shipdate").cast("bigint").alias("year"))
+    o = table(spark, sf, "orders").select("o_orderkey", missing("o_custkey", F.col("o_orderkey") % 11 == 0))
+    c = table(spark, sf, "customer").select("c_custkey")
     j = l.join(o, F.col("l_orderkey") == F.col("o_orderkey"), "left").join(
         c, F.col("o_custkey") == F.col("c_custkey"), "left"
     )
@@ -30,14 +32,14 @@ def child_parent(spark, sf):
 @query("c2_dimension_broadcast", """
 SELECT year(o_orderdate) AS year, coalesce(r_name, 'unmapped') AS r_name, count(*) AS n
 FROM orders JOIN customer ON o_custkey = c_custkey
-LEFT JOIN (SELECT n_nationkey, r_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'ASIA')
-  ON c_nationkey = n_nationkey GROUP BY ALL""")
+LEFT JOIN (SELECT n_nationkey, r_name FROM nation JOIN region ON n_regionkey = r_regionkey)
+  ON CASE WHEN c_custkey % 9 = 0 THEN -1 ELSE c_nationkey END = n_nationkey GROUP BY ALL""")
 def dimension(spark, sf):
     o = table(spark, sf, "orders").select("o_custkey", F.year("o_orderdate").cast("bigint").alias("year"))
-    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    n = table(spark, sf, "nation").join(
-        table(spark, sf, "region").where("r_name <> 'ASIA'"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
+    # Some customers get an unknown nation; the dimension is read whole.
+    nation = F.when(F.col("c_custkey") % 9 == 0, -1).otherwise(F.col("c_nationkey")).alias("c_nationkey")
+    c = table(spark, sf, "customer").select("c_custkey", nation)
+    n = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     j = joins.map_dimension(
         o.join(c, F.col("o_custkey") == F.col("c_custkey")), n, "c_nationkey", "n_nationkey", "r_name", "unmapped"
     )
@@ -100,11 +102,11 @@ def calendar_lead(spark, sf):
 
 @query("c7_unique_donor_join", """
 WITH e AS (SELECT event_id, user_id, date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS d,
-   CAST(round(value * 100) AS BIGINT) AS v FROM events WHERE event_type IN ('purchase', 'view')),
+   CAST(round(value * 100) AS BIGINT) AS v FROM events),
 u AS (SELECT user_id, d, max(v) AS v FROM e GROUP BY ALL HAVING count(*) = 1)
 SELECT event_id, u.v AS next_value FROM e LEFT JOIN u ON u.user_id = e.user_id AND u.d = e.d + 1""")
 def unique_donor(spark, sf):
-    e = table(spark, sf, "events").where("event_type IN ('purchase', 'view')").select(
+    e = table(spark, sf, "events").select(
         "event_id", "user_id", history.day_number("ts").alias("d"), cents("value").alias("v")
     )
     donors = joins.unique_donors(e, ["user_id"], "d", ["v"])

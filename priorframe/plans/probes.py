@@ -7,7 +7,7 @@ from priorframe.operators import history
 from priorframe.operators import probes as ops
 from priorframe.operators.expressions import Evaluator
 from priorframe.plans import base
-from priorframe.plans.base import DAILY, LABELLED, ORDERS, auc_sql, cents
+from priorframe.plans.base import DAILY, LABELLED, ORDERS, SPLIT_DOCUMENTS, auc_sql, cents
 from priorframe.plans.labels import CORRIDOR, corridor
 from priorframe.plans.registry import query
 from priorframe.session import scratch_dir
@@ -26,11 +26,13 @@ def n_if(cond):
 
 
 def features(spark, sf):
-    """Label-free document panel."""
-    d = base.labelled_documents(spark, sf).select("doc_id", "split", "lang", "source", "n_chars", "text")
+    """Label-free panel of all documents; no label table is read."""
+    d = base.split_documents(spark, sf).select("doc_id", "split", "lang", "source", "n_chars", "text")
     return ops.require_label_free(d, "y")
 
 
+BARE = """cells AS (SELECT doc_id, split, unnest(['n_chars', 'source', 'lang', 'tag']) AS field,
+  unnest([CAST(n_chars AS VARCHAR), source, lang, CASE WHEN doc_id % 4 = 0 THEN 'NA' ELSE CAST(-doc_id AS VARCHAR) END]) AS value FROM sd)"""
 CELLS = """cells AS (SELECT doc_id, split, y, unnest(['n_chars', 'source', 'lang', 'tag']) AS field,
   unnest([CAST(n_chars AS VARCHAR), source, lang, CASE WHEN doc_id % 4 = 0 THEN 'NA' ELSE CAST(-doc_id AS VARCHAR) END]) AS value FROM ld)"""
 
@@ -44,7 +46,7 @@ COLUMNS = ["n_chars", "source", "lang", "tag"]
 
 
 @query("i1_numeric_probe", f"""
-WITH {LABELLED}, {CELLS} SELECT doc_id, 'numeric:' || field AS probe, TRY_CAST(value AS DOUBLE) AS score FROM cells
+WITH {SPLIT_DOCUMENTS}, {BARE} SELECT doc_id, 'numeric:' || field AS probe, TRY_CAST(value AS DOUBLE) AS score FROM cells
 UNION ALL SELECT doc_id, 'absolute:' || field, abs(TRY_CAST(value AS DOUBLE)) FROM cells""")
 def numeric_probe(spark, sf):
     p = ops.cell_probes(cell_panel(spark, sf), ["doc_id"], COLUMNS)
@@ -52,13 +54,13 @@ def numeric_probe(spark, sf):
 
 
 @query("i2_lexical_probe", f"""
-WITH {LABELLED}, {CELLS} SELECT doc_id, 'lexical:' || field AS probe, CAST(dense_rank() OVER (PARTITION BY field ORDER BY value) - 1 AS DOUBLE) AS score FROM cells""")
+WITH {SPLIT_DOCUMENTS}, {BARE} SELECT doc_id, 'lexical:' || field AS probe, CAST(dense_rank() OVER (PARTITION BY field ORDER BY value) - 1 AS DOUBLE) AS score FROM cells""")
 def lexical_probe(spark, sf):
     return ops.lexical_probe(cell_panel(spark, sf), ["doc_id"], COLUMNS)
 
 
 @query("i3_length_missing_probe", f"""
-WITH {LABELLED}, {CELLS} SELECT doc_id, 'length:' || field AS probe, CAST(length(value) AS DOUBLE) AS score FROM cells
+WITH {SPLIT_DOCUMENTS}, {BARE} SELECT doc_id, 'length:' || field AS probe, CAST(length(value) AS DOUBLE) AS score FROM cells
 UNION ALL SELECT doc_id, 'missing:' || field, CAST(value IN ('', '-1', 'NA', 'N/A', 'nan') AS DOUBLE) FROM cells""")
 def length_probe(spark, sf):
     p = ops.cell_probes(cell_panel(spark, sf), ["doc_id"], COLUMNS)
@@ -66,7 +68,7 @@ def length_probe(spark, sf):
 
 
 @query("i4_row_order_probe", f"""
-WITH {LABELLED} SELECT split, doc_id, 'row_order' AS probe, CAST(row_number() OVER (PARTITION BY split ORDER BY doc_id) - 1 AS DOUBLE) AS score FROM ld""")
+WITH {SPLIT_DOCUMENTS} SELECT split, doc_id, 'row_order' AS probe, CAST(row_number() OVER (PARTITION BY split ORDER BY doc_id) - 1 AS DOUBLE) AS score FROM sd""")
 def row_order(spark, sf):
     return ops.row_order_probe(features(spark, sf), "split", "doc_id")
 
@@ -76,12 +78,11 @@ tk AS (SELECT DISTINCT doc_id, split, y, unnest(list_concat(w, list_transform(ra
 
 
 @query("i5_token_probe", f"""
-WITH {LABELLED}, {TOKENS}, top AS (SELECT token FROM tk GROUP BY token HAVING count(*) >= 10 ORDER BY count(*) DESC, token LIMIT 80),
-n AS (SELECT split, count(*) AS n_rows FROM ld GROUP BY ALL), h AS (SELECT token, split, count(*) AS hits FROM tk JOIN top USING (token) GROUP BY ALL)
+WITH {SPLIT_DOCUMENTS}, {TOKENS.replace("y, ", "").replace("FROM ld", "FROM sd")}, top AS (SELECT token FROM tk GROUP BY token HAVING count(*) >= 10),
+n AS (SELECT split, count(*) AS n_rows FROM sd GROUP BY ALL), h AS (SELECT token, split, count(*) AS hits FROM tk JOIN top USING (token) GROUP BY ALL)
 SELECT 'token:' || token AS probe, split, n_rows, coalesce(hits, 0) AS hits FROM top CROSS JOIN n LEFT JOIN h USING (token, split)""")
 def token_probe(spark, sf):
-    scores = ops.token_probe(features(spark, sf), ["doc_id", "split"], "text")
-    return scores.groupBy("probe", "split").agg(n_all().alias("n_rows"), n_if(F.col("score") == 1).alias("hits"))
+    return ops.token_hits(features(spark, sf), "split", "text")
 
 
 TYPED = """tp AS (SELECT user_id, event_type, date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS d, count(*) AS n,
@@ -459,7 +460,7 @@ def marked(spark, sf):
 WITH {MARKED}, l AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM mk), x AS (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS line FROM l),
 c AS (SELECT doc_id, line, lines[line] AS t, array_to_string(lines[greatest(line - 2, 1):least(line + 3, len(lines))], ' ') AS context FROM x),
 h AS (SELECT * FROM c WHERE regexp_matches(context, '(?i)\b(label|target|outcome|expected_verdict)\s*[=:]?\s*[`"'']?[01]\b|(->|→)\s*[01]\b')),
-tk AS (SELECT doc_id, line, unnest(regexp_extract_all(t, '([A-Za-z0-9_:./#-]+)', 1)) AS id FROM h),
+tk AS (SELECT doc_id, line, unnest(regexp_extract_all(t, '([\p{{L}}\p{{N}}_:./-]+)', 1)) AS id FROM h),
 dt AS (SELECT doc_id, line, unnest(regexp_extract_all(t, '\b((?:19|20)\d{{2}}-\d{{2}}-\d{{2}})\b', 1)) AS day FROM h)
 SELECT doc_id, line, EXISTS (SELECT 1 FROM dt WHERE dt.doc_id = h.doc_id AND dt.line = h.line AND day >= '1999-03-01' AND day < '1999-06-01') AS scored_date,
   EXISTS (SELECT 1 FROM tk JOIN labels lb ON 'doc-' || lb.doc_id = tk.id WHERE tk.doc_id = h.doc_id AND tk.line = h.line) AS scored_id FROM h""")
@@ -469,6 +470,7 @@ def dated_outcome(spark, sf):
     return ops.scored_id_lines(found, ids, "doc_id")
 
 
+# Fixed value: forms of an identifier in a text.
 IDENTIFIER = r"\b(\d{1,4}-[A-Za-z0-9-]{5,}|[A-Z]{2,8}\d{3,}|\d{4}-\d{2}-\d{2})\b"
 
 

@@ -58,15 +58,15 @@ def excerpts(spark, sf):
     )
 
 
-@query("m4_user_predictor", f"""
-WITH {LABELLED} SELECT doc_id, round(1 / (1 + exp((1000 - n_chars) / 500e0)), 6) AS score FROM ld""")
+@query("m4_user_predictor", """
+SELECT doc_id, round(1 / (1 + exp((1000 - n_chars) / 500e0)), 6) AS score FROM documents""")
 def predictor(spark, sf):
     def predict(frame):
         import numpy as np
 
         return 1 / (1 + np.exp((1000 - frame["n_chars"]) / 500.0))
 
-    d = base.labelled_documents(spark, sf).select("doc_id", "n_chars")
+    d = table(spark, sf, "documents").select("doc_id", "n_chars")
     return user_predictor(d, predict, ["n_chars"]).select("doc_id", F.round("score", 6).alias("score"))
 
 

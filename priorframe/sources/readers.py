@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-MAX_COLUMNS = 128
 
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:
@@ -22,8 +21,8 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
 def read_splits(spark: SparkSession, paths: dict[str, str], target: str) -> DataFrame:
     """Train, eval and holdout CSVs as one label-free panel of strings with a split column.
 
-    Refuses a duplicate or missing column, differing schemas and more than MAX_COLUMNS
-    features; a ragged row fails the job that meets it.
+    Refuses a duplicate or missing column and differing schemas; a ragged row fails the
+    job that meets it.
     """
     panel, expected = None, None
     for split, path in paths.items():
@@ -31,8 +30,6 @@ def read_splits(spark: SparkSession, paths: dict[str, str], target: str) -> Data
         if len(header) != len(set(header)) or header.count(target) != 1:
             raise ValueError(f"duplicate columns or missing target in {split}")
         features = [c for c in header if c != target]
-        if len(features) > MAX_COLUMNS:
-            raise ValueError(f"more than {MAX_COLUMNS} feature columns")
         if expected is not None and set(features) != expected:
             raise ValueError("feature schemas differ between splits")
         expected = set(features)

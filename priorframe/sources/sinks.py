@@ -49,12 +49,12 @@ def label_matrix(df: DataFrame, codes: str, vocabulary: Sequence[str]) -> DataFr
 
 
 def _seal(scores: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Order-free digest per probe: row count and two sums of a row hash."""
-    h = F.xxhash64(*sorted(scores.columns))
-    return scores.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.bit_xor(h).alias("_x"),
-        F.sum(F.pmod(h, F.lit(2**31))).alias("_s"),
+    """Order-free digest per probe: row count, and the sums of the 32-bit words of each row's SHA-256."""
+    row = F.to_json(F.struct(*sorted(scores.columns)), {"ignoreNullFields": "false"})
+    hashed = scores.withColumn("_h", F.sha2(row, 256))
+    words = [F.conv(F.substring("_h", 1 + 8 * k, 8), 16, 10).cast("bigint") for k in range(8)]
+    return hashed.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_n"), F.array(*[F.sum(w) for w in words]).alias("_sums")
     )
 
 
@@ -73,7 +73,7 @@ def sealed_scores(spark: SparkSession, path: str, by: Sequence[str], seal: DataF
     """The frozen scores, and per probe whether they still match the seal."""
     frozen = spark.read.parquet(f"{path}/scores")
     now = _seal(frozen, by)
-    same = F.struct("a._n", "a._x", "a._s").eqNullSafe(F.struct("b._n", "b._x", "b._s"))
+    same = F.struct("a._n", "a._sums").eqNullSafe(F.struct("b._n", "b._sums"))
     on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in by]
     intact = now.alias("a").join(seal.alias("b"), on, "full_outer")
     return frozen, intact.select(*[F.col(f"b.{c}").alias(c) for c in by], same.alias("sealed"))

@@ -141,8 +141,9 @@ def test_candidates_are_chosen_without_labels(spark):
     rows = [(f"s{i % 4}", i, f"c{i % 3}", float(i), "short", "a longer text value") for i in range(40)]
     df = spark.createDataFrame(rows, "site string, row_id bigint, country string, prior_rate double, note string, story string")
     keys, operands = probes.successor_candidates(df, "day")
-    assert keys == [["country"], ["site"], ["country", "site"]] and operands == ["country", "prior_rate"]
-    assert probes.text_columns(df, ["note", "story"]) == ["story"]
+    assert keys == [["country"], ["row_id"], ["site"], ["country", "row_id"], ["country", "site"], ["row_id", "site"]]
+    assert operands == ["country", "prior_rate"]
+    assert probes.text_columns(df, ["note", "story", "prior_rate"]) == ["note", "story"]
 
 
 def test_uninformative_vectors_are_dropped_and_findings_split(spark):
