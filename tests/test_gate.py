@@ -1,117 +1,108 @@
-"""Golden pass and fail datasets: each defect fails its own named checks and no other."""
+"""The whole gate on a panel of orders: one injected defect a case fails its own checks and no other."""
 
 import dataclasses
-import datetime as dt
+import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from priorframe.operators.qualify import Descriptor, qualify
+from priorframe.plans.base import orders
 
-YEARS = {"train": 2024, "eval": 2025, "holdout": 2026}
-CLEAN = Descriptor(
-    target="late", positive_label="1", id_columns=["incident"], time_column="at", event_key_column="at",
-    split_windows={
-        "train": {"start": None, "end": "2025-01-01 00:00:00"},
-        "eval": {"start": "2025-01-01 00:00:00", "end": "2026-01-01 00:00:00"},
-        "holdout": {"start": "2026-01-01 00:00:00", "end": None},
-    },
-    positive_events={s: {"positives": 30, "distinct_events": 30} for s in ("eval", "holdout")},
-    features=["category", "sector"], high_cardinality_columns=["at"], label_source_columns=["seconds"],
-    post_hoc_columns=["priority"], expected_duplicate_ids=0,
-    splits={"train": "public/train", "eval": "public/eval", "holdout": "private/holdout"},
-    rows={s: 40 for s in YEARS}, positive_rate={s: 0.75 for s in YEARS},
-)
+CUTS = {"train": (None, "1999-01-01"), "eval": ("1999-01-01", "2000-01-01"), "holdout": ("2000-01-01", None)}
 
 
-def batch(split, year=None, label=None, seed=""):
-    year = year or YEARS[split]
-    out = []
-    for i in range(40):
-        late = (0 if i % 4 == 0 else 1) if label is None else label
-        at = f"{dt.date(year, 1, 1) + dt.timedelta(days=i)} 00:00:00"
-        out.append((split, f"{seed}{year}n{i:05d}", at, "ABC"[i % 3], "NSEW"[i // 3 % 4], late))
-    return out
+@pytest.fixture(scope="module")
+def panel(spark, sf):
+    """Orders with a size label that no shipped column decides."""
+    o = orders(spark, sf).withColumn("dear", (F.pmod(F.xxhash64("o_orderkey"), F.lit(3)) == 0).cast("int"))
+    day = F.date_format("day", "yyyy-MM-dd")
+    return o.select("split", F.col("o_orderkey").cast("string").alias("key"), day.alias("placed"), "o_orderpriority", "dear").cache()
 
 
-def panel(spark, rows):
-    return spark.createDataFrame(rows, "split string, incident string, at string, category string, sector string, late int")
+@pytest.fixture(scope="module")
+def declared(panel):
+    facts = {r["split"]: r for r in panel.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("dear").alias("p"), F.countDistinct(F.when(F.col("dear") == 1, F.col("placed"))).alias("e"),
+    ).collect()}
+    return Descriptor(
+        target="dear", positive_label="1", id_columns=["key"], time_column="placed", event_key_column="placed",
+        split_windows={s: {"start": a, "end": b} for s, (a, b) in CUTS.items()},
+        positive_events={s: {"positives": facts[s]["p"], "distinct_events": facts[s]["e"]} for s in ("eval", "holdout")},
+        features=["o_orderpriority"], high_cardinality_columns=["placed"], label_source_columns=["score"], post_hoc_columns=["shipped"],
+        expected_duplicate_ids=0, splits={"train": "public/train", "eval": "public/eval", "holdout": "private/holdout"},
+        rows={s: r["n"] for s, r in facts.items()}, positive_rate={s: r["p"] / r["n"] for s, r in facts.items()},
+    )
 
 
-def failed(df):
-    rows = {r["check"]: r["ok"] for r in df.collect()}
-    overall = rows.pop("overall")
-    bad = {c for c, ok in rows.items() if not ok}
-    assert overall == (not bad)
-    return bad
+def failing(df, descriptor):
+    found = {r["check"]: r["ok"] for r in qualify(df, descriptor).collect()}
+    bad = {c for c, ok in found.items() if not ok}
+    assert ("overall" in bad) == bool(bad)
+    return bad - {"overall"}
 
 
-def clean_rows():
-    return [r for s in YEARS for r in batch(s)]
+def test_a_sound_panel_passes(panel, declared):
+    assert failing(panel, declared) == set()
 
 
-def test_corrected_passes(spark):
-    assert failed(qualify(panel(spark, clean_rows()), CLEAN)) == set()
+def test_a_column_that_holds_the_answer(panel, declared):
+    told = panel.withColumn("score", F.when(F.col("dear") == 1, F.lit(70)).otherwise(20))
+    assert failing(told, declared) == {"leakage.answer_source_absent", "leakage.no_single_column_determines_the_target"}
 
 
-def test_answer_columns_and_layout(spark):
-    from pyspark.sql import functions as F
+def test_descriptor_against_layout_and_features(panel, declared):
+    moved = dataclasses.replace(declared, splits=declared.splits | {"holdout": "public/holdout"})
+    assert failing(panel, moved) == {"runner.layout"}
+    late = dataclasses.replace(declared, features=["o_orderpriority", "shipped"])
+    assert failing(panel, late) == {"timing.no_post_hoc_feature"}
+    silent = dataclasses.replace(declared, high_cardinality_columns=[])
+    assert failing(panel, silent) == {"leakage.high_cardinality_declared"}
 
-    df = panel(spark, clean_rows()).withColumn("seconds", F.when(F.col("late") == 1, 1500).otherwise(900))
-    d = dataclasses.replace(
-        CLEAN, features=["category", "priority"], high_cardinality_columns=[],
-        splits=CLEAN.splits | {"holdout": "public/holdout"},
-        positive_events=CLEAN.positive_events | {"eval": {"positives": 7, "distinct_events": 30}},
-    )
-    assert failed(qualify(df, d)) == {
-        "leakage.answer_source_absent", "leakage.no_single_column_determines_the_target", "timing.no_post_hoc_feature",
-        "runner.layout", "leakage.high_cardinality_declared", "splits.positive_events_match_rows",
-        "splits.enough_clustered_positives",
-    }
-
-
-def test_overlap(spark):
-    rows = batch("train") + batch("eval", year=2024, seed="E") + batch("holdout")
-    assert failed(qualify(panel(spark, rows), CLEAN)) == {
-        "splits.actual_ranges_disjoint", "splits.rows_within_declared_windows",
-    }
-
-
-def test_single_class(spark):
-    rows = batch("train") + batch("eval", label=1) + batch("holdout")
+
+def test_rows_outside_their_window(panel, declared):
+    early = panel.withColumn("placed", F.when((F.col("split") == "eval") & F.col("key").endswith("7"), F.lit("1998-03-04")).otherwise(F.col("placed")))
+    assert {"splits.actual_ranges_disjoint", "splits.rows_within_declared_windows"} <= failing(early, declared)
+
+
+def test_one_class_in_eval(panel, declared):
+    n = declared.rows["eval"]
+    days = panel.where("split = 'eval'").select("placed").distinct().count()
+    flat = panel.withColumn("dear", F.when(F.col("split") == "eval", F.lit(1)).otherwise(F.col("dear")))
     d = dataclasses.replace(
-        CLEAN, positive_events=CLEAN.positive_events | {"eval": {"positives": 40, "distinct_events": 40}},
-        positive_rate=CLEAN.positive_rate | {"eval": 1.0},
-    )
-    assert failed(qualify(panel(spark, rows), d)) == {"splits.eval_and_holdout_have_both_classes"}
+        declared, positive_events=declared.positive_events | {"eval": {"positives": n, "distinct_events": days}},
+        positive_rate=declared.positive_rate | {"eval": 1.0},
+    )
+    assert failing(flat, d) == {"splits.eval_and_holdout_have_both_classes"}
+
 
+def test_a_key_in_two_splits(panel, declared):
+    low = panel.groupBy("split").agg(F.min("key").alias("k")).collect()
+    of = {r["split"]: r["k"] for r in low}
+    shared = panel.withColumn("key", F.when(F.col("key") == of["eval"], F.lit(of["train"])).otherwise(F.col("key")))
+    assert failing(shared, declared) == {"splits.no_cross_split_entities"}
 
-@pytest.mark.parametrize("claimed, want", [(True, {"splits.repeated_identifiers_carry_one_label"}), (False, set())])
-def test_repeated_identifiers(spark, claimed, want):
-    rows = clean_rows()
-    first, second = rows[40], rows[41]
-    rows[41] = (second[0], first[1], *second[2:])  # an eval id twice, once late and once not
-    d = dataclasses.replace(CLEAN, expected_duplicate_ids=1, id_columns_are_entity_keys=claimed)
-    assert failed(qualify(panel(spark, rows), d)) == want
-    d = dataclasses.replace(CLEAN, expected_duplicate_ids=None)
-    assert failed(qualify(panel(spark, rows), d)) == {"splits.duplicate_entities_within_splits"}
 
+@pytest.mark.parametrize("entity_keys", [True, False])
+def test_a_key_with_two_labels(panel, declared, entity_keys):
+    a, b = (panel.where(f"split = 'eval' and dear = {y}").agg(F.min("key")).first()[0] for y in (0, 1))
+    twice = panel.withColumn("key", F.when(F.col("key") == a, F.lit(b)).otherwise(F.col("key")))
+    d = dataclasses.replace(declared, expected_duplicate_ids=1, id_columns_are_entity_keys=entity_keys)
+    assert failing(twice, d) == ({"splits.repeated_identifiers_carry_one_label"} if entity_keys else set())
+    d = dataclasses.replace(declared, expected_duplicate_ids=None)
+    assert failing(twice, d) == {"splits.duplicate_entities_within_splits"}
 
-def test_cross_split_identifier_and_counts(spark):
-    rows = clean_rows()
-    rows[40] = (rows[40][0], rows[0][1], *rows[40][2:])
-    assert failed(qualify(panel(spark, rows), CLEAN)) == {"splits.no_cross_split_entities"}
-    d = dataclasses.replace(CLEAN, rows=CLEAN.rows | {"train": 41})
-    assert failed(qualify(panel(spark, clean_rows()), d)) == {"runner.meta_counts_match_files"}
 
+def test_counts_that_do_not_match(panel, declared):
+    d = dataclasses.replace(declared, rows=declared.rows | {"holdout": declared.rows["holdout"] + 3})
+    assert failing(panel, d) == {"runner.meta_counts_match_files"}
 
-def test_missing_split_fails(spark):
-    bad = failed(qualify(panel(spark, batch("train") + batch("eval")), CLEAN))
-    assert {"splits.non_empty", "splits.eval_and_holdout_have_both_classes"} <= bad
 
+def test_a_split_without_rows(panel, declared):
+    assert "splits.non_empty" in failing(panel.where("split <> 'holdout'"), declared)
 
-def test_descriptor_reads_json(tmp_path):
-    import json
 
-    p = tmp_path / "quality.json"
-    p.write_text(json.dumps({**dataclasses.asdict(CLEAN), "positive_label": 1, "unknown": 3}))
-    assert Descriptor.read(str(p)) == CLEAN
+def test_a_descriptor_is_read_from_json(declared, tmp_path):
+    file = tmp_path / "quality.json"
+    file.write_text(json.dumps({**dataclasses.asdict(declared), "positive_label": 1, "note": "ignored"}))
+    assert Descriptor.read(str(file)) == declared
