@@ -40,7 +40,7 @@ def drop_straddlers(df: DataFrame, entity: Sequence[str], split: str = "split")
 
 def entity_disjoint(df: DataFrame, entity: str, every: int = 3) -> DataFrame:
     """Every k-th entity in sorted order is held out; the rest, rows without an entity too, are development."""
-    ranks = value_ranks(df, [], entity).select(entity, "dense_rank")
+    ranks = value_ranks(df.where(F.col(entity).isNotNull()), [], entity).select(entity, "dense_rank")
     held = F.pmod(F.col("dense_rank") - 1, F.lit(every)) == every - 1
     return df.join(ranks, entity, "left").withColumn(
         "group", F.when(held, "held_out").otherwise("development")
