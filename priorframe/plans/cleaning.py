@@ -302,6 +302,22 @@ def presence_gated_columns(spark, sf):
     return ops.populated_counts(t, t.columns)
 
 
+@query("b21_presence_gate", """
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'x' END AS status_f, o_orderpriority AS priority FROM orders""")
+def presence_gate(spark, sf):
+    t = table(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderstatus") == "F", "x").alias("status_f"), F.col("o_orderpriority").alias("priority"),
+        F.lit(" ").alias("blank"), F.when(F.col("o_orderkey") < 0, "x").alias("never"),
+    )
+    return ops.presence_gate(t, ["status_f", "priority", "blank", "never"], 1)
+
+
+@query("b24_hash_sampled_rows", """
+SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE ('0x' || md5(CAST(c_custkey AS VARCHAR)))::UHUGEINT % 7 = 0""")
+def hash_sampled_rows(spark, sf):
+    return table(spark, sf, "customer").where(keys.hash_sampled(F.col("c_custkey"), 7)).select("c_custkey", "c_name", "c_mktsegment")
+
+
 @query("b24_hash_sample", """
 SELECT c_custkey, CAST(('0x' || md5(CAST(c_custkey AS VARCHAR)))::UHUGEINT % 7 AS BIGINT) AS bucket FROM customer""")
 def hash_sample(spark, sf):

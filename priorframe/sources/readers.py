@@ -50,12 +50,16 @@ def read_splits(spark: SparkSession, paths: dict[str, str], target: str) -> Data
 
 
 def read_string_columns(spark: SparkSession, path: str) -> DataFrame:
-    """Every cell a string, short rows padded with empty text."""
+    """Every cell a string, short rows padded with empty text.
+
+    A file of the folder whose header differs fails the job: its cells would land in other columns.
+    """
     header = csv_header(spark, path)
     schema = StructType([StructField(c, StringType()) for c in header])
     return (
-        spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path).fillna("")
-    )
+        spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
+        .option("columnPruning", False).csv(path).fillna("")
+    )
 
 
 def union_aliased(frames: Sequence[DataFrame], aliases: dict[str, Sequence[str]]) -> DataFrame:

@@ -65,3 +65,15 @@ def test_two_hundred_bins(spark):
 def test_min_max_names():
     names = ["price_min", "price_max", "min_age", "max_age", "minimum_x", "maximum_x", "minute", "maxute", "admin"]
     assert min_max_pairs(names) == [("min_age", "max_age"), ("minimum_x", "maximum_x"), ("price_min", "price_max")]
+
+
+def test_a_drifting_header_is_refused(spark, tmp_path):
+    import pytest
+
+    from priorframe.sources.readers import read_string_columns
+
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n3\n")
+    assert values(read_string_columns(spark, str(tmp_path)), "x", "y") == [("1", "2"), ("3", "")]
+    (tmp_path / "b.csv").write_text("y,x\n5,6\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_string_columns(spark, str(tmp_path)).collect()
