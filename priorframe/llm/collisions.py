@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from priorframe.llm.common import columns_of, short_batches, written_once
-from priorframe.llm.components import components
+from priorframe.llm.components import components, least_reached
 from priorframe.llm.hashing import BASE, mix
 
 COSINE = 0.95
@@ -114,20 +114,6 @@ def unit_vectors(column: pa.ListArray) -> dict[int, tuple[np.ndarray, np.ndarray
     return out
 
 
-def least_reached(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Least position reachable by the links (i, j) from every position."""
-    root = np.arange(n)
-    while len(i):
-        low = np.minimum(root[i], root[j])
-        before = root.copy()
-        np.minimum.at(root, root[i], low)
-        np.minimum.at(root, root[j], low)
-        root = root[root]
-        if (root == before).all():
-            break
-    return root
-
-
 def near_vectors(
     vectors: DataFrame, cosine: float = COSINE, recall: float = RECALL, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:

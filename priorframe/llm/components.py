@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,3 +40,17 @@ def components(edges: DataFrame) -> DataFrame:
             ).distinct()
         before = mark
         now = written_once(_small_star(_large_star(now).distinct()).distinct(), "component-edges")
+
+
+def least_reached(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Least position reachable by the links (i, j) from every position."""
+    root = np.arange(n)
+    while len(i):
+        low = np.minimum(root[i], root[j])
+        before = root.copy()
+        np.minimum.at(root, root[i], low)
+        np.minimum.at(root, root[j], low)
+        root = root[root]
+        if (root == before).all():
+            break
+    return root

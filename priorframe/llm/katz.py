@@ -17,6 +17,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +28,7 @@ from priorframe.llm.setjoin import blocked, sub_batches, unique_rows
 LARGEST = 5  # counts up to this one are discounted
 HELD_OUT_PARTS, HELD_OUT = 10, 0
 PIECE_SHARE = 1e-5  # of all tokens: no piece of a context is asked to be smaller
-PIECE_TOKENS = 3_000_000  # tokens of a piece of a context, about
+PIECE_TOKENS = 1_000_000  # tokens of a piece of a context, about
 START, END = np.uint64(0x51A27D0C0FFEE001), np.uint64(0xE0D0FADE5EED0002)
 
 WORDS_DDL = "bucket int, block int, keys binary, counts binary"
@@ -38,17 +39,18 @@ SCORES = pa.schema([("h", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.
 
 
 def planes(values: np.ndarray) -> bytes:
-    """Unsigned integers as byte planes without leading planes of zeros."""
+    """Unsigned integers as compressed byte planes without leading planes of zeros."""
     values = values.astype("<u8")
     width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
-    return bytes([width]) + np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+    body = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(body)
 
 
 def from_planes(data: bytes) -> np.ndarray:
-    width = data[0]
-    n = (len(data) - 1) // width
+    width, body = data[0], zstandard.ZstdDecompressor().decompress(data[1:])
+    n = len(body) // width
     out = np.zeros((n, 8), np.uint8)
-    out[:, :width] = np.frombuffer(data, np.uint8, n * width, 1).reshape(width, n).T
+    out[:, :width] = np.frombuffer(body, np.uint8, n * width).reshape(width, n).T
     return out.reshape(-1).view("<u8")
 
 
@@ -304,7 +306,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     rows = columns_of(docs, [id_col, text_col]).toDF("doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
     held_out = crc_bucket(F.col("doc_id"), HELD_OUT_PARTS) == HELD_OUT
     member = rows.select("doc_id", held_out.alias("held_out"), F.xxhash64("text").alias("h"))
-    texts, blocks, buckets = blocked(rows)
+    texts, (blocks, buckets, _) = blocked(rows)
     copies = member.where("not held_out").groupBy("h").agg(F.count(F.lit(1)).alias("copies")).select(
         F.pmod("h", F.lit(blocks)).cast("int").alias("block"), "h", "copies"
     )

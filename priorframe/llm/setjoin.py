@@ -12,31 +12,36 @@ set alone, which join with nothing, use up the prefix:
 * Lists are skipped by relation between sets. In every list the texts are first compared with one
   leader only. What follows from those answers is not asked again: texts in one component need no
   further comparison, and for two texts with known overlaps with one leader, the overlap between
-  them is bounded from both (|x & y| <= |x & l| + |y| - |y & l|). Entries are skipped by size and
-  place as well. Only pairs that survive are verified on their whole sets.
+  them is bounded from both (|x & y| <= |x & l| + |y| - |y & l|). Lists that hold one component are
+  dropped whole, entries are skipped by size and place. The texts of lists that still hold several
+  components are compared in tiles of bounded size, which answer with one edge a text.
 
 Equal texts are one text with many members throughout.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from priorframe.llm.common import columns_of, short_batches, written_once
-from priorframe.llm.components import components
+from priorframe.llm.components import components, least_reached
 from priorframe.llm.hashing import pack_sorted, shingle_hashes, unpack_sorted, word_hashes
 
 SIZE = 5
 PERCENT = 80
-KEY_BITS = 42
-BLOCK_BYTES = 12 << 20  # text bytes of a block
-BUCKET_KEYS = 3 << 20  # packed keys of a bucket, about
+SPARE_BITS = 13  # of a packed key beyond the logarithm of all keys: few keys collide, and most gaps stay short
+BLOCK_BYTES = 6 << 20  # text bytes of a block
+BUCKET_KEYS = 1 << 20  # packed keys of a bucket, about
 KEY_BYTES = 6  # text bytes for each key, about
-SUB_BATCH = 1 << 21  # text bytes hashed at once
-STAR_ROUNDS = 2  # comparisons with leaders before all pairs that are left
+SUB_BATCH = 1 << 20  # text bytes hashed at once
+PIECE = 256  # texts of a piece of a family; a tile compares two pieces
+STRIP = 4096  # elements of a strip of a tile's membership matrix
 
 BLOCK_ROW = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("many", pa.binary())])
 FOUND_ROW = pa.schema([("block", pa.int32()), ("keys", pa.binary()), ("tier", pa.binary())])
@@ -65,40 +70,56 @@ def sub_batches(texts: list[str], limit: int = SUB_BATCH):
 
 
 def distinct_texts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(h, text): every text once a task, so that very common texts do not meet in one shuffle partition."""
+    """(h, body): every text once a task, so that very common texts do not meet in one shuffle partition.
+
+    Bodies are compressed: they are most of what is shuffled.
+    """
     rows = columns_of(docs, [text_col]).toDF("text").where("text is not null").select(F.xxhash64("text").alias("h"), "text")
     short_batches(docs.sparkSession)
 
     def once(batches):
         seen: set[int] = set()
+        pack = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
             hs, keep = batch.column(0).to_pylist(), []
             for i, h in enumerate(hs):
                 if h not in seen:
                     seen.add(h)
                     keep.append(i)
-            yield batch.take(pa.array(keep, pa.int64()))
+            part = batch.take(pa.array(keep, pa.int64()))
+            bodies = pa.array([pack(t.encode()) for t in part.column(1).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column(0), bodies], ["h", "body"])
+
+    return rows.mapInArrow(once, "h bigint, body binary")
 
-    return rows.mapInArrow(once, "h bigint, text string")
 
+class Layout(NamedTuple):
+    """How a table of texts is dealt out; all three follow its bytes."""
 
-def blocked(docs: DataFrame) -> tuple[DataFrame, int, int]:
-    """Distinct texts dealt into blocks by hash, the number of blocks and of key buckets."""
+    blocks: int
+    buckets: int
+    bits: int
+
+
+def blocked(docs: DataFrame) -> tuple[DataFrame, Layout]:
+    """Distinct texts dealt into blocks by hash."""
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // BLOCK_BYTES))
     buckets = max(1, -(-total // (KEY_BYTES * BUCKET_KEYS)))
+    bits = min(60, max(36, (total // KEY_BYTES).bit_length() + SPARE_BITS))
     texts = distinct_texts(docs).withColumn("block", F.pmod("h", F.lit(blocks)).cast("int"))
-    return texts.repartition(blocks, "block"), blocks, buckets
+    return texts.repartition(blocks, "block"), Layout(blocks, buckets, bits)
 
 
 def unique_rows(table: pa.Table) -> tuple[list[int], list[str]]:
     """Texts of a block, each once, in the order of their hash."""
     hs = table.column("h").to_numpy()
     _, first = np.unique(hs, return_index=True)
-    return hs[first].tolist(), table.column("text").take(pa.array(first)).to_pylist()
+    unpack = zstandard.ZstdDecompressor().decompress
+    return hs[first].tolist(), [unpack(b).decode() for b in table.column("body").take(pa.array(first)).to_pylist()]
 
 
-def short_keys(codes: np.ndarray, bits: int = KEY_BITS) -> np.ndarray:
+def short_keys(codes: np.ndarray, bits: int) -> np.ndarray:
     return codes >> np.uint64(64 - bits)
 
 
@@ -118,10 +139,10 @@ def key_counts(keys_of_texts) -> tuple[np.ndarray, np.ndarray]:
     return keys, counts
 
 
-def bucket_rows(block: int, keys: np.ndarray, counts: np.ndarray, buckets: int, bits: int = KEY_BITS) -> pa.Table:
+def bucket_rows(block: int, keys: np.ndarray, counts: np.ndarray, layout: Layout) -> pa.Table:
     """One packed row a bucket; a bucket is a range of keys, so sorted keys are cut, not scattered."""
-    edges = np.searchsorted(keys, (np.arange(buckets + 1) * ((1 << bits) / buckets)).astype(np.uint64)) if buckets > 1 else np.array([0, len(keys)])
-    edges[-1] = len(keys)
+    cut = (np.arange(1, layout.buckets) * (2.0**layout.bits / layout.buckets)).astype(np.uint64)
+    edges = np.concatenate([[0], np.searchsorted(keys, cut), [len(keys)]])
     rows = [(b, keys[x:y], counts[x:y]) for b, (x, y) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if y > x]
     many = [np.packbits(c > 1).tobytes() for _, _, c in rows]
     return pa.table(
@@ -164,13 +185,13 @@ def found_keys(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return keys[order], tiers[order]
 
 
-def shared_keys(texts: DataFrame, buckets: int, keys_of) -> DataFrame:
+def shared_keys(texts: DataFrame, layout: Layout, keys_of) -> DataFrame:
     """(block, keys, tier): answers to every block. ``keys_of(texts)`` yields arrays with the distinct
     keys of each text joined, sub-batch by sub-batch."""
 
     def send(table: pa.Table) -> pa.Table:
         keys, counts = key_counts(keys_of(unique_rows(table)[1]))
-        return bucket_rows(table.column("block")[0].as_py(), keys, counts, buckets)
+        return bucket_rows(table.column("block")[0].as_py(), keys, counts, layout)
 
     sent = texts.groupBy("block").applyInArrow(send, _ddl(BLOCK_ROW))
     return sent.groupBy("bucket").applyInArrow(shared_in_bucket, _ddl(FOUND_ROW))
@@ -181,17 +202,17 @@ def need(n, percent: int = PERCENT):
     return (percent * n + 99) // 100
 
 
-def _set_keys(texts: list[str], size: int):
+def _set_keys(texts: list[str], size: int, bits: int):
     for a, b in sub_batches(texts):
         codes, _ = shingle_hashes(*word_hashes(texts[a:b]), size)
-        yield short_keys(codes)
+        yield short_keys(codes, bits)
 
 
 def posted(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """(h, n, prefix, place, text): set size of every distinct text; the shared part of its prefix and
     the text where it may have partners."""
-    texts, _, buckets = blocked(docs)
-    answers = shared_keys(texts, buckets, lambda t: _set_keys(t, size))
+    texts, layout = blocked(docs)
+    answers = shared_keys(texts, layout, lambda t: _set_keys(t, size, layout.bits))
 
     def post(left: pa.Table, right: pa.Table) -> pa.Table:
         hs, bodies = unique_rows(left)
@@ -199,7 +220,7 @@ def posted(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFra
         rows = []
         for a, b in sub_batches(bodies):
             codes, first = shingle_hashes(*word_hashes(bodies[a:b]), size)
-            keys = short_keys(codes)
+            keys = short_keys(codes, layout.bits)
             at = np.searchsorted(found, keys)
             at[at == len(found)] = 0
             hit = found[at] == keys if len(found) else np.zeros(len(keys), bool)
@@ -260,54 +281,40 @@ def links(texts: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFra
     fits = lambda a, b: (100 * F.col(b) >= percent * F.col(a)) & (100 * F.col(a) >= percent * F.col(b))
 
     # First, every text against the leader that it meets in most of its lists.
-    lists = entries.groupBy("key").agg(F.count(F.lit(1)).alias("entries"), F.min(F.struct("n", "h")).alias("lead")).where("entries > 1")
-    met = entries.join(lists, "key").where("h <> lead.h").select("h", "n", F.col("lead.h").alias("leader"), F.col("lead.n").alias("ln"))
-    met = met.where(fits("n", "ln")).groupBy("h", "leader").agg(F.count(F.lit(1)).alias("times"))
+    lists = entries.groupBy("key").agg(F.count(F.lit(1)).alias("entries"), F.min(F.struct("n", "h", "place")).alias("lead")).where("entries > 1")
+    met = entries.join(lists, "key").where("h <> lead.h").select("h", "n", "place", F.col("lead.h").alias("leader"), F.col("lead.n").alias("ln"), F.col("lead.place").alias("lead_place"))
+    met = met.where(fits("n", "ln")).where(_room("n", "place", "ln", "lead_place", percent)).groupBy("h", "leader").agg(F.count(F.lit(1)).alias("times"))
     best = met.groupBy("h").agg(F.max_by("leader", F.struct("times", "leader")).alias("y")).select(F.col("h").alias("x"), "y")
     star = written_once(verify(best, texts, size), "join-star")
     edges = star.where(similar).select(F.col("x").alias("a"), F.col("y").alias("b"))
     known = components(edges)
 
-    # Then lists that still hold several components: a few leaders each, drawn anew for every list.
-    entries = written_once(entries, "join-entries")
-    for attempt in range(STAR_ROUNDS):
-        known = written_once(known, "join-components")
-        of = entries.join(known.withColumnRenamed("node", "h"), "h", "left").withColumn("root", F.coalesce("root", "h"))
-        lists = of.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct(F.xxhash64("h", "key", F.lit(attempt)).alias("draw"), "h", "n", "root", "place")).alias("lead")).where("low <> high")
-        entries = written_once(of.join(lists.select("key", "lead"), "key"), "join-entries")
-        if entries.isEmpty():
-            return known
-        met = entries.where("root <> lead.root").where(fits("n", "lead.n")).where(_room("n", "place", "lead.n", "lead.place", percent))
-        times = met.groupBy("h", F.col("lead.h").alias("leader")).agg(F.count(F.lit(1)).alias("times"))
-        pairs = times.groupBy("h").agg(F.max_by("leader", F.struct("times", "leader")).alias("y")).select(F.col("h").alias("x"), "y")
-        again = written_once(verify(pairs, texts, size), "join-star")
-        edges = edges.unionAll(again.where(similar).select(F.col("x").alias("a"), F.col("y").alias("b")))
-        known = components(edges)
-        entries = entries.select("key", "h", "n", "place")
-
-    # Last, all pairs between components that no bound rules out.
+    # Then families: texts that meet in lists which still hold several components.
     known = written_once(known, "join-components")
+    of = entries.join(known.withColumnRenamed("node", "h"), "h", "left").withColumn("root", F.coalesce("root", "h"))
+    lists = of.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("h").alias("first")).where("low <> high")
+    family = components(of.join(lists.select("key", "first"), "key").select(F.col("h").alias("a"), F.col("first").alias("b")))
     lead = star.select(F.col("x").alias("h"), F.col("y").alias("leader"), F.col("common").alias("with_leader"))
-    lead = lead.unionAll(star.groupBy(F.col("y").alias("h")).agg(F.first("ny").alias("c")).select("h", F.col("h").alias("leader"), F.col("c").alias("with_leader")))
+    lead = lead.unionAll(star.select(F.col("y").alias("h"), F.col("y").alias("leader"), F.col("ny").alias("with_leader")))
     lead = lead.groupBy("h").agg(F.max_by(F.struct("leader", "with_leader"), F.struct("with_leader", "leader")).alias("ref"))
-    of = entries.join(known.withColumnRenamed("node", "h"), "h", "left").withColumn("root", F.coalesce("root", "h")).join(lead, "h", "left")
-    main = of.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
-    of = of.join(main.where("roots > 1"), "key").select("key", "h", "n", "place", "root", "ref", (F.col("root") == F.col("main")).alias("in_main"))
-    left, right = of.where("not in_main").alias("l"), of.alias("r")
-    bound = F.least(
-        F.col("l.ref.with_leader") + F.col("r.n") - F.col("r.ref.with_leader"),
-        F.col("r.ref.with_leader") + F.col("l.n") - F.col("l.ref.with_leader"),
-    )
-    possible = (F.col("l.ref.leader") != F.col("r.ref.leader")) | F.col("l.ref").isNull() | F.col("r.ref").isNull() | (
-        100 * bound >= percent * (F.col("l.n") + F.col("r.n") - bound)
-    )
-    pairs = (
-        left.join(right, (F.col("l.key") == F.col("r.key")) & (F.col("l.root") != F.col("r.root")) & (F.col("r.in_main") | (F.col("l.h") < F.col("r.h"))))
-        .where(fits("l.n", "r.n")).where(_room("l.n", "l.place", "r.n", "r.place", percent)).where(possible)
-        .select(F.least("l.h", "r.h").alias("x"), F.greatest("l.h", "r.h").alias("y")).distinct()
+    member = (
+        family.select(F.col("node").alias("h"), F.col("root").alias("family"))
+        .join(texts.select("h", "text"), "h").join(known.withColumnRenamed("node", "h"), "h", "left").join(lead, "h", "left")
+        .select("family", "h", "text", F.coalesce("root", "h").alias("root"), "ref.leader", "ref.with_leader")
+    )
+    pieces = F.ceil(F.col("size") / PIECE).cast("int")
+    sizes = family.groupBy(F.col("root").alias("family")).agg(F.count(F.lit(1)).alias("size"))
+    tiles = (
+        member.join(sizes, "family").withColumn("pieces", pieces)
+        .withColumn("mine", F.pmod(F.xxhash64("h", F.lit(7)), F.col("pieces")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+        .withColumn("tile", F.xxhash64("family", F.least("mine", "other"), F.greatest("mine", "other")))
+        .select("tile", "mine", (F.col("mine") != F.col("other")).alias("across"), "h", "text", "root", "leader", "with_leader")
     )
-    rest = written_once(verify(pairs, texts, size).where(similar), "join-rest")
-    return components(edges.unionAll(rest.select(F.col("x").alias("a"), F.col("y").alias("b"))))
+    rest = written_once(
+        tiles.groupBy("tile").applyInArrow(lambda t: compare_tile(t, size, percent), "a bigint, b bigint"), "join-rest"
+    )
+    return components(edges.unionAll(rest))
 
 
 def _room(n: str, place: str, m: str, other: str, percent: int):
@@ -316,6 +323,55 @@ def _room(n: str, place: str, m: str, other: str, percent: int):
     return 100 * most >= percent * (F.col(n) + F.col(m) - most)
 
 
+def compare_tile(table: pa.Table, size: int, percent: int) -> pa.Table:
+    """Links between the texts of a tile that no relation rules out, as one edge a text to the least in reach.
+
+    A tile of two pieces compares across them only. Skipped are pairs of one component, pairs whose sizes
+    rule them out, and pairs whose overlap is bounded by their overlaps with one leader. If a pair is left, all
+    overlaps of the tile come from products of membership matrices, a strip of elements at a time.
+    """
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    table = table.sort_by("h")
+    h, root, mine = (table.column(c).to_numpy() for c in ("h", "root", "mine"))
+    has_leader = ~table.column("leader").is_null().to_numpy()
+    leader, with_leader = (table.column(c).fill_null(0).to_numpy() for c in ("leader", "with_leader"))
+    bodies = table.column("text").to_pylist()
+    sets = []
+    for a, b in sub_batches(bodies):
+        codes, first = shingle_hashes(*word_hashes(bodies[a:b]), size)
+        sets += [codes[x:y] for x, y in zip(first[:-1], first[1:], strict=True)]
+    n = np.array([len(s) for s in sets], np.int64)
+    wanted = np.triu(root[:, None] != root[None, :], 1)
+    if table.column("across")[0].as_py():
+        wanted &= mine[:, None] != mine[None, :]
+    pair = n[:, None] + n[None, :]
+    possible = lambda most: 100 * most >= percent * (pair - most)
+    wanted &= possible(np.minimum(n[:, None], n[None, :]))
+    apart = n - with_leader  # elements that the leader lacks
+    bound = np.minimum(with_leader[:, None] + apart[None, :], with_leader[None, :] + apart[:, None])
+    same = (leader[:, None] == leader[None, :]) & has_leader[:, None] & has_leader[None, :]
+    wanted &= ~same | possible(bound)
+    if not wanted.any():
+        return out.empty_table()
+    element, which, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), n)
+    several = df[which] > 1
+    number = np.cumsum(df > 1) - 1
+    column, owner = number[which[several]], owner[several]
+    by = np.argsort(column, kind="stable")
+    column, owner = column[by], owner[by]
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    for strip in range(0, int((df > 1).sum()), STRIP):
+        x, y = np.searchsorted(column, (strip, strip + STRIP))
+        holds = np.zeros((len(sets), STRIP), np.float32)
+        holds[owner[x:y], column[x:y] - strip] = 1
+        common += holds @ holds.T
+    i, j = np.nonzero(wanted & possible(common.astype(np.int64)))
+    reached = least_reached(len(h), i, j)
+    linked = np.flatnonzero(reached != np.arange(len(h)))
+    return pa.table([pa.array(h[linked]), pa.array(h[reached[linked]])], schema=out)
+
+
 def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row.
 

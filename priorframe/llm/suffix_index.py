@@ -9,8 +9,8 @@ A byte goes if a string of ``length`` bytes that covers it also starts in a docu
   the anchor, equal segments of a block once. Under anchors that very many blocks have, single windows
   travel instead, filed by their own hash: what is common is one row a block, what is not spreads out.
 * In a bucket, equal segments are settled by their smallest document. Where an anchor has different
-  segments, their windows go through the index family in batches of ascending document id: a batch gets
-  its suffix array (the windows' starts in the order of their next ``length`` bytes), is
+  segments, the windows whose hash is there twice go through the index family in batches of ascending
+  document id: a batch gets its suffix array (the windows' starts in the order of their next ``length`` bytes), is
   merge-scanned against every existing level for matches in full length, and becomes a level itself;
   levels of equal size merge, so a bucket has logarithmically many.
 * The answers go back to the blocks, which cut the texts.
@@ -37,9 +37,10 @@ from priorframe.llm.setjoin import (
 LENGTH = 50
 GRAM = 16
 RUN = 256  # windows of a segment at most; longer runs are cut
-COMMON_TIER = 6  # anchors that 2**6 blocks have are filed window by window
-BUCKET_BYTES = 16 << 20  # text bytes a bucket of segments stands for
-BATCH = 2048  # segments of a batch of the index family
+COMMON_TIER = 8  # anchors that 2**8 blocks have, or most of the blocks, are filed window by window,
+COMMON_MOST = 14  # and those that 2**14 blocks have, whatever the number of blocks
+BUCKET_BYTES = 6 << 20  # text bytes a bucket of segments stands for
+BATCH = 1 << 15  # windows of a batch of the index family
 
 KEYS_DDL = "bucket int, block int, keys binary, many binary"
 FOUND_DDL = "block int, keys binary, tier binary"
@@ -151,13 +152,13 @@ class Windows:
         _, down = powers(len(self.data) + 1)
         return mix(((total[stop] - total[start]) * down[start]) ^ ((stop - start).astype(np.uint64) << np.uint64(44)))
 
-    def spans(self, found: np.ndarray, tiers: np.ndarray) -> tuple[np.ndarray, ...]:
+    def spans(self, found: np.ndarray, tiers: np.ndarray, bits: int, common_tier: int) -> tuple[np.ndarray, ...]:
         """(start, end of starts, text, filing key, id) of every segment under a shared anchor."""
-        short = short_keys(self.key)
+        short = short_keys(self.key, bits)
         at = np.searchsorted(found, short)
         at[at == len(found)] = 0
         hit = found[at] == short if len(found) else np.zeros(len(short), bool)
-        common = hit & (tiers[at] >= COMMON_TIER) if len(found) else hit
+        common = hit & (tiers[at] >= common_tier) if len(found) else hit
         whole = hit & ~common
         total = self.prefix()
         start, end, text, key = self.start[whole], self.end[whole], self.text[whole], self.key[whole]
@@ -191,13 +192,13 @@ def _found(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return found_keys(table.filter(pc.is_valid(table.column("keys"))) if table.num_rows else table)
 
 
-def block_segments(left: pa.Table, right: pa.Table, buckets: int) -> pa.Table:
+def block_segments(left: pa.Table, right: pa.Table, buckets: int, bits: int, common_tier: int) -> pa.Table:
     """Distinct segments of a block by bucket, each with the smallest document of the block that has it."""
     hs, bodies = unique_rows(left)
     (found, tiers), orders = _found(right), _orders(right)
     key, ids, least, size, body = [], [], [], [], []
     for _, w, order in _parts(hs, bodies, orders):
-        start, end, text, k, i = w.spans(found, tiers)
+        start, end, text, k, i = w.spans(found, tiers, bits, common_tier)
         by = np.lexsort((order[text], i))
         fresh = by[np.concatenate([[True], i[by][1:] != i[by][:-1]])] if len(by) else by
         n = (end - start)[fresh] + w.length - 1
@@ -231,7 +232,6 @@ def settle(table: pa.Table) -> pa.Table:
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
     ids = mix(((total[at + size] - total[at]) * down[at]) ^ (size.astype(np.uint64) << np.uint64(44)))
-    del total
     _, one, which = np.unique(ids, return_index=True, return_inverse=True)
     least = np.full(len(one), np.iinfo(np.int64).max)
     np.minimum.at(least, which, order)
@@ -244,12 +244,19 @@ def settle(table: pa.Table) -> pa.Table:
     unsettled = unsettled[np.argsort(least[unsettled], kind="stable")]
     family = SuffixLevels()
     view = np.lib.stride_tricks.sliding_window_view(data, LENGTH)
-    for i in range(0, len(unsettled), BATCH):
-        part = unsettled[i : i + BATCH]
-        n = windows[part]
-        suffixes = np.ascontiguousarray(view[ragged(at[one[part]], n)]).view(f"S{LENGTH}").reshape(-1)
-        own = np.repeat(least[part], n)
-        flags[ragged(flag_at[part], n)] = family.add(suffixes, own) < own
+    start, flag = ragged(at[one[unsettled]], windows[unsettled]), ragged(flag_at[unsettled], windows[unsettled])
+    own = np.repeat(least[unsettled], windows[unsettled])
+    # A window whose hash is there once meets nothing; the others are compared byte by byte.
+    code = (total[start + LENGTH] - total[start]) * down[start]
+    ordered = np.sort(code)
+    again = ordered[1:][ordered[1:] == ordered[:-1]]
+    place = np.searchsorted(again, code)
+    place[place == len(again)] = 0
+    met = np.flatnonzero(again[place] == code) if len(again) else np.zeros(0, np.int64)
+    for i in range(0, len(met), BATCH):
+        part = met[i : i + BATCH]
+        suffixes = np.ascontiguousarray(view[start[part]]).view(f"S{LENGTH}").reshape(-1)
+        flags[flag[part]] = family.add(suffixes, own[part]) < own[part]
     some = np.zeros(len(one), bool)
     nonempty = windows > 0
     some[nonempty] = np.logical_or.reduceat(flags, flag_at[nonempty]) if nonempty.any() else False
@@ -265,7 +272,7 @@ def settle(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, ANSWERS, strict=True)], schema=ANSWERS)
 
 
-def cut(left: pa.Table, right: pa.Table, keep_text: bool) -> pa.Table:
+def cut(left: pa.Table, right: pa.Table, keep_text: bool, bits: int, common_tier: int) -> pa.Table:
     """What every text of a block keeps."""
     hs, bodies = unique_rows(left)
     (found, tiers), orders = _found(right), _orders(right)
@@ -282,14 +289,14 @@ def cut(left: pa.Table, right: pa.Table, keep_text: bool) -> pa.Table:
     # Smallest document of the block for each segment: later ones repeat it whatever the answers say.
     seen_ids, seen_least = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     for _, w, order in _parts(hs, bodies, orders):
-        _, _, text, _, i = w.spans(found, tiers)
+        _, _, text, _, i = w.spans(found, tiers, bits, common_tier)
         seen_ids, seen_least = np.concatenate([seen_ids, i]), np.concatenate([seen_least, order[text]])
         b = np.lexsort((seen_least, seen_ids))
         b = b[np.concatenate([[True], seen_ids[b][1:] != seen_ids[b][:-1]])] if len(b) else b
         seen_ids, seen_least = seen_ids[b], seen_least[b]
     rows = []
     for a, w, order in _parts(hs, bodies, orders):
-        start, end, text, _, i = w.spans(found, tiers)
+        start, end, text, _, i = w.spans(found, tiers, bits, common_tier)
         mine = order[text]
         gone = seen_least[np.searchsorted(seen_ids, i)] < mine
         place = np.searchsorted(sorted_ids, i)
@@ -332,30 +339,32 @@ def repeated_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     order = F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1))
     member = rows.select("doc_id", order.alias("order"), F.xxhash64("text").alias("h"), F.octet_length("text").cast("bigint").alias("n"), *passed)
     first = member.where("n is not null").groupBy("h").agg(F.min("order").alias("first"))
-    texts, blocks, buckets = blocked(rows)
-    parts = max(1, -(-blocks * BLOCK_BYTES // BUCKET_BYTES))
-    block_of = F.pmod("h", F.lit(blocks)).cast("int").alias("block")
+    texts, layout = blocked(rows)
+    bits = layout.bits
+    common_tier = min(COMMON_MOST, max(COMMON_TIER, int(np.log2(1.5 * layout.blocks))))
+    parts = max(1, -(-layout.blocks * BLOCK_BYTES // BUCKET_BYTES))
+    block_of = F.pmod("h", F.lit(layout.blocks)).cast("int").alias("block")
     firsts = first.select(block_of, "h", "first")
 
     def anchors(bodies: list[str]):
         for a, b in sub_batches(bodies, 1 << 20):
             w = Windows([t.encode() for t in bodies[a:b]])
-            pair = np.unique(np.stack([short_keys(w.key), w.text.astype(np.uint64)], 1), axis=0) if len(w.key) else np.zeros((0, 2), np.uint64)
+            pair = np.unique(np.stack([short_keys(w.key, bits), w.text.astype(np.uint64)], 1), axis=0) if len(w.key) else np.zeros((0, 2), np.uint64)
             yield pair[:, 0]
 
     def send(table: pa.Table) -> pa.Table:
         keys, counts = key_counts(anchors(unique_rows(table)[1]))
-        return bucket_rows(table.column("block")[0].as_py(), keys, counts, buckets)
+        return bucket_rows(table.column("block")[0].as_py(), keys, counts, layout)
 
     found = texts.groupBy("block").applyInArrow(send, KEYS_DDL).groupBy("bucket").applyInArrow(shared_in_bucket, FOUND_DDL)
     known = found.unionByName(firsts, allowMissingColumns=True)
     segments = texts.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
-        lambda left, right: block_segments(left, right, parts) if left.num_rows else SEGMENTS.empty_table(), _ddl(SEGMENTS)
+        lambda left, right: block_segments(left, right, parts, bits, common_tier) if left.num_rows else SEGMENTS.empty_table(), _ddl(SEGMENTS)
     )
     answers = segments.groupBy("bucket").applyInArrow(settle, _ddl(ANSWERS))
     told = known.unionByName(answers, allowMissingColumns=True)
     judged = texts.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
-        lambda left, right: cut(left, right, keep_text) if left.num_rows else RESULT.empty_table(), _ddl(RESULT)
+        lambda left, right: cut(left, right, keep_text, bits, common_tier) if left.num_rows else RESULT.empty_table(), _ddl(RESULT)
     )
     # Documents after the first one of an equal text repeat it whole.
     judged = judged.join(first, "h")

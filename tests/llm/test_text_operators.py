@@ -88,6 +88,8 @@ def test_near_duplicates_in_a_large_group(spark, monkeypatch):
     """Hundreds of near copies, chains across the threshold, several blocks and buckets."""
     monkeypatch.setattr(setjoin, "BLOCK_BYTES", 40_000)
     monkeypatch.setattr(setjoin, "BUCKET_KEYS", 2_000)
+    monkeypatch.setattr(setjoin, "PIECE", 20)
+    monkeypatch.setattr(setjoin, "STRIP", 100)
     rng = np.random.default_rng(3)
     base = [f"w{i}" for i in range(120)]
     shared = " ".join(f"passage{i}" for i in range(60))
@@ -125,10 +127,18 @@ def brute_repeats(rows, length=50):
     return out
 
 
-@pytest.mark.parametrize("common", [0, 6])
-def test_repeated_text(docs, common, monkeypatch):
+def test_repeated_text(docs, monkeypatch):
+    check_repeats(docs, 8, monkeypatch)
+
+
+def test_repeated_text_filed_by_window(edges, monkeypatch):
+    check_repeats(edges, 0, monkeypatch)
+
+
+def check_repeats(docs, common, monkeypatch):
     monkeypatch.setattr(suffix_index, "COMMON_TIER", common)
-    monkeypatch.setattr(suffix_index, "BATCH", 3)
+    monkeypatch.setattr(suffix_index, "COMMON_MOST", common)
+    monkeypatch.setattr(suffix_index, "BATCH", 40)
     monkeypatch.setattr(setjoin, "BLOCK_BYTES", 60_000)
     monkeypatch.setattr(suffix_index, "BLOCK_BYTES", 60_000)
     monkeypatch.setattr(suffix_index, "BUCKET_BYTES", 90_000)
@@ -184,8 +194,15 @@ def brute_katz(rows):
         yield d, h, len(t), sum(one[w] > 0 for w in t), n, base, score
 
 
-@pytest.mark.parametrize("piece", [50, 3_000_000])
-def test_katz(docs, piece, monkeypatch):
+def test_katz(docs, monkeypatch):
+    check_katz(docs, katz.PIECE_TOKENS, monkeypatch)
+
+
+def test_katz_with_contexts_in_pieces(edges, monkeypatch):
+    check_katz(edges, 50, monkeypatch)
+
+
+def check_katz(docs, piece, monkeypatch):
     monkeypatch.setattr(katz, "PIECE_TOKENS", piece)
     monkeypatch.setattr(setjoin, "BLOCK_BYTES", 60_000)
     monkeypatch.setattr(setjoin, "BUCKET_KEYS", 20_000)
@@ -232,7 +249,7 @@ def test_records(spark, docs):
         ids = library.encode(t or "", add_special_tokens=False).ids + [2]
         by_id[d].append((len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
     got.sort(key=lambda r: r.start)
-    assert [r.doc_id for r in got] == sorted(by_id.keys() - {None} if None not in by_id else [k for k in by_id for _ in by_id[k]], key=lambda k: (k is not None, k)) if None in by_id or any(len(v) > 1 for v in by_id.values()) else sorted(by_id)
+    assert [r.doc_id for r in got] == sorted((d for d, _ in rows), key=lambda d: (d is not None, d))
     for r in got:
         assert r.start == at
         at += r.n_tokens
