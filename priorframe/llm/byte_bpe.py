@@ -22,7 +22,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 
-from priorframe.llm.common import columns_of, short_batches
+from priorframe.llm.common import columns_of, short_batches, worker_cache
 
 STATES = 200_000  # remembered states of a worker; beyond, the construction starts anew
 PIECES = 300_000  # remembered pieces of a worker
@@ -216,15 +216,12 @@ class TextEncoder:
         return np.frombuffer(b"".join([get(p) or learn(p) for p in pieces]), "<u4")
 
 
-_ENCODERS: dict[tuple[str, str], TextEncoder] = {}
 CHUNK = 4096  # ids decoded at once
 
 
 def encoder(path: str, pattern: str) -> TextEncoder:
     """One encoder for each worker process, kept between tasks."""
-    if (path, pattern) not in _ENCODERS:
-        _ENCODERS[path, pattern] = TextEncoder(path, pattern)
-    return _ENCODERS[path, pattern]
+    return worker_cache(("byte_bpe", path, pattern), lambda: TextEncoder(path, pattern))
 
 
 def round_trip(

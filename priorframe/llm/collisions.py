@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from priorframe.llm.common import columns_of, short_batches, written_once
+from priorframe.llm.common import columns_of, forget, short_batches, written_once
 from priorframe.llm.components import components, least_reached
 from priorframe.llm.hashing import BASE, mix
 
@@ -132,6 +132,7 @@ def near_vectors(
     short_batches(vectors.sparkSession)
 
     def deal(batches):
+        forget()
         for batch in batches:
             for rows_of, x in unit_vectors(batch.column(1)).values():
                 if not len(x):

@@ -34,6 +34,22 @@ def short_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+_KEPT: dict = {}
+
+
+def worker_cache(key: tuple, make):
+    """What a worker process keeps between tasks: one thing, the last that was asked for."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def forget() -> None:
+    """Called by operators without a cache, so that a reused worker does not carry another one's."""
+    _KEPT.clear()
+
+
 def words_in(text: Column) -> Column:
     """Number of words; NULL text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
@@ -56,6 +72,6 @@ def labelled_sample(labels: DataFrame, mark: str, per_class: int, seed: int) ->
 
 
 __all__ = [
-    "BATCH_ROWS", "WORD", "WORD_SPACE", "columns_of", "crc_bucket", "documents", "labelled_sample", "short_batches",
-    "table", "words_in", "written_once",
+    "BATCH_ROWS", "WORD", "WORD_SPACE", "columns_of", "crc_bucket", "documents", "forget", "labelled_sample",
+    "short_batches", "table", "words_in", "worker_cache", "written_once",
 ]

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from priorframe.llm.common import columns_of, labelled_sample, short_batches
+from priorframe.llm.common import columns_of, forget, labelled_sample, short_batches
 
 # The symbols that the rules count.
 SYMBOLS = "#*$%&|<>"
@@ -233,6 +233,7 @@ def quality(docs: DataFrame, labels: DataFrame, min_share: float = MIN_CONTENT_S
     schema += ", line_is_content array<boolean>" * keep_lines
 
     def run(batches):
+        forget()
         decoder = Decoder(*model)
         for batch in batches:
             out = []
@@ -255,6 +256,7 @@ def keep_content(docs: DataFrame, labels: DataFrame, min_share: float = MIN_CONT
     at = docs.columns.index("text")
 
     def run(batches):
+        forget()
         decoder = Decoder(*model)
         for batch in batches:
             yield batch.filter(pa.array([judge(t or "", decoder, min_share)[2] for t in batch.column(at).to_pylist()], pa.bool_()))

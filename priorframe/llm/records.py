@@ -14,6 +14,7 @@ job, so files of lost or repeated attempts are never listed.
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
@@ -25,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from priorframe.llm.common import columns_of, short_batches, written_once
+from priorframe.llm.common import columns_of, short_batches, worker_cache, written_once
 from priorframe.operators.ordering import running_totals
 from priorframe.session import scratch_dir
 
@@ -121,18 +122,10 @@ class WordEncoder:
         return b"".join([known[w] for w in words])
 
 
-_ENCODERS: dict[tuple[str, str], WordEncoder] = {}
-
-
 def encoder(vocabulary: str, dtype: str) -> WordEncoder:
     """One encoder for each worker process, kept between tasks."""
-    key = (vocabulary, dtype)
-    if key not in _ENCODERS:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
-        _ENCODERS[key] = WordEncoder(vocabulary, dtype)
-    return _ENCODERS[key]
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
+    return worker_cache(("records", vocabulary, dtype), lambda: WordEncoder(vocabulary, dtype))
 
 
 class RecordWriter:

@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from priorframe.llm.common import columns_of, short_batches, written_once
+from priorframe.llm.common import columns_of, forget, short_batches, written_once
 from priorframe.llm.components import components, least_reached
 from priorframe.llm.hashing import pack_sorted, shingle_hashes, unpack_sorted, word_hashes
 
@@ -78,6 +78,7 @@ def distinct_texts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     short_batches(docs.sparkSession)
 
     def once(batches):
+        forget()
         seen: set[int] = set()
         pack = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
@@ -113,6 +114,7 @@ def blocked(docs: DataFrame) -> tuple[DataFrame, Layout]:
 
 def unique_rows(table: pa.Table) -> tuple[list[int], list[str]]:
     """Texts of a block, each once, in the order of their hash."""
+    forget()
     hs = table.column("h").to_numpy()
     _, first = np.unique(hs, return_index=True)
     unpack = zstandard.ZstdDecompressor().decompress

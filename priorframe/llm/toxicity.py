@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from priorframe.llm.common import columns_of, crc_bucket, labelled_sample, short_batches
+from priorframe.llm.common import columns_of, crc_bucket, forget, labelled_sample, short_batches
 
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD_OF_SENTENCE = re.compile(r"\w+")
@@ -173,6 +173,7 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, loca
     schema = "doc_id bigint, score double, n_sentences int" + ", offending array<struct<start:int,end:int,score:double>>" * locate
 
     def run(batches):
+        forget()
         weights = Weights(*model.value)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
