@@ -30,7 +30,7 @@ COSINE = 0.95
 RECALL = 0.95  # of pairs exactly at the threshold; closer pairs are found with more
 LINES = 24
 CELL_WIDTH = 4.0  # of a quantised projection, in distances at the threshold
-CELL_MATES = 64  # unlike vectors in a cell, about
+CELL_MATES = 64  # unlike vectors in a cell, one to three times as many
 TILE = 1024
 SEED = 29
 
@@ -48,7 +48,7 @@ class Plan:
         self.cosine, self.seed = cosine, seed
         self.distance = math.sqrt(2 * (1 - cosine))
         near, far = meet_chance(CELL_WIDTH), meet_chance(CELL_WIDTH * self.distance / math.sqrt(2))
-        self.depth = max(1, math.ceil(math.log(max(1, n) / CELL_MATES) / -math.log(far))) if n > CELL_MATES else 1
+        self.depth = max(1, int(math.log(max(1, n) / CELL_MATES) / -math.log(far))) if n > CELL_MATES else 1
         # Half of the loss allowed for the tables, half for the count.
         loss = (1 - recall) / 2
         self.tables = math.ceil(math.log(loss) / math.log(1 - near**self.depth))
