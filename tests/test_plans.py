@@ -12,9 +12,10 @@ def plan_of(df):
 
 
 def test_filters_and_columns_reach_the_scan(spark, sf):
-    text = plan_of(plans.QUERIES["c1_child_parent_equi_join"](spark, sf))
-    assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in text
-    assert "l_extendedprice" not in text
+    text = plan_of(plans.QUERIES["c3_anti_join_unobserved"](spark, sf))
+    assert "PushedFilters: [" in text and "GreaterThanOrEqual(o_orderdate" in text
+    assert "o_totalprice" not in text
+    assert "l_extendedprice" not in plan_of(plans.QUERIES["c1_child_parent_equi_join"](spark, sf))
 
 
 def test_all_lags_share_one_sort(spark, sf):
