@@ -19,11 +19,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of linked documents. Documents without an id stay
-    if no document of their group has one."""
-    groups = setjoin.near_duplicates(docs)
-    later = written_once(groups.where("not (doc_id <=> component_id)").select("doc_id").distinct(), "pipeline-later")
-    return docs.join(later, docs.doc_id.eqNullSafe(later.doc_id), "left_anti")
+    """One document of every group of linked documents: that with the smallest id. A document without an id stays if
+    no document of its group has one and it is the first of them; of repeated rows one stays."""
+    return setjoin.first_of_groups(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -374,6 +374,14 @@ def compare_tile(table: pa.Table, size: int, percent: int) -> pa.Table:
     return pa.table([pa.array(h[linked]), pa.array(h[reached[linked]])], schema=out)
 
 
+def placed_rows(rows: DataFrame, texts: DataFrame, roots: DataFrame) -> DataFrame:
+    """(doc_id, h, n, root) of every row of ``rows`` (doc_id, text) that has a text: the hash of its text, its set size
+    and the root of its component."""
+    member = rows.where("text is not null").select("doc_id", F.xxhash64("text").alias("h"))
+    sized = texts.select("h", "n").join(roots.withColumnRenamed("node", "h"), "h", "left").select("h", "n", F.coalesce("root", "h").alias("root"))
+    return member.join(sized, "h").select("doc_id", "h", "n", "root")
+
+
 def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row.
 
@@ -384,13 +392,34 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, i
     """
     rows = columns_of(docs, [id_col, text_col]).toDF("doc_id", "text")
     texts = written_once(posted(rows, size, percent), "join-texts")
-    roots = links(texts, size, percent)
-    member = rows.select("doc_id", F.xxhash64("text").alias("h"), F.col("text").isNull().alias("none"))
-    sized = texts.select("h", "n").join(roots.withColumnRenamed("node", "h"), "h", "left").select("h", "n", F.coalesce("root", "h").alias("root"))
-    placed = member.where("not none").drop("none").join(sized, "h")
+    placed = placed_rows(rows, texts, links(texts, size, percent))
     worded = written_once(placed.where("n > 0").select("doc_id", "n", "root"), "join-members")
     least = worded.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    alone = placed.where("n = 0").select("doc_id").unionAll(member.where("none").select("doc_id"))
+    alone = placed.where("n = 0").select("doc_id").unionAll(rows.where("text is null").select("doc_id"))
     return worded.join(least, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionAll(
         alone.select("doc_id", F.lit(0).cast("bigint").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     )
+
+
+def first_of_groups(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with one row of every component: that with the smallest id, a NULL id last, then the smallest
+    text hash, and one copy if that row is repeated.
+
+    Rows are told apart by id and text hash, so an id on two texts or a NULL id decides nothing about other rows.
+    Rows without a shingle link with nothing and all stay.
+    """
+    rows = columns_of(docs, [id_col, text_col]).toDF("doc_id", "text")
+    texts = written_once(posted(rows, size, percent), "join-texts")
+    placed = placed_rows(rows, texts, links(texts, size, percent)).where("n > 0")
+    copies = written_once(placed.groupBy("root", "doc_id", "h").agg(F.count(F.lit(1)).alias("copies")), "join-copies")
+    least = copies.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("least"))
+    first = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("h") == F.col("least.h"))
+    marks = copies.join(least, "root").select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), first.alias("_first"), "copies")
+    marks = written_once(marks.where("not _first or copies > 1").drop("copies"), "join-marks")
+    text = F.col(f"`{text_col}`")
+    hashed = docs.withColumn("_text", F.when(text.isNotNull(), F.xxhash64(text)))
+    on = (F.col("_text") == F.col("_h")) & F.col(f"`{id_col}`").eqNullSafe(F.col("_id"))
+    stay = hashed.join(marks.drop("_first"), on, "left_anti").select(*docs.columns)
+    again = hashed.join(marks.where("_first").drop("_first"), on, "left_semi")
+    one = again.groupBy(id_col, "_text").agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
+    return stay.unionAll(one)
