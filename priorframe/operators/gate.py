@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from priorframe.operators.aggregates import long_cells
 from priorframe.operators.metrics import auc_of_levels
+from priorframe.sources.sinks import written_once
 
-CATEGORY_ROWS = 5  # a level must hold this many rows on average
+CATEGORY_ROWS = 5  # a level must hold this many rows on average, where the caller says nothing else
 
 
 def check(measured: DataFrame, name: str, ok: Column, detail: Column) -> DataFrame:
@@ -41,20 +42,57 @@ def report(checks: Sequence[DataFrame]) -> DataFrame:
     return rows.unionByName(overall)
 
 
-def column_leak(df: DataFrame, split: str, label: str, columns: Sequence[str]) -> DataFrame:
+def column_leak(
+    df: DataFrame, split: str, label: str, columns: Sequence[str], category_rows: int = CATEGORY_ROWS, fit_on: str = "train"
+) -> DataFrame:
     """How well each column alone ranks the label, per split.
 
-    A column whose every value is a number is its own score. Another column is scored
-    by the positive rate of its level, unless it has more levels than a fifth of the
-    rows; such a column is reported as high_cardinality. All columns share one pass:
-    cells shrink to counts per distinct value before anything else.
+    A column whose every value is a number is its own score. Another column is scored by the positive rate of its
+    level in the split itself, which ``auc`` holds. With fewer than ``category_rows`` rows a level on average (kind
+    high_cardinality) such rates would repeat the label, so ``auc`` is NULL and ``fitted_leak`` decides.
+    All columns share one pass: cells shrink to counts per distinct value before anything else.
     """
+    kinds, levels = _leveled(df, split, label, columns, category_rows)
+    number = F.trim("value").try_cast("double")
+    rate = F.try_divide(F.col("_pos"), F.col("_pos") + F.col("_neg"))
+    scored = (
+        levels.join(kinds, [split, "field"])
+        .where("kind <> 'high_cardinality'")
+        .withColumn("_score", F.when(F.col("kind") == "numeric", number).otherwise(rate))
+        .groupBy(split, "field", "_score")
+        .agg(F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"))
+    )
+    auc = auc_of_levels(scored, [split, "field"], "_score")
+    many = _fitted(kinds.where("kind = 'high_cardinality'"), levels, split, fit_on)
+    found = kinds.join(auc, [split, "field"], "left").join(many.select(split, "field", "fitted_auc"), [split, "field"], "left")
+    return found.withColumn(
+        "determines_label", F.coalesce(F.coalesce("auc", "fitted_auc").isin(0.0, 1.0), F.lit(False))
+    ).drop("fitted_auc")
+
+
+def fitted_leak(
+    df: DataFrame, split: str, label: str, columns: Sequence[str], category_rows: int = CATEGORY_ROWS, fit_on: str = "train"
+) -> DataFrame:
+    """How well the level rates of the train rows rank the label in every other split, for columns of any number of levels.
+
+    A level that train has not gets the train rate; ``seen`` counts rows of levels that it has. The fitting split
+    itself has no row.
+    """
+    kinds, levels = _leveled(df, split, label, columns, category_rows)
+    return _fitted(kinds, levels, split, fit_on).withColumn(
+        "determines_label", F.coalesce(F.col("fitted_auc").isin(0.0, 1.0), F.lit(False))
+    )
+
+
+def _leveled(df: DataFrame, split: str, label: str, columns: Sequence[str], category_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(split, field, levels, kind), and class counts per (split, field, value)."""
     cells = long_cells(df, [split, label], columns)
     v = F.coalesce(F.col("value"), F.lit(""))
     levels = cells.groupBy(split, "field", v.alias("value")).agg(
         F.sum(label).cast("double").alias("_pos"),
         F.sum(1 - F.col(label)).cast("double").alias("_neg"),
     )
+    levels = written_once(levels, "leak-levels")  # read by kinds, scores and train rates
     number = F.trim("value").try_cast("double")
     kinds = levels.groupBy(split, "field").agg(
         F.count(F.lit(1)).alias("levels"),
@@ -64,33 +102,45 @@ def column_leak(df: DataFrame, split: str, label: str, columns: Sequence[str]) -
     kind = (
         F.when(F.col("_numeric"), "numeric")
         .when(
-            F.col("levels") > F.greatest(F.lit(1), F.floor(F.col("_rows") / CATEGORY_ROWS)),
+            F.col("levels") > F.greatest(F.lit(1), F.floor(F.col("_rows") / category_rows)),
             "high_cardinality",
         )
         .otherwise("categorical")
     )
-    kinds = kinds.select(split, "field", "levels", kind.alias("kind"))
+    return kinds.select(split, "field", "levels", kind.alias("kind")), levels
+
+
+def _fitted(kinds: DataFrame, levels: DataFrame, split: str, fit_on: str) -> DataFrame:
+    """(split, field, levels, kind, seen, fitted_auc) of the splits that train rates were not fitted on."""
     rate = F.try_divide(F.col("_pos"), F.col("_pos") + F.col("_neg"))
-    scored = (
-        levels.join(kinds, [split, "field"])
-        .where("kind <> 'high_cardinality'")
-        .withColumn("_score", F.when(F.col("kind") == "numeric", number).otherwise(rate))
-        .groupBy(split, "field", "_score")
-        .agg(F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"))
-    )
-    auc = auc_of_levels(scored, [split, "field"], "_score")
-    return kinds.join(auc, [split, "field"], "left").withColumn(
-        "determines_label", F.coalesce(F.col("auc").isin(0.0, 1.0), F.lit(False))
-    )
+    train = levels.where(F.col(split) == fit_on)
+    rates = train.select("field", "value", rate.alias("_rate"))
+    prior = train.groupBy("field").agg(F.try_divide(F.sum("_pos"), F.sum(F.col("_pos") + F.col("_neg"))).alias("_prior"))
+    wanted = kinds.where(F.col(split) != fit_on)
+    scores = (
+        levels.join(wanted.select(split, "field"), [split, "field"])
+        .join(rates, ["field", "value"], "left")
+        .join(prior, "field")
+        .groupBy(split, "field", F.coalesce("_rate", "_prior").alias("_score"))
+        .agg(
+            F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"),
+            F.sum(F.when(F.col("_rate").isNotNull(), F.col("_pos") + F.col("_neg")).otherwise(0.0)).alias("_seen"),
+        )
+    )
+    auc = auc_of_levels(scores.drop("_seen"), [split, "field"], "_score", "fitted_auc")
+    seen = scores.groupBy(split, "field").agg(F.sum("_seen").cast("bigint").alias("seen"))
+    return wanted.join(seen, [split, "field"], "left").join(auc, [split, "field"], "left")
 
 
-def level_counts(df: DataFrame, columns: Sequence[str], declared: Sequence[str]) -> DataFrame:
-    """Columns with more levels than a fifth of the rows, and whether that is declared."""
+def level_counts(
+    df: DataFrame, columns: Sequence[str], declared: Sequence[str], category_rows: int = CATEGORY_ROWS
+) -> DataFrame:
+    """Columns with fewer than ``category_rows`` rows a level, and whether that is declared."""
     cells = long_cells(df, [], columns).groupBy("field", "value").agg(F.count(F.lit(1)).alias("_n"))
     out = cells.groupBy("field").agg(
         F.count("value").alias("levels"), F.sum("_n").alias("n_rows")
     )
-    high = F.col("levels") > F.floor(F.col("n_rows") / CATEGORY_ROWS)
+    high = F.col("levels") > F.floor(F.col("n_rows") / category_rows)
     return out.withColumn("high", high).withColumn("ok", ~high | F.col("field").isin(*declared))
 
 

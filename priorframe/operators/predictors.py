@@ -134,16 +134,6 @@ def smoothed_as_of(
     return known.withColumn("score", smoothed_rate(F.col("_n"), F.col("_p"), default)).drop("_n", "_p")
 
 
-def _assembled(numeric: Sequence[str], categorical: Sequence[str]):
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
-
-    indexers = [
-        StringIndexer(inputCol=c, outputCol=f"_{c}", handleInvalid="keep") for c in categorical
-    ]
-    columns = [*numeric, *[f"_{c}" for c in categorical]]
-    return indexers, VectorAssembler(inputCols=columns, outputCol="_features", handleInvalid="keep")
-
-
 def _fit_score(df: DataFrame, stages: list, split: str) -> DataFrame:
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
@@ -153,18 +143,45 @@ def _fit_score(df: DataFrame, stages: list, split: str) -> DataFrame:
     return scored.withColumn("score", vector_to_array("probability")[1]).select(*df.columns, "score")
 
 
+TREE_BINS = 1002  # bins of a tree's feature, and so the base in which ranks of levels are written
+
+
+def _ranked_levels(df: DataFrame, categorical: Sequence[str], split: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with every category as its frequency rank in train, written in digits of base TREE_BINS, least digit first.
+
+    Each digit is a nominal feature, so that trees tell any number of levels apart; up to 1,001 levels are one
+    digit. A level that train has not is one further rank.
+    """
+    from pyspark.ml.feature import StringIndexer
+
+    out, names = df, []
+    for c in categorical:
+        ranks = StringIndexer(inputCol=c, outputCol=f"_{c}", handleInvalid="keep").fit(df.where(F.col(split) == "train"))
+        left = len(ranks.labels) + 1
+        out, rank, digit = ranks.transform(out), F.col(f"_{c}").cast("bigint"), 0
+        while left > 1 or digit == 0:
+            names.append(f"_{c}_{digit}")
+            nominal = {"ml_attr": {"type": "nominal", "name": names[-1], "num_vals": min(left, TREE_BINS)}}
+            value = F.pmod(F.floor(rank / TREE_BINS**digit), F.lit(TREE_BINS)).cast("double")
+            out = out.withColumn(names[-1], value.alias(names[-1], metadata=nominal))
+            left, digit = -(-left // TREE_BINS), digit + 1
+    return out, names
+
+
 def boosted_trees(
     df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str, split: str = "split",
     trees: int = 30, depth: int = 6,
 ) -> DataFrame:
-    """Gradient-boosted trees on train rows; categories above 1,000 levels are refused."""
+    """Gradient-boosted trees on train rows; a category may have any number of levels."""
     from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
 
-    indexers, assembler = _assembled(numeric, categorical)
+    ranked, digits = _ranked_levels(df, categorical, split)
+    assembler = VectorAssembler(inputCols=[*numeric, *digits], outputCol="_features", handleInvalid="keep")
     model = GBTClassifier(
-        featuresCol="_features", labelCol=label, maxIter=trees, maxDepth=depth, maxBins=1002, seed=17
+        featuresCol="_features", labelCol=label, maxIter=trees, maxDepth=depth, maxBins=TREE_BINS, seed=17
     )
-    return _fit_score(df, [*indexers, assembler, model], split)
+    return _fit_score(ranked, [assembler, model], split).select(*df.columns, "score")
 
 
 def logistic(

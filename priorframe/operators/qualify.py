@@ -67,7 +67,7 @@ def _by_split(values: dict[str, object], kind: str) -> Column:
     return out
 
 
-def qualify(panel: DataFrame, d: Descriptor) -> DataFrame:
+def qualify(panel: DataFrame, d: Descriptor, category_rows: int = gate.CATEGORY_ROWS) -> DataFrame:
     """(check, ok, detail, evidence) rows and an overall row for a panel with a ``split`` column.
 
     The panel is read by four aggregates: classes and time ranges per split, positive
@@ -114,7 +114,7 @@ def qualify(panel: DataFrame, d: Descriptor) -> DataFrame:
         F.coalesce(F.sum("_repeats"), F.lit(0)).alias("repeats"),
         F.coalesce(F.sum("_contradicts"), F.lit(0)).alias("contradictory"),
     )
-    leak = gate.column_leak(rows.select("split", "_y", *shipped), "split", "_y", shipped)
+    leak = gate.column_leak(rows.select("split", "_y", *shipped), "split", "_y", shipped, category_rows)
     free = [*d.id_columns, *d.high_cardinality_columns]
 
     span = counts.where("n > 0").select("split", "lo", "hi")
