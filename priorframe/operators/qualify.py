@@ -70,13 +70,15 @@ def _by_split(values: dict[str, object], kind: str) -> Column:
 def qualify(panel: DataFrame, d: Descriptor, category_rows: int = gate.CATEGORY_ROWS) -> DataFrame:
     """(check, ok, detail, evidence) rows and an overall row for a panel with a ``split`` column.
 
-    The panel is read by four aggregates: classes and time ranges per split, positive
+    A time that is written but does not parse, or a split without any time, fails both range checks; blank times of a
+    split that has others are not judged. The panel is read by four aggregates: classes and time ranges per split, positive
     event days, identifiers, and one long pass over all cells for the leak scores.
     """
     shipped = [c for c in panel.columns if c not in ("split", d.target)]
     y = (F.col(d.target).cast("string") == d.positive_label).cast("bigint")
     rows = panel.withColumn("_y", F.coalesce(y, F.lit(0)))
     time = F.col(d.time_column).try_cast("timestamp_ntz")
+    written = F.trim(F.col(d.time_column).cast("string")) != ""
     starts = {s: w.get("start") for s, w in d.split_windows.items()}
     ends = {s: w.get("end") for s, w in d.split_windows.items()}
 
@@ -86,9 +88,10 @@ def qualify(panel: DataFrame, d: Descriptor, category_rows: int = gate.CATEGORY_
         F.sum("_y").alias("p"),
         F.min(time).alias("lo"),
         F.max(time).alias("hi"),
+        F.count(F.when(written & time.isNull(), 1)).alias("unparsed"),
     )
     counts = present.join(measured, "split", "left").select(
-        "split", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("p", F.lit(0)).alias("p"), "lo", "hi"
+        "split", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("p", F.lit(0)).alias("p"), "lo", "hi", "unparsed"
     )
     scored = F.col("split").isin(*SCORED)
     n, p = F.col("n"), F.col("p")
@@ -117,19 +120,14 @@ def qualify(panel: DataFrame, d: Descriptor, category_rows: int = gate.CATEGORY_
     leak = gate.column_leak(rows.select("split", "_y", *shipped), "split", "_y", shipped, category_rows)
     free = [*d.id_columns, *d.high_cardinality_columns]
 
-    span = counts.where("n > 0").select("split", "lo", "hi")
-    ranges = gate.disjoint(span).select(
-        "split", F.col("lo").cast("string").alias("lo"), F.col("hi").cast("string").alias("hi"), "disjoint"
-    )
+    # A range is known where the split has a time, and every time that is written parses.
+    span = counts.where("n > 0").select("split", "lo", "hi", "unparsed")
+    known = (F.col("unparsed") == 0) & F.col("lo").isNotNull()
+    lo_hi = [F.col("lo").cast("string").alias("lo"), F.col("hi").cast("string").alias("hi"), "unparsed"]
+    ranges = gate.disjoint(span).select("split", *lo_hi, (F.col("disjoint") & known).alias("disjoint"))
     start, end = _by_split(starts, "timestamp_ntz"), _by_split(ends, "timestamp_ntz")
-    inside = span.select(
-        "split",
-        F.col("lo").cast("string").alias("lo"),
-        F.col("hi").cast("string").alias("hi"),
-        (
-            F.coalesce(F.col("lo") >= start, start.isNull()) & F.coalesce(F.col("hi") < end, end.isNull())
-        ).alias("inside"),
-    )
+    within = F.coalesce(F.col("lo") >= start, start.isNull()) & F.coalesce(F.col("hi") < end, end.isNull())
+    inside = span.select("split", *lo_hi, (within & known).alias("inside"))
     classes = counts.select("split", "n", "p")
     rate = F.try_divide(p, n)
     said_n, said_r = _by_split(d.rows, "bigint"), _by_split(d.positive_rate, "double")
