@@ -55,7 +55,8 @@ def weekly_transition(spark, sf):
     weekly = ops.read_stream(spark, f"{folder}/weeks/table")
     # Monday 1969-12-29 starts week 0.
     numbered = weekly.withColumn("week", F.floor((epoch_day("start") + 3) / 7))
-    return ops.run_to_table(ops.weekly_transitions(numbered, "user_id", "week", "c"), f"{folder}/transitions")
+    rows = ops.run_to_table(ops.weekly_transitions(numbered, "user_id", "week", "c"), f"{folder}/transitions")
+    return ops.newest_revision(rows, ["user_id", "week"])
 
 
 @query("l2_tumbling_week_agg", f"""
@@ -74,7 +75,8 @@ def ordered_state(spark, sf):
     folder = scratch_dir(spark, "ordered-state")
     daily_table(spark, sf, f"{folder}/days")
     daily = ops.read_stream(spark, f"{folder}/days/table").withColumn("day", epoch_day("start"))
-    return ops.run_to_table(ops.entity_history(daily, "user_id", "day", "n", "kinds"), f"{folder}/history")
+    rows = ops.run_to_table(ops.entity_history(daily, "user_id", "day", "n", "kinds"), f"{folder}/history")
+    return ops.newest_revision(rows, ["user_id", "day"])
 
 
 @query("l4_chronological_scoring", """

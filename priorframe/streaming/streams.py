@@ -60,40 +60,54 @@ def closed_periods(
     )
 
 
+LAGS = (1, 2, 3)
+
+
 def _transition_state(
-    key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
+    key: tuple, frames: Iterator[pd.DataFrame], state: GroupState, keep: int | None = None
 ) -> Iterator[pd.DataFrame]:
-    weeks, values = (list(x) for x in state.get) if state.exists else ([], [])
-    held = dict(zip(weeks, values))
-    fresh = pd.concat(list(frames)).sort_values("week")
-    rows = []
-    for week, value in zip(fresh["week"], fresh["value"]):
-        if week in held or (held and week < max(held)):
+    weeks, values, floor = state.get if state.exists else ([], [], None)
+    held, late, fresh = dict(zip(weeks, values)), [], []
+    arrived = pd.concat(list(frames)).sort_values("week", kind="stable")
+    for week, value in zip(arrived["week"].tolist(), arrived["value"].tolist()):
+        if week in held:
+            continue
+        if floor is not None and week < floor:
+            late.append((*key, week, value, None, None, None, None, -1))
             continue
-        if week - 1 in held:
-            lags = [held.get(week - 1 - k) for k in (1, 2, 3)]
-            rows.append((*key, week - 1, held[week - 1], value, *lags))
         held[week] = value
-        held = {w: v for w, v in held.items() if w > week - 4}
-    state.update((sorted(held), [held[w] for w in sorted(held)]))
-    yield pd.DataFrame(rows, columns=["key", "week", "value", "next_value", "lag1", "lag2", "lag3"]).astype(
-        {c: "Int64" for c in ("week", "value", "next_value", "lag1", "lag2", "lag3")}
-    )
-
-
-def weekly_transitions(weekly: DataFrame, key: str, week: str, value: str) -> DataFrame:
-    """A row for week W once W+1 arrives, from at most four weeks of state per key.
-
-    ``weekly`` is a stream with integer week numbers; a week already seen is ignored.
+        fresh.append(week)
+    # What a new week completes or changes: its own transition, that of the week before, and those that it is a lag of.
+    rows = []
+    for week in sorted({w + k for w in fresh for k in (-1, 0, *LAGS)}):
+        if week in held and week + 1 in held:
+            lags = [held.get(week - k) for k in LAGS]
+            rows.append((*key, week, held[week], held[week + 1], *lags, sum(x is not None for x in lags)))
+    if keep is not None and held:
+        floor = max(held) - keep if floor is None else max(floor, max(held) - keep)
+        held = {w: v for w, v in held.items() if w >= floor - 1 - max(LAGS)}
+    state.update((sorted(held), [held[w] for w in sorted(held)], floor))
+    columns = ["key", "week", "value", "next_value", "lag1", "lag2", "lag3", "revision"]
+    yield pd.DataFrame([*rows, *late], columns=columns).astype({c: "Int64" for c in columns[1:]})
+
+
+def weekly_transitions(weekly: DataFrame, key: str, week: str, value: str, keep: int | None = None) -> DataFrame:
+    """A row for week W once W and W+1 are there, in whatever order weeks arrive.
+
+    ``weekly`` is a stream with integer week numbers; a week already seen is ignored. A late week gives its own
+    transitions, and those that it is a lag of come again with a higher ``revision`` (the number of lags known);
+    ``newest_revision`` of the table is the same for every order of arrival. The state holds all weeks of a key, or,
+    with ``keep``, those down to ``keep`` weeks before its newest and their lags; a week below that is a row of
+    revision -1 without next value.
     """
     kind = weekly.schema[key].dataType.simpleString()
     return (
         weekly.select(key, F.col(week).cast("bigint").alias("week"), F.col(value).cast("bigint").alias("value"))
         .groupBy(key)
         .applyInPandasWithState(
-            _transition_state,
-            f"key {kind}, week bigint, value bigint, next_value bigint, lag1 bigint, lag2 bigint, lag3 bigint",
-            "weeks array<bigint>, vals array<bigint>",
+            lambda g, it, st: _transition_state(g, (f[["week", "value"]] for f in it), st, keep),
+            f"key {kind}, week bigint, value bigint, next_value bigint, lag1 bigint, lag2 bigint, lag3 bigint, revision bigint",
+            "weeks array<bigint>, vals array<bigint>, floor bigint",
             "append",
             GroupStateTimeout.NoTimeout,
         )
@@ -101,34 +115,67 @@ def weekly_transitions(weekly: DataFrame, key: str, week: str, value: str) -> Da
     )
 
 
-def _history_state(
-    key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    n, last, kinds = state.get if state.exists else (0, -1, [])
-    kinds = set(kinds)
-    rows = []
-    for day, k, seen in pd.concat(list(frames)).sort_values("day").itertuples(index=False):
-        rows.append((*key, day, n, day - last if last >= 0 else -1, len(kinds)))
-        n, last = n + k, day
-        kinds.update(seen)
-    state.update((int(n), int(last), sorted(kinds)))
-    yield pd.DataFrame(rows, columns=["key", "day", "n_prior", "days_since", "kinds_prior"])
-
+def newest_revision(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The last row of every key of a stream that revises its rows, without the revision; rows that came too late are left out."""
+    columns = [c for c in rows.columns if c not in (*keys, "revision")]
+    return latest_by(rows.where("revision >= 0"), keys, F.col("revision"), columns)
 
-def entity_history(daily: DataFrame, key: str, day: str, count: str, kinds: str) -> DataFrame:
-    """Count, last day and distinct kinds before each day, walked in day order per entity.
 
-    One input row is one entity-day, so same-day events share a state. The state holds
-    one counter, one day and the set of kinds, whose vocabulary is bounded.
+def _history_state(
+    key: tuple, frames: Iterator[pd.DataFrame], state: GroupState, keep: int | None = None
+) -> Iterator[pd.DataFrame]:
+    days, counts, seen, revisions, n, last, base = state.get if state.exists else ([], [], [], [], 0, -1, [])
+    held = {d: [k, set(s), r] for d, k, s, r in zip(days, counts, seen, revisions)}
+    rows, first = [], None
+    for day, k, kinds in pd.concat(list(frames)).sort_values("day", kind="stable").itertuples(index=False):
+        if last >= 0 and day <= last:
+            rows.append((*key, day, None, None, None, -1))
+            continue
+        entry = held.setdefault(day, [0, set(), -1])
+        entry[0] += k
+        entry[1].update(kinds)
+        first = day if first is None else min(first, day)
+    # Every day from the first new one on has a new history.
+    before, at, known = n, last, set(base)
+    for day in sorted(held):
+        k, kinds, revision = held[day]
+        if first is not None and day >= first:
+            held[day][2] = revision + 1
+            rows.append((*key, day, before, day - at if at >= 0 else -1, len(known), revision + 1))
+        before, at = before + k, day
+        known |= kinds
+    if keep is not None and held:
+        base, newest = set(base), max(held)
+        for day in sorted(d for d in held if d < newest - keep):
+            k, kinds, _ = held.pop(day)
+            n, last = n + k, day
+            base |= kinds
+    order = sorted(held)
+    state.update((
+        [int(d) for d in order], [int(held[d][0]) for d in order], [sorted(held[d][1]) for d in order],
+        [int(held[d][2]) for d in order], int(n), int(last), sorted(base),
+    ))
+    columns = ["key", "day", "n_prior", "days_since", "kinds_prior", "revision"]
+    yield pd.DataFrame(rows, columns=columns).astype({c: "Int64" for c in columns[1:]})
+
+
+def entity_history(daily: DataFrame, key: str, day: str, count: str, kinds: str, keep: int | None = None) -> DataFrame:
+    """Count, last day and distinct kinds before each day per entity, in whatever order days arrive.
+
+    One input row is one entity-day; a further row of a day adds to it. A late day comes with the history before it,
+    and all later days of the entity come again with a higher ``revision``, so ``newest_revision`` of the table is the
+    same for every order of arrival. The state holds one entry a day, or, with ``keep``, the days down to ``keep``
+    before the newest and one sum of all before; a day not after the last summed one is a row of revision -1 without
+    history.
     """
     kind = daily.schema[key].dataType.simpleString()
     return (
         daily.select(key, F.col(day).cast("bigint").alias("day"), F.col(count).cast("bigint").alias("k"), F.col(kinds).alias("kinds"))
         .groupBy(key)
         .applyInPandasWithState(
-            lambda g, it, st: _history_state(g, (f[["day", "k", "kinds"]] for f in it), st),
-            f"key {kind}, day bigint, n_prior bigint, days_since bigint, kinds_prior bigint",
-            "n bigint, last bigint, kinds array<string>",
+            lambda g, it, st: _history_state(g, (f[["day", "k", "kinds"]] for f in it), st, keep),
+            f"key {kind}, day bigint, n_prior bigint, days_since bigint, kinds_prior bigint, revision bigint",
+            "days array<bigint>, counts array<bigint>, seen array<array<string>>, revisions array<bigint>, n bigint, last bigint, base array<string>",
             "append",
             GroupStateTimeout.NoTimeout,
         )
