@@ -252,6 +252,15 @@ def column_domain(spark, sf):
     return ops.column_domain(base.orders(spark, sf).select("split", *cols), "split", cols)
 
 
+@query("d18_column_domain_of_profile", f"""
+WITH {ORDERS}, c AS (SELECT split, unnest(['o_orderstatus', 'o_orderpriority', 'cents', 'day']) AS field,
+   unnest([o_orderstatus, o_orderpriority, CAST(cents AS VARCHAR), strftime(day, '%Y-%m-%d')]) AS value FROM o)
+SELECT split, field, value, count(*) AS n FROM c GROUP BY ALL""")
+def column_domain_of_profile(spark, sf):
+    cols = ["o_orderstatus", "o_orderpriority", "cents", "day"]
+    return ops.column_domain(base.orders(spark, sf).select("split", *cols), "split", cols)
+
+
 @query("d19_grain_check", """
 SELECT 'l_orderkey,l_linenumber' AS grain, count(DISTINCT (l_orderkey, l_linenumber)) AS distinct_keys,
   count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS duplicate_rows FROM lineitem
