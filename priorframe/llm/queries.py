@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from priorframe.llm import byte_bpe, collisions, katz, line_crf, mixing, records, setjoin, sharding, suffix_index, toxicity
+from priorframe.llm import byte_bpe, collisions, katz, line_crf, mixing, records, setjoin, sharding, suffix_index, toxicity, whitening
 from priorframe.llm.common import documents, table
 from priorframe.llm.registry import ORACLES, QUERIES, query
 
@@ -62,4 +62,9 @@ def set_relation_join(spark, sf_dir):
     return setjoin.near_duplicates(documents(spark, sf_dir))
 
 
+@query("op11_jacobi_whitening")
+def jacobi_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 __all__ = ["ORACLES", "QUERIES"]
