@@ -37,17 +37,18 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"][:n], _POWERS["down"][:n]
 
 
-def word_hashes(texts: Sequence[str | None], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: Sequence[str | None], lower: bool = True, apart: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word of every text, and the first word of each text (one longer than texts).
 
-    Words are runs of bytes other than the six ASCII spaces; A-Z are lowered if asked. The hash is a
+    Words are runs of bytes other than those marked in ``apart``, the six ASCII spaces by default, which must mark the
+    line feed; A-Z are lowered if asked. The hash is a
     polynomial of the word's bytes, mixed with its length.
     """
     data = [(t or "").encode() for t in texts]
     joined = np.frombuffer(b"\n".join([*data, b""]), np.uint8)
     if lower:
         joined = _LOWER[joined]
-    space = _SPACE[joined]
+    space = apart[joined]
     edge = np.flatnonzero(np.diff(space, prepend=True))  # starts and ends in turn; the last byte is a space
     starts, ends = edge[0::2], edge[1::2]
     up, down = powers(len(joined))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from priorframe.llm import byte_bpe, collisions, katz, line_crf, mixing, records, setjoin, sharding, suffix_index, toxicity, whitening
+from priorframe.llm import byte_bpe, collisions, katz, line_crf, mixing, positional_index, records, setjoin, sharding, suffix_index, toxicity, whitening
 from priorframe.llm.common import documents, table
 from priorframe.llm.registry import ORACLES, QUERIES, query
 
@@ -67,4 +67,37 @@ def jacobi_whitening(spark, sf_dir):
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+@query(
+    "op12_positional_decontamination",
+    r"""
+    WITH d AS (
+      SELECT row_number() OVER () AS r, doc_id,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+      FROM documents),
+    b AS (
+      SELECT item_id,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+      FROM benchmark),
+    windows AS (
+      SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS gram
+      FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(i) WHERE len(w) > 0),
+    places AS (
+      SELECT r, i, size, array_to_string(w[i : i + size - 1], ' ') AS gram
+      FROM d, (SELECT DISTINCT size FROM windows) AS s, unnest(range(1, len(w) - size + 2)) AS t(i)),
+    found AS (SELECT r, i, p.size, item_id FROM places AS p JOIN windows AS v ON p.gram = v.gram AND p.size = v.size),
+    hit AS (
+      SELECT r, count(DISTINCT place) AS n_hit
+      FROM (SELECT DISTINCT r, i, size FROM found), unnest(range(i, i + size)) AS t(place) GROUP BY r),
+    listed AS (
+      SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM found WHERE item_id IS NOT NULL) GROUP BY r)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN hit USING (r) LEFT JOIN listed USING (r)
+    """,
+)
+def positional_decontamination(spark, sf_dir):
+    return positional_index.decontaminate(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 __all__ = ["ORACLES", "QUERIES"]
