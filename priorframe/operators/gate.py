@@ -49,7 +49,8 @@ def column_leak(
 
     A column whose every value is a number is its own score. Another column is scored by the positive rate of its
     level in the split itself, which ``auc`` holds. With fewer than ``category_rows`` rows a level on average (kind
-    high_cardinality) such rates would repeat the label, so ``auc`` is NULL and ``fitted_leak`` decides.
+    high_cardinality) such rates would repeat the label, so ``auc`` is NULL and ``fitted_auc`` decides: the AUC by the
+    level rates of ``fit_on``, which every column has in every other split.
     All columns share one pass: cells shrink to counts per distinct value before anything else.
     """
     kinds, levels = _leveled(df, split, label, columns, category_rows)
@@ -63,11 +64,10 @@ def column_leak(
         .agg(F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"))
     )
     auc = auc_of_levels(scored, [split, "field"], "_score")
-    many = _fitted(kinds.where("kind = 'high_cardinality'"), levels, split, fit_on)
-    found = kinds.join(auc, [split, "field"], "left").join(many.select(split, "field", "fitted_auc"), [split, "field"], "left")
-    return found.withColumn(
-        "determines_label", F.coalesce(F.coalesce("auc", "fitted_auc").isin(0.0, 1.0), F.lit(False))
-    ).drop("fitted_auc")
+    fitted = _fitted(kinds, levels, split, fit_on)
+    found = kinds.join(auc, [split, "field"], "left").join(fitted.select(split, "field", "fitted_auc"), [split, "field"], "left")
+    decides = F.when(F.col("kind") == "high_cardinality", F.col("fitted_auc")).otherwise(F.col("auc"))
+    return found.withColumn("determines_label", F.coalesce(decides.isin(0.0, 1.0), F.lit(False)))
 
 
 def fitted_leak(
@@ -262,6 +262,33 @@ def prose_claims(docs: DataFrame, key: str, text: str, facts: DataFrame) -> Data
     )
 
 
+# Sentences that speak of a rate, and a percentage with the split named before or after it.
+RATE_WORDS = r"(?i)prevalence|positive.rate|escape.rate|exceedance.rate|rate.drifts?"
+RATE_CLAIM = (
+    r"(?i)(?:\b(train|eval|holdout)(?:\s+(?:19|20)\d{2}(?:[-–](?:19|20)\d{2})?)?\s*(\(?)\s*)?"
+    r"(\d+(?:\.\d+)?)%(?=\s*\b(train|eval|holdout)\b|)"
+)
+
+
+def rate_claims(docs: DataFrame, key: str, text: str, facts: DataFrame) -> DataFrame:
+    """Percent claims on positive rates, beside the observed percentages ``facts`` (split, observed).
+
+    Only sentences that speak of a rate are read. A split named before the number owns it, with years between or not,
+    as in ``train 2019-2021 1.87%``; one named behind it owns it where none stands before, or where a bracket opens in
+    between, as in ``holdout (1.87% train``. Claims are found inside each text, so only claims are shuffled.
+    """
+    sentences = F.filter(F.split(text, r"[\n;]|(?<=[.!?])\s+"), lambda x: x.rlike(RATE_WORDS))
+    said = docs.select(key, F.posexplode(sentences).alias("sentence", "_t"))
+    part = lambda k: F.regexp_extract_all("_t", F.lit(RATE_CLAIM), F.lit(k))
+    groups = F.arrays_zip(part(1).alias("before"), part(2).alias("bracket"), part(3).alias("literal"), part(4).alias("after"))
+    found = said.select(key, "sentence", F.posexplode(groups).alias("pos", "_g")).select(key, "sentence", "pos", "_g.*")
+    owner = F.when((F.col("before") != "") & ~((F.col("bracket") != "") & (F.col("after") != "")), F.col("before")).otherwise(F.col("after"))
+    claims = found.select(key, "sentence", "pos", F.lower(owner).alias("split"), "literal").where("split <> ''")
+    whole = F.when(F.contains("literal", F.lit(".")), claim_tolerance(F.col("literal"))).otherwise(0.5)
+    near = F.abs(F.col("literal").try_cast("double") - F.col("observed")) <= whole + 1e-12
+    return claims.join(facts, "split", "left").withColumn("ok", F.coalesce(near, F.lit(False)))
+
+
 # Forms of a year range and of a bin in a text, and the dictionary row that lists bins.
 YEAR_CLAIM = r"(?i)\b(?:train(?:ing)?|eval|holdout)\s+(?:rows\s+cover\s+|years?\s+|period\s+)?(?:19|20)\d{2}\s*[-–]\s*(?:19|20)\d{2}"
 BIN_CLAIM = r"\b\d+\s*[-–]\s*\d+|\b\d+\+"

@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from priorframe.functions.keys import mixed
+from priorframe.functions.keys import MIX, mixed
 from priorframe.operators.ordering import running_totals
+from priorframe.operators.ranked import ranked_auc
+
+# Cumulative Poisson(1) probabilities for 0 to 6.
+POISSON = (0.367879441, 0.735758882, 0.919698603, 0.981011843, 0.996340153, 0.999405815, 0.999916759)
 
 
 def rank_auc(
@@ -21,8 +27,7 @@ def rank_auc(
 ) -> DataFrame:
     """ROC AUC per group with tied scores averaged; NULL when a class is missing.
 
-    Rows shrink to (group, score) class weights, then a running total of the
-    negatives below each score gives the whole statistic.
+    Rows shrink to (group, score) class weights, which are sorted by ranges; see ``ranked``.
     """
     by = list(by)
     w = F.col(weight) if weight else F.lit(1)
@@ -36,13 +41,8 @@ def rank_auc(
 
 
 def auc_of_levels(levels: DataFrame, by: Sequence[str], score: str, out: str = "auc") -> DataFrame:
-    """AUC from one row per (group, score) with class weights ``_pos`` and ``_neg``."""
-    ranked = running_totals(levels, by, score, {"_below": "_neg"})
-    wins = F.sum(F.col("_pos") * (F.col("_below") * 2 + F.col("_neg"))) / 2
-    pos, neg = F.sum("_pos"), F.sum("_neg")
-    return ranked.groupBy(*by).agg(
-        F.when((pos > 0) & (neg > 0), F.try_divide(wins, pos * neg)).alias(out)
-    )
+    """AUC from rows (group, score) with class weights ``_pos`` and ``_neg``."""
+    return ranked_auc(levels, by, score, out)
 
 
 def average_precision(df: DataFrame, by: Sequence[str], score: str, label: str) -> DataFrame:
@@ -67,12 +67,21 @@ def brier(score: str, label: str) -> Column:
 def poisson_weight(cluster: Column, resample: Column) -> Column:
     """A Poisson(1) count from a hash of (cluster, resample): a bootstrap without draws."""
     u = mixed(cluster, resample) / F.lit(2.0**32)
-    # Cumulative Poisson(1) probabilities for 0 to 6.
-    steps = [0.367879441, 0.735758882, 0.919698603, 0.981011843, 0.996340153, 0.999405815, 0.999916759]
     out = None
-    for k, p in enumerate(steps):
+    for k, p in enumerate(POISSON):
         out = F.when(u < p, k) if out is None else out.when(u < p, k)
-    return out.otherwise(len(steps)).cast("bigint")
+    return out.otherwise(len(POISSON)).cast("bigint")
+
+
+def poisson_weights(clusters: np.ndarray, resamples: int) -> np.ndarray:
+    """The weights of ``poisson_weight`` in resamples 1 to ``resamples``, and before them 1 for the data itself."""
+    word = np.uint64(2**32 - 1)
+    r = np.arange(1, resamples + 1, dtype=np.uint64)
+    h = (((clusters % 2**31).astype(np.uint64) * np.uint64(MIX[0]))[:, None] + r * np.uint64(MIX[2])) & word
+    h = ((h ^ (h >> np.uint64(15))) * np.uint64(MIX[1])) & word
+    u = (h ^ (h >> np.uint64(13))) / 2.0**32
+    drawn = np.searchsorted(POISSON, u.ravel(), "right").reshape(u.shape)
+    return np.concatenate([np.ones((len(clusters), 1)), drawn], 1)
 
 
 def bootstrap_auc(
@@ -80,24 +89,19 @@ def bootstrap_auc(
 ) -> DataFrame:
     """AUC of every side in every resample; clusters get one weight per resample.
 
-    Resample 0 is the data itself, every weight 1. Rows shrink to (cluster, side, score)
-    counts before they are repeated over the resamples, and the repeats shrink to
-    (resample, side, score) on the map side.
+    Resample 0 is the data itself, every weight 1. Scores are sorted by ranges once, and all resamples are added up side
+    by side inside a range; only totals of ranges are shuffled by resample, never rows.
     """
     scores = F.array(
         *[F.struct(F.lit(n).alias("side"), F.col(c).cast("double").alias("score")) for n, c in sides.items()]
     )
     cells = (
-        df.select(F.col(cluster).alias("_cluster"), label, F.explode(scores).alias("_s"))
-        .groupBy("_cluster", label, "_s.side", "_s.score")
-        .agg(F.count(F.lit(1)).alias("_k"))
-    )
-    r = F.col("resample")
-    weight = F.when(r == 0, 1).otherwise(poisson_weight(F.col("_cluster"), r.cast("bigint")))
-    drawn = cells.withColumn("resample", F.explode(F.sequence(F.lit(0), F.lit(resamples)))).withColumn(
-        "_w", F.col("_k") * weight
-    )
-    return rank_auc(drawn.where("_w > 0"), ["resample", "side"], "score", label, "_w")
+        df.where(F.col(label).isNotNull()).select(F.col(cluster).alias("_cluster"), label, F.explode(scores).alias("_s"))
+        .groupBy("_s.side", "_s.score", "_cluster")
+        .agg(F.sum(label).alias("_pos"), F.sum(1 - F.col(label)).alias("_neg"))
+    )
+    weigh = partial(poisson_weights, resamples=resamples)
+    return ranked_auc(cells, ["side"], "score", cluster="_cluster", weigh=weigh, weighting="resample")
 
 
 def _interval(draws: DataFrame, value: str) -> DataFrame:

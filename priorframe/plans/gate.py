@@ -28,8 +28,12 @@ k AS (SELECT split, field, count(*) AS levels, CASE WHEN bool_and(TRY_CAST(value
    WHEN count(*) > greatest(1, floor(sum(pos + neg) / 5)) THEN 'high_cardinality' ELSE 'categorical' END AS kind FROM lv GROUP BY ALL),
 s AS (SELECT c.split, c.field, c.y, CASE WHEN kind = 'numeric' THEN TRY_CAST(value AS DOUBLE) ELSE CAST(pos AS DOUBLE) / (pos + neg) END AS score
    FROM c JOIN lv USING (split, field, value) JOIN k USING (split, field) WHERE kind <> 'high_cardinality'),
-a AS ({auc_sql("s", "split, field")})
-SELECT split, field, levels, kind, auc, coalesce(auc IN (0.0, 1.0), false) AS determines_label FROM k LEFT JOIN a USING (split, field)""")
+a AS ({auc_sql("s", "split, field")}),
+tr AS (SELECT field, value, pos, neg FROM lv WHERE split = 'train'), tp AS (SELECT field, CAST(sum(pos) AS DOUBLE) / sum(pos + neg) AS prior FROM tr GROUP BY ALL),
+fs AS (SELECT c.split, c.field, c.y, coalesce(CAST(pos AS DOUBLE) / (pos + neg), prior) AS score FROM c LEFT JOIN tr USING (field, value) JOIN tp USING (field) WHERE split <> 'train'),
+fa AS ({auc_sql("fs", "split, field").replace(" AS auc", " AS fitted_auc")})
+SELECT split, field, levels, kind, auc, fitted_auc, coalesce(CASE WHEN kind = 'high_cardinality' THEN fitted_auc ELSE auc END IN (0.0, 1.0), false) AS determines_label
+FROM k LEFT JOIN a USING (split, field) LEFT JOIN fa USING (split, field)""")
 def column_leak(spark, sf):
     d = base.labelled_documents(spark, sf).select(
         "split", "y", "lang", "source", "n_chars", F.when(F.col("y") == 1, "good").otherwise("bad").alias("echo"),
@@ -241,6 +245,30 @@ def prose_claims(spark, sf):
     return ops.prose_claims(d, "doc_id", "text", facts).withColumn("observed", F.round("observed", 6))
 
 
+SAID = [
+    ("Positive rate: train {k}% and eval 2019-2021 {k}.5%.", [("train", "{k}", 0), ("eval", "{k}.5", 1)]),
+    ("The holdout (85.4% train) prevalence; 12% of nothing. No rate here: eval 3%.", [("train", "85.4", 0)]),
+    ("Rate drifts: {k}% holdout, then eval ({k}.25%).", [("holdout", "{k}", 0), ("eval", "{k}.25", 1)]),
+    ("Prevalence falls from TRAIN 90.0% to 80% Eval.", [("train", "90.0", 0), ("eval", "80", 1)]),
+]
+SAID_SQL = "(VALUES " + ", ".join(f"({i}, {p}, '{s}', '{lit}')" for i, (_, claims) in enumerate(SAID) for s, lit, p in claims) + ") AS v(form, pos, split, form_literal)"
+
+
+@query("h18_rate_claims", f"""
+WITH {LABELLED}, f AS (SELECT split, 100.0 * CAST(sum(y) AS DOUBLE) / count(*) AS observed FROM ld GROUP BY ALL),
+c AS (SELECT doc_id, v.pos, v.split, replace(form_literal, '{{k}}', CAST(80 + doc_id % 20 AS VARCHAR)) AS literal FROM documents JOIN {SAID_SQL} ON doc_id % 4 = form)
+SELECT doc_id, pos, split, literal, round(observed, 6) AS observed, abs(CAST(literal AS DOUBLE) - observed) <= CASE WHEN contains(literal, '.') THEN 0.5 * pow(10.0, -length(split_part(literal, '.', 2))) ELSE 0.5 END + 1e-12 AS ok
+FROM c LEFT JOIN f USING (split)""")
+def rate_claims(spark, sf):
+    ld = base.labelled_documents(spark, sf).select("split", "y")
+    facts = class_counts(ld, ["split"], "y").select("split", (F.lit(100.0) * F.col("rate")).alias("observed"))
+    k = (80 + F.pmod("doc_id", F.lit(20))).cast("string")
+    forms = F.element_at(F.array(*[F.replace(F.lit(said), F.lit("{k}"), k) for said, _ in SAID]), (F.pmod("doc_id", F.lit(4)) + 1).cast("int"))
+    d = table(spark, sf, "documents").select("doc_id", F.concat("text", F.lit("\n"), forms).alias("text"))
+    found = ops.rate_claims(d, "doc_id", "text", facts).withColumn("observed", F.round("observed", 6))
+    return found.select("doc_id", F.col("pos").cast("bigint").alias("pos"), "split", "literal", "observed", "ok")
+
+
 @query("h18_year_range_claims", f"""
 WITH {ORDERS}, f AS (SELECT split, min(year) AS first_year, max(year) AS last_year FROM o GROUP BY ALL),
 t AS (SELECT doc_id, text || ' The training rows cover ' || (1995 + doc_id % 2) || ' - 1998; Eval years 1999–' || (1999 + doc_id % 3) || '.' AS text FROM documents),
