@@ -324,7 +324,8 @@ def qualify(
         r.add(f"contract.cross_row_probe_{k}", fine, F.when(exact, "exact").otherwise("exposed"), F.to_json(met))
     if ledger is not None:
         flaws = {"uncovered": "uncovered", "unknown": "unknown", "duplicated": "duplicated", "late features": "features_late"}
-        bad = {name: F.exists("ledger", lambda x, c=c: x[c] > 0) for name, c in flaws.items()}
+        some = lambda c: F.exists("ledger", lambda x: x[c] > 0)
+        bad = {name: some(c) for name, c in flaws.items()}
         bad["labels too late"] = F.exists("ledger", lambda x: ~x["labels_in_time"])
         if contract.get("access") == "common_cutoff_batch":
             bad["several instants"] = F.exists("ledger", lambda x: x["instants"])

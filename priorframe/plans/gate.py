@@ -187,15 +187,17 @@ def publication_lag(spark, sf):
     )
 
 
-@query("h15_availability_ledger", f"""
-WITH {ORDERS}, g AS (SELECT o_orderkey, split, day AS p, CASE WHEN o_orderkey % 400 = 3 THEN day + 1 ELSE day - 1 END AS f, (SELECT max(l_shipdate) FROM lineitem WHERE l_orderkey = o_orderkey) AS l
+LEDGER = """g AS (SELECT o_orderkey, split, day AS p, CASE WHEN o_orderkey % 400 = 3 THEN day + 1 ELSE day - 1 END AS f, (SELECT max(l_shipdate) FROM lineitem WHERE l_orderkey = o_orderkey) AS l
    FROM o WHERE o_orderkey % 500 <> 9),
 g2 AS (SELECT * FROM g UNION ALL SELECT * FROM g WHERE o_orderkey % 700 = 5),
-k AS (SELECT o.split, o.o_orderkey, x.n, x.late, x.p, x.l FROM o LEFT JOIN (SELECT o_orderkey, count(*) AS n, count(*) FILTER (f > p) AS late, min(p) AS p, max(l) AS l FROM g2 GROUP BY ALL) x USING (o_orderkey)),
-s AS (SELECT split, count(*) FILTER (n IS NULL) AS uncovered, CAST(0 AS BIGINT) AS unknown, count(*) FILTER (n > 1) AS duplicated, CAST(sum(coalesce(late, 0)) AS BIGINT) AS features_late,
-  min(p) AS first, max(l) AS label FROM k GROUP BY ALL)
-SELECT split, uncovered, unknown, duplicated, features_late, coalesce(label <= (SELECT min(first) FROM s b WHERE b.first > a.first), true) AS labels_in_time FROM s a""")
-def availability(spark, sf):
+gk AS (SELECT o.split, o.o_orderkey, x.n, x.late, x.p, x.l FROM o LEFT JOIN (SELECT o_orderkey, count(*) AS n, count(*) FILTER (f > p) AS late, min(p) AS p, max(l) AS l FROM g2 GROUP BY ALL) x USING (o_orderkey)),
+gs AS (SELECT split, count(*) FILTER (n IS NULL) AS uncovered, CAST(0 AS BIGINT) AS unknown, count(*) FILTER (n > 1) AS duplicated, CAST(sum(coalesce(late, 0)) AS BIGINT) AS features_late,
+  min(p) AS first, max(l) AS label FROM gk GROUP BY ALL)"""
+LEDGER_FACTS = "SELECT split, uncovered, unknown, duplicated, features_late, coalesce(label <= (SELECT min(first) FROM gs b WHERE b.first > a.first), true) AS labels_in_time FROM gs a"
+
+
+def ledger_rows(spark, sf):
+    """Orders, and a ledger that misses some, lists some twice and has some late features."""
     o = base.orders(spark, sf).select("o_orderkey", "split", "day")
     ship = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.max("l_shipdate").cast("date").alias("label_at")
@@ -205,7 +207,12 @@ def availability(spark, sf):
         "o_orderkey", "split", F.col("day").alias("prediction_time"),
         F.when(k(400) == 3, F.date_add("day", 1)).otherwise(F.date_sub("day", 1)).alias("features_at"), "label_at",
     )
-    g = g.withColumn("_copy", F.explode(F.when(k(700) == 5, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))).drop("_copy")
+    return o, g.withColumn("_copy", F.explode(F.when(k(700) == 5, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))).drop("_copy")
+
+
+@query("h15_availability_ledger", f"WITH {ORDERS}, {LEDGER} {LEDGER_FACTS}")
+def availability(spark, sf):
+    o, g = ledger_rows(spark, sf)
     return ops.availability(o, g, ["o_orderkey"], "split", {"train": 0, "eval": 1, "holdout": 2})
 
 
@@ -348,11 +355,59 @@ QUALITY = Descriptor(
     features=["o_orderpriority", "cents"], high_cardinality_columns=["day"], label_source_columns=["o_orderstatus"],
     post_hoc_columns=["l_shipdate"], expected_duplicate_ids=0, id_columns_are_entity_keys=True,
     splits={"train": "public/train", "eval": "public/eval", "holdout": "public/holdout"},
-)
+    declared={
+        "task": {"prediction_time": "the day of the order"}, "features_documented_at": "prediction_time",
+        "timing": {
+            "prediction_instant": {"kind": "publication", "citation": "release notes", "days_after_period_end": 40},
+            "features": {"source_kind": "statistical_release", "published_days_after_period_end": 33},
+            "row_selection": {"latest_period_used": "M+1", "fields": ["day"]},
+            "observations": [{"period_end": "1999-01-31", "published": "1999-03-07"}, {"period_end": "1999-02-28", "published": "soon"}],
+        },
+        "evaluation_contract": {
+            "use": "historical_forecasting", "access": "common_cutoff_batch", "vintage": {"kind": "as_of", "evidence": "dated files"},
+            "selection": {"kind": "outcome_conditioned", "evidence": "only closed orders"}, "limitations": ["made up"],
+            "feature_evidence": {
+                c: {"source": "orders", "availability": "at the order", "status": "verified"} for c in ("o_orderkey", "o_orderpriority", "day")
+            } | {"cents": {"source": "orders", "availability": "at the order", "status": "assumed"}, "o_custkey": {"source": "orders"}},
+            "cross_row_audit": {
+                "rationale": "customers order again", "auxiliary_files_review": "none",
+                "probes": [{"entity": ["o_custkey"], "time": "day", "offset_days": 30, "operation": "gt", "left": "cents", "threshold": 15000000}],
+            },
+            "availability_ledger": "ledger",
+        },
+        "measurements": [{"column": "cents", "unit": "cent", "frame": "order"}, {"column": "day", "unit": "day"}], "external_threshold": "15000000",
+        "unit_validation": {"checks": 12, "mismatches": 0, "source": "orders", "evidence_sha256": "0" * 63},
+        "meta": {"target": "label", "positive_label": 1, "id_columns": ["o_orderkey"], "rows": {}, "positive_rate": {},
+                 "columns": ["o_orderkey", "o_custkey", "o_orderpriority", "cents", "label"]},
+    },
+)
+ROW_CLAIMS = [("train", "n_rows", "9134"), ("eval", "rate", "0.3"), ("holdout", "positives", "12")]
+
+# What the declaration above amounts to, check by check.
+SAID_ROWS = [
+    ("leakage.declared_columns", "o_custkey"), ("leakage.answer_source_absent", ""), ("timing.no_post_hoc_feature", ""), ("runner.layout", "holdout is not private/"),
+    ("splits.time_column_declared", ""), ("splits.machine_readable_windows", ""), ("splits.positive_events_declared", ""), ("splits.event_key_column_declared", ""),
+    ("timing.prediction_time_declared", ""), ("timing.label_source_is_not_a_feature", ""), ("timing.every_feature_documented", ""), ("timing.instant_declared", ""),
+    ("timing.publication_lag_measured", "every observation usable"), ("timing.features_available_at_instant", "published by the instant"),
+    ("timing.instant_accounts_for_publication_lag", ""), ("timing.selection_uses_only_available_data", "latest period"),
+    ("contract.declared", ""), ("contract.scope", ""), ("contract.vintage_and_selection", ""), ("contract.every_input_has_availability_evidence", "o_custkey"),
+    ("contract.cross_row_review", ""), ("contract.historical_evidence", "o_custkey; cents; selection"), ("units.measured_columns_declare_unit_and_frame", "day"),
+    ("units.validation_receipt", "receipt"), ("runner.meta_json_keys", ""), ("runner.meta_matches_files", "header"), ("runner.id_columns_are_not_features", ""),
+    ("leakage.every_column_could_be_scored", ""),
+]
+SAID_ROWS_SQL = "(VALUES " + ", ".join(f"('{c}', {str(not d).lower()}, '{d}')" for c, d in SAID_ROWS) + ")"
+
+
+def per_split(bad: str, splits=("train", "eval", "holdout"), source: str = "s") -> str:
+    """(ok, detail) of a check that fails for the splits where ``bad`` holds, in the order of the splits."""
+    order = "CASE split " + " ".join(f"WHEN '{x}' THEN {i}" for i, x in enumerate(splits)) + " END"
+    where = f"split IN ({', '.join(repr(x) for x in splits)})"
+    return f"count(*) FILTER (({bad}) AND {where}) = 0, coalesce(string_agg(split, '; ' ORDER BY {order}) FILTER (({bad}) AND {where}), '') FROM {source}"
 
 
 @query("h21_gate_report", f"""
-WITH {ORDERS}, s AS (SELECT split, count(*) AS n, sum(label) AS p, min(day) AS lo, max(day) AS hi, count(DISTINCT day) FILTER (label = 1) AS e FROM o GROUP BY ALL),
+WITH {ORDERS}, {LEDGER}, s0 AS (SELECT split, count(*) AS n, sum(label) AS p, min(day) AS lo, max(day) AS hi, count(DISTINCT day) FILTER (label = 1) AS e FROM o GROUP BY ALL),
+s AS (SELECT split, coalesce(n, 0) AS n, coalesce(p, 0) AS p, lo, hi, coalesce(e, 0) AS e FROM (VALUES ('train'), ('eval'), ('holdout')) v(split) LEFT JOIN s0 USING (split)),
 i AS (SELECT count(*) FILTER (k > 1) AS shared, sum(n - k) AS repeats, count(*) FILTER (bad) AS bad FROM (SELECT o_orderkey, count(DISTINCT split) AS k, count(*) AS n, min(label) <> max(label) AS bad FROM o GROUP BY ALL)),
 cells AS (SELECT split, label AS y, unnest(['o_orderkey', 'o_custkey', 'o_orderpriority', 'cents', 'day']) AS field,
   unnest([CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), o_orderpriority, CAST(cents AS VARCHAR), strftime(day, '%Y-%m-%d')]) AS value FROM o),
@@ -360,23 +415,47 @@ lv AS (SELECT split, field, value, sum(y) AS pos, sum(1 - y) AS neg FROM cells G
 k AS (SELECT split, field, CASE WHEN bool_and(TRY_CAST(value AS DOUBLE) IS NOT NULL) THEN 'numeric' WHEN count(*) > greatest(1, floor(sum(pos + neg) / 5)) THEN 'high' ELSE 'level' END AS kind FROM lv GROUP BY ALL),
 sc AS (SELECT c.split, c.field, c.y, CASE WHEN kind = 'numeric' THEN TRY_CAST(value AS DOUBLE) ELSE CAST(pos AS DOUBLE) / (pos + neg) END AS score FROM cells c JOIN lv USING (split, field, value) JOIN k USING (split, field) WHERE kind <> 'high'),
 a AS ({auc_sql("sc", "split, field")}),
-r AS (SELECT 'leakage.answer_source_absent' AS "check", true AS ok UNION ALL SELECT 'timing.no_post_hoc_feature', true UNION ALL SELECT 'runner.layout', false
-  UNION ALL SELECT 'leakage.no_single_column_determines_the_target', count(*) FILTER (auc IN (0, 1)) = 0 FROM a
-  UNION ALL SELECT 'leakage.high_cardinality_declared', count(*) FILTER (kind = 'high' AND field NOT IN ('o_orderkey', 'day')) = 0 FROM k
-  UNION ALL SELECT 'splits.non_empty', count(*) = 3 FROM s
-  UNION ALL SELECT 'splits.eval_and_holdout_have_both_classes', bool_and(p > 0 AND p < n) FROM s WHERE split <> 'train'
-  UNION ALL SELECT 'splits.positive_events_match_rows', bool_and(p = CASE split WHEN 'eval' THEN 735 ELSE 1 END) FROM s WHERE split <> 'train'
-  UNION ALL SELECT 'splits.distinct_events_match_rows', bool_and(e = CASE split WHEN 'eval' THEN 318 ELSE 1 END) FROM s WHERE split <> 'train'
-  UNION ALL SELECT 'splits.enough_clustered_positives', bool_and(e >= 20 AND CASE split WHEN 'eval' THEN 735 ELSE 1 END >= 30) FROM s WHERE split <> 'train'
-  UNION ALL SELECT 'splits.rates_not_uniform', count(*) FILTER (p > 0 AND p < n) > 0 FROM s
-  UNION ALL SELECT 'splits.actual_ranges_disjoint', count(*) = 0 FROM s x JOIN s z ON x.split <> z.split AND x.lo <= z.hi AND z.lo <= x.hi
-  UNION ALL SELECT 'splits.rows_within_declared_windows', bool_and(CASE split WHEN 'train' THEN hi < DATE '1999-01-01' WHEN 'eval' THEN lo >= DATE '1999-01-01' AND hi < DATE '2000-01-01' ELSE lo >= DATE '2000-01-01' AND hi < DATE '2001-07-01' END) FROM s
-  UNION ALL SELECT 'splits.no_cross_split_entities', shared = 0 FROM i UNION ALL SELECT 'splits.duplicate_entities_within_splits', repeats = 0 FROM i
-  UNION ALL SELECT 'splits.repeated_identifiers_carry_one_label', bad = 0 FROM i)
-SELECT * FROM r UNION ALL SELECT 'overall', bool_and(ok) FROM r""")
+mt AS (SELECT count(*) AS n, bool_or(s.lo <= z.hi AND z.lo <= s.hi) AS bad, 'train/eval' AS pair, 0 AS nth FROM s JOIN s z ON s.split = 'train' AND z.split = 'eval'
+  UNION ALL SELECT count(*), bool_or(s.lo <= z.hi AND z.lo <= s.hi), 'train/holdout', 1 FROM s JOIN s z ON s.split = 'train' AND z.split = 'holdout'
+  UNION ALL SELECT count(*), bool_or(s.lo <= z.hi AND z.lo <= s.hi), 'eval/holdout', 2 FROM s JOIN s z ON s.split = 'eval' AND z.split = 'holdout'),
+pr AS (SELECT split, count(*) AS covered, count(*) FILTER (v <> label) AS mismatches FROM (SELECT o_custkey, day, any_value(split) AS split, any_value(label) AS label FROM o GROUP BY ALL HAVING count(*) = 1)
+  JOIN (SELECT o_custkey, CAST(day - INTERVAL 30 DAY AS DATE) AS day, max(CAST(cents > 15000000 AS INT)) AS v FROM o GROUP BY ALL HAVING min(cents > 15000000) = max(cents > 15000000)) USING (o_custkey, day) GROUP BY ALL),
+rf AS (SELECT split, 100.0 * CAST(sum(label) AS DOUBLE) / count(*) AS observed FROM o GROUP BY ALL),
+rc AS (SELECT DISTINCT v.split, replace(form_literal, '{{k}}', CAST(80 + doc_id % 20 AS VARCHAR)) AS literal FROM documents JOIN {SAID_SQL} ON doc_id % 4 = form),
+rb AS (SELECT * FROM rc JOIN rf USING (split) WHERE NOT abs(CAST(literal AS DOUBLE) - observed) <= CASE WHEN contains(literal, '.') THEN 0.5 * pow(10.0, -length(split_part(literal, '.', 2))) ELSE 0.5 END + 1e-12),
+dt AS (SELECT count(*) AS n FROM (SELECT o_orderpriority, cents FROM o GROUP BY ALL HAVING count(DISTINCT split) > 1)),
+lg AS (SELECT concat_ws('; ', CASE WHEN max(uncovered) > 0 THEN 'uncovered' END, CASE WHEN max(duplicated) > 0 THEN 'duplicated' END, CASE WHEN max(features_late) > 0 THEN 'late features' END,
+    CASE WHEN NOT bool_and(labels_in_time) THEN 'labels too late' END, 'several instants') AS detail FROM ({LEDGER_FACTS})),
+r AS (SELECT * FROM {SAID_ROWS_SQL} AS v("check", ok, detail)
+  UNION ALL SELECT 'leakage.no_single_column_determines_the_target', count(*) FILTER (auc IN (0, 1)) = 0, coalesce(string_agg(field || '@' || split, '; ' ORDER BY field || '@' || split) FILTER (auc IN (0, 1)), '') FROM a
+  UNION ALL SELECT 'leakage.high_cardinality_declared', count(*) = 0, coalesce(string_agg(field || '@' || split, '; ' ORDER BY field || '@' || split), '') FROM k WHERE kind = 'high' AND field NOT IN ('o_orderkey', 'day')
+  UNION ALL SELECT 'splits.non_empty', {per_split("n = 0")}
+  UNION ALL SELECT 'splits.actual_ranges_computed', {per_split("lo IS NULL")}
+  UNION ALL SELECT 'splits.eval_and_holdout_have_both_classes', {per_split("p = 0 OR p = n", ("eval", "holdout"))}
+  UNION ALL SELECT 'splits.positive_events_match_rows', {per_split("p <> CASE split WHEN 'eval' THEN 735 ELSE 1 END", ("eval", "holdout"))}
+  UNION ALL SELECT 'splits.distinct_events_match_rows', {per_split("e <> CASE split WHEN 'eval' THEN 318 ELSE 1 END", ("eval", "holdout"))}
+  UNION ALL SELECT 'splits.enough_clustered_positives', {per_split("e < 20 OR CASE split WHEN 'eval' THEN 735 ELSE 1 END < 30", ("eval", "holdout"))}
+  UNION ALL SELECT 'splits.rates_not_uniform', count(*) FILTER (p > 0 AND p < n) > 0, CASE WHEN count(*) FILTER (p > 0 AND p < n) > 0 THEN '' ELSE 'every split is all positive or all negative' END FROM s
+  UNION ALL SELECT 'splits.actual_ranges_disjoint', count(*) FILTER (bad) = 0, coalesce(string_agg(pair, '; ' ORDER BY nth) FILTER (bad), '') FROM mt
+  UNION ALL SELECT 'splits.rows_within_declared_windows', {per_split("CASE split WHEN 'train' THEN hi >= DATE '1999-01-01' WHEN 'eval' THEN lo < DATE '1999-01-01' OR hi >= DATE '2000-01-01' ELSE lo < DATE '2000-01-01' OR hi >= DATE '2001-07-01' END")}
+  UNION ALL SELECT 'splits.no_cross_split_entities', shared = 0, CASE WHEN shared = 0 THEN '' ELSE shared || ' identifiers span splits' END FROM i
+  UNION ALL SELECT 'splits.duplicate_entities_within_splits', repeats = 0, CASE WHEN repeats = 0 THEN '' ELSE CAST(repeats AS BIGINT) || ' repeated rows' END FROM i
+  UNION ALL SELECT 'splits.repeated_identifiers_carry_one_label', bad = 0, CASE WHEN bad = 0 THEN '' ELSE bad || ' contradictory identifiers' END FROM i
+  UNION ALL SELECT 'duplicates.no_feature_tuple_in_two_splits', n = 0, CASE WHEN n = 0 THEN '' ELSE n || ' feature tuples are in more than one split' END FROM dt
+  UNION ALL SELECT 'contract.cross_row_probe_0', count(*) = 0, CASE WHEN count(*) = 0 THEN '' WHEN count(*) FILTER (mismatches = 0 AND split <> 'train') > 0 THEN 'exact' ELSE 'exposed' END FROM pr
+  UNION ALL SELECT 'contract.label_availability', detail = '', detail FROM lg
+  UNION ALL SELECT 'claims.train_n_rows_9134', n = 9134, CASE WHEN n = 9134 THEN '' ELSE 'rows say ' || CAST(CAST(n AS DOUBLE) AS VARCHAR) END FROM s WHERE split = 'train'
+  UNION ALL SELECT 'claims.eval_rate_0.3', abs(0.3 - CAST(p AS DOUBLE) / n) <= 0.05 + 1e-12, CASE WHEN abs(0.3 - CAST(p AS DOUBLE) / n) <= 0.05 + 1e-12 THEN '' ELSE 'rows say ' || round(CAST(p AS DOUBLE) / n, 6) END FROM s WHERE split = 'eval'
+  UNION ALL SELECT 'claims.holdout_positives_12', p = 12, CASE WHEN p = 12 THEN '' ELSE 'rows say ' || CAST(CAST(p AS DOUBLE) AS VARCHAR) END FROM s WHERE split = 'holdout'
+  UNION ALL SELECT 'claims.prose_matches_rows', count(*) = 0, coalesce(string_agg(split || ' ' || literal || '%', '; ' ORDER BY split, literal), '') FROM rb)
+SELECT * FROM r UNION ALL SELECT 'overall', bool_and(ok), count(*) FILTER (NOT ok) || ' failed' FROM r""")
 def gate_report(spark, sf):
     o = base.orders(spark, sf).select("o_orderkey", "o_custkey", "o_orderpriority", "cents", "day", "label", "split")
-    return qualify(o, QUALITY).select("check", "ok")
+    _, ledger = ledger_rows(spark, sf)
+    k = (80 + F.pmod("doc_id", F.lit(20))).cast("string")
+    forms = F.element_at(F.array(*[F.replace(F.lit(said), F.lit("{k}"), k) for said, _ in SAID]), (F.pmod("doc_id", F.lit(4)) + 1).cast("int"))
+    texts = table(spark, sf, "documents").select(F.col("doc_id").alias("key"), F.concat("text", F.lit("\n"), forms).alias("text"))
+    return qualify(o, QUALITY, ledger=ledger, claims=ROW_CLAIMS, texts=texts).select("check", "ok", "detail")
 
 
 SPARSE = """y AS (SELECT c_nationkey * 100 + day(o_orderdate) AS host, o_custkey AS origin, year(o_orderdate) AS year, count(*) AS c
