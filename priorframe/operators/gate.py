@@ -277,8 +277,9 @@ def rate_claims(docs: DataFrame, key: str, text: str, facts: DataFrame) -> DataF
     as in ``train 2019-2021 1.87%``; one named behind it owns it where none stands before, or where a bracket opens in
     between, as in ``holdout (1.87% train``. Claims are found inside each text, so only claims are shuffled.
     """
-    sentences = F.filter(F.split(text, r"[\n;]|(?<=[.!?])\s+"), lambda x: x.rlike(RATE_WORDS))
-    said = docs.select(key, F.posexplode(sentences).alias("sentence", "_t"))
+    percent = F.lit("%")
+    sentences = F.filter(F.split(text, r"[\n;]|(?<=[.!?])\s+"), lambda x: F.contains(x, percent) & x.rlike(RATE_WORDS))
+    said = docs.where(F.contains(F.col(text), percent)).select(key, F.posexplode(sentences).alias("sentence", "_t"))
     part = lambda k: F.regexp_extract_all("_t", F.lit(RATE_CLAIM), F.lit(k))
     groups = F.arrays_zip(part(1).alias("before"), part(2).alias("bracket"), part(3).alias("literal"), part(4).alias("after"))
     found = said.select(key, "sentence", F.posexplode(groups).alias("pos", "_g")).select(key, "sentence", "pos", "_g.*")

@@ -150,6 +150,7 @@ class Report:
 
     def __init__(self):
         self.rows: list[Column] = []
+        self.declared: list[declarations.Finding] = []
 
     def add(self, name: str, ok: Column, detail: Column, evidence: Column | None = None) -> None:
         ok = F.coalesce(ok, F.lit(False))
@@ -166,8 +167,7 @@ class Report:
         self.add(name, ~reduce(or_, bad.values()), names(bad), evidence)
 
     def said(self, findings: Sequence[declarations.Finding]) -> None:
-        for name, problems in findings:
-            self.add(name, F.lit(not problems), F.lit("; ".join(problems)))
+        self.declared += findings
 
     def over(self, measured: DataFrame) -> DataFrame:
         """(check, ok, detail, evidence), and an overall row that holds only when every check does."""
@@ -175,7 +175,10 @@ class Report:
         overall = F.struct(
             F.lit("overall").alias("check"), (failed == 0).alias("ok"), F.concat(failed.cast("string"), F.lit(" failed")).alias("detail"), F.lit("[]").alias("evidence")
         )
-        return measured.select(F.array(*self.rows).alias("_r")).select(F.explode(F.concat("_r", F.array(overall))).alias("_r")).select("_r.*")
+        quoted = lambda t: "'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        row = "named_struct('check', {}, 'ok', {}, 'detail', {}, 'evidence', '[]')"
+        said = [row.format(quoted(name), str(not problems).lower(), quoted("; ".join(problems))) for name, problems in self.declared]
+        return measured.select(F.concat(F.expr(f"array({', '.join(said)})"), F.array(*self.rows)).alias("_r")).select(F.explode(F.concat("_r", F.array(overall))).alias("_r")).select("_r.*")
 
 
 def listed_rows(df: DataFrame) -> Column:
@@ -362,9 +365,10 @@ def ledger_facts(panel: DataFrame, ledger: DataFrame, d: Descriptor) -> DataFram
 
 
 def crossing_facts(panel: DataFrame, y: Column, spec: dict) -> DataFrame:
-    """(split, covered, mismatches) of a declared cross-row probe over all rows, self and other splits as donors."""
-    rows = panel.withColumns({"_row": F.monotonically_increasing_id(), "_y": F.coalesce(y, F.lit(0))})
-    rows = written_once(rows, "gate-rows")  # row numbers must not change between the two reads
-    score = probes.declared_probe(rows, rows, spec, "_row")
-    met = rows.select("_row", "split", "_y").join(score, "_row")
-    return met.groupBy("split").agg(F.count(F.lit(1)).alias("covered"), F.count(F.when(F.col("score") != F.col("_y"), 1)).alias("mismatches"))
+    """(split, covered, mismatches) of a declared cross-row probe, all rows being donors.
+
+    Only an entity-day of one row is answered, so its split and label stand in for a row number.
+    """
+    rows = panel.withColumn("_row", F.struct("split", F.coalesce(y, F.lit(0)).alias("y")))
+    score = probes.declared_probe(rows, rows, spec, "_row").select("_row.*", "score")
+    return score.groupBy("split").agg(F.count(F.lit(1)).alias("covered"), F.count(F.when(F.col("score") != F.col("y"), 1)).alias("mismatches"))
