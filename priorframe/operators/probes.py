@@ -263,6 +263,30 @@ def train_lookup(panel: DataFrame, split: str, row_id: str, label: str, columns:
     )
 
 
+def lookup_cube(panel: DataFrame, split: str, label: str, columns: Sequence[str], fit_on: str = "train") -> DataFrame:
+    """(probe, split, rate, unanimous, n_rows): the train lookups of all single columns and pairs, as counts of rows.
+
+    Rows shrink to distinct tuples of all columns first, and these to one count per (columns, values), train and scored
+    rows side by side: no lookup join, and one row per pair of values in the shuffle instead of one per pair and row.
+    """
+    sets = [(c,) for c in columns] + list(combinations(columns, 2))
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns]
+    fitted = F.col(split) == fit_on
+    tuples = panel.groupBy(*text, split).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.when(fitted, F.col(label)).otherwise(0)).alias("_p"))
+    keys = F.array(*[F.struct(F.lit("+".join(s)).alias("probe"), F.to_json(F.struct(*s)).alias("key")) for s in sets])
+    long = tuples.select(split, "_n", "_p", F.explode(keys).alias("_k")).select(split, "_n", "_p", "_k.*")
+    per_split = long.groupBy("probe", "key", split).agg(F.sum("_n").alias("_n"), F.sum("_p").alias("_p"))
+    # One entry a split of the key; splits are few.
+    found = per_split.groupBy("probe", "key").agg(
+        F.sum(F.when(fitted, F.col("_n"))).alias("_n"), F.sum(F.when(fitted, F.col("_p"))).alias("_p"),
+        F.collect_list(F.when(~fitted, F.struct(split, F.col("_n").alias("n_rows")))).alias("_rows"),
+    )
+    rate = F.try_divide("_p", "_n")
+    pure = F.coalesce((F.col("_n") >= 2) & ((F.col("_p") == 0) | (F.col("_p") == F.col("_n"))), F.lit(False))
+    levels = found.select("probe", rate.alias("rate"), pure.alias("unanimous"), F.explode("_rows").alias("_r"))
+    return levels.groupBy("probe", F.col(f"_r.{split}").alias(split), "rate", "unanimous").agg(F.sum("_r.n_rows").alias("n_rows"))
+
+
 def station_features(panel: DataFrame, keys: Sequence[str], day: str, value: str, limit: float):
     """Lags, exceedance recency and counts, 7 and 30 day means with their valid days."""
     over = F.col(value) > limit

@@ -11,6 +11,7 @@ from priorframe.plans.base import DAILY, LABELLED, ORDERS, SPLIT_DOCUMENTS, auc_
 from priorframe.plans.labels import CORRIDOR, corridor
 from priorframe.plans.registry import query
 from priorframe.session import scratch_dir
+from priorframe.sources.sinks import written_once
 from priorframe.sources.tables import table
 
 USER = ["user_id"]
@@ -147,9 +148,10 @@ def lookup(spark, sf):
 WITH {LABELLED}, {BANDED} SELECT probe, split, count(*) AS n_rows, count(*) FILTER (n >= 2 AND p IN (0, n)) AS covered, count(*) FILTER (n >= 2 AND p = n) AS positive
 FROM ks LEFT JOIN tr USING (probe, key) WHERE split <> 'train' GROUP BY ALL""")
 def unanimous(spark, sf):
-    t = ops.train_lookup(banded(spark, sf), "split", "doc_id", "y", ["lang", "source", "band"])
+    t, n = ops.lookup_cube(banded(spark, sf), "split", "y", ["lang", "source", "band"]), F.col("n_rows")
+    some = lambda c: F.coalesce(F.sum(F.when(c, n)), F.lit(0))
     return t.groupBy("probe", "split").agg(
-        n_all().alias("n_rows"), F.count("unanimous").alias("covered"), n_if(F.col("unanimous") == 1).alias("positive")
+        F.sum(n).alias("n_rows"), some(F.col("unanimous")).alias("covered"), some(F.col("unanimous") & (F.col("rate") == 1)).alias("positive")
     )
 
 
@@ -443,6 +445,121 @@ def freeze_then_score(spark, sf):
     return out.join(intact, ["probe", "split"]).select("probe", "split", "covered", "auc_covered", "sealed")
 
 
+# A panel of (user, kind, day) with the label whether the next day's sum is high; one recipe reads that very day.
+HIGH = 25000
+BATTERY_PANEL = f"""bp AS (SELECT t.*, printf('%06d:%06d:%s', d, site_id, sector) AS row_key, CASE WHEN d < 19733 THEN 'train' WHEN d < 19742 THEN 'eval' ELSE 'holdout' END AS split
+  FROM (SELECT user_id % 40 AS site_id, event_type AS sector, date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS d, count(*) AS prior_count, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS last_sum FROM events GROUP BY ALL) t),
+bl AS (SELECT a.*, CAST(b.last_sum > {HIGH} AS BIGINT) AS y, CAST(b.last_sum > {HIGH} AS DOUBLE) AS told FROM bp a JOIN bp b ON b.site_id = a.site_id AND b.sector = a.sector AND b.d = a.d + 1)"""
+
+
+def battery_panel(spark, sf):
+    """The panel without labels, and its labels."""
+    p = table(spark, sf, "events").groupBy(
+        F.pmod("user_id", F.lit(40)).alias("site_id"), F.col("event_type").alias("sector"), history.day_number("ts").alias("d")
+    ).agg(n_all().alias("prior_count"), F.sum(cents("value")).alias("last_sum"))
+    split = F.when(F.col("d") < 19733, "train").when(F.col("d") < 19742, "eval").otherwise("holdout")
+    p = p.select("*", F.format_string("%06d:%06d:%s", "d", "site_id", "sector").alias("row_key"), split.alias("split"))
+    later = history.at_offset("last_sum", ["site_id", "sector"], "d", 1)
+    rows = p.select("row_key", (later > HIGH).cast("bigint").alias("y")).where("y IS NOT NULL")
+    return p, rows
+
+
+def told(panel):
+    """The next day's sum, read from the row that ships it."""
+    later = history.at_offset("last_sum", ["site_id", "sector"], "d", 1)
+    return panel.select("row_key", (later > HIGH).cast("double").alias("score"))
+
+
+def battery_of(panel):
+    from priorframe.operators.battery import Battery
+
+    key_sets, operands = ops.successor_candidates(panel.drop("row_key"), "d")
+    columns = ["site_id", "sector", "prior_count", "last_sum"]
+    return Battery(panel, "y", "row_key", columns, "d", key_sets, operands, recipes={"told": ("exact", told)})
+
+
+def _battery_sql():
+    cols = ["site_id", "sector", "prior_count", "last_sum"]
+    text = {c: f"CAST({c} AS VARCHAR)" for c in cols}
+    q, out = "x.*", []
+    row = lambda probe, kind, scope, score, keeps, source="sb x": out.append(f"SELECT '{probe}' AS probe, '{kind}' AS kind, '{scope}' AS scope, x.split, x.y, {keeps} AS keeps, {score} AS score FROM {source}")
+    for c in cols:
+        row(f"numeric:{c}", "statistical", "", f"TRY_CAST(x.{c} AS DOUBLE)", "false")
+        row(f"absolute:{c}", "statistical", "", f"abs(TRY_CAST(x.{c} AS DOUBLE))", "false")
+        row(f"length:{c}", "statistical", "", f"CAST(length(CAST(x.{c} AS VARCHAR)) AS DOUBLE)", "false")
+        row(f"missing:{c}", "statistical", "", f"CAST(CAST(x.{c} AS VARCHAR) IN ('', '-1', 'NA', 'N/A', 'nan') AS DOUBLE)", "false")
+        rank = f"(SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS DOUBLE) AS score FROM (SELECT DISTINCT {text[c]} AS value FROM bp)) r"
+        row(f"lexical:{c}", "statistical", "", "r.score", "false", f"sb x JOIN {rank} ON r.value = CAST(x.{c} AS VARCHAR)")
+    row("row_order", "statistical", "", "ro.score", "false", "sb x JOIN (SELECT row_key, CAST(row_number() OVER (PARTITION BY split ORDER BY row_key) - 1 AS DOUBLE) AS score FROM bp) ro USING (row_key)")
+    row("told", "exact", "", "x.told", "true")
+    for s in [(c,) for c in cols] + [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]:
+        name, on = "+".join(s), " AND ".join(f"t.{c} = x.{c}" for c in s)
+        source = f"sb x LEFT JOIN (SELECT {', '.join(s)}, count(*) AS n, coalesce(sum(y), 0) AS yes FROM bp LEFT JOIN (SELECT row_key, y FROM bl) USING (row_key) WHERE split = 'train' GROUP BY ALL) t ON {on}"
+        row(f"lookup:{name}", "supervised", "", "CAST(t.yes AS DOUBLE) / t.n", "false", source)
+        row(f"lookup_unanimous:{name}", "supervised", "", "CASE WHEN t.n >= 2 AND t.yes IN (0, t.n) THEN CAST(t.yes AS DOUBLE) / t.n END", "true", source)
+    for keys in (["sector"], ["site_id"], ["sector", "site_id"]):
+        name, on = "+".join(keys), " AND ".join(f"g.{c} = x.{c}" for c in keys)
+        for scope in ("self", "all"):
+            pool = ", split" if scope == "self" else ""
+            grouped = f"(SELECT {', '.join(keys)}, d{pool}, max(prior_count) AS prior_count, max(last_sum) AS last_sum FROM bp GROUP BY ALL HAVING count(*) = 1)"
+            same = " AND g.split = x.split" if scope == "self" else ""
+            for offset in (1, 2, 7, 30, 365, 366):
+                for v in ("last_sum", "prior_count"):
+                    row(f"{scope}:explore:{name}:{offset}:{v}", "heuristic", scope, f"CAST(g.{v} AS DOUBLE)", "false", f"sb x LEFT JOIN {grouped} g ON {on}{same} AND g.d = x.d + {offset}")
+            for offset in (365, 366):
+                own = on.replace("g.", "h.") + same.replace("g.", "h.")
+                row(f"{scope}:quasi_successor:{name}:{offset}", "heuristic", scope, "CASE WHEN g.d IS NOT NULL AND h.d IS NOT NULL THEN 0e0 END", "true",
+                    f"sb x LEFT JOIN {grouped} g ON {on}{same} AND g.d = x.d + {offset} LEFT JOIN {grouped} h ON {own} AND h.d = x.d")
+    return " UNION ALL ".join(out)
+
+
+BATTERY_SQL = f"""
+WITH {BATTERY_PANEL}, sb AS (SELECT * FROM bl WHERE split <> 'train'), v AS ({_battery_sql()}), vf AS (SELECT * REPLACE (coalesce(score, 0.5) AS score) FROM v),
+ac AS ({auc_sql("v", "probe, split")}), af AS ({auc_sql("vf", "probe, split")}),
+nt AS (SELECT probe, any_value(kind) AS kind, any_value(scope) AS scope, split, count(*) AS n_rows, count(score) AS covered, count(DISTINCT score) AS levels, any_value(keeps) AS keeps,
+  CASE WHEN count(score) > 0 AND count(score) = count(*) FILTER (score IN (0, 1)) THEN count(*) FILTER (score <> y) END AS errors FROM v GROUP BY probe, split),
+rp AS (SELECT nt.probe, kind, scope, nt.split, n_rows, covered, errors, ac.auc AS auc_covered, af.auc AS auc_full, true AS sealed,
+  CASE WHEN covered = 0 OR (levels <= 1 AND NOT keeps) THEN 'skipped' WHEN kind = 'exact' AND errors = 0 THEN 'failure' WHEN kind <> 'exact' AND greatest(ac.auc, 1 - ac.auc) > 0.95 THEN 'flag' END AS finding
+  FROM nt LEFT JOIN ac ON ac.probe = nt.probe AND ac.split = nt.split LEFT JOIN af ON af.probe = nt.probe AND af.split = nt.split)"""
+
+
+@query("i22_battery_report", f"{BATTERY_SQL} SELECT * FROM rp")
+def battery_report(spark, sf):
+    panel, labels = battery_panel(spark, sf)
+    panel = written_once(panel, "battery-panel")
+    run, path = battery_of(panel), scratch_dir(spark, "battery")
+    train = panel.where("split = 'train'").select("row_key").join(labels, "row_key")
+    _, seal = run.freeze(train, path)
+    return run.report(path, seal, labels)
+
+
+@query("i6_successor_scopes", f"""{BATTERY_SQL} SELECT scope, split, probe, n_rows, covered, auc_covered FROM rp WHERE kind = 'heuristic' AND scope <> ''""")
+def successor_scopes(spark, sf):
+    from priorframe.operators import battery
+    from priorframe.operators.ranked import ranked_auc
+
+    panel, labels = battery_panel(spark, sf)
+    panel = written_once(panel, "battery-panel")
+    run = battery_of(panel)
+    scores = battery.successors(panel, "d", run.key_sets, run.operands, run.offsets, run.quasi)
+    keys = F.filter(run.keys(), lambda k: F.startswith(k["family"], F.lit("successor:")))
+    long = panel.join(labels, "row_key").where("split <> 'train'").select("split", "y", F.explode(keys).alias("_k")).select("split", "y", "_k.*")
+    classes = long.groupBy("family", "split", "key").agg(F.sum("y").alias("_pos"), F.sum(1 - F.col("y")).alias("_neg"))
+    values = scores.join(classes, ["family", "split", "key"]).select("family", "split", "_pos", "_neg", F.posexplode("scores").alias("at", "score"))
+    levels = written_once(values.groupBy("family", "split", "at", "score").agg(F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg")), "scope-scores")
+    n = F.col("_pos") + F.col("_neg")
+    totals = levels.groupBy("family", "split", "at").agg(F.sum(n).alias("n_rows"), F.coalesce(F.sum(F.when(F.col("score").isNotNull(), n)), F.lit(0)).alias("covered"))
+    aucs = ranked_auc(levels, ["family", "split", "at"], "score", "auc_covered")
+    named = run.named(spark).where("scope <> ''")
+    return totals.join(aucs, ["family", "split", "at"], "left").join(named, ["family", "at"]).select("scope", "split", "probe", "n_rows", "covered", "auc_covered")
+
+
+@query("i9_lookup_levels", f"""
+WITH {LABELLED}, {BANDED} SELECT probe, split, CAST(p AS DOUBLE) / n AS rate, coalesce(n >= 2 AND p IN (0, n), false) AS unanimous, count(*) AS n_rows FROM ks LEFT JOIN tr USING (probe, key) WHERE split <> 'train' GROUP BY ALL""")
+def lookup_levels(spark, sf):
+    return ops.lookup_cube(banded(spark, sf), "split", "y", ["lang", "source", "band"])
+
+
 MARKED = r"""mk AS (SELECT doc_id, CASE WHEN doc_id % 6 = 0 THEN text || chr(10) || 'row doc-' || doc_id || ' seen 1999-0' || (1 + doc_id % 9) || '-15' || chr(10) || chr(10) || 'label = 1' || chr(10) || 'tail' ELSE text END AS text FROM documents)"""
 
 
