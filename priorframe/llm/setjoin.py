@@ -406,7 +406,8 @@ def first_of_groups(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, i
     text hash, and one copy if that row is repeated.
 
     Rows are told apart by id and text hash, so an id on two texts or a NULL id decides nothing about other rows.
-    Rows without a shingle link with nothing and all stay.
+    Rows without a shingle link with nothing and all stay. Rows travel as one struct, so columns of any name and type,
+    maps and dotted names included, are kept as they are; of a repeated row the one with the least JSON text stays.
     """
     rows = columns_of(docs, [id_col, text_col]).toDF("doc_id", "text")
     texts = written_once(posted(rows, size, percent), "join-texts")
@@ -414,12 +415,13 @@ def first_of_groups(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, i
     copies = written_once(placed.groupBy("root", "doc_id", "h").agg(F.count(F.lit(1)).alias("copies")), "join-copies")
     least = copies.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("least"))
     first = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("h") == F.col("least.h"))
-    marks = copies.join(least, "root").select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), first.alias("_first"), "copies")
-    marks = written_once(marks.where("not _first or copies > 1").drop("copies"), "join-marks")
-    text = F.col(f"`{text_col}`")
-    hashed = docs.withColumn("_text", F.when(text.isNotNull(), F.xxhash64(text)))
-    on = (F.col("_text") == F.col("_h")) & F.col(f"`{id_col}`").eqNullSafe(F.col("_id"))
-    stay = hashed.join(marks.drop("_first"), on, "left_anti").select(*docs.columns)
-    again = hashed.join(marks.where("_first").drop("_first"), on, "left_semi")
-    one = again.groupBy(id_col, "_text").agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
-    return stay.unionAll(one)
+    marks = copies.join(least, "root").select("doc_id", "h", first.alias("first"), "copies")
+    marks = written_once(marks.where("not first or copies > 1"), "join-marks")
+    text, whole = F.col(f"`{text_col}`"), F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    packed = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.when(text.isNotNull(), F.xxhash64(text)).alias("h"), whole.alias("row"))
+    # Marks grow with the table, so they are merged and never broadcast; whole rows are shuffled once, here.
+    on = (F.col("d.h") == F.col("m.h")) & F.col("d.doc_id").eqNullSafe(F.col("m.doc_id"))
+    kept = packed.alias("d").join(marks.hint("merge").alias("m"), on, "left").where("m.first is null or m.first")
+    kept = written_once(kept.select("d.doc_id", "d.h", "row", F.coalesce("copies", F.lit(1)).alias("copies")), "join-kept")
+    one = kept.where("copies > 1").groupBy("doc_id", "h").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return kept.where("copies = 1").select("row.*").unionAll(one.select("row.*"))
