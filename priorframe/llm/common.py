@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,10 +39,20 @@ def short_batches(spark: SparkSession) -> None:
 _KEPT: dict = {}
 
 
+def _give_back() -> None:
+    """Return freed memory to the system: workers are reused, and would keep the peak of every operator before."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def worker_cache(key: tuple, make):
     """What a worker process keeps between tasks: one thing, the last that was asked for."""
     if key not in _KEPT:
         _KEPT.clear()
+        _give_back()
         _KEPT[key] = make()
     return _KEPT[key]
 
@@ -48,6 +60,7 @@ def worker_cache(key: tuple, make):
 def forget() -> None:
     """Called by operators without a cache, so that a reused worker does not carry another one's."""
     _KEPT.clear()
+    _give_back()
 
 
 def words_in(text: Column) -> Column:

@@ -46,3 +46,11 @@ def test_edge_rows(spark, sf, docs):  # noqa: F811
     assert not set(map(tuple, got)) - set(rows)
     regrouped = [c for _, n, c in brute_groups([tuple(r) for r in got]) if n and c is not None]
     assert len(regrouped) == len(set(regrouped))
+
+
+def test_columns_of_any_name_and_type(spark, sf):
+    rows = [(1, BASE, 5, "h", {"k": 1}, 2.0), (2, BASE + " end", 6, "i", {"k": 2}, 3.0), (3, ALONE, 7, None, None, None), (3, ALONE, 7, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, _text int, h string, `a.b` map<string,int>, first double").repartition(2)
+    out = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, df, sf)
+    assert out.dtypes == df.dtypes
+    assert sorted(tuple(r) for r in out.collect()) == [rows[0], rows[2]]
