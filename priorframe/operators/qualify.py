@@ -310,7 +310,7 @@ def qualify(
         known = {*d.features, *declarations.listed(d.declared, "carry_columns"), *free, d.target}
         r.said([("leakage.declared_columns", sorted(set(header) - known))])
         blank = at_splits(lambda x, s: (x[s]["rows"] > 0) & (x[s]["filled"] == 0))
-        r.add("leakage.every_column_could_be_scored", (F.size(blank) == 0) & F.lit(not twice), F.concat_ws("; ", F.lit("; ".join(f"{c} twice" for c in twice)), F.array_join(blank, "; ")))
+        r.add("leakage.every_column_could_be_scored", (F.size(blank) == 0) & F.lit(not twice), F.array_join(F.concat(F.array(*[F.lit(f"{c} twice") for c in twice]).cast("array<string>"), blank), "; "))
         r.none_of("splits.actual_ranges_computed", {s: lost[s] | (n[s] == 0) for s in SPLITS}, ranges)
         if features:
             r.add("duplicates.no_feature_tuple_in_two_splits", zero("tuple.shared") == 0, number(zero("tuple.shared"), " feature tuples are in more than one split"))
