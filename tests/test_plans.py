@@ -58,6 +58,31 @@ def test_a_hot_entity_is_split_in_the_join_back(spark):
                 spark.conf.set(k, v)
 
 
+def test_the_gate_shuffles_its_panel_once(spark, sf):
+    """All grains of the gate are cells of one frame; what follows reads the written counts only."""
+    from priorframe.operators import qualify
+    from priorframe.plans.base import orders
+
+    o = orders(spark, sf)
+    y = F.col("label").cast("bigint")
+    levels = qualify.cell_levels(o, y, ["o_custkey", "o_orderpriority", "day"], {qualify.ROW: F.lit(""), qualify.IDENTIFIER: F.col("o_orderkey").cast("string")})
+    text = plan_of(levels)
+    assert text.count("Exchange") == 1 and text.count("FileScan") == 1
+    n = levels.where("field = '#id'").agg(F.sum("n_train"), F.sum("n_eval"), F.sum("n_holdout"), F.sum("p_train")).first()
+    assert sum(n[:3]) == o.count() and n[3] == o.where("split = 'train'").agg(F.sum("label")).first()[0]
+
+
+def test_lookups_do_not_join_or_explode_rows(spark, sf):
+    from priorframe.operators import probes
+    from priorframe.plans.base import orders
+
+    o = orders(spark, sf).select("split", "label", "o_orderpriority", "year", F.pmod("o_custkey", F.lit(7)).alias("k"))
+    cube = probes.lookup_cube(o, "split", "label", ["o_orderpriority", "year", "k"])
+    text = plan_of(cube)
+    assert "Join" not in text and text.count("Generate") == 2
+    assert cube.where("probe = 'year'").agg(F.sum("n_rows")).first()[0] == o.where("split <> 'train'").count()
+
+
 def test_models_fit(spark, sf):
     from priorframe.operators import predictors
 
