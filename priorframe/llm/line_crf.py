@@ -249,7 +249,11 @@ def quality(docs: DataFrame, labels: DataFrame, min_share: float = MIN_CONTENT_S
 
 
 def keep_content(docs: DataFrame, labels: DataFrame, min_share: float = MIN_CONTENT_SHARE) -> DataFrame:
-    """The rows of ``docs``, all columns, that ``quality`` keeps; texts are filtered where they are read."""
+    """The rows of ``docs``, all columns, that ``quality`` keeps; texts are filtered where they are read.
+
+    Columns are handed over by place, so any name will do. NULL and empty texts fail the rules; a very long text is
+    judged whole; repeated rows get one verdict; an empty table gives an empty result.
+    """
     weights, moves = fit(*training_chains(docs, labels))
     model = ([float(w) for w in weights], [[float(v) for v in row] for row in moves])
     short_batches(docs.sparkSession)
@@ -261,4 +265,5 @@ def keep_content(docs: DataFrame, labels: DataFrame, min_share: float = MIN_CONT
         for batch in batches:
             yield batch.filter(pa.array([judge(t or "", decoder, min_share)[2] for t in batch.column(at).to_pylist()], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    placed = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return placed.mapInArrow(run, placed.schema).toDF(*docs.columns)

@@ -140,8 +140,12 @@ def mix(
         .otherwise(F.expr("cast(size as decimal(38,0)) * left div tied"))
         .cast("bigint")
     )
+    told = plan.drop("extra").join(ends, "source_key", "left")
+    if carry:
+        # One row a source, written, so that its size is known before rows with bodies would move to it.
+        told = written_once(told, "mix-told")
     return (
-        (drawn if carry else items).join(plan.drop("extra").join(ends, "source_key", "left"), "source_key")
+        (drawn if carry else items).join(told, "source_key")
         .withColumn("extra", part)
         .select(
             "doc_id",
@@ -159,13 +163,19 @@ def mix(
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` as the mixture takes them: each whole repetition is a row, and a fractional one
-    is a row with as many of the leading words as are taken (the whole text, if all are)."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "source"))
-    taken = mix(docs, carry=tuple(others), **options)
-    words = F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col("extra").cast("int"))
-    part = F.when(F.col("_extra"), F.when(F.col("extra") == F.col("size"), F.col("text")).otherwise(F.array_join(words, " "))).otherwise(F.col("text"))
+    is a row with as many of the leading words as are taken (the whole text, if all are).
+
+    Rows travel as one struct, so columns of any name and type are kept as they are. Rows without words are in no
+    mixture, and neither are NULL texts; an empty table gives an empty result; very long texts are cut like others.
+    """
+    text = F.col("row").getField("text")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    taken = mix(docs.select("doc_id", "text", "source", whole.alias("row")), carry=("row",), **options).where("size > 0")
+    words = F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), 1, F.col("extra").cast("int"))
+    part = F.when(F.col("cut") & (F.col("extra") < F.col("size")), F.array_join(words, " ")).otherwise(text)
     copies = F.concat(F.array_repeat(F.lit(False), F.col("repeats").cast("int")), F.when(F.col("extra") > 0, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>")))
-    rows = taken.where("size > 0").withColumn("_extra", F.explode(copies)).withColumn("text", part)
+    rows = taken.withColumn("cut", F.explode(copies)).withColumn("mixed", part)
+    new = {"text": F.col("mixed")}
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+        new["n_chars"] = F.length("mixed").cast(docs.schema["n_chars"].dataType)
+    return rows.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])

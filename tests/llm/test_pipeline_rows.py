@@ -54,3 +54,24 @@ def test_columns_of_any_name_and_type(spark, sf):
     out = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, df, sf)
     assert out.dtypes == df.dtypes
     assert sorted(tuple(r) for r in out.collect()) == [rows[0], rows[2]]
+
+
+def test_stages_keep_columns_of_clashing_names(spark, sf):
+    rows = [
+        (i, f"{i} {BASE}\n" * 3 if i % 2 else f"{i} {ALONE}", "ab"[i % 2], 9, i, i + 1, i + 2, "s", {"k": i}, 1.5, "h")
+        for i in range(6)
+    ] + [(None, None, None, 9, None, None, None, None, None, None, None)] * 2 + [(9, "", "a", 9, 1, 1, 1, "", {}, 0.0, "")]
+    schema = """doc_id bigint, text string, source string, n_chars int, size int, kept int, extra int, n_spans string,
+    `a.b` map<string,int>, target double, row string"""
+    df = spark.createDataFrame(rows, schema).repartition(2)
+    carried = {r[0]: r[4:] for r in rows}
+    for name in ("quality_rules", "repeated_passages", "source_mix"):
+        stage = dict(corpus_pipeline.STAGES)[name]
+        out = stage(spark, df, sf)
+        assert out.dtypes == df.dtypes
+        got = out.collect()
+        assert all(tuple(r)[4:] == carried[r.doc_id] for r in got), name
+        assert name != "repeated_passages" or len(got) == len(rows)
+        assert name != "source_mix" or {r.doc_id for r in got} <= set(range(6)) and got
+        assert all(r.n_chars == len(r.text or "") for r in got) or name == "quality_rules"
+        assert stage(spark, df.limit(0), sf).collect() == []
