@@ -1,7 +1,8 @@
 """The corpus pipeline: five stages from documents to token statistics.
 
 Every stage works on all rows that the stage before kept. The first four return the columns of
-``documents``; the last returns one row of token figures for every row it gets.
+``documents``; the last returns one row of token figures for every row it gets. Further columns may have any name and
+type; an empty table gives an empty result at every stage.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from priorframe.llm.common import documents, table, written_once
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules and the line field keep."""
+    """Documents that the rules and the line field keep. NULL and empty texts go; very long ones are judged whole."""
     return line_crf.keep_content(docs, table(spark, sf_dir, "labels"))
 
 
@@ -25,21 +26,25 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without passages that a document with a smaller id has."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    cut = suffix_index.repeated_text(docs, keep_text=True, carry=others).withColumnRenamed("kept", "text")
+    """All documents, without passages that a document with a smaller id has. A NULL text becomes an empty one, a NULL
+    id is larger than every id, and rows of one id do not remove from each other."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    carried = F.struct(F.lit(True).alias("_row"), *[F.col(f"`{c}`") for c in others]).alias("others")
+    cut = suffix_index.repeated_text(docs.select("doc_id", "text", carried), keep_text=True, carry=("others",))
+    new = {"doc_id": F.col("doc_id"), "text": F.col("kept")}
     if "n_chars" in others:
-        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return cut.select(*docs.columns)
+        new["n_chars"] = F.length("kept").cast(docs.schema["n_chars"].dataType)
+    return cut.select(*[new.get(c, F.col("others").getField(c)).alias(c) for c in docs.columns])
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated or left out so that sources meet their target weights."""
+    """Documents repeated or left out so that sources meet their target weights. Rows without words are left out; a NULL
+    source is a source of its own."""
     return mixing.mixed_rows(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token figures of every row, and the digest of the text decoded from its tokens."""
+    """Token figures of every row, and the digest of the text decoded from its tokens. A NULL text is an empty one."""
     import public_tokenizers
 
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
