@@ -70,6 +70,17 @@ def word_tokens(c: Column) -> Column:
     return bound(words(c), tokens)
 
 
+def word_pairs(c: Column) -> Column:
+    """Distinct adjacent pairs of lower-case words, the two parted by one blank."""
+
+    def pairs(w: Column) -> Column:
+        n = F.greatest(F.size(w) - 1, F.lit(0))
+        both = F.zip_with(F.slice(w, F.lit(1), n), F.slice(w, F.lit(2), n), lambda a, b: F.concat_ws(" ", a, b))
+        return F.array_distinct(both)
+
+    return bound(words(c), pairs)
+
+
 def excerpt_text(c: Column) -> Column:
     """White space collapsed and dropped before punctuation."""
     return F.regexp_replace(collapsed(c), r"\s+([,;:.!?])", "$1")

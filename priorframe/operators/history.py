@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from priorframe.operators.ordering import with_ranges
+
 
 def day_number(col: str | Column) -> Column:
     return F.unix_date(F.col(col).cast("date") if isinstance(col, str) else col.cast("date"))
@@ -147,24 +149,25 @@ def days_since_last(rows: DataFrame, keys: Sequence[str], time: str, out: str, n
 def next_event(rows: DataFrame, keys: Sequence[str], time: str, order: str, take: Sequence[str]):
     """Each row beside the entity's next row by (day, ``order``), columns prefixed ``next_``.
 
-    Inside a day the next row comes from a (keys, day) window; the last row of a day
-    takes the first row of the entity's next day, found on the day grain. A row without
-    a key or a day stays, without a next row.
+    Rows are cut into value ranges of ``order``, so that a hot day of an entity is many sorts. Inside a (keys, day,
+    range) the next row comes from a window; the last row takes the first row of the entity's next (day, range),
+    found on that grain. Rows without a key or a day stay, without a next row and without a window.
     """
     keys = list(keys)
     packed = F.struct(*[F.col(c) for c in take])
     base = rows.withColumn("_day", day_number(time)).withColumn("_self", packed)
-    firsts = base.groupBy(*keys, "_day").agg(F.min_by("_self", F.col(order)).alias("_first"))
-    by_day = Window.partitionBy(*keys).orderBy("_day")
     known = reduce(and_, [F.col(c).isNotNull() for c in [*keys, "_day"]])
-    firsts = firsts.where(known).select(*keys, "_day", F.lead("_first").over(by_day).alias("_next_day"))
-    in_day = Window.partitionBy(*keys, "_day").orderBy(order)
-    out = base.join(firsts, [*keys, "_day"], "left").withColumn(
-        "_next", F.when(known, F.coalesce(F.lead("_self").over(in_day), F.col("_next_day")))
-    )
+    grain = [*keys, "_day", "_range"]
+    ranged = with_ranges(base.where(known), [], order, [*keys, "_day"])
+    firsts = ranged.groupBy(*grain).agg(F.min_by("_self", F.col(order)).alias("_first"))
+    by_day = Window.partitionBy(*keys).orderBy("_day", "_range")
+    firsts = firsts.select(*grain, F.lead("_first").over(by_day).alias("_then"))
+    inside = Window.partitionBy(*grain).orderBy(order)
+    out = ranged.join(firsts, grain, "left").withColumn("_next", F.coalesce(F.lead("_self").over(inside), F.col("_then")))
+    out = out.drop("_range", "_then").unionByName(base.where(~known), allowMissingColumns=True)
     for c in take:
         out = out.withColumn(f"next_{c}", F.col(f"_next.{c}"))
-    return out.drop("_day", "_self", "_next_day", "_next")
+    return out.select(*rows.columns, *[f"next_{c}" for c in take])
 
 
 def ever_before_set(

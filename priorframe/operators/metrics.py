@@ -156,18 +156,31 @@ def linear_percentile(df: DataFrame, by: Sequence[str], value: str, q: float, ou
     return ends.select(*by, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * part).alias(out))
 
 
+# Primes below 2^31, so that a multiplier shares no factor with a table of fewer rows.
+STRIDES = (2147483647, 2147483629, 2147483587, 2147483579, 2147483563, 2147483549)
+
+
+def moved_place(place: Column, size: Column, seed: int) -> Column:
+    """A seeded bijection on 0 to ``size`` - 1: (stride * place + shift) mod size, the stride without a factor of size."""
+    first, second = (STRIDES[(seed + k) % len(STRIDES)] for k in (0, 1))
+    stride = F.when(size % first == 0, second).otherwise(first)
+    wide = place.cast("decimal(18,0)") * stride.cast("decimal(10,0)") + F.lit(seed * 7919)
+    return (wide % size.cast("decimal(18,0)")).cast("bigint")
+
+
 def permuted_within(df: DataFrame, split: str, row_id: str, columns: Sequence[str], seed: int) -> DataFrame:
     """Each listed column moved to other rows of the same split, whole and once.
 
-    A column's k-th value in seeded hash order goes to the k-th row in id order.
+    Rows are placed by id once for all columns; a column comes from the place that a seeded bijection gives.
     """
-    from priorframe.operators.ordering import row_positions
+    from priorframe.operators.ordering import running_totals
 
-    out = row_positions(df, [split], row_id, "_at")
+    ones = df.withColumn("_one", F.lit(1).cast("bigint"))
+    placed = running_totals(ones, [split], row_id, {"_at": "_one"}, {"_size": "_one"})
+    out = placed
     for i, c in enumerate(columns):
-        shuffled = df.select(
-            split, c, F.struct(F.xxhash64(F.lit(seed + i), row_id).alias("h"), F.col(row_id).alias("i")).alias("_order")
-        )
-        moved = row_positions(shuffled, [split], "_order", "_at").select(split, "_at", F.col(c).alias(f"_{c}"))
-        out = out.join(moved, [split, "_at"]).withColumn(c, F.col(f"_{c}")).drop(f"_{c}")
+        moved = placed.select(F.col(split).alias("_split"), F.col("_at").alias("_place"), F.col(c).alias("_new"))
+        out = out.withColumn("_from", moved_place(F.col("_at"), F.col("_size"), seed + i))
+        on = F.col(split).eqNullSafe(F.col("_split")) & (F.col("_from") == F.col("_place"))
+        out = out.join(moved, on).withColumn(c, F.col("_new")).drop("_split", "_place", "_new", "_from")
     return out.select(*df.columns)

@@ -69,7 +69,7 @@ def persistence_minmax(
 def token_prior(
     df: DataFrame, row_id: str, text: str, label: str, least: int = 5, split: str = "split"
 ) -> DataFrame:
-    """Mean train rate of the row's known words and pairs, else the train rate."""
+    """Mean train rate of the row's known words and pairs, else the train rate; train rows are not scored."""
     tokens = df.select(row_id, split, label, F.explode(word_tokens(F.col(text))).alias("_t"))
     table = (
         tokens.where(F.col(split) == "train")
@@ -77,12 +77,14 @@ def token_prior(
         .agg(F.count(F.lit(1)).alias("_n"), F.avg(F.col(label).cast("double")).alias("_r"))
         .where(F.col("_n") >= least)
     )
-    mean = tokens.join(table, "_t").groupBy(row_id).agg(
+    scored = F.col(split) != "train"
+    mean = tokens.where(scored).join(table, "_t").groupBy(row_id).agg(
         F.avg("_r").alias("_mean"), F.count(F.lit(1)).alias("known_tokens")
     )
     prior = train_rate(df, label, split)
     return (
-        df.drop(text)
+        df.where(scored)
+        .drop(text)
         .join(mean, row_id, "left")
         .withColumn("score", F.coalesce("_mean", prior))
         .withColumn("known_tokens", F.coalesce("known_tokens", F.lit(0)))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from priorframe.functions.numbers import lenient_number, rounded_count
-from priorframe.functions.text import bound, word_tokens
+from priorframe.functions.text import bound, word_pairs, words
 from priorframe.operators.aggregates import MISSING, long_cells
 from priorframe.operators.history import at_offset, trailing
 from priorframe.operators.metrics import auc_of_levels
@@ -68,6 +68,45 @@ def row_order_probe(panel: DataFrame, split: str, row_id: str) -> DataFrame:
     )
 
 
+SUPPORT_BITS = 20
+
+
+def _may_have(counts: DataFrame, min_rows: int, bits: int) -> Callable[[Column], Column]:
+    """A test against a bitmap of 2^``bits`` hash slots of the tokens with ``min_rows`` rows.
+
+    Its size does not depend on the data. A slot that two tokens share lets the rarer one pass; none is ever missed.
+    """
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits))
+    held = (
+        counts.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= min_rows)
+        .select(F.shiftright(slot(F.col("token")), 6).alias("id"), (slot(F.col("token")) % 64).cast("int").alias("at"))
+        .groupBy("id").agg(F.expr("bit_or(shiftleft(1L, at))").alias("bits"))
+    )
+    places = counts.sparkSession.range(1 << (bits - 6)).join(held, "id", "left")
+    # A row per 64 slots, whatever the data: 2^(bits - 6) in all.
+    in_order = F.array_sort(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0)).alias("bits"))))
+    scalar = places.agg(F.transform(in_order, lambda p: p["bits"]).alias("m")).scalar()
+
+    def passes(c: Column) -> Column:
+        return F.getbit(F.get(scalar, F.shiftright(slot(c), 6).cast("int")), (slot(c) % 64).cast("int")) == 1
+
+    return passes
+
+
+def token_counts(panel: DataFrame, split: str, text: str, min_rows: int, bits: int = SUPPORT_BITS) -> DataFrame:
+    """(token, split, n): rows of every word, and of every word pair both words of which may have ``min_rows`` rows.
+
+    A pair is in no more rows than either of its words, so pairs of rarer words are dropped inside the row, before
+    anything is shuffled.
+    """
+    count = F.count(F.lit(1)).alias("n")
+    single = panel.select(split, F.explode(F.array_distinct(words(F.col(text)))).alias("token")).groupBy("token", split).agg(count)
+    passes = _may_have(single, min_rows, bits)
+    pairs = panel.select(split, F.explode(word_pairs(F.col(text))).alias("token"))
+    pairs = pairs.where(passes(F.substring_index("token", " ", 1)) & passes(F.substring_index("token", " ", -1)))
+    return single.unionByName(pairs.groupBy("token", split).agg(count))
+
+
 def token_hits(panel: DataFrame, split: str, text: str, min_rows: int = TOKEN_ROWS) -> DataFrame:
     """(probe, split, n_rows, hits): the 0/1 probe of every word and word pair in ``min_rows`` rows or more.
 
@@ -75,9 +114,7 @@ def token_hits(panel: DataFrame, split: str, text: str, min_rows: int = TOKEN_RO
     map side and no row is repeated per token. Splits without a hit are listed with 0; there is one
     map entry a split, not a token.
     """
-    found = panel.select(split, F.explode(word_tokens(F.col(text))).alias("token"))
-    per_split = found.groupBy("token", split).agg(F.count(F.lit(1)).alias("n"))
-    per_token = per_split.groupBy("token").agg(
+    per_token = token_counts(panel, split, text, min_rows).groupBy("token").agg(
         F.sum("n").alias("_all"), F.map_from_entries(F.collect_list(F.struct(split, "n"))).alias("_hits")
     )
     sizes = panel.groupBy(split).agg(F.count(F.lit(1)).alias("n")).agg(F.collect_list(F.struct(split, "n"))).scalar()

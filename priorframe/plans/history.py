@@ -248,27 +248,40 @@ def empirical_rank(spark, sf):
     )
 
 
+def differing(a, b):
+    return a.exceptAll(b).agg(F.count(F.lit(1)))
+
+
+def checked(rows, compare, features, control):
+    """Rows compared, differing ones, and differing ones of a control that must fail."""
+    out = rows.agg(F.count(F.lit(1)).alias("compared")).select(
+        "compared", compare(features).scalar().alias("differing"), compare(control).scalar().alias("control_differing")
+    )
+    return out.withColumn("ok", (F.col("differing") == 0) & (F.col("control_differing") > 0))
+
+
 @query("e16_truncated_recompute_check", f"""
-WITH {MONTHLY} SELECT count(*) AS compared, CAST(0 AS BIGINT) AS differing, true AS ok FROM mo WHERE m <= 1999 * 12 + 5""")
+WITH {MONTHLY}, ahead AS (SELECT count(*) AS n FROM mo a JOIN mo b ON b.nation = a.nation AND b.m = a.m + 1 WHERE a.m = 1999 * 12 + 5)
+SELECT count(*) AS compared, CAST(0 AS BIGINT) AS differing, (SELECT n FROM ahead) AS control_differing, (SELECT n FROM ahead) > 0 AS ok FROM mo WHERE m <= 1999 * 12 + 5""")
 def truncated(spark, sf):
-    cut = 1999 * 12 + 5
+    cut = F.col("m") <= 1999 * 12 + 5
     panel = base.monthly(spark, sf)
-    full = lag_block(panel).where(F.col("m") <= cut)
-    short = lag_block(panel.where(F.col("m") <= cut))
-    differing = full.exceptAll(short).agg(F.count(F.lit(1)).alias("differing"))
-    compared = full.agg(F.count(F.lit(1))).scalar()
-    return differing.select(compared.alias("compared"), "differing", (F.col("differing") == 0).alias("ok"))
+    # The control looks ahead, so the check must find it.
+    ahead = lambda rows: rows.select("nation", "m", ops.at_offset("c", ["nation"], "m", 1).alias("next"))
+    return checked(panel.where(cut), lambda f: differing(f(panel).where(cut), f(panel.where(cut))), lag_block, ahead)
 
 
 @query("e17_label_flip_invariance", f"""
-WITH {ORDERS} SELECT count(*) AS compared, CAST(0 AS BIGINT) AS differing, true AS ok FROM o""")
+WITH {ORDERS}, r AS (SELECT o_orderpriority, sum(label) AS a, sum(CASE WHEN split = 'train' THEN label ELSE 1 - label END) AS b FROM o GROUP BY ALL),
+c AS (SELECT count(*) AS n FROM o JOIN r USING (o_orderpriority) WHERE a <> b)
+SELECT count(*) AS compared, CAST(0 AS BIGINT) AS differing, (SELECT n FROM c) AS control_differing, (SELECT n FROM c) > 0 AS ok FROM o""")
 def label_flip(spark, sf):
     from priorframe.operators.aggregates import rate_table
 
     o = base.orders(spark, sf)
 
-    def features(rows):
-        rates = rate_table(rows.where("split = 'train'"), ["o_orderpriority"], "label")
+    def features(rows, learned="split = 'train'"):
+        rates = rate_table(rows.where(learned), ["o_orderpriority"], "label")
         return rows.select("o_orderkey", "o_orderpriority").join(
             rates.select("o_orderpriority", "rate"), "o_orderpriority", "left"
         )
@@ -276,9 +289,8 @@ def label_flip(spark, sf):
     flipped = o.withColumn(
         "label", F.when(F.col("split") == "train", F.col("label")).otherwise(1 - F.col("label"))
     )
-    differing = features(o).exceptAll(features(flipped)).agg(F.count(F.lit(1)).alias("differing"))
-    compared = o.agg(F.count(F.lit(1))).scalar()
-    return differing.select(compared.alias("compared"), "differing", (F.col("differing") == 0).alias("ok"))
+    # The control learns from the labels of all splits, so the check must find it.
+    return checked(o, lambda f: differing(f(o), f(flipped)), features, lambda rows: features(rows, "true"))
 
 
 @query("e18_pre_instant_order_check", """

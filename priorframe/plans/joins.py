@@ -1,5 +1,6 @@
 """C: joins."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from priorframe.operators import history, joins
@@ -173,19 +174,11 @@ WITH days AS (SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) AS day FROM o
 SELECT o_custkey, strftime(day, '%Y-%m-%d') AS day, CAST(EXISTS (SELECT 1 FROM days b WHERE b.o_custkey = a.o_custkey
   AND b.day > a.day AND b.day <= a.day + 90) AS BIGINT) AS again FROM days a""")
 def exists_recheck(spark, sf):
+    # The next distinct day decides whether any later one is near enough.
     days = base.orders(spark, sf).select("o_custkey", "day").distinct()
-    return spark.sql(
-        """
-        SELECT o_custkey, date_format(day, 'yyyy-MM-dd') AS day, CAST(1 AS BIGINT) AS again FROM {days} a
-        WHERE EXISTS (SELECT 1 FROM {days} b
-                      WHERE b.o_custkey = a.o_custkey AND b.day > a.day AND b.day <= date_add(a.day, 90))
-        UNION ALL
-        SELECT o_custkey, date_format(day, 'yyyy-MM-dd'), CAST(0 AS BIGINT) FROM {days} a
-        WHERE NOT EXISTS (SELECT 1 FROM {days} b
-                      WHERE b.o_custkey = a.o_custkey AND b.day > a.day AND b.day <= date_add(a.day, 90))
-        """,
-        days=days,
-    )
+    following = F.lead("day").over(Window.partitionBy("o_custkey").orderBy("day"))
+    again = F.coalesce(following <= F.date_add("day", 90), F.lit(False)).cast("bigint")
+    return days.select("o_custkey", base.text("day").alias("day"), again.alias("again"))
 
 
 @query("c12_self_join_pairs", f"""

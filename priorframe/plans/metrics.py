@@ -159,16 +159,22 @@ def gap(spark, sf):
 
 
 @query("j12_information_set_perturbation", f"""
-WITH {LABELLED} SELECT split, count(*) AS compared, CAST(0 AS BIGINT) AS changed, CAST(sum(n_chars) AS BIGINT) AS n_chars_before, CAST(sum(n_chars) AS BIGINT) AS n_chars_after FROM ld GROUP BY ALL""")
+WITH {LABELLED}, m AS (SELECT split, n_chars, row_number() OVER (PARTITION BY split ORDER BY doc_id) - 1 AS place, count(*) OVER (PARTITION BY split) AS size FROM ld)
+SELECT a.split, count(*) AS compared, CAST(0 AS BIGINT) AS changed, count(*) FILTER (a.n_chars <> b.n_chars) AS control_changed,
+  CAST(sum(a.n_chars) AS BIGINT) AS n_chars_before, CAST(sum(b.n_chars) AS BIGINT) AS n_chars_after
+FROM m a JOIN m b ON b.split = a.split AND b.place = (CAST(a.place AS HUGEINT) * {ops.STRIDES[5]} + 5 * 7919) % a.size GROUP BY a.split""")
 def perturbation(spark, sf):
     d = base.labelled_documents(spark, sf).select("doc_id", "split", "source", "y", "n_chars", "lang")
     moved = ops.permuted_within(d, "split", "doc_id", ["n_chars", "lang"], 5)
     score = lambda x: keyed_prior(x, ["source"], "y").select("doc_id", "split", "score")
-    changed = score(d).exceptAll(score(moved)).groupBy("split").agg(F.count(F.lit(1)).alias("changed"))
+    # The control reads a permuted column, so its scores must change.
+    control = lambda x: x.select("doc_id", "split", F.col("n_chars").alias("score"))
+    changes = lambda f, n: f(d).exceptAll(f(moved)).groupBy("split").agg(F.count(F.lit(1)).alias(n))
     size = lambda x, n: x.groupBy("split").agg(F.count(F.lit(1)).alias("compared"), F.sum("n_chars").alias(n))
     return (
         size(d, "n_chars_before").join(size(moved, "n_chars_after").drop("compared"), "split")
-        .join(changed, "split", "left").withColumn("changed", F.coalesce("changed", F.lit(0)))
+        .join(changes(score, "changed"), "split", "left").join(changes(control, "control_changed"), "split", "left")
+        .fillna(0, ["changed", "control_changed"])
     )
 
 

@@ -75,7 +75,7 @@ SELECT doc_id, coalesce(known, 0) AS known_tokens, round(coalesce(mean, (SELECT
 def token_prior(spark, sf):
     d = base.labelled_documents(spark, sf).select("doc_id", "split", "y", "text")
     out = ops.token_prior(d, "doc_id", "text", "y")
-    return out.where("split <> 'train'").select("doc_id", "known_tokens", F.round("score", 6).alias("score"))
+    return out.select("doc_id", "known_tokens", F.round("score", 6).alias("score"))
 
 
 @query("k7_trailing_rate_prior", f"""

@@ -93,3 +93,29 @@ def test_models_fit(spark, sf):
     for fit in (predictors.logistic, lambda *a: predictors.boosted_trees(*a, trees=3, depth=2)):
         r = fit(d, ["n_chars"], ["lang"], "y").agg(F.min("score"), F.max("score"), F.count("score")).first()
         assert 0 <= r[0] <= r[1] <= 1 and r[2] == d.count()
+
+
+def test_a_hot_day_is_many_sorts_and_null_keys_none(spark):
+    from priorframe.operators.ordering import with_ranges
+
+    n, nulls = 30000, 100000
+    rows = spark.range(n + nulls).select("id", F.when(F.col("id") < n, 1).alias("e"), F.lit("2024-01-01").cast("date").alias("d"))
+    out = history.next_event(rows, ["e"], "d", "id", ["id"])
+    got = out.groupBy("e").agg(F.count(F.lit(1)).alias("n"), F.count("next_id").alias("told"), F.sum(F.col("next_id") - F.col("id")).alias("steps"))
+    assert sorted(map(tuple, got.collect()), key=str) == [(1, n, n - 1, n - 1), (None, nulls, 0, None)]
+    ranged = with_ranges(rows.where("e is not null"), [], "id", ["e"])
+    assert ranged.groupBy("e", "d", "_range").count().agg(F.max("count")).first()[0] < n / 20
+
+
+def test_pairs_of_rare_words_are_not_shuffled(spark):
+    from priorframe.operators import probes
+
+    rows = [("train" if i % 2 else "eval", f"common words here rare{i} odd{i} common words") for i in range(40)]
+    df = spark.createDataFrame(rows, "split string, t string")
+    counts = probes.token_counts(df, "split", "t", 10)
+    pairs = {r.token for r in counts.where("token like '% %'").select("token").distinct().collect()}
+    assert pairs == {"common words", "words here"}
+    # One slot for all tokens prunes nothing and loses nothing.
+    assert probes.token_counts(df, "split", "t", 10, bits=6).where("token = 'common words'").agg(F.sum("n")).first()[0] == 40
+    hits = {(r.probe, r.split): r.hits for r in probes.token_hits(df, "split", "t", 10).collect()}
+    assert hits[("token:words here", "train")] == 20 and len(hits) == 2 * 5
