@@ -80,17 +80,17 @@ def ordered_state(spark, sf):
 
 
 @query("l4_chronological_scoring", """
-SELECT event_id, round(1 / (1 + exp((100 - value) / 50)), 6) AS score FROM events""")
+SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, false AS late, round(1 / (1 + exp((100 - value) / 50)), 6) AS score FROM events""")
 def chronological(spark, sf):
     def predict(frame):
         import numpy as np
 
         return 1 / (1 + np.exp((100 - frame["value"]) / 50))
 
-    stream = events(spark, sf).select("event_id", "value")
+    stream = events(spark, sf).select("event_id", "ts", "value")
     folder = scratch_dir(spark, "chronological-scoring")
-    out = ops.committed_scores(stream, "event_id", lambda b: user_predictor(b, predict, ["value"]), folder)
-    return out.select("event_id", F.round("score", 6).alias("score"))
+    out = ops.committed_scores(stream, "event_id", "ts", lambda b: user_predictor(b, predict, ["value"]), folder)
+    return out.select("event_id", "day", "late", F.round("score", 6).alias("score"))
 
 
 @query("l5_stateful_dedupe", """

@@ -61,6 +61,8 @@ def closed_periods(
 
 
 LAGS = (1, 2, 3)
+WEEKS_KEPT = 52
+DAYS_KEPT = 366
 
 
 def _transition_state(
@@ -91,14 +93,14 @@ def _transition_state(
     yield pd.DataFrame([*rows, *late], columns=columns).astype({c: "Int64" for c in columns[1:]})
 
 
-def weekly_transitions(weekly: DataFrame, key: str, week: str, value: str, keep: int | None = None) -> DataFrame:
+def weekly_transitions(weekly: DataFrame, key: str, week: str, value: str, keep: int | None = WEEKS_KEPT) -> DataFrame:
     """A row for week W once W and W+1 are there, in whatever order weeks arrive.
 
     ``weekly`` is a stream with integer week numbers; a week already seen is ignored. A late week gives its own
     transitions, and those that it is a lag of come again with a higher ``revision`` (the number of lags known);
-    ``newest_revision`` of the table is the same for every order of arrival. The state holds all weeks of a key, or,
-    with ``keep``, those down to ``keep`` weeks before its newest and their lags; a week below that is a row of
-    revision -1 without next value.
+    ``newest_revision`` of the table is the same for every order of arrival. The state of a key holds its weeks down to
+    ``keep`` before its newest and their lags (all, if ``keep`` is None); a week below that is a row of revision -1
+    without next value.
     """
     kind = weekly.schema[key].dataType.simpleString()
     return (
@@ -159,14 +161,14 @@ def _history_state(
     yield pd.DataFrame(rows, columns=columns).astype({c: "Int64" for c in columns[1:]})
 
 
-def entity_history(daily: DataFrame, key: str, day: str, count: str, kinds: str, keep: int | None = None) -> DataFrame:
+def entity_history(daily: DataFrame, key: str, day: str, count: str, kinds: str, keep: int | None = DAYS_KEPT) -> DataFrame:
     """Count, last day and distinct kinds before each day per entity, in whatever order days arrive.
 
     One input row is one entity-day; a further row of a day adds to it. A late day comes with the history before it,
     and all later days of the entity come again with a higher ``revision``, so ``newest_revision`` of the table is the
-    same for every order of arrival. The state holds one entry a day, or, with ``keep``, the days down to ``keep``
-    before the newest and one sum of all before; a day not after the last summed one is a row of revision -1 without
-    history.
+    same for every order of arrival. The state of an entity holds its days down to ``keep`` before the newest and one
+    sum of all before (all days, if ``keep`` is None), so a late day emits at most the days held; a day not after the
+    last summed one is a row of revision -1 without history.
     """
     kind = daily.schema[key].dataType.simpleString()
     return (
@@ -189,19 +191,49 @@ def stateful_dedupe(events: DataFrame, keys: Sequence[str], time: str, delay: st
     return timed.dropDuplicatesWithinWatermark(list(keys)).drop("_time")
 
 
+FAN = 8
+
+
+def live_runs(batches: int, fan: int = FAN) -> list[tuple[int, int]]:
+    """(level, first batch) of the runs that hold the first ``batches`` batches; a run of level k holds fan^k of them."""
+    runs, first, level = [], 0, 0
+    while fan ** (level + 1) <= batches:
+        level += 1
+    for k in range(level, -1, -1):
+        while batches - first >= fan**k:
+            runs.append((k, first))
+            first += fan**k
+    return runs
+
+
 def revision_log(
-    stream: DataFrame, keys: Sequence[str], revision: Callable[[], Column], columns: Sequence[str], folder: str
+    stream: DataFrame,
+    keys: Sequence[str],
+    revision: Callable[[], Column],
+    columns: Sequence[str],
+    folder: str,
+    fan: int = FAN,
 ) -> DataFrame:
     """Keep the newest revision per key of a stream of revised rows.
 
-    Each batch is reduced to one row per key and written under its own batch folder, so a
-    retried batch replaces itself; the current table is the newest row over the log.
+    Each batch is reduced to one row per key and written as a run of level 0. Whenever ``fan`` runs of a level are
+    full, they are merged to one run of the next, so the table is the newest row over a number of runs that grows
+    with the logarithm of the batches. Which runs those are follows from the number of batches alone, and no run that
+    a merge read is changed: a retried batch or merge writes the same run again.
     """
+    spark = stream.sparkSession
+    run = lambda level, first: f"{folder}/log/level={level}/first={first}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        latest_by(batch, keys, revision(), columns).write.mode("overwrite").parquet(
-            f"{folder}/log/batch={batch_id}"
-        )
+        latest_by(batch, keys, revision(), columns).write.mode("overwrite").parquet(run(0, batch_id))
+        done, level = batch_id + 1, 1
+        while done % fan**level == 0:
+            full = [run(level - 1, done - fan**level + i * fan ** (level - 1)) for i in range(fan)]
+            merged = latest_by(spark.read.parquet(*full), keys, revision(), columns)
+            merged.write.mode("overwrite").parquet(run(level, done - fan**level))
+            level += 1
+        # Two places in turn, so that one is whole while the other is written.
+        spark.range(1).select(F.lit(done).alias("done")).write.mode("overwrite").parquet(f"{folder}/head/place={batch_id % 2}")
 
     q = (
         stream.writeStream.foreachBatch(write)
@@ -210,27 +242,40 @@ def revision_log(
         .start()
     )
     q.awaitTermination()
-    log = stream.sparkSession.read.parquet(f"{folder}/log")
+    done = spark.read.parquet(f"{folder}/head").agg(F.max("done")).first()[0]
+    log = spark.read.parquet(*[run(*r) for r in live_runs(done, fan)])
     return latest_by(log, keys, revision(), columns)
 
 
 def committed_scores(
-    stream: DataFrame, row_id: str, score: Callable[[DataFrame], DataFrame], folder: str
+    stream: DataFrame, row_id: str, time: str, score: Callable[[DataFrame], DataFrame], folder: str
 ) -> DataFrame:
-    """One committed prediction per row, offered batch by batch in arrival order.
+    """One committed prediction per row, offered batch by batch and inside a batch in order of (time, row).
 
-    A batch scores only rows that have no committed score in earlier batches, and a
-    retried batch replaces its own folder.
+    ``score`` keeps the columns it gets. Scores are partitioned by ``day`` of the time ('none' without one), and a
+    batch reads earlier scores of its own days only, to leave out rows that have one. ``late`` marks rows before the
+    newest time that an earlier batch committed: a forecaster that learns in time order has passed them. A row has one
+    time; repeated rows of a batch are scored once. A retried batch replaces its own partitions.
     """
     spark = stream.sparkSession
-    out = f"{folder}/scores"
+    out, clock = f"{folder}/scores", f"{folder}/clock"
+    kinds = {f.name: f.dataType.simpleString() for f in stream.schema}
+    day = F.coalesce(F.date_format(time, "yyyy-MM-dd"), F.lit("none"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.dropDuplicates([row_id])
+        fresh = batch.dropDuplicates([row_id]).withColumn("day", day)
+        newest = None
         if batch_id > 0:
-            done = spark.read.parquet(out).where(F.col("batch") < batch_id).select(row_id)
-            fresh = fresh.join(done, row_id, "left_anti")
-        score(fresh).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+            earlier = F.col("batch") < batch_id
+            newest = spark.read.schema(f"newest {kinds[time]}, batch bigint").parquet(clock).where(earlier).agg(F.max("newest")).first()[0]
+            done = spark.read.schema(f"`{row_id}` {kinds[row_id]}, day string, batch bigint").parquet(out).where(earlier)
+            days = fresh.select("day").distinct()
+            fresh = fresh.join(done.join(days, "day", "left_semi").select("day", row_id), ["day", row_id], "left_anti")
+        late = F.coalesce(F.col(time) < F.lit(newest).cast(kinds[time]), F.lit(False))
+        ordered = fresh.withColumn("late", late).repartitionByRange(time, row_id).sortWithinPartitions(time, row_id)
+        scored = score(ordered).withColumn("batch", F.lit(batch_id).cast("bigint"))
+        scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(out)
+        batch.agg(F.max(time).alias("newest")).write.mode("overwrite").parquet(f"{clock}/batch={batch_id}")
 
     q = (
         stream.writeStream.foreachBatch(write)
@@ -239,7 +284,12 @@ def committed_scores(
         .start()
     )
     q.awaitTermination()
-    return spark.read.parquet(out).drop("batch")
+    like = score(spark.createDataFrame([], stream.schema).withColumn("day", day).withColumn("late", F.lit(False)))
+    return spark.read.schema(f"{_fields(like)}, batch bigint").parquet(out)
+
+
+def _fields(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 
 
 def live_outcomes(panel: DataFrame, outcomes: DataFrame, key: str, time: str, horizon: str) -> DataFrame:

@@ -44,13 +44,50 @@ def test_entity_history_over_batches_equals_one_batch(spark, tmp_path):
     ]
 
 
-def test_revision_log_and_committed_scores_over_batches(spark, tmp_path):
+def test_revision_log_over_batches(spark, tmp_path):
     src = str(tmp_path / "src")
     write_batches(spark, src, "k string, rev int, v int", [[("a", 1, 10), ("b", 5, 50)], [("a", 3, 30), ("b", 4, 40)], [("a", 2, 20)]])
     out = streams.revision_log(one_file_each(src, spark), ["k"], lambda: F.col("rev"), ["rev", "v"], str(tmp_path / "rev"))
     assert values(out, "k", "rev", "v") == [("a", 3, 30), ("b", 5, 50)]
-    scored = streams.committed_scores(one_file_each(src, spark), "k", lambda b: b.select("k", "v"), str(tmp_path / "sc"))
-    assert values(scored, "k") == [("a",), ("b",)]
+
+
+def test_revision_log_compacts_by_levels(spark, tmp_path):
+    assert streams.live_runs(13, 3) == [(2, 0), (1, 9), (0, 12)] and len(streams.live_runs(8**6 - 1)) == 42
+    src, folder, schema = str(tmp_path / "src"), str(tmp_path / "log"), "k string, rev int, v int"
+    log = lambda: streams.revision_log(one_file_each(src, spark), ["k"], lambda: F.col("rev"), ["rev", "v"], folder, fan=2)
+    rows = [[("a", 7 * i % 10, i), (f"k{i % 3}", i, i)] for i in range(7)]
+    write_batches(spark, src, schema, rows)
+    newest = {}
+    for k, rev, v in sorted((r for b in rows for r in b), key=lambda r: r[1]):
+        newest[k] = (k, rev, v)
+    out = log()
+    assert values(out, "k", "rev", "v") == sorted(newest.values())
+    read = {f.split("/log/log/")[1].rsplit("/", 1)[0] for f in out.inputFiles()}
+    assert read == {"level=2/first=0", "level=1/first=4", "level=0/first=6"}
+    assert values(log(), "k", "rev", "v") == sorted(newest.values())  # nothing new
+
+
+def test_committed_scores_in_time_order(spark, tmp_path):
+    src = str(tmp_path / "src")
+    at = lambda d, h: dt.datetime(2024, 1, d, h)
+    write_batches(spark, src, "k string, t timestamp, v int", [
+        [("b", at(2, 5), 1), ("a", at(1, 3), 2), ("a", at(1, 3), 2), ("n", None, 3)],
+        [("c", at(1, 9), 4), ("a", at(1, 3), 2), ("n", None, 3)],
+        [("d", at(3, 1), 5), ("b", at(2, 5), 1), ("m", None, 6)],
+    ])
+    seen = []
+
+    def score(b):
+        if b.columns and not b.isStreaming:
+            seen.append([r.t for r in b.collect() if r.t is not None])
+        return b.withColumn("score", F.col("v") * 2.0)
+
+    out = streams.committed_scores(one_file_each(src, spark), "k", "t", score, str(tmp_path / "sc"))
+    assert values(out, "k", "day", "late", "score", "batch") == [
+        ("a", "2024-01-01", False, 4.0, 0), ("b", "2024-01-02", False, 2.0, 0), ("c", "2024-01-01", True, 8.0, 1),
+        ("d", "2024-01-03", False, 10.0, 2), ("m", "none", False, 12.0, 2), ("n", "none", False, 6.0, 0),
+    ]
+    assert all(times == sorted(times) for times in seen)
 
 
 def test_dedupe_stream(spark, tmp_path):
