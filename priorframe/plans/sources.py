@@ -144,6 +144,19 @@ def inventory(spark, sf):
     return files.unionByName(total.select(F.lit("(tree)").alias("name"), "bytes", F.col("digest").alias("sha256")))
 
 
+@query("a8_written_inventory", """
+WITH m AS (SELECT strftime(o_orderdate, '%Y-%m') || ':' || count(*) || ':' || CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS line FROM orders GROUP BY strftime(o_orderdate, '%Y-%m'))
+SELECT CAST(length(line) + 1 AS BIGINT) AS bytes, sha256(line || chr(10)) AS sha256 FROM m""")
+def written_inventory(spark, sf):
+    path = scratch_dir(spark, "written-inventory")
+    month = F.date_format("o_orderdate", "yyyy-MM").alias("month")
+    o = table(spark, sf, "orders").groupBy(month).agg(n_all().alias("n"), F.sum(base.cents("o_totalprice")).alias("c"))
+    # One file a month, half of them read in chunks.
+    o.select("month", F.concat_ws(":", "month", "n", "c").alias("line")).write.partitionBy("month").text(path)
+    sizes = readers.file_inventory(spark, path, "*.txt").agg(F.floor(F.avg("bytes"))).first()[0]
+    return readers.file_inventory(spark, path, "*.txt", whole_bytes=sizes).select("bytes", "sha256")
+
+
 @query("a9_split_sink", f"""
 WITH {ORDERS} SELECT split, count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS positives, CAST(sum(1 - label) AS BIGINT) AS negatives, CAST(sum(label) AS DOUBLE) / count(*) AS rate FROM o GROUP BY ALL""")
 def split_sink(spark, sf):

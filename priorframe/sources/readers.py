@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
+from urllib.parse import quote
 
+import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 
-
 def csv_header(spark: SparkSession, path: str) -> list[str]:
     """Column names of a CSV file or folder, as written; reads one line of one file."""
     first = spark.read.option("header", False).csv(path).first()
@@ -122,11 +125,16 @@ def read_xml(spark: SparkSession, path: str, row_tag: str, schema: StructType |
     return spark.read.schema(schema).option("rowTag", row_tag).xml(path)
 
 
-def file_inventory(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Name, bytes and SHA-256 of every file below a folder.
+WHOLE_BYTES = 1 << 28
+CHUNK_BYTES = 1 << 22
+
+
+def file_inventory(spark: SparkSession, path: str, glob: str = "*", whole_bytes: int = WHOLE_BYTES) -> DataFrame:
+    """Name, bytes and SHA-256 of every file below a folder, of any size.
 
-    One file is one row and must fit in a task (Spark's binaryFile limit is 2 GB), as a
-    SHA-256 reads its file in order. Use it for shipped artifacts, not for source lakes.
+    Files of at most ``whole_bytes`` come through Spark's binary reader, which packs them into tasks by bytes. A larger
+    one is read in chunks by one task, through Arrow's file systems: a SHA-256 reads its file in order, but memory
+    stays at one chunk. Empty files are not listed, as Spark's file sources skip them.
     """
     files = (
         spark.read.format("binaryFile")
@@ -134,11 +142,35 @@ def file_inventory(spark: SparkSession, path: str, glob: str = "*") -> DataFrame
         .option("pathGlobFilter", glob)
         .load(path)
     )
-    return files.select(
-        F.substring_index("path", "/", -1).alias("name"),
-        F.col("length").alias("bytes"),
-        F.sha2("content", 256).alias("sha256"),
+    name = F.substring_index("path", "/", -1).alias("name")
+    whole = files.where(F.col("length") <= whole_bytes).select(
+        name, F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")
     )
+    # Without the column ``content`` nothing of these is read here.
+    large = files.where(F.col("length") > whole_bytes).select("path", "length")
+    large = large.mapInArrow(_chunked_digests, "path string, bytes bigint, sha256 string")
+    return whole.unionByName(large.select(name, "bytes", "sha256"))
+
+
+def _uri(path: str) -> str:
+    """A path as Spark lists it, as a URI; local ones get an empty host."""
+    scheme, colon, rest = path.partition(":")
+    rest = rest if rest.startswith("//") else f"//{rest}"
+    return f"{scheme}{colon}{quote(rest, safe='/:@')}"
+
+
+def _chunked_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        digests = []
+        for path in batch.column(0).to_pylist():
+            system, place = pafs.FileSystem.from_uri(_uri(path))
+            digest = hashlib.sha256()
+            with system.open_input_stream(place, compression=None, buffer_size=0) as f:
+                while chunk := f.read(CHUNK_BYTES):
+                    digest.update(chunk)
+            digests.append(digest.hexdigest())
+        columns = [batch.column(0).cast(pa.string()), batch.column(1), pa.array(digests, pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, ["path", "bytes", "sha256"])
 
 
 def tree_digest(inventory: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Streams over several files, sources that refuse bad input, and text matching."""
 
 import datetime as dt
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -156,3 +157,18 @@ def test_predictor_range_is_checked(spark):
     assert user_predictor(df, lambda f: f["x"] / 2, ["x"]).count() == 2
     with pytest.raises(Exception, match="outside"):
         user_predictor(df, lambda f: f["x"], ["x"]).collect()
+
+
+def test_inventory_reads_large_files_in_chunks(spark, tmp_path):
+    size = 3 << 30
+    with open(tmp_path / "large one.bin", "wb") as f:
+        f.truncate(size)  # sparse
+    (tmp_path / "small.bin").write_bytes(b"abc" * 5)
+    zeros, chunk = hashlib.sha256(), bytes(1 << 24)
+    for _ in range(size >> 24):
+        zeros.update(chunk)
+    want = [("large one.bin", size, zeros.hexdigest()), ("small.bin", 15, hashlib.sha256(b"abc" * 5).hexdigest())]
+    assert values(readers.file_inventory(spark, str(tmp_path), "*.bin"), "name", "bytes", "sha256") == want
+    (tmp_path / "large one.bin").write_bytes(b"x" * 10)
+    got = values(readers.file_inventory(spark, str(tmp_path), "*.bin", whole_bytes=0), "name", "bytes", "sha256")
+    assert got == [("large one.bin", 10, hashlib.sha256(b"x" * 10).hexdigest()), want[1]]
