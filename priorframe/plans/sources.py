@@ -94,10 +94,11 @@ def nested_json(spark, sf):
     status = F.when(F.col("l_returnflag") == "R", "active").otherwise("pending")
     awards = F.transform(steps, lambda i: F.struct(status.alias("status"), cents("l_extendedprice").alias("value")))
     path = scratch_dir(spark, "nested-records")
-    table(spark, sf, "lineitem").select(
+    rows = table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("id"), F.col("l_partkey").alias("part"), releases.alias("releases"),
         parties.alias("parties"), awards.alias("awards"),
-    ).write.json(path)
+    )
+    sinks.bounded_files(rows).json(path)
     return readers.flatten_releases(readers.read_json(spark, path, RECORD))
 
 

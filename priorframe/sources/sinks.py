@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 # Public and private folders of the shipped splits.
 SPLIT_PATHS = {"train": "public/train", "eval": "public/eval", "holdout": "private/holdout"}
+FILE_RECORDS = 200_000  # records of a compressed text file
 
 
 def write_splits(df: DataFrame, root: str, split: str = "split") -> dict[str, str]:
@@ -79,6 +80,15 @@ def sealed_scores(spark: SparkSession, path: str, by: Sequence[str], seal: DataF
     return frozen, intact.select(*[F.col(f"b.{c}").alias(c) for c in by], same.alias("sealed"))
 
 
+def bounded_files(df: DataFrame) -> DataFrameWriter:
+    """A writer of text formats (JSON, XML) whose files are compressed and hold at most ``FILE_RECORDS`` records.
+
+    Such a file is read whole by one task, so a task reads a bounded part however much is written, and nested text
+    takes a small part of its plain size on disk.
+    """
+    return df.write.option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS)
+
+
 def written_once(df: DataFrame, purpose: str) -> DataFrame:
     """A costly frame that several plans read, written to the shared folder and read back."""
     from priorframe.session import scratch_dir
