@@ -115,7 +115,7 @@ def xml_scan(spark, sf):
         F.col("l_orderkey").alias("id"), F.col("l_partkey").alias("part"),
         F.array(one("price", "l_extendedprice", 2), one("tax", "l_tax", 1), one("discount", "l_discount", 0)).alias("transaction"),
     )
-    rows.write.option("rowTag", "activity").option("rootTag", "activities").xml(path)
+    sinks.bounded_files(rows).option("rowTag", "activity").option("rootTag", "activities").xml(path)
     x = readers.read_xml(spark, path, "activity", "id bigint, part bigint, transaction array<struct<kind: string, day: string, cents: bigint>>")
     t = F.col("transaction")
     return x.select(

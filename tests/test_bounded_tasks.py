@@ -8,7 +8,7 @@ from priorframe.plans import QUERIES
 from priorframe.sources import sinks
 
 
-@pytest.mark.parametrize("name", ["a5_nested_json_flatten"])
+@pytest.mark.parametrize("name", ["a5_nested_json_flatten", "a6_xml_activity_scan"])
 def test_nested_text_is_written_in_compressed_files_of_bounded_records(spark, sf, monkeypatch, name):
     monkeypatch.setattr(sinks, "FILE_RECORDS", 500)
     out = QUERIES[name](spark, sf)
