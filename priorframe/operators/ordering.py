@@ -14,9 +14,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RANGES = 1024
+PIECES = 128  # below 200, so that Spark writes a file a piece and sorts nothing on the way
 _STEP = 32
 
 
+def in_pieces(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows dealt by ``columns`` over ``PIECES`` pieces, whatever the settings of the session.
+
+    Adaptive execution does not merge pieces whose number is given, so an aggregate or a join on these columns holds
+    the rows of one piece and not those of 64 MB of packed shuffle data.
+    """
+    return df.repartition(PIECES, *columns)
+
+
 def _cut_points(df: DataFrame, part: Sequence[str], order: str, carried: Sequence[str]) -> DataFrame:
     """At most RANGES sorted sample values per part, one row per part.
 

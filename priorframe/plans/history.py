@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from priorframe.operators import history as ops
 from priorframe.operators import joins
-from priorframe.operators.ordering import value_ranks
+from priorframe.operators.ordering import PIECES, in_pieces, value_ranks
 from priorframe.plans import base
 from priorframe.plans.base import DAILY, MONTHLY, ORDERS, cents
 from priorframe.plans.registry import query
@@ -249,7 +249,10 @@ def empirical_rank(spark, sf):
 
 
 def differing(a, b):
-    return a.exceptAll(b).agg(F.count(F.lit(1)))
+    """Rows of ``a`` that ``b`` does not hold as often, in pieces of which a task counts one at a time."""
+    both = a.withColumn("_d", F.lit(1)).union(b.withColumn("_d", F.lit(-1)))
+    surplus = in_pieces(both, a.columns).groupBy(*a.columns).agg(F.sum("_d").alias("_d")).where("_d > 0")
+    return surplus.agg(F.coalesce(F.sum("_d"), F.lit(0)))
 
 
 def checked(rows, compare, features, control):
@@ -281,10 +284,11 @@ def label_flip(spark, sf):
     o = base.orders(spark, sf)
 
     def features(rows, learned="split = 'train'"):
-        rates = rate_table(rows.where(learned), ["o_orderpriority"], "label")
-        return rows.select("o_orderkey", "o_orderpriority").join(
-            rates.select("o_orderpriority", "rate"), "o_orderpriority", "left"
-        )
+        rates = rate_table(rows.where(learned), ["o_orderpriority"], "label").select("o_orderpriority", "rate")
+        # A priority has many rows; they are dealt over pieces, each of which gets the rates.
+        piece = F.pmod(F.xxhash64("o_orderkey"), F.lit(PIECES)).alias("_piece")
+        rates = rates.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(PIECES - 1).cast("bigint"))))
+        return rows.select("o_orderkey", "o_orderpriority", piece).join(rates, ["o_orderpriority", "_piece"], "left").drop("_piece")
 
     flipped = o.withColumn(
         "label", F.when(F.col("split") == "train", F.col("label")).otherwise(1 - F.col("label"))

@@ -1,10 +1,13 @@
 """What one task holds or reads is bounded, whatever the size of the table."""
 
+import re
 from pathlib import Path
 
 import pytest
 
+from priorframe.operators.ordering import PIECES
 from priorframe.plans import QUERIES
+from priorframe.plans.history import differing
 from priorframe.sources import sinks
 
 
@@ -16,3 +19,20 @@ def test_nested_text_is_written_in_compressed_files_of_bounded_records(spark, sf
     files = [Path(f.removeprefix("file://")) for f in out.inputFiles()]
     assert out.count() == n
     assert len(files) >= n / 500 and all(f.suffix == ".gz" for f in files)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_flip_check_deals_rows_of_one_priority_over_pieces(spark, sf):
+    p = plan(QUERIES["e17_label_flip_invariance"](spark, sf))
+    assert not re.search(r"hashpartitioning\(o_orderpriority#\d+, \d+\), ENSURE_REQUIREMENTS, .*\n.*\bo_orderkey", p)
+    assert "_piece" in p and f", {PIECES}), REPARTITION_BY_NUM" in p
+
+
+def test_differing_counts_surplus_rows_with_repeats_and_nulls(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, None), (3, "z")], "k int, v string")
+    b = spark.createDataFrame([(1, "x"), (2, None), (4, "z")], "k int, v string")
+    assert differing(a, b).first()[0] == a.exceptAll(b).count() == 2
+    assert differing(b, a).first()[0] == 1 and differing(a, a).first()[0] == 0
