@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from priorframe.operators import aggregates as ops
 from priorframe.operators.history import day_number
-from priorframe.operators.ordering import value_at_index
+from priorframe.operators.ordering import in_pieces, value_at_index
 from priorframe.plans import base
 from priorframe.plans.base import DAILY, LABELLED, MONTHLY, ORDERS, cents
 from priorframe.plans.registry import query
@@ -213,9 +213,10 @@ def prevalence_floor(spark, sf):
     o = base.orders(spark, sf).select("o_orderkey", "split", "day")
     l = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
     p = table(spark, sf, "part").select("p_partkey", "p_brand")
+    # An order's lines and the order meet in one piece, so the rows that are told apart are those of a piece.
+    branded = in_pieces(l.join(p, F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", "p_brand"), ["l_orderkey"])
     x = (
-        l.join(p, F.col("l_partkey") == F.col("p_partkey"))
-        .join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+        branded.join(in_pieces(o, ["o_orderkey"]), F.col("l_orderkey") == F.col("o_orderkey"))
         .select("o_orderkey", "split", "day", "p_brand").distinct()
     )
     per_day = x.groupBy("p_brand", "split", "day").agg(n_all().alias("k"))

@@ -36,3 +36,8 @@ def test_differing_counts_surplus_rows_with_repeats_and_nulls(spark):
     b = spark.createDataFrame([(1, "x"), (2, None), (4, "z")], "k int, v string")
     assert differing(a, b).first()[0] == a.exceptAll(b).count() == 2
     assert differing(b, a).first()[0] == 1 and differing(a, a).first()[0] == 0
+
+
+def test_brands_of_orders_are_told_apart_in_pieces(spark, sf):
+    p = plan(QUERIES["d17_label_prevalence_floor"](spark, sf))
+    assert re.search(rf"hashpartitioning\(l_orderkey#\d+L?, {PIECES}\), REPARTITION_BY_NUM", p)
