@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from priorframe.operators import declarations, gate, probes
 from priorframe.operators.metrics import auc_of_levels
+from priorframe.operators.ordering import in_pieces
 from priorframe.sources.sinks import written_once
 
 SPLITS = ("train", "eval", "holdout")
@@ -70,11 +71,13 @@ def cell_levels(panel: DataFrame, y: Column, columns: Sequence[str], whole: dict
     """(field, key, number, n_SPLIT, p_SPLIT): rows and positives of every distinct cell, by split.
 
     ``whole`` adds cells of the whole row. All grains of the gate are cells of this one frame, so the panel is read
-    once and shuffled once, as counts; a value longer than ``SHORT`` counts by its digest.
+    once, dealt once and shuffled again as counts; a value longer than ``SHORT`` counts by its digest.
     """
     value = {c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in columns} | whole
     cells = F.array(*[F.struct(F.lit(c).alias("field"), v.alias("value")) for c, v in value.items()])
-    long = panel.select("split", F.coalesce(y, F.lit(0)).alias("_y"), F.explode(cells).alias("_c")).select("split", "_y", "_c.*")
+    # Most cells differ, so a task that counts them holds nearly all cells of its rows: it gets one piece of the rows.
+    rows = in_pieces(panel.withColumn("_y", F.coalesce(y, F.lit(0))), [F.xxhash64(*[F.col(f"`{c}`") for c in panel.columns])])
+    long = rows.select("split", "_y", F.explode(cells).alias("_c")).select("split", "_y", "_c.*")
     v, long_value = F.col("value"), F.length("value") > SHORT
     # A long value counts by its digest, beside the number that it may be; numbers of short ones are read a level.
     digest, far = F.concat(F.lit(DIGEST), F.sha2(v, 256)), F.when(long_value, F.trim(v).try_cast("double"))

@@ -4,8 +4,10 @@ import re
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from priorframe.operators.ordering import PIECES
+from priorframe.operators.qualify import ROW, cell_levels
 from priorframe.plans import QUERIES
 from priorframe.plans.history import differing
 from priorframe.sources import sinks
@@ -41,3 +43,11 @@ def test_differing_counts_surplus_rows_with_repeats_and_nulls(spark):
 def test_brands_of_orders_are_told_apart_in_pieces(spark, sf):
     p = plan(QUERIES["d17_label_prevalence_floor"](spark, sf))
     assert re.search(rf"hashpartitioning\(l_orderkey#\d+L?, {PIECES}\), REPARTITION_BY_NUM", p)
+
+
+def test_cells_are_counted_in_pieces_of_the_rows(spark):
+    panel = spark.createDataFrame([(f"{k}", k % 2, "train" if k % 3 else "eval") for k in range(60)], "id string, y int, split string")
+    levels = cell_levels(panel, F.col("y"), ["id"], {ROW: F.lit("")})
+    assert f", {PIECES}), REPARTITION_BY_NUM" in plan(levels)
+    row = levels.where(F.col("field") == ROW).first()
+    assert (row["n_train"], row["n_eval"], row["p_train"]) == (40, 20, 20) and levels.count() == 61
