@@ -24,10 +24,12 @@ from pyspark.sql import functions as F
 
 from priorframe.llm.common import columns_of, forget, short_batches, written_once
 from priorframe.llm.hashing import pack_sorted, unpack_sorted, word_hashes
+from priorframe.llm.setjoin import sub_batches
 
 WINDOW = 10
 BLOCK_BYTES = 2 << 20  # text of a block; a longer text is a block of its own
 CHUNK = 100_000  # pairs of a test window and an item that are searched for at once
+HASHED = 1 << 18  # characters that are hashed at once; a longer text is alone
 STRIP = 1 << 20  # places that are intersected at once
 
 # Fixed value: words are runs of 0-9, a-z after lowering, and all characters beyond ASCII.
@@ -58,7 +60,8 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             return pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip([(source << 32) + made, *index_block(ids, texts)], INDEX, strict=True)], schema=INDEX)
 
         for batch in batches:
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for i, text in zip(batch.column(0), batch.column(1), strict=True):
+                i, text = i.as_py(), text.as_py()
                 if ids and size + len(text or "") > BLOCK_BYTES:
                     yield block()
                     ids, texts, size, made = [], [], 0, made + 1
@@ -67,14 +70,18 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 size += len(text or "") + 16
         if ids:
             yield block()
+        del ids, texts
+        forget()  # a worker that waits for its next task holds no block
 
     schema = "block bigint, doc_ids array<bigint>, starts binary, n_words binary, terms binary, postings binary"
-    return written_once(rows.mapInArrow(index, schema), "positional-index")
+    return written_once(rows.mapInArrow(index, schema), "positional-index", long_rows=True)
 
 
 def index_block(ids: list, texts: list) -> tuple:
-    hashes, first = word_hashes(texts, apart=APART)
-    n_words = np.diff(first)
+    parts = [word_hashes(texts[a:b], apart=APART) for a, b in sub_batches([t or "" for t in texts], HASHED)] or [word_hashes([], apart=APART)]
+    hashes, n_words = np.concatenate([h for h, _ in parts]), np.concatenate([np.diff(f) for _, f in parts])
+    del parts
+    first = np.concatenate([[0], np.cumsum(n_words)])
     starts = first[:-1] + np.arange(len(texts))
     place = np.arange(len(hashes)) + np.repeat(np.arange(len(texts)), n_words)
     order = np.argsort(hashes, kind="stable")

@@ -89,10 +89,17 @@ def bounded_files(df: DataFrame) -> DataFrameWriter:
     return df.write.option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS)
 
 
-def written_once(df: DataFrame, purpose: str) -> DataFrame:
-    """A costly frame that several plans read, written to the shared folder and read back."""
+# Parquet looks at what it has gathered after 100 rows only, and gathers all of them if rows are megabytes long.
+LONG_ROWS = {"parquet.page.size.row.check.min": 1, "parquet.block.size.row.check.min": 1, "parquet.enable.dictionary": "false"}
+
+
+def written_once(df: DataFrame, purpose: str, long_rows: bool = False) -> DataFrame:
+    """A costly frame that several plans read, written to the shared folder and read back.
+
+    With ``long_rows`` a page ends after the row that fills it, so that a writer and a reader hold about a row.
+    """
     from priorframe.session import scratch_dir
 
     path = scratch_dir(df.sparkSession, purpose)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").options(**LONG_ROWS if long_rows else {}).parquet(path)
     return df.sparkSession.read.parquet(path)

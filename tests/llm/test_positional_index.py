@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -105,3 +106,17 @@ def test_query_and_sql(spark, sf):
     assert r["ok"], r.get("why")
     hits = pi.hit_documents(pi.build_index(spark.read.parquet(f"{sf}/documents.parquet")), spark.read.parquet(f"{sf}/benchmark.parquet"))
     assert hits.where("size(spans) > 0").count() > 0
+
+
+def test_a_block_is_hashed_in_parts(monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 5000, 400)) for _ in range(900)] + [None, "", "Zoë 9"]
+    whole = pi.index_block(list(range(len(texts))), texts)
+    tracemalloc.start()
+    parts = pi.index_block(list(range(len(texts))), texts)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert parts == whole and most < 16 * sum(len(t or "") for t in texts)
+    monkeypatch.setattr(pi, "HASHED", 1)
+    assert pi.index_block(list(range(len(texts))), texts) == whole
+    assert pi.index_block([1, 2], [None, ""])[0] == [1, 2]
