@@ -32,6 +32,9 @@ LINES = 24
 CELL_WIDTH = 4.0  # of a quantised projection, in distances at the threshold
 CELL_MATES = 64  # unlike vectors in a cell, one to three times as many
 TILE = 1024
+SMALL = 128  # cells of at most so many rows are compared in groups
+GROUP = 512  # rows of a group, about
+SLOTS = 1 << 22  # pairs that are counted at once, but for one large tile
 SEED = 29
 
 
@@ -79,19 +82,32 @@ class Plan:
             code = mix((code + at[:, k :: self.depth][:, : self.tables]) * BASE)
         return code.view(np.int64)
 
-    def candidates(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (i < j) that meet in enough windows."""
+    def candidates(self, x: np.ndarray, tile: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (i < j) of one tile that meet in enough windows; ``tile`` ascends, without it all rows are one tile.
+
+        The tiles of a group lie one after the other on a line, further apart than a window reaches, so that one
+        sort a line serves all of them.
+        """
         n = len(x)
         on = x @ self.draw(x.shape[1])[0]
-        count = np.zeros(n * n, np.uint8)
+        starts = np.flatnonzero(np.diff(tile, prepend=tile[0] - 1)) if tile is not None and n else np.zeros(min(n, 1), np.int64)
+        sizes = np.diff(starts, append=n)
+        own = np.repeat(np.arange(len(sizes)), sizes)
+        slots = np.cumsum(sizes * sizes) - sizes * sizes
+        base, width = (slots - starts * (sizes + 1))[own], sizes[own]
+        apart = own * (2 * np.abs(on).max(initial=0) + 2 * self.distance)
+        count = np.zeros(int((sizes * sizes).sum()), np.uint8)
         for line in on.T:
-            order = np.argsort(line, kind="stable")
-            ahead = np.searchsorted(line[order], line[order] + self.distance, "right") - np.arange(n) - 1
+            order = np.argsort(line + apart, kind="stable")
+            at = (line + apart)[order]
+            ahead = np.searchsorted(at, at + self.distance, "right") - np.arange(n) - 1
             first = np.repeat(order, ahead)
             second = order[np.repeat(np.arange(n) + 1, ahead) + np.arange(ahead.sum()) - np.repeat(np.cumsum(ahead) - ahead, ahead)]
-            count[np.minimum(first, second) * n + np.maximum(first, second)] += 1  # a pair meets once on a line
+            count[base[first] + np.minimum(first, second) * width[first] + np.maximum(first, second)] += 1  # a pair meets once on a line
         found = np.flatnonzero(count >= self.least)
-        return found // n, found % n
+        of = np.searchsorted(slots, found, "right") - 1
+        place = found - slots[of]
+        return starts[of] + place // sizes[of], starts[of] + place % sizes[of]
 
 
 def unit_vectors(column: pa.ListArray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
@@ -125,7 +141,8 @@ def near_vectors(
     other columns are ignored.
     """
     rows = columns_of(vectors, [id_col, vector_col]).toDF("vec_id", "v")
-    plan = Plan(rows.count(), cosine, recall)
+    total = rows.count()
+    plan = Plan(total, cosine, recall)
     kind = rows.schema["v"].dataType.simpleString()
     if kind not in ("array<float>", "array<double>"):
         rows, kind = rows.withColumn("v", F.col("v").cast("array<double>")), "array<double>"
@@ -151,40 +168,55 @@ def near_vectors(
     # Tile (i, j) compares pieces i and j; a cell of one piece is its own tile.
     tiles = tiles.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).select(
         "t", F.xxhash64("t", "cell", F.least("mine", "other"), F.greatest("mine", "other")).alias("tile"),
-        (F.col("pieces") > 1).alias("split"), "mine", (F.col("mine") == F.col("other")).alias("same"), "vec_id", "v",
+        "n", "mine", (F.col("mine") == F.col("other")).alias("same"), "vec_id", "v",
     )
+    # Most cells are small: a task compares them in groups, since each call costs as much as many pairs.
+    groups = max(1, -(-total * plan.tables // GROUP))
+    group = F.when(F.col("n") <= SMALL, F.pmod("tile", F.lit(groups))).otherwise(F.col("tile"))
+    tiles = tiles.withColumn("n", group).withColumnRenamed("n", "group")
 
     out = pa.schema([("vec_id", pa.int64()), ("n", pa.int64()), ("least", pa.int64())])
 
     def compare(table: pa.Table) -> pa.Table:
-        ids, t = table.column("vec_id").to_numpy(), table.column("t")[0].as_py()
-        ((rows_of, x),) = unit_vectors(table.column("v").combine_chunks()).values()
-        order = np.lexsort((*x.T[:2], ids[rows_of]))
-        rows_of, x = rows_of[order], x[order]
+        parts = [part for rows_of, x in unit_vectors(table.column("v").combine_chunks()).values() for part in compared(table, rows_of, x)]
+        return pa.table([pa.array(np.concatenate([p[c] for p in parts] or [np.zeros(0, np.int64)]), pa.int64()) for c in range(3)], schema=out)
+
+    def compared(table: pa.Table, rows_of: np.ndarray, x: np.ndarray):
+        get = lambda name: table.column(name).to_numpy()[rows_of]
+        ids, tile, t, piece, same = map(get, ("vec_id", "tile", "t", "mine", "same"))
+        order = np.lexsort((*x.T[:2], ids, tile))
         again = np.zeros(len(x), bool)
-        again[1:] = (ids[rows_of][1:] == ids[rows_of][:-1]) & (x[1:] == x[:-1]).all(1)
-        rows_of, x = rows_of[~again], x[~again]
-        ids, piece = ids[rows_of], table.column("mine").to_numpy()[rows_of]
+        a, b = order[1:], order[:-1]
+        again[1:] = (tile[a] == tile[b]) & (ids[a] == ids[b]) & (x[a] == x[b]).all(1)
+        order = order[~again]
+        ids, tile, t, piece, same, x = ids[order], tile[order], t[order], piece[order], same[order], x[order]
+        starts = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]])) if len(x) else np.zeros(0, np.int64)
+        sizes = np.diff(starts, append=len(x))
+        strip = np.cumsum(sizes * sizes) // SLOTS
+        cuts = [*starts[np.flatnonzero(np.diff(strip, prepend=-1))].tolist(), len(x)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield linked(ids[a:b], tile[a:b], t[a:b], piece[a:b], same[a:b], x[a:b])
+
+    def linked(ids: np.ndarray, tile: np.ndarray, t: np.ndarray, piece: np.ndarray, same: np.ndarray, x: np.ndarray) -> tuple:
+        i, j = plan.candidates(x, tile)
         # A tile of two pieces compares across them only; its own piece is a tile of its own.
-        across = not bool(table.column("same")[0].as_py())
-        i, j = plan.candidates(x)
-        keep = ids[i] != ids[j]
-        if across:
-            keep &= piece[i] != piece[j]
+        keep = (ids[i] != ids[j]) & (same[i] | (piece[i] != piece[j]))
         i, j = i[keep], j[keep]
-        cells = plan.cells(x)
-        new = np.ones(len(i), bool)
-        for earlier in range(t):
-            new &= cells[i, earlier] != cells[j, earlier]
-        i, j = i[new], j[new]
         near = np.concatenate([(x[i[a : a + 65536]] * x[j[a : a + 65536]]).sum(1) for a in range(0, len(i), 65536)] or [np.zeros(0)]) >= cosine
         i, j = i[near], j[near]
+        # Cells are needed of vectors with a link only.
+        some, at = np.unique(np.concatenate([i, j]), return_inverse=True)
+        cells, at = plan.cells(x[some]), at.reshape(2, -1)
+        new = np.ones(len(i), bool)
+        for earlier in range(int(t.max(initial=0))):
+            new &= (t[i] <= earlier) | (cells[at[0], earlier] != cells[at[1], earlier])
+        i, j = i[new], j[new]
         links = np.bincount(i, minlength=len(x)) + np.bincount(j, minlength=len(x))
         reached = least_reached(len(x), i, j)
         has = links > 0
-        return pa.table([pa.array(ids[has], pa.int64()), pa.array(links[has], pa.int64()), pa.array(ids[reached[has]], pa.int64())], schema=out)
+        return ids[has], links[has], ids[reached[has]]
 
-    found = written_once(tiles.groupBy("tile").applyInArrow(compare, "vec_id bigint, n bigint, least bigint"), "vector-links")
+    found = written_once(tiles.groupBy("group").applyInArrow(compare, "vec_id bigint, n bigint, least bigint"), "vector-links")
     counts = found.groupBy("vec_id").agg(F.sum("n").alias("n_links"))
     roots = components(found.select(F.col("vec_id").alias("a"), F.col("least").alias("b"))).withColumnRenamed("node", "vec_id")
     return (

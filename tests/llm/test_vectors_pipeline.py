@@ -55,6 +55,23 @@ def test_near_vectors(spark, tile, monkeypatch):
     assert collisions.near_vectors(df.limit(0)).collect() == []
 
 
+def test_small_cells_are_compared_in_groups(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = np.concatenate([c + 0.03 * rng.normal(size=(20, 64)) for c in rng.normal(size=(30, 1, 64))])
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    tile = np.sort(rng.integers(-40, 40, len(x)))
+    plan = collisions.Plan(len(x))
+    each = {(i + a, j + a) for a, b in [np.searchsorted(tile, [k, k + 1]) for k in np.unique(tile)] for i, j in zip(*plan.candidates(x[a:b]), strict=True)}
+    assert len(each) > 1000 and set(zip(*plan.candidates(x, tile), strict=True)) == each
+    rows = vectors(rng)
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    grouped = sorted(collisions.near_vectors(df).collect(), key=str)
+    monkeypatch.setattr(collisions, "SMALL", 0)
+    assert sorted(collisions.near_vectors(df).collect(), key=str) == grouped
+    monkeypatch.setattr(collisions, "SMALL", 1 << 20), monkeypatch.setattr(collisions, "SLOTS", 1)
+    assert sorted(collisions.near_vectors(df).collect(), key=str) == grouped
+
+
 def test_components(spark):
     rng = np.random.default_rng(1)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 900, (500, 2))] + [(i, i + 1) for i in range(1000, 1060)] + [(5, None), (7, 7)]
