@@ -3,10 +3,14 @@
 A byte goes if a string of ``length`` bytes that covers it also starts in a document with a smaller id.
 
 * Every window of ``length`` bytes is filed under an anchor: the least hash of its ``GRAM``-byte
-  substrings. Equal windows have equal anchors. Blocks of texts exchange their anchors, packed, and
-  learn which ones other texts have too; nothing else can repeat.
-* Runs of neighbouring windows under one shared anchor travel as one segment of text to the bucket of
-  the anchor, equal segments of a block once. Under anchors that very many blocks have, single windows
+  substrings, at its first place. Equal windows have equal anchors at equal places, and also equal text
+  between the anchor and the middle of what is left: a window holds either the bytes before its anchor or
+  those behind it, so that each of the two halves of a run has a context of about two thirds of ``length``.
+  Blocks of texts exchange their contexts, packed, and learn which ones other texts have too; nothing else
+  can repeat. Short substrings meet by chance in ever more texts as a table grows, contexts seldom do.
+* Runs of neighbouring windows under one anchor travel, as far as their contexts are shared, as one segment of
+  text to the bucket of the anchor, equal segments of a block once. Under an anchor with very many of them each half
+  goes by its context. Under contexts that very many blocks have, single windows
   travel instead, filed by their own hash: what is common is one row a block, what is not spreads out.
 * In a bucket, equal segments are settled by their smallest document. Where an anchor has different
   segments, the windows whose hash is there twice go through the index family in batches of ascending
@@ -25,21 +29,23 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from priorframe.llm.common import columns_of
-from priorframe.llm.hashing import BASE, mix, powers
+from priorframe.llm.hashing import BASE, mix, pack_sorted, powers, unpack_sorted
 from priorframe.llm.setjoin import (
-    BLOCK_BYTES, blocked, bucket_rows, found_keys, key_counts, shared_in_bucket, short_keys, sub_batches, unique_rows,
+    BLOCK_BYTES, SPARE_BITS, blocked, bucket_rows, found_keys, key_counts, shared_in_bucket, short_keys, sub_batches, unique_rows,
 )
 
 LENGTH = 50
 GRAM = 16
-RUN = 256  # windows of a segment at most; longer runs are cut
-COMMON_TIER = 8  # anchors that 2**8 blocks have, or most of the blocks, are filed window by window,
+HOT = 1 << 16  # entries of shared contexts under an anchor beyond which halves are filed by context
+COMMON_TIER = 8  # contexts that 2**8 blocks have, or most of the blocks, are filed window by window,
 COMMON_MOST = 14  # and those that 2**14 blocks have, whatever the number of blocks
 BUCKET_BYTES = 6 << 20  # text bytes a bucket of segments stands for
+HOT_MARK = 128  # added to the tier of a context under such an anchor
 BATCH = 1 << 15  # windows of a batch of the index family
 
 KEYS_DDL = "bucket int, block int, keys binary, many binary"
@@ -112,34 +118,50 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 class Windows:
-    """Windows of some texts: start, end (of starts) and anchor of every run, and the joined bytes."""
+    """Windows of some texts: start, end (of starts), anchor and context of every half of a run, and the joined bytes."""
 
-    def __init__(self, bodies: list[bytes], length: int = LENGTH, gram: int = GRAM, run: int = RUN):
+    def __init__(self, bodies: list[bytes], length: int = LENGTH, gram: int = GRAM):
         self.length = length
         sizes = np.array([len(b) for b in bodies], np.int64)
         self.first = np.concatenate([[0], np.cumsum(sizes)])
         self.data = np.frombuffer(b"".join(bodies), np.uint8)
         empty = np.zeros(0, np.int64)
-        self.start, self.end, self.text, self.key = empty, empty, empty, np.zeros(0, np.uint64)
+        self.start, self.end, self.text, self.run, self.key, self.context = *[empty] * 4, *[np.zeros(0, np.uint64)] * 2
         if len(self.data) < length:
             return
-        least = sliding_least(rolling(self.data, gram), length - gram + 1)
+        hashes = rolling(self.data, gram)
+        least = sliding_least(hashes, length - gram + 1)
         owner = np.repeat(np.arange(len(sizes)), sizes)[: len(least)]
         inside = self.first[owner + 1] - np.arange(len(least)) >= length
+        # A run ends where its anchor leaves the window, even if the same bytes come again.
         new = np.ones(len(least), bool)
-        new[1:] = (least[1:] != least[:-1]) | (owner[1:] != owner[:-1])
+        new[1:] = (least[1:] != least[:-1]) | (owner[1:] != owner[:-1]) | (hashes[: len(least) - 1] == least[:-1])
         start = np.flatnonzero(new)
         end = np.append(start[1:], len(least))
+        at = end - 1  # the first place of the anchor, which all windows of the run hold
+        away = np.flatnonzero(hashes[at] != least[start])
+        while len(away):
+            at[away] += 1
+            away = away[hashes[at[away]] != least[start[away]]]
         # Windows that pass the end of their text are the last ones of its runs.
         end = np.minimum(end, np.maximum(self.first[owner[start] + 1] - length + 1, start))
+        half = (length - gram) // 2
+        middle = np.clip(at - half + 1, start, end)
         keep = (end > start) & inside[start]
-        start, end = start[keep], end[keep]
-        pieces = -(-(end - start) // run)
-        if len(pieces) and pieces.max() > 1:
-            base = np.repeat(start, pieces) + run * (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces))
-            start, end = base, np.minimum(base + run, np.repeat(end, pieces))
-        self.start, self.end, self.text = start, end, owner[start]
-        self.key = mix(least[start] ^ np.uint64(0x5851F42D4C957F2D))
+        # Windows before the middle hold ``half`` bytes before the anchor, the others the bytes behind it.
+        halves = np.stack([keep & (middle > start), keep & (end > middle)], 1)
+        pick = lambda left, right: np.stack([left, right], 1)[halves]
+        self.start, self.end = pick(start, middle), pick(middle, end)
+        self.run = np.nonzero(halves)[0]
+        self.text = owner[start][self.run]
+        self.key = mix(least[start] ^ np.uint64(0x5851F42D4C957F2D))[self.run]
+        side = np.nonzero(halves)[1].astype(np.uint64)
+        self.context = mix(self.key ^ side) ^ self.ids(pick(at - half, at), pick(at + gram, at + length - half + 1), self.prefix())
+
+    def short(self, bits: int) -> np.ndarray:
+        """Keys by which blocks ask each other: the leading bits are of the anchor, the spare ones of the context."""
+        spare = np.uint64((1 << SPARE_BITS) - 1)
+        return short_keys(self.key, bits) & ~spare | self.context & spare
 
     def prefix(self) -> np.ndarray:
         up, _ = powers(len(self.data))
@@ -153,19 +175,26 @@ class Windows:
         return mix(((total[stop] - total[start]) * down[start]) ^ ((stop - start).astype(np.uint64) << np.uint64(44)))
 
     def spans(self, found: np.ndarray, tiers: np.ndarray, bits: int, common_tier: int) -> tuple[np.ndarray, ...]:
-        """(start, end of starts, text, filing key, id) of every segment under a shared anchor."""
-        short = short_keys(self.key, bits)
-        at = np.searchsorted(found, short)
-        at[at == len(found)] = 0
-        hit = found[at] == short if len(found) else np.zeros(len(short), bool)
-        common = hit & (tiers[at] >= common_tier) if len(found) else hit
-        whole = hit & ~common
+        """(start, end of starts, text, filing key, id) of every segment under a shared context."""
         total = self.prefix()
-        start, end, text, key = self.start[whole], self.end[whole], self.text[whole], self.key[whole]
+        tier = np.zeros(len(self.key), np.uint8)
+        hit = np.zeros(len(self.key), bool)
+        if len(found):
+            short = self.short(bits)
+            at = np.searchsorted(found, short)
+            at[at == len(found)] = 0
+            hit, tier = found[at] == short, tiers[at]
+        common = hit & (tier % HOT_MARK >= common_tier)
+        apart = hit & ~common & (tier >= HOT_MARK)
+        whole = np.flatnonzero(hit & ~common & ~apart)
+        fresh = np.diff(self.run[whole], prepend=-1) > 0
+        last = np.diff(self.run[whole], append=np.iinfo(np.int64).max) > 0
+        start, end = np.concatenate([self.start[whole[fresh]], self.start[apart]]), np.concatenate([self.end[whole[last]], self.end[apart]])
+        text, key = np.concatenate([self.text[whole[fresh]], self.text[apart]]), np.concatenate([self.key[whole[fresh]], self.context[apart]])
         ids = self.ids(start, end + self.length - 1, total)
         if common.any():
             n = self.end[common] - self.start[common]
-            single = np.repeat(self.start[common], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            single = ragged(self.start[common], n)
             own = self.ids(single, single + self.length, total)
             start, end = np.concatenate([start, single]), np.concatenate([end, single + 1])
             text, key = np.concatenate([text, np.repeat(self.text[common], n)]), np.concatenate([key, own])
@@ -178,6 +207,30 @@ def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts, sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
+def shared_contexts(table: pa.Table, hot: int) -> pa.Table:
+    """What ``shared_in_bucket`` answers; tiers of anchors with more than ``hot`` entries are marked."""
+    answers = shared_in_bucket(table)
+    if not answers.num_rows:
+        return answers
+    parts = [unpack_sorted(k) >> np.uint64(SPARE_BITS) for k in answers.column("keys").to_pylist()]
+    _, which, entries = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+    mark = np.where(entries > hot, HOT_MARK, 0).astype(np.uint8)[which]
+    marks = np.split(mark, np.cumsum([len(p) for p in parts])[:-1])
+    tiers = [(np.frombuffer(t, np.uint8) | m).tobytes() for t, m in zip(answers.column("tier").to_pylist(), marks, strict=True)]
+    return answers.set_column(answers.column_names.index("tier"), "tier", pa.array(tiers, pa.binary()))
+
+
+def pack_planes(values: np.ndarray) -> bytes:
+    """Compressed byte planes: most planes of ids and lengths are nearly constant."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack_planes(data: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).reshape(-1)
+
+
 def _parts(hs: list[int], bodies: list[str], orders: dict[int, int]):
     for a, b in sub_batches(bodies, 1 << 20):
         yield a, Windows([t.encode() for t in bodies[a:b]]), np.array([orders[h] for h in hs[a:b]], np.int64)
@@ -215,7 +268,8 @@ def block_segments(left: pa.Table, right: pa.Table, buckets: int, bits: int, com
     rows = []
     for bucket, part in enumerate(np.split(by, edges)):
         if len(part):
-            rows.append((bucket, key[part].tobytes(), least[part].tobytes(), size[part].astype("<u2").tobytes(), body[ragged(at[part], size[part])].tobytes()))
+            text = body[ragged(at[part], size[part])]
+            rows.append((bucket, pack_sorted(short_keys(key[part], bits)), pack_planes(least[part].astype("<i8")), pack_planes(size[part].astype("<u2")), pack_planes(text)))
     block = left.column("block")[0].as_py()
     columns = list(zip(*rows, strict=True)) or [[]] * 5
     arrays = [pa.array(columns[0], pa.int32()), pa.array([block] * len(rows), pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]]
@@ -224,8 +278,9 @@ def block_segments(left: pa.Table, right: pa.Table, buckets: int, bits: int, com
 
 def settle(table: pa.Table) -> pa.Table:
     """Smallest document of every segment of a bucket, and which of its windows an even smaller one has."""
-    get = lambda name, kind: [np.frombuffer(v, kind) for v in table.column(name).to_pylist()]
-    keys, orders, sizes, bodies = get("keys", "<u8"), get("orders", "<i8"), get("lengths", "<u2"), get("body", np.uint8)
+    get = lambda name, kind: [unpack_planes(v, kind) for v in table.column(name).to_pylist()]
+    keys = [unpack_sorted(k) for k in table.column("keys").to_pylist()]
+    orders, sizes, bodies = get("orders", "<i8"), get("lengths", "<u2"), get("body", "<u1")
     key, order, size, data = np.concatenate(keys), np.concatenate(orders), np.concatenate(sizes).astype(np.int64), np.concatenate(bodies)
     at = np.cumsum(size) - size
     up, down = powers(len(data) + 1)
@@ -238,7 +293,7 @@ def settle(table: pa.Table) -> pa.Table:
     windows = size[one] - LENGTH + 1
     flag_at = np.cumsum(windows) - windows
     flags = np.zeros(int(windows.sum()), bool)
-    # Anchors with different segments: their windows may meet in part.
+    # Keys with different segments: their windows may meet in part.
     kinds, inverse, count = np.unique(key[one], return_inverse=True, return_counts=True)
     unsettled = np.flatnonzero(count[inverse] > 1)
     unsettled = unsettled[np.argsort(least[unsettled], kind="stable")]
@@ -342,6 +397,7 @@ def repeated_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts, layout = blocked(rows)
     bits = layout.bits
     common_tier = min(COMMON_MOST, max(COMMON_TIER, int(np.log2(1.5 * layout.blocks))))
+    hot = HOT
     parts = max(1, -(-layout.blocks * BLOCK_BYTES // BUCKET_BYTES))
     block_of = F.pmod("h", F.lit(layout.blocks)).cast("int").alias("block")
     firsts = first.select(block_of, "h", "first")
@@ -349,14 +405,16 @@ def repeated_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def anchors(bodies: list[str]):
         for a, b in sub_batches(bodies, 1 << 20):
             w = Windows([t.encode() for t in bodies[a:b]])
-            pair = np.unique(np.stack([short_keys(w.key, bits), w.text.astype(np.uint64)], 1), axis=0) if len(w.key) else np.zeros((0, 2), np.uint64)
-            yield pair[:, 0]
+            keys = w.short(bits)
+            by = np.lexsort((w.text, keys))
+            keys, text = keys[by], w.text[by]
+            yield keys[np.concatenate([[True], (keys[1:] != keys[:-1]) | (text[1:] != text[:-1])])] if len(keys) else keys
 
     def send(table: pa.Table) -> pa.Table:
         keys, counts = key_counts(anchors(unique_rows(table)[1]))
         return bucket_rows(table.column("block")[0].as_py(), keys, counts, layout)
 
-    found = texts.groupBy("block").applyInArrow(send, KEYS_DDL).groupBy("bucket").applyInArrow(shared_in_bucket, FOUND_DDL)
+    found = texts.groupBy("block").applyInArrow(send, KEYS_DDL).groupBy("bucket").applyInArrow(lambda t: shared_contexts(t, hot), FOUND_DDL)
     known = found.unionByName(firsts, allowMissingColumns=True)
     segments = texts.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
         lambda left, right: block_segments(left, right, parts, bits, common_tier) if left.num_rows else SEGMENTS.empty_table(), _ddl(SEGMENTS)

@@ -135,6 +135,36 @@ def test_repeated_text_filed_by_window(edges, monkeypatch):
     check_repeats(edges, 0, monkeypatch)
 
 
+def test_repeated_text_filed_by_context(docs, monkeypatch):
+    monkeypatch.setattr(suffix_index, "HOT", 1)
+    check_repeats(docs, 8, monkeypatch)
+
+
+def test_segments_need_a_shared_context():
+    """Texts that have short substrings in common, but no window of full length, send nothing."""
+    rng = np.random.default_rng(12)
+    phrases = ["".join(chr(97 + k) for k in rng.integers(0, 26, 24)) for _ in range(40)]
+    fill = lambda n: "".join(chr(97 + k) for k in rng.integers(0, 26, n))
+    bodies = [b"".join((p + fill(12)).encode() for p in rng.permutation(phrases)) for _ in range(20)]
+    periodic = [b"-" * 300, b"x" * 9 + b"-" * 200, b"ab" * 90 + b"-" * 70, fill(30).encode() + b"ab" * 60]
+    w = suffix_index.Windows([*bodies, *periodic])
+    keys, text = w.short(48), w.text
+    pairs = np.unique(np.stack([keys, text.astype(np.uint64)], 1), axis=0)
+    found, count = np.unique(pairs[:, 0], return_counts=True)
+    found = found[count > 1]
+    start, end, text, _, _ = w.spans(found, np.ones(len(found), np.uint8), 48, 8)
+    anchors = np.unique(np.stack([w.key, w.text.astype(np.uint64)], 1), axis=0)[:, 0]
+    assert np.unique(anchors, return_counts=True)[1].max() > 1 and not (text < len(bodies)).any()
+    # Every window that two texts have lies in a segment.
+    starts = set(suffix_index.ragged(start, end - start).tolist())
+    seen = {}
+    for t, (a, b) in enumerate(zip(w.first, w.first[1:], strict=False)):
+        for i in range(a, b - 49):
+            seen.setdefault(w.data[i : i + 50].tobytes(), []).append((t, i))
+    repeated = {i for places in seen.values() if len({t for t, _ in places}) > 1 for _, i in places}
+    assert len(repeated) > 300 and repeated <= starts
+
+
 def check_repeats(docs, common, monkeypatch):
     monkeypatch.setattr(suffix_index, "COMMON_TIER", common)
     monkeypatch.setattr(suffix_index, "COMMON_MOST", common)
