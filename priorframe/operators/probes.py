@@ -22,6 +22,7 @@ from priorframe.operators.aggregates import MISSING, long_cells
 from priorframe.operators.history import at_offset, trailing
 from priorframe.operators.metrics import auc_of_levels
 from priorframe.operators.ordering import row_positions, value_ranks
+from priorframe.sources.sinks import written_once
 
 # Support that a token needs, and the offsets of the successor probe.
 TOKEN_ROWS = 10
@@ -72,13 +73,13 @@ SUPPORT_BITS = 20
 
 
 def _may_have(counts: DataFrame, min_rows: int, bits: int) -> Callable[[Column], Column]:
-    """A test against a bitmap of 2^``bits`` hash slots of the tokens with ``min_rows`` rows.
+    """A test against a bitmap of 2^``bits`` hash slots of the tokens with ``min_rows`` rows; ``counts`` has each token once.
 
     Its size does not depend on the data. A slot that two tokens share lets the rarer one pass; none is ever missed.
     """
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits))
     held = (
-        counts.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= min_rows)
+        counts.where(F.col("n") >= min_rows)
         .select(F.shiftright(slot(F.col("token")), 6).alias("id"), (slot(F.col("token")) % 64).cast("int").alias("at"))
         .groupBy("id").agg(F.expr("bit_or(shiftleft(1L, at))").alias("bits"))
     )
@@ -93,40 +94,52 @@ def _may_have(counts: DataFrame, min_rows: int, bits: int) -> Callable[[Column],
     return passes
 
 
-def token_counts(panel: DataFrame, split: str, text: str, min_rows: int, bits: int = SUPPORT_BITS) -> DataFrame:
-    """(token, split, n): rows of every word, and of every word pair both words of which may have ``min_rows`` rows.
+def split_sizes(panel: DataFrame, split: str) -> list[tuple[Column, int]]:
+    """(value, rows) of every split; a panel has few, and they are columns of the plans that ask for them."""
+    kind = panel.schema[split].dataType
+    sizes = panel.groupBy(split).agg(F.count(F.lit(1)).alias("n")).collect()
+    return [(F.lit(r[0]).cast(kind), r[1]) for r in sorted(sizes, key=str)] or [(F.lit(None).cast(kind), 0)]
+
+
+def token_supports(panel: DataFrame, split: str, text: str, values: Sequence[Column], min_rows: int, bits: int = SUPPORT_BITS) -> DataFrame:
+    """(token, n, by_split): rows of every word, and of every word pair both words of which may have ``min_rows`` rows.
 
     A pair is in no more rows than either of its words, so pairs of rarer words are dropped inside the row, before
-    anything is shuffled.
+    anything is shuffled. Tokens meet once, with a count for each split of ``values`` side by side. Words are counted
+    once, into a written table, which also tells what may have the support.
     """
-    count = F.count(F.lit(1)).alias("n")
-    single = panel.select(split, F.explode(F.array_distinct(words(F.col(text)))).alias("token")).groupBy("token", split).agg(count)
+    per = [F.count(F.when(F.col(split).eqNullSafe(v), 1)).alias(f"_n{i}") for i, v in enumerate(values)]
+    shown = ["token", F.col("n"), F.array(*[f"_n{i}" for i in range(len(values))]).alias("by_split")]
+    count = lambda tokens: tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"), *per)
+    single = written_once(count(panel.select(split, F.explode(F.array_distinct(words(F.col(text)))).alias("token"))), "word-rows")
     passes = _may_have(single, min_rows, bits)
     pairs = panel.select(split, F.explode(word_pairs(F.col(text))).alias("token"))
     pairs = pairs.where(passes(F.substring_index("token", " ", 1)) & passes(F.substring_index("token", " ", -1)))
-    return single.unionByName(pairs.groupBy("token", split).agg(count))
+    return single.select(*shown).unionByName(count(pairs).select(*shown))
+
+
+def token_counts(panel: DataFrame, split: str, text: str, min_rows: int, bits: int = SUPPORT_BITS) -> DataFrame:
+    """(token, split, n): ``token_supports`` in long form, without splits that do not have the token."""
+    values = [v for v, _ in split_sizes(panel, split)]
+    cells = F.array(*[F.struct(v.alias("split"), F.get("by_split", F.lit(i)).alias("n")) for i, v in enumerate(values)])
+    long = token_supports(panel, split, text, values, min_rows, bits).select("token", F.explode(cells).alias("_c"))
+    return long.select("token", F.col("_c.split").alias(split), F.col("_c.n").alias("n")).where("n > 0")
 
 
 def token_hits(panel: DataFrame, split: str, text: str, min_rows: int = TOKEN_ROWS) -> DataFrame:
     """(probe, split, n_rows, hits): the 0/1 probe of every word and word pair in ``min_rows`` rows or more.
 
-    A 0/1 score is told in full by its counts, so tokens shrink to one row per (token, split) on the
-    map side and no row is repeated per token. Splits without a hit are listed with 0; there is one
-    map entry a split, not a token.
+    A 0/1 score is told in full by its counts, so tokens shrink to one row per token on the map side, are shuffled
+    once, and no row is repeated per token. Splits without a hit are listed with 0.
     """
-    per_token = token_counts(panel, split, text, min_rows).groupBy("token").agg(
-        F.sum("n").alias("_all"), F.map_from_entries(F.collect_list(F.struct(split, "n"))).alias("_hits")
-    )
-    sizes = panel.groupBy(split).agg(F.count(F.lit(1)).alias("n")).agg(F.collect_list(F.struct(split, "n"))).scalar()
-    return (
-        per_token.where(F.col("_all") >= min_rows)
-        .select("token", "_hits", F.explode(sizes).alias("_s"))
-        .select(
-            F.concat(F.lit("token:"), "token").alias("probe"),
-            F.col(f"_s.{split}").alias(split),
-            F.col("_s.n").alias("n_rows"),
-            F.coalesce(F.try_element_at("_hits", F.col(f"_s.{split}")), F.lit(0)).cast("bigint").alias("hits"),
-        )
+    sizes = split_sizes(panel, split)
+    supports = token_supports(panel, split, text, [v for v, _ in sizes], min_rows).where(F.col("n") >= min_rows)
+    cells = F.array(*[
+        F.struct(v.alias("split"), F.lit(rows).cast("bigint").alias("n_rows"), F.get("by_split", F.lit(i)).alias("hits"))
+        for i, (v, rows) in enumerate(sizes)
+    ])
+    return supports.select("token", F.explode(cells).alias("_c")).select(
+        F.concat(F.lit("token:"), "token").alias("probe"), F.col("_c.split").alias(split), "_c.n_rows", "_c.hits"
     )
 
 

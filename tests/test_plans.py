@@ -119,3 +119,16 @@ def test_pairs_of_rare_words_are_not_shuffled(spark):
     assert probes.token_counts(df, "split", "t", 10, bits=6).where("token = 'common words'").agg(F.sum("n")).first()[0] == 40
     hits = {(r.probe, r.split): r.hits for r in probes.token_hits(df, "split", "t", 10).collect()}
     assert hits[("token:words here", "train")] == 20 and len(hits) == 2 * 5
+
+
+def test_tokens_meet_once(spark):
+    from priorframe.operators import probes
+
+    rows = [("train" if i % 3 else None, f"Common words here own{i} common words") for i in range(30)]
+    df = spark.createDataFrame([*rows, ("eval", None), ("eval", "")], "split string, t string")
+    plan = probes.token_hits(df, "split", "t", 10)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list(struct(split" not in plan and plan.count("Aggregate [token") == 1
+    hits = {(r.probe, r.split): (r.n_rows, r.hits) for r in probes.token_hits(df, "split", "t", 10).collect()}
+    assert hits[("token:words here", "train")] == (20, 20) and hits[("token:words here", None)] == (10, 10)
+    assert hits[("token:common", "eval")] == (2, 0) and len(hits) == 3 * 5
+    assert probes.token_hits(df.limit(0), "split", "t", 10).collect() == []
