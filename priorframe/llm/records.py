@@ -18,9 +18,12 @@ import os
 import struct
 import uuid
 import zlib
+from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -38,7 +41,9 @@ ROLL_BYTES = 64 << 20  # a file is closed once it is this large
 READ_IDS = 8_000_000  # ids read by one task, about
 READ_RECORDS = 1024  # records of one reading task row
 CACHED_WORDS = 1_000_000  # words whose ids a worker keeps
-TAIL = b".,;:!?*&%$#"  # marks that the splitter always cuts off a letter or digit before them
+CUT = "\0"  # marks what is no letter for the splitter
+TEXT_BYTES = 4 << 20  # text encoded at once, about
+TAIL = ".,;:!?*&%$#"  # marks that the splitter always cuts off a letter or digit before them
 
 END_ID = 2
 MANIFEST = "part int, roll int, path string, records bigint, n_ids bigint"
@@ -68,58 +73,104 @@ def unframe(read, offset: int) -> bytes:
 
 
 class WordEncoder:
-    """Ids of a text as bytes, word by word, with a bounded memory of words.
+    """Ids of texts as bytes, word by word, with a bounded memory of words.
 
     Words are cut at the six ASCII space characters only. No rule of the vocabulary's normaliser or
     splitter reaches across one, so ids of words in sequence are the ids of the text. What lies
-    between two cuts is encoded by the library.
+    between two cuts is encoded by the library. A word that the library's normaliser and splitter leave
+    as one run of letters goes straight to its model; any other takes the whole way.
     """
 
     def __init__(self, vocabulary: str, dtype: str, cached: int = CACHED_WORDS):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.dtype, self.cached = Tokenizer.from_file(vocabulary), np.dtype(dtype), cached
-        self.known: dict[bytes, bytes] = {}
-        vocabulary_ids = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary_ids.values()) + 1, bool)
-        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
-        self.ends[[i for t, i in vocabulary_ids.items() if suffix and t.endswith(suffix)]] = True
-        self.joins = bool(suffix)
-
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.known) + len(words) > self.cached:
-            self.known = {}
-        cut = {}
+        self.model, self.normalizer, self.splitter = self.tokenizer.model, self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.direct = bool(self.normalizer and self.splitter) and not any(t.isalpha() for t in added)
+        self.known: dict[str, bytes] = {}
+        self.letters = {ord(" "): " "}  # what the splitter makes of a letter, CUT for all else
+
+    def runs(self, words: list[str]) -> list[str]:
+        """What the model gets of each word of letters, with CUT where the splitter would end the run."""
+        text = self.normalizer.normalize_str(" ".join(words))
+        for c in set(text):
+            if ord(c) not in self.letters:
+                found = self.splitter.pre_tokenize_str("a" + c)
+                run = found[0][0] if len(found) == 1 else ""
+                self.letters[ord(c)] = run[1:] if run[:1] == "a" and len(run) > 1 else CUT
+        return text.translate(self.letters).split(" ")
+
+    def learn_runs(self, words: list[str]) -> None:
+        """Ids of those words that are one run for the model."""
+        runs, ids, ends = self.runs(words), [], []
+        if len(runs) != len(words):
+            return
+        tokenize = self.model.tokenize
+        for run in runs:
+            if CUT not in run:
+                ids += [t.id for t in tokenize(run)]
+            ends.append(len(ids))
+        data, width, start = np.array(ids, self.dtype).tobytes(), self.dtype.itemsize, 0
+        for w, end in zip(words, ends, strict=True):
+            if end > start:
+                self.known[w] = data[start * width : end * width]
+                start = end
+
+    def learn(self, words: list[str]) -> None:
+        known, new, cut = self.known, set(), []
         for w in words:
+            if w.isalpha():
+                new.add(w)
+                continue
             core = w.rstrip(TAIL)
             # Only behind an ASCII letter or digit is the cut certain.
-            cut[w] = (core, w[len(core) :]) if core and len(core) < len(w) and core[-1:].isalnum() else (w, b"")
-        known = self.known
-        new = {p for pair in cut.values() for p in pair if p and p not in known}
-        plain = [w for w in new if w.isalpha() or w.decode().isalpha()] if self.joins else []
-        if plain:
-            # A word of letters alone is one token sequence that ends in the end-of-word mark.
-            ids = np.array(self.tokenizer.encode(b" ".join(plain).decode(), add_special_tokens=False).ids, self.dtype)
-            last = np.flatnonzero(self.ends[ids]) + 1
-            if len(last) == len(plain):
-                data, width, start = ids.tobytes(), self.dtype.itemsize, 0
-                for w, end in zip(plain, (last * width).tolist(), strict=True):
-                    known[w] = data[start:end]
-                    start = end
-                new.difference_update(plain)
-        rest = list(new)
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)
+            if len(core) < len(w) and core[-1:].isascii() and core[-1:].isalnum():
+                cut.append((w, core, w[len(core) :]))
+                new.update(p for p in cut[-1][1:] if p not in known)
+            else:
+                new.add(w)
+        if self.direct:
+            plain = [w for w in new if w.isalpha()]
+            for group in ([w for w in plain if w.isascii()], [w for w in plain if not w.isascii()]):
+                if group:
+                    self.learn_runs(group)
+        rest = [w for w in new if w not in known]
+        found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
         known.update(zip(rest, (np.array(e.ids, self.dtype).tobytes() for e in found), strict=True))
-        known.update((w, known[core] + known[tail]) for w, (core, tail) in cut.items() if tail)
+        known.update((w, known[core] + known[tail]) for w, core, tail in cut)
 
-    def encode(self, text: str) -> bytes:
-        words = text.encode().split()
-        distinct = set(words)
-        missing = distinct.difference(self.known)
+    def ids_of(self, words: list[str]) -> list[bytes]:
+        """Ids of each of some distinct words."""
+        found = list(map(self.known.get, words))
+        missing = [i for i, ids in enumerate(found) if ids is None]
         if missing:
-            self.learn(distinct if len(self.known) + len(missing) > self.cached else missing)
-        known = self.known
-        return b"".join([known[w] for w in words])
+            if len(self.known) + len(missing) > self.cached:
+                self.known, missing = {}, range(len(words))
+            self.learn([words[i] for i in missing])
+            for i in missing:
+                found[i] = self.known[words[i]]
+        return found
+
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
+        """Ids of each text, NULL as empty. A word is looked up once for all of these texts."""
+        words = pc.ascii_split_whitespace(texts.fill_null(""))
+        coded = words.flatten().dictionary_encode()
+        ids = pa.array(self.ids_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(coded.indices)
+        data, ends = memoryview(ids.buffers()[2] or b""), np.frombuffer(ids.buffers()[1], np.int64)
+        places = ends[words.offsets.to_numpy()].tolist()
+        for start, end in pairwise(places):
+            yield data[start:end].tobytes()
+
+
+def slices(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch in sequence, with about ``most`` bytes of text or one row at a time."""
+    sizes, start = np.cumsum(pc.binary_length(batch.column(1)).fill_null(0).to_numpy(zero_copy_only=False)), 0
+    while start < batch.num_rows:
+        before = int(sizes[start - 1]) if start else 0
+        end = max(start + 1, int(np.searchsorted(sizes, before + most, "right")))
+        yield batch.slice(start, end - start)
+        start = end
 
 
 def encoder(vocabulary: str, dtype: str) -> WordEncoder:
@@ -194,12 +245,13 @@ def write_records(
             done.append((part, len(done), f"{root}/{writer.name}", len(writer.index), writer.ids))
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                writer = writer or RecordWriter(root, f"{part:06d}-{len(done):04d}-{attempt}", width)
-                writer.add(doc_id, known.encode(text or "") + end)
-                if writer.at >= roll_bytes:
-                    finish()
-                    writer = None
+            for rows in slices(batch, TEXT_BYTES):
+                for doc_id, ids in zip(rows.column(0).to_pylist(), known.encode(rows.column(1)), strict=True):
+                    writer = writer or RecordWriter(root, f"{part:06d}-{len(done):04d}-{attempt}", width)
+                    writer.add(doc_id, ids + end)
+                    if writer.at >= roll_bytes:
+                        finish()
+                        writer = None
         if writer:
             finish()
         columns = list(zip(*done, strict=True)) or [[]] * 5

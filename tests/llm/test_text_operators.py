@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import Row
 
@@ -287,6 +288,51 @@ def test_records(spark, docs):
     assert not any(by_id.values())
 
 
+class Counted:
+    """A tokenizer that counts the texts it gets."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def encode(self, text, **options):
+        self.texts += 1
+        return self.tokenizer.encode(text, **options)
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_words_of_letters_go_straight_to_the_model():
+    known = records.WordEncoder(WORDS, "<u2")
+    library, known.tokenizer = known.tokenizer, Counted(known.tokenizer)
+    texts = [f"Wor{chr(97 + i % 26)}d{chr(97 + i // 26)}x of Straße{chr(97 + i % 26)}, год{chr(1072 + i % 32)} 東京 the. end" for i in range(300)]
+    got = list(known.encode(pa.array(texts)))
+    assert got == [np.array(library.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    assert known.tokenizer.texts <= 2  # the marks alone
+
+
+@pytest.mark.parametrize("cached", [1, 40, 1_000_000])
+def test_word_encoder_gives_the_ids_of_whole_texts(cached):
+    odd = [
+        None, "", " ", "  a  b\n\n", "İstanbul İ. ΣΑΣ ὈΔΥΣΣΕΎΣ", "H\u0331 h\u0331 e\u0301a e\u0301. ẖ K Å ﬁ ǅ ß", "한국어 \u1112\u1161\u11ab क़ \u0915\u093c ไทย",
+        "it's IT'S don't'll 's '", "a1b22 x² Ⅷ ٣٤ 12.5,", "<|startoftext|>a <|ENDOFTEXT|> <|endoftext|>.", "a\u00a0b \u2003 c\u0085d e\u2028f g\x1ch i\0j \0",
+        "the... THE,, The!? über. Über.. é. ...", "🙂🙂 a🙂b \U00020000字 ʰa ªº", "\u0301 \u0308a a\u200db \ufeff", "word\tword\x0bword\x0cword\rword",
+    ]
+    draw = np.random.default_rng(3)
+    letters = list("aAbZé'sİß.,!$#1٣\u0301\u0308ǅк한中 \n\u00a0|<>")
+    odd += ["".join(draw.choice(letters, 40)) for _ in range(300)]
+    known = records.WordEncoder(WORDS, "<u2", cached=cached)
+    library = known.tokenizer
+    want = [np.array(library.encode(t or "", add_special_tokens=False).ids, "<u2").tobytes() for t in odd]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(odd))), pa.array(odd, pa.string())], ["doc_id", "text"])
+    for most in (1, 500, 1 << 20):
+        parts = list(records.slices(batch, most))
+        assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
+        assert most > 1 or max(p.num_rows for p in parts if p.column(1).null_count == 0) <= 2
+        assert [ids for p in parts for ids in known.encode(p.column(1))] == want
+
+
 def test_a_damaged_record_is_refused(tmp_path):
     w = records.RecordWriter(str(tmp_path), "f", 2)
     w.add(5, np.array([1, 2, 3], "<u2").tobytes())
