@@ -43,7 +43,8 @@ READ_RECORDS = 1024  # records of one reading task row
 CACHED_WORDS = 1_000_000  # words whose ids a worker keeps
 CUT = "\0"  # marks what is no letter for the splitter
 TEXT_BYTES = 4 << 20  # text encoded at once, about
-TAIL = ".,;:!?*&%$#"  # marks that the splitter always cuts off a letter or digit before them
+# Marks at the end of a word: the splitter always cuts them off an ASCII letter or digit before them.
+TAIL = r"([0-9A-Za-z])([.,;:!?*&%$#]+)([\t-\r ]|$)"
 
 END_ID = 2
 MANIFEST = "part int, roll int, path string, records bigint, n_ids bigint"
@@ -75,10 +76,11 @@ def unframe(read, offset: int) -> bytes:
 class WordEncoder:
     """Ids of texts as bytes, word by word, with a bounded memory of words.
 
-    Words are cut at the six ASCII space characters only. No rule of the vocabulary's normaliser or
-    splitter reaches across one, so ids of words in sequence are the ids of the text. What lies
-    between two cuts is encoded by the library. A word that the library's normaliser and splitter leave
-    as one run of letters goes straight to its model; any other takes the whole way.
+    Words are cut at the six ASCII space characters, and before marks at their end. No rule of the
+    vocabulary's normaliser or splitter reaches across a cut, so ids of words in sequence are the ids
+    of the text. What lies between two cuts is encoded by the library. A word that the library's
+    normaliser and splitter leave as one run of letters goes straight to its model; any other takes
+    the whole way.
     """
 
     def __init__(self, vocabulary: str, dtype: str, cached: int = CACHED_WORDS):
@@ -118,27 +120,14 @@ class WordEncoder:
                 start = end
 
     def learn(self, words: list[str]) -> None:
-        known, new, cut = self.known, set(), []
-        for w in words:
-            if w.isalpha():
-                new.add(w)
-                continue
-            core = w.rstrip(TAIL)
-            # Only behind an ASCII letter or digit is the cut certain.
-            if len(core) < len(w) and core[-1:].isascii() and core[-1:].isalnum():
-                cut.append((w, core, w[len(core) :]))
-                new.update(p for p in cut[-1][1:] if p not in known)
-            else:
-                new.add(w)
         if self.direct:
-            plain = [w for w in new if w.isalpha()]
+            plain = [w for w in words if w.isalpha()]
             for group in ([w for w in plain if w.isascii()], [w for w in plain if not w.isascii()]):
                 if group:
                     self.learn_runs(group)
-        rest = [w for w in new if w not in known]
+        rest = [w for w in words if w not in self.known]
         found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
-        known.update(zip(rest, (np.array(e.ids, self.dtype).tobytes() for e in found), strict=True))
-        known.update((w, known[core] + known[tail]) for w, core, tail in cut)
+        self.known.update(zip(rest, (np.array(e.ids, self.dtype).tobytes() for e in found), strict=True))
 
     def ids_of(self, words: list[str]) -> list[bytes]:
         """Ids of each of some distinct words."""
@@ -154,7 +143,8 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> Iterator[bytes]:
         """Ids of each text, NULL as empty. A word is looked up once for all of these texts."""
-        words = pc.ascii_split_whitespace(texts.fill_null(""))
+        apart = pc.replace_substring_regex(texts.fill_null(""), TAIL, r"\1 \2\3")
+        words = pc.ascii_split_whitespace(apart)
         coded = words.flatten().dictionary_encode()
         ids = pa.array(self.ids_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(coded.indices)
         data, ends = memoryview(ids.buffers()[2] or b""), np.frombuffer(ids.buffers()[1], np.int64)
